@@ -31,18 +31,15 @@ def _strat(spark, sf):
 
 
 def _paired(spark, sf):
-    s = V.spots(spark, sf)
-    a, b = s.where("channel = 'rna1'"), s.where("channel = 'rna2'")
-    both = neighbours.nearest_partner(a, b).unionByName(neighbours.nearest_partner(b, a))
-    return neighbours.pair_spots(both, 0.3, "paired")
+    return neighbours.pair_spots(neighbours.nearest_between_channels(V.spots(spark, sf)), 0.3, "paired")
 
 
 def _full(spark, sf):
     return lookup.stratify_spots(_paired(spark, sf), V.labels(spark, sf), V.cyto(spark, sf), V.images(spark, sf))
 
 
-def _nuclei(spark, sf):
-    return rollups.spot_rollup(_full(spark, sf), intensity.nuclei_of(V.labels(spark, sf)))
+def _nuclei(spark, sf, spots=None):
+    return rollups.spot_rollup(spots or _full(spark, sf), intensity.nuclei_of(V.labels(spark, sf)))
 
 
 def one_channel(spark, sf):
@@ -98,7 +95,7 @@ GHOSTS = """v_ghost AS (
 
 def _ghosts(spark, sf):
     labels, none = V.labels(spark, sf), V.nucleoli(spark, sf)
-    dapi = V.pixels(spark, sf).where("channel = 'dapi'").drop("channel")
+    dapi = V.pixel_rows(spark, sf).where("channel = 'dapi'").drop("channel")
     spots = _strat(spark, sf).where("channel = 'rna1' AND peak >= 60000")
     counts = spots.where("nucleus_id > 0").groupBy("image", "nucleus_id").agg(F.count(F.lit(1)).alias("n_spots"))
     nuclei = lookup.attach(intensity.chromatin(dapi, labels, none), counts, ["image", "nucleus_id"], {"n_spots": 0})
@@ -158,7 +155,7 @@ v_ci AS (
 
 
 def _ci(spark, sf):
-    return intensity.compartment_intensity(V.pixels(spark, sf), V.labels(spark, sf), V.cyto(spark, sf))
+    return intensity.compartment_intensity(V.pixel_rows(spark, sf), V.labels(spark, sf), V.cyto(spark, sf))
 
 
 @check(oracle("SELECT image, nucleus_id, channel, nuc_area_px, nuc_sum, round(nuc_mean, 6) AS nuc_mean, cyto_area_px, cyto_sum, round(cyto_mean, 6) AS cyto_mean FROM v_ci", COMP))
@@ -188,7 +185,7 @@ def _thresh_sql(part: str) -> str:
 
 @check(oracle(f"SELECT c.image, c.nucleus_id, p.channel, {_thresh_sql('nuc')}, {_thresh_sql('cyto')} FROM v_pixels p JOIN v_comp c USING (image, y, x) GROUP BY ALL", COMP))
 def thresholded_intensity(spark, sf):
-    out = intensity.thresholded_intensity(V.pixels(spark, sf), V.labels(spark, sf), V.cyto(spark, sf), 1500.0)
+    out = intensity.thresholded_intensity(V.pixel_rows(spark, sf), V.labels(spark, sf), V.cyto(spark, sf), 1500.0)
     return r6(out, "nuc_thresh_mean", "cyto_thresh_mean", "nuc_thresh_fraction", "cyto_thresh_fraction")
 
 
@@ -199,7 +196,7 @@ FROM (SELECT c.image, c.nucleus_id, p.channel, sum(greatest(v - 800, 0)) FILTER
              coalesce(sum(greatest(v - 800, 0)) FILTER (part = 'cyto'), 0) AS cyto_above
       FROM v_pixels p JOIN v_comp c USING (image, y, x) GROUP BY ALL)""", COMP))
 def above_floor_intensity(spark, sf):
-    out = intensity.above_floor_intensity(V.pixels(spark, sf), V.labels(spark, sf), V.cyto(spark, sf), 800.0)
+    out = intensity.above_floor_intensity(V.pixel_rows(spark, sf), V.labels(spark, sf), V.cyto(spark, sf), 800.0)
     return r6(out, "nc_ratio_above", "nuclear_fraction_above")
 
 
@@ -213,14 +210,17 @@ GROUP BY ALL""", """v_chr AS (
   SELECT l.image, l.nucleus_id, p.v, n.nucleolus_id IS NOT NULL AS hole FROM v_pixels p JOIN v_labels l USING (image, y, x)
   LEFT JOIN v_nucleoli n USING (image, y, x) WHERE p.channel = 'dapi')"""))
 def chromatin(spark, sf):
-    dapi = V.pixels(spark, sf).where("channel = 'dapi'").drop("channel")
+    dapi = V.pixel_rows(spark, sf).where("channel = 'dapi'").drop("channel")
     out = intensity.chromatin(dapi, V.labels(spark, sf), V.nucleoli(spark, sf))
     return r6(out, "dapi_mean", "dapi_std", "dapi_cv", "dapi_p10", "dapi_p90", "heterochromatin_fraction", "nucleolus_fraction", "dapi_mean_outside_nucleolus")
 
 
 @check(oracle("SELECT s.image, s.channel, s.spot_id, round(n.nn, 9) AS nn_distance_um FROM v_spots s LEFT JOIN v_nn n USING (image, channel, x_px, y_px, z_slice)"))
 def nearest_partner(spark, sf):
-    return _paired(spark, sf).select("image", "channel", "spot_id", F.round("nn_distance_um", 9).alias("nn_distance_um"))
+    s = V.spots(spark, sf)
+    a, b = s.where("channel = 'rna1'"), s.where("channel = 'rna2'")
+    both = neighbours.nearest_partner(a, b).unionByName(neighbours.nearest_partner(b, a))
+    return both.select("image", "channel", "spot_id", F.round("nn_distance_um", 9).alias("nn_distance_um"))
 
 
 @check(oracle("SELECT image, channel, spot_id, paired AS paired_at_0p3um FROM v_full"))
@@ -265,15 +265,17 @@ SELECT n.*, s.n_spots_raw, s.n_in_cell AS n_spots, s.paired_all AS paired_count,
 FROM (SELECT image, channel, count(*) AS n_nuclei, round(avg(n_spots), 6) AS spots_per_nucleus_mean, round(stddev_samp(n_spots) / avg(n_spots), 6) AS spots_per_nucleus_cv,
              median(n_spots) AS spots_per_nucleus_median, sum(nuclear_spots) AS nuclear_spots, sum(cyto_spots) AS cyto_spots,
              round(avg((n_spots >= 1)::INT), 4) AS frac_nuclei_ge1, round(avg((n_spots >= 5)::INT), 4) AS frac_nuclei_ge5, round(avg((n_spots >= 10)::INT), 4) AS frac_nuclei_ge10,
-             round(avg(mean_peak), 3) AS mean_peak_mean, round(stddev_samp(mean_peak) / avg(mean_peak), 6) AS mean_peak_cv, round(median(mean_peak), 3) AS mean_peak_median,
-             round(avg(total_peak), 3) AS total_peak_mean, round(stddev_samp(total_peak) / avg(total_peak), 6) AS total_peak_cv, round(median(total_peak), 3) AS total_peak_median
+             round(avg(mean_peak), 6) AS mean_peak_mean, round(stddev_samp(mean_peak) / avg(mean_peak), 6) AS mean_peak_cv, round(median(mean_peak), 7) AS mean_peak_median,
+             round(avg(total_peak), 6) AS total_peak_mean, round(stddev_samp(total_peak) / avg(total_peak), 6) AS total_peak_cv, round(median(total_peak), 4) AS total_peak_median
       FROM v_nuc GROUP BY ALL) n
 LEFT JOIN (SELECT image, channel, count(*) AS n_spots_raw, sum((in_nucleus OR in_cytoplasm)::INT) AS n_in_cell, sum(paired) AS paired_all, median(nn_distance_um) AS median_nn
            FROM v_full GROUP BY ALL) s USING (image, channel)"""))
 def per_image_summary(spark, sf):
-    out = rollups.per_image_summary(_nuclei(spark, sf), _full(spark, sf))
+    spots = _full(spark, sf)
+    out = rollups.per_image_summary(_nuclei(spark, sf, spots), spots)
     out = r6(out, "spots_per_nucleus_mean", "spots_per_nucleus_cv", "mean_peak_cv", "total_peak_cv", "median_nn_um", "frac_nuclear", "paired_fraction")
-    return out.withColumns({c: F.round(c, 3) for c in ("mean_peak_mean", "mean_peak_median", "total_peak_mean", "total_peak_median")})
+    digits = {"mean_peak_mean": 6, "mean_peak_median": 7, "total_peak_mean": 6, "total_peak_median": 4}
+    return out.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
 @check(oracle("""

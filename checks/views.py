@@ -6,18 +6,22 @@ of a 64 x 64 frame, and image stacks are cut from the embedding vectors.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SIZE = 64
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def images(spark: SparkSession, sf: str) -> DataFrame:
+    # a frame expands to thousands of rows: spread the images before that happens
     sec = F.col("s_suppkey") % 5 == 0
-    return table(spark, sf, "supplier").select(
+    return table(spark, sf, "supplier").repartition(2 * spark.sparkContext.defaultParallelism, "s_suppkey").select(
         F.col("s_suppkey").alias("image"),
         sec.alias("secondary_only"),
         F.when(sec, "SEC").when(F.col("s_suppkey") % 2 == 0, "WT").otherwise("KO").alias("condition"),

@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from spotframe.functions.ranks import medians, quantiles
 from spotframe.functions.scalars import ratio
+from spotframe.operators.frames import PIXEL, pixels_in
 
 KEY = ["image", "nucleus_id"]
-PIXEL = ["image", "y", "x"]
 
 
 def compartments(labels: DataFrame, cyto: DataFrame) -> DataFrame:
-    """One row per labelled pixel: (image, y, x, nucleus_id, compartment); a nucleus wins over a rim."""
+    """One row per labelled pixel: (image, y, x, nucleus_id, compartment).
+
+    ``cyto`` holds no pixel of a nucleus, which is how label expansion writes it.
+    """
     nuc = labels.select(*PIXEL, "nucleus_id", F.lit("nuc").alias("compartment"))
-    rim = cyto.join(labels.select(*PIXEL), PIXEL, "left_anti").select(
-        *PIXEL, F.col("cyto_id").alias("nucleus_id"), F.lit("cyto").alias("compartment")
-    )
+    rim = cyto.select(*PIXEL, F.col("cyto_id").alias("nucleus_id"), F.lit("cyto").alias("compartment"))
     return nuc.unionByName(rim)
 
 
@@ -26,7 +27,7 @@ def nuclei_of(labels: DataFrame) -> DataFrame:
 
 def compartment_intensity(planes: DataFrame, labels: DataFrame, cyto: DataFrame) -> DataFrame:
     """Mean, sum and area of nucleus and cytoplasm per (image, nucleus, channel)."""
-    joined = planes.join(compartments(labels, cyto), PIXEL)
+    joined = pixels_in(planes, compartments(labels, cyto))
     nuc, rim = F.col("compartment") == "nuc", F.col("compartment") == "cyto"
     return joined.groupBy(*KEY, "channel").agg(
         F.sum(F.when(nuc, 1).otherwise(0)).alias("nuc_area_px"),
@@ -55,7 +56,7 @@ def thresholded_intensity(planes: DataFrame, labels: DataFrame, cyto: DataFrame,
 
     Without a usable floor, or for an empty compartment, totals are NULL and the area is 0.
     """
-    joined = planes.join(compartments(labels, cyto), PIXEL)
+    joined = pixels_in(planes, compartments(labels, cyto))
     usable = floor is not None and floor > 0
     cols = []
     for name in ("nuc", "cyto"):
@@ -78,7 +79,7 @@ def above_floor_intensity(planes: DataFrame, labels: DataFrame, cyto: DataFrame,
     excess = F.greatest(F.col("v") - F.lit(float(floor)), F.lit(0.0))
     nuc, rim = F.col("compartment") == "nuc", F.col("compartment") == "cyto"
     sums = (
-        planes.join(compartments(labels, cyto), PIXEL)
+        pixels_in(planes, compartments(labels, cyto))
         .groupBy(*KEY, "channel")
         .agg(
             F.sum(F.when(nuc, excess)).alias("nuc_above"),
@@ -93,7 +94,7 @@ def above_floor_intensity(planes: DataFrame, labels: DataFrame, cyto: DataFrame,
 def chromatin(planes: DataFrame, labels: DataFrame, nucleoli: DataFrame) -> DataFrame:
     """DAPI texture per nucleus: level, spread, dense share and nucleolus share."""
     holes = nucleoli.where(F.col("nucleolus_id") > 0).select(*PIXEL, F.lit(True).alias("hole"))
-    pixels = planes.join(labels.select(*PIXEL, "nucleus_id"), PIXEL).join(holes, PIXEL, "left")
+    pixels = pixels_in(planes, labels.select(*PIXEL, "nucleus_id").join(holes, PIXEL, "left"))
     levels = quantiles(pixels, "v", KEY, {"dapi_median": 0.5, "dapi_p10": 0.1, "dapi_p90": 0.9})
     outside = F.col("hole").isNull()
     stats = (

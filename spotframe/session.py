@@ -8,15 +8,33 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Planner settings the operators are written for. Shuffled hash joins are chosen from measured
+# partition sizes, so a large side still gets a sort-merge join that can spill.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # stencils and draws expand rows after the shuffle, so small partitions are kept apart
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the planner settings to a session that somebody else created."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cpus: int = 8, app: str = "spotframe") -> SparkSession:
     """A single-machine session for tests and benchmarks; clusters bring their own."""
-    return (
+    return configure(
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", os.environ.get("SPOTFRAME_DRIVER_MEMORY", "16g"))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
