@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import views as V
 from checks.views import oracle
+from spotframe.session import cut_lineage
 from spotframe.operators import intensity, lookup, neighbours, rollups, spotfilters
 
 QUERIES = {}
@@ -35,7 +36,7 @@ def _paired(spark, sf):
 
 
 def _full(spark, sf):
-    return lookup.stratify_spots(_paired(spark, sf), V.labels(spark, sf), V.cyto(spark, sf), V.images(spark, sf))
+    return cut_lineage(lookup.stratify_spots(_paired(spark, sf), V.labels(spark, sf), V.cyto(spark, sf), V.images(spark, sf)))
 
 
 def _nuclei(spark, sf, spots=None):
@@ -44,11 +45,18 @@ def _nuclei(spark, sf, spots=None):
 
 def one_channel(spark, sf):
     """Per-nucleus table of the first channel with its image's condition: input of the group statistics."""
-    nuc = rollups.spot_rollup(_strat(spark, sf), intensity.nuclei_of(V.labels(spark, sf)), channels=["rna1"])
-    meta = V.images(spark, sf).select("image", "condition", "secondary_only")
-    return nuc.join(meta, "image").select(
-        "image", "nucleus_id", "condition", "secondary_only", "n_spots", "nuclear_spots", "mean_peak", "total_peak", "nuclear_spot_fraction"
+    spots = _strat(spark, sf).where("channel = 'rna1' and nucleus_id > 0").groupBy("image", "nucleus_id").agg(
+        F.count(F.lit(1)).alias("n_spots"),
+        F.sum(F.col("in_nucleus").cast("int")).alias("nuclear_spots"),
+        F.avg("peak").alias("mean_peak"),
+        F.log(F.sum("peak")).alias("log_total_peak"),
     )
+    meta = V.images(spark, sf).select("image", "condition", "secondary_only")
+    nuclei = intensity.nuclei_of(V.labels(spark, sf)).join(meta, "image")
+    whole = lookup.attach(nuclei, spots, ["image", "nucleus_id"], {"n_spots": 0, "nuclear_spots": 0})
+    cols = ["image", "nucleus_id", "condition", "secondary_only", "n_spots", "nuclear_spots", "mean_peak", "log_total_peak"]
+    share = F.when(F.col("n_spots") > 0, F.col("nuclear_spots") / F.col("n_spots")).alias("nuclear_spot_fraction")
+    return cut_lineage(whole.select(*cols, share))
 
 
 @check(oracle("SELECT image, channel, spot_id, nucleus_id, in_nucleus, in_cytoplasm FROM v_strat"))

@@ -211,7 +211,7 @@ v_nuc AS (
   LEFT JOIN v_full s ON s.image = a.image AND s.nucleus_id = a.nucleus_id AND s.channel = ch.channel
   GROUP BY ALL),
 v_one AS (
-  SELECT n.image, n.nucleus_id, i.condition, i.secondary_only, n.n_spots, n.nuclear_spots, n.mean_peak, n.total_peak,
+  SELECT n.image, n.nucleus_id, i.condition, i.secondary_only, n.n_spots, n.nuclear_spots, n.mean_peak, ln(n.total_peak) AS log_total_peak,
          n.nuclear_spots / nullif(n.n_spots, 0) AS nuclear_spot_fraction
   FROM v_nuc n JOIN v_images i USING (image) WHERE n.channel = 'rna1')
 """

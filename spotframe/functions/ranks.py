@@ -48,6 +48,8 @@ def value_counts(
 
 def cumulate(distinct: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``before`` (rows with a smaller value) and ``total`` to a (keys, v, n) table."""
+    if not keys:
+        return cumulate(distinct.withColumn("_all", F.lit(1)), ["_all"]).drop("_all")
     spread = _bucketed(distinct, keys)
     across = Window.partitionBy(*keys)
     sizes = (
@@ -109,26 +111,19 @@ def medians(df: DataFrame, value: str | Column, keys: Sequence[str], name: str =
 def median_table(df: DataFrame, columns: Mapping[str, str | Column], keys: Sequence[str]) -> DataFrame:
     """Medians of several columns in one pass: the columns are stacked and ranked together."""
     names = list(columns)
-    stacked = df.select(
-        *keys,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("metric"),
-                        (F.col(c) if isinstance(c, str) else c).cast("double").alias("value"),
-                    )
-                    for name, c in columns.items()
-                ]
-            )
-        ).alias("s"),
-    ).select(*keys, "s.metric", "s.value")
-    med = medians(stacked, "value", [*keys, "metric"])
-    return med.groupBy(*keys).agg(*[F.max(F.when(F.col("metric") == m, F.col("median"))).alias(m) for m in names])
+    cells = [
+        F.struct(F.lit(name).alias("_m"), (F.col(c) if isinstance(c, str) else c).cast("double").alias("_v"))
+        for name, c in columns.items()
+    ]
+    stacked = df.select(*keys, F.explode(F.array(*cells)).alias("_s")).select(*keys, "_s._m", "_s._v")
+    med = medians(stacked, "_v", [*keys, "_m"])
+    return med.groupBy(*keys).agg(*[F.max(F.when(F.col("_m") == m, F.col("median"))).alias(m) for m in names])
 
 
 def median_and_mad(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     """(keys, med, mad): median and unscaled median absolute deviation about it."""
+    if not keys:
+        return median_and_mad(df.withColumn("_all", F.lit(1)), value, ["_all"]).drop("_all")
     counts = value_counts(df, value, keys)
     med = _weighted_median(counts, keys, "med")
     deviations = (
