@@ -124,11 +124,14 @@ def median_and_mad(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     """(keys, med, mad): median and unscaled median absolute deviation about it."""
     if not keys:
         return median_and_mad(df.withColumn("_all", F.lit(1)), value, ["_all"]).drop("_all")
-    counts = value_counts(df, value, keys)
+    return median_and_mad_of_counts(value_counts(df, value, keys), keys)
+
+
+def median_and_mad_of_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same from a (keys, v, n) table."""
     med = _weighted_median(counts, keys, "med")
-    deviations = (
-        counts.join(med, list(keys)).withColumn("v", F.abs(F.col("v") - F.col("med"))).groupBy(*keys, "v").agg(F.sum("n").alias("n"))
-    )
+    off = F.abs(F.col("v") - F.col("med"))
+    deviations = counts.join(med, list(keys)).withColumn("v", off).groupBy(*keys, "v").agg(F.sum("n").alias("n"))
     return med.join(_weighted_median(deviations, keys, "mad"), list(keys))
 
 

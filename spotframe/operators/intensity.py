@@ -122,7 +122,7 @@ def nuclear_dominance(planes: DataFrame, thresholds: DataFrame, signal: str, dap
     inside = (
         planes.where(F.col("channel") == dapi)
         .join(thresholds, "image")
-        .select(*PIXEL, (F.col("v") > F.col("thr")).alias("inside"))
+        .select(*PIXEL, (F.col("v") >= F.col("thr")).alias("inside"))
     )
     tagged = planes.where(F.col("channel") == signal).join(inside, PIXEL)
     med = medians(tagged, "v", ["image", "inside"])
@@ -132,6 +132,6 @@ def nuclear_dominance(planes: DataFrame, thresholds: DataFrame, signal: str, dap
     )
 
     def shown(c: str):
-        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(c) - lo) / max(hi - lo, 1e-9)))
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(c) - lo) / max(hi - lo, 1e-6)))
 
     return wide.withColumn("nuc_disp", shown("nuc_med")).withColumn("cyt_disp", shown("cyt_med"))
