@@ -48,7 +48,7 @@ P2 = "v_p2 AS (SELECT image, y, x, v FROM v_pixels WHERE channel = 'rna2')"
 
 @check(oracle("""
 SELECT s.image, s.channel, s.spot_id, round(p.m, 7) AS partner_mean FROM v_spots s
-JOIN (SELECT q.image, q.x_px, q.y_px, avg(v) AS m FROM (SELECT DISTINCT image, x_px, y_px FROM v_spots) q, v_disk d JOIN v_p2 p ON p.image = q.image AND p.y = q.y_px + d.dy AND p.x = q.x_px + d.dx GROUP BY ALL) p USING (image, x_px, y_px)""", DISK, P2))
+JOIN (SELECT q.image, q.x_px, q.y_px, avg(v) AS m FROM (SELECT q.*, d.*, q.y_px + d.dy AS jy, q.x_px + d.dx AS jx FROM (SELECT DISTINCT image, x_px, y_px FROM v_spots) q CROSS JOIN v_disk d) q JOIN v_p2 p ON p.image = q.image AND p.y = q.jy AND p.x = q.jx GROUP BY ALL) p USING (image, x_px, y_px)""", DISK, P2))
 def disk_mean_inbounds(spark, sf):
     out = sampling.disk_mean_inbounds(V.spots(spark, sf), _plane(spark, sf), 3.0)
     return rounded(out.select("image", "channel", "spot_id", "partner_mean"), 7, "partner_mean")
@@ -56,7 +56,7 @@ def disk_mean_inbounds(spark, sf):
 
 @check(oracle("""
 SELECT s.image, s.channel, s.spot_id, round(p.m, 7) AS disk_mean FROM v_spots s
-JOIN (SELECT q.image, q.x_px, q.y_px, avg(v) AS m FROM (SELECT DISTINCT image, x_px, y_px FROM v_spots) q, v_disk d JOIN v_p2 p ON p.image = q.image AND p.y = greatest(0, least(63, q.y_px + d.dy)) AND p.x = greatest(0, least(63, q.x_px + d.dx)) GROUP BY ALL) p USING (image, x_px, y_px)""", DISK, P2))
+JOIN (SELECT q.image, q.x_px, q.y_px, avg(v) AS m FROM (SELECT q.*, d.*, greatest(0, least(63, q.y_px + d.dy)) AS jy, greatest(0, least(63, q.x_px + d.dx)) AS jx FROM (SELECT DISTINCT image, x_px, y_px FROM v_spots) q CROSS JOIN v_disk d) q JOIN v_p2 p ON p.image = q.image AND p.y = q.jy AND p.x = q.jx GROUP BY ALL) p USING (image, x_px, y_px)""", DISK, P2))
 def disk_mean_clipped(spark, sf):
     out = sampling.disk_mean_clipped(V.spots(spark, sf), _plane(spark, sf), 3.0)
     return rounded(out.select("image", "channel", "spot_id", "disk_mean"), 7, "disk_mean")
@@ -69,7 +69,7 @@ RINGS = offsets_sql("v_ring", RING_OFFSETS, ring=True)
 
 @check(oracle("""
 SELECT s.image, s.channel, s.spot_id, p.ring, round(p.m, 7) AS mean FROM v_spots s
-JOIN (SELECT q.image, q.x_px, q.y_px, ring, avg(v) AS m FROM (SELECT DISTINCT image, x_px, y_px FROM v_spots) q, v_ring d JOIN v_p2 p ON p.image = q.image AND p.y = greatest(0, least(63, q.y_px + d.dy)) AND p.x = greatest(0, least(63, q.x_px + d.dx)) GROUP BY ALL) p USING (image, x_px, y_px)""", RINGS, P2))
+JOIN (SELECT q.image, q.x_px, q.y_px, ring, avg(v) AS m FROM (SELECT q.*, d.*, greatest(0, least(63, q.y_px + d.dy)) AS jy, greatest(0, least(63, q.x_px + d.dx)) AS jx FROM (SELECT DISTINCT image, x_px, y_px FROM v_spots) q CROSS JOIN v_ring d) q JOIN v_p2 p ON p.image = q.image AND p.y = q.jy AND p.x = q.jx GROUP BY ALL) p USING (image, x_px, y_px)""", RINGS, P2))
 def annulus_mean(spark, sf):
     out = sampling.annulus_mean(V.spots(spark, sf).select("image", "channel", "spot_id", "y_px", "x_px"), _plane(spark, sf), [b / 0.13 for b in BINS_UM])
     return rounded(out.select("image", "channel", "spot_id", "ring", "mean"), 7, "mean")
@@ -110,7 +110,7 @@ def _partner_nuclei(spark, sf):
 # association and capacity take any per-spot footprint columns; here the disk around the spot stands in for it
 ASSOC = """v_fp AS (
   SELECT s.image, s.nucleus_id, s.in_nucleus, s.spot_id, s.peak, s.diameter_um, m.m AS footprint_mean, m.n AS footprint_area_px FROM v_strat s
-  JOIN (SELECT q.image, q.x_px, q.y_px, avg(v) AS m, count(*) AS n FROM (SELECT DISTINCT image, x_px, y_px FROM v_spots) q, v_disk d JOIN v_p2 p ON p.image = q.image AND p.y = q.y_px + d.dy AND p.x = q.x_px + d.dx GROUP BY ALL) m USING (image, x_px, y_px)
+  JOIN (SELECT q.image, q.x_px, q.y_px, avg(v) AS m, count(*) AS n FROM (SELECT q.*, d.*, q.y_px + d.dy AS jy, q.x_px + d.dx AS jx FROM (SELECT DISTINCT image, x_px, y_px FROM v_spots) q CROSS JOIN v_disk d) q JOIN v_p2 p ON p.image = q.image AND p.y = q.jy AND p.x = q.jx GROUP BY ALL) m USING (image, x_px, y_px)
   WHERE s.channel = 'rna1'),
 v_nm AS (SELECT l.image, l.nucleus_id, avg(v) AS nuc_mean, sum(v) AS partner_total FROM v_labels l JOIN v_p2 USING (image, y, x) GROUP BY ALL),
 v_foci AS (SELECT DISTINCT s.image, s.y_px + d.dy AS y, s.x_px + d.dx AS x FROM v_spots s, v_disk d WHERE s.channel = 'rna1')"""
@@ -146,7 +146,7 @@ def capacity(spark, sf):
 
 @check(oracle("""
 SELECT s.image, s.nucleus_id, s.channel, CASE s.channel WHEN 'rna1' THEN 'rna2' ELSE 'rna1' END AS partner, round(avg(m), 7) AS local_mean, round(avg(m) / any_value(n.v), 7) AS enrichment FROM v_strat s
-JOIN (SELECT q.image, q.channel, q.x_px, q.y_px, avg(v) AS m FROM (SELECT DISTINCT image, channel, x_px, y_px FROM v_spots) q, v_disk d JOIN v_pixels p ON p.image = q.image AND p.channel <> q.channel AND p.channel <> 'dapi' AND p.y = q.y_px + d.dy AND p.x = q.x_px + d.dx GROUP BY ALL) d USING (image, channel, x_px, y_px)
+JOIN (SELECT q.image, q.channel, q.x_px, q.y_px, avg(v) AS m FROM (SELECT q.*, d.*, q.y_px + d.dy AS jy, q.x_px + d.dx AS jx FROM (SELECT DISTINCT image, channel, x_px, y_px FROM v_spots) q CROSS JOIN v_disk d) q JOIN v_pixels p ON p.image = q.image AND p.channel <> q.channel AND p.channel <> 'dapi' AND p.y = q.jy AND p.x = q.jx GROUP BY ALL) d USING (image, channel, x_px, y_px)
 JOIN (SELECT l.image, l.nucleus_id, p.channel, avg(v) AS v FROM v_labels l JOIN v_pixels p USING (image, y, x) GROUP BY ALL) n ON n.image = s.image AND n.nucleus_id = s.nucleus_id AND n.channel = CASE s.channel WHEN 'rna1' THEN 'rna2' ELSE 'rna1' END
 WHERE s.nucleus_id > 0 GROUP BY ALL""", DISK))
 def partner_enrichment(spark, sf):
@@ -161,19 +161,19 @@ def partner_enrichment(spark, sf):
 # ---- null models -----------------------------------------------------------------------------------
 
 BASE = f"""{DISK}, {P2},
-v_dm AS (SELECT g.image, g.y, g.x, avg(p.v) AS v FROM v_grid g, v_disk d JOIN v_p2 p ON p.image = g.image AND p.y = greatest(0, least(63, g.y + d.dy)) AND p.x = greatest(0, least(63, g.x + d.dx)) GROUP BY ALL),
-v_px AS (
+v_dm AS MATERIALIZED (SELECT g.image, g.y, g.x, avg(p.v) AS v FROM (SELECT g.*, d.*, greatest(0, least(63, g.y + d.dy)) AS jy, greatest(0, least(63, g.x + d.dx)) AS jx FROM v_grid g CROSS JOIN v_disk d) g JOIN v_p2 p ON p.image = g.image AND p.y = g.jy AND p.x = g.jx GROUP BY ALL),
+v_px AS MATERIALIZED (
   SELECT l.image, l.nucleus_id, l.y, l.x, m.v, row_number() OVER (PARTITION BY l.image, l.nucleus_id ORDER BY l.y, l.x) - 1 AS i, count(*) OVER (PARTITION BY l.image, l.nucleus_id) AS size
   FROM v_labels l ANTI JOIN v_nucleoli h USING (image, y, x) JOIN v_dm m USING (image, y, x)),
-v_os AS (
+v_os AS MATERIALIZED (
   SELECT s.image, s.nucleus_id, s.spot_id, s.y_px AS cy, s.x_px AS cx, m.v FROM v_strat s JOIN v_dm m ON m.image = s.image AND m.y = s.y_px AND m.x = s.x_px
   WHERE s.channel = 'rna1' AND s.nucleus_id > 0 AND NOT EXISTS (SELECT 1 FROM v_nucleoli h WHERE h.image = s.image AND h.y = s.y_px AND h.x = s.x_px)),
-v_on AS (SELECT image, nucleus_id, avg(v) AS obs, count(*) AS n_spots, avg(cy) AS my, avg(cx) AS mx FROM v_os GROUP BY ALL)"""
+v_on AS MATERIALIZED (SELECT image, nucleus_id, avg(v) AS obs, count(*) AS n_spots, avg(cy) AS my, avg(cx) AS mx FROM v_os GROUP BY ALL)"""
 
 
 def summary_sql(draws: str, obs: str, keys: str = "image, nucleus_id") -> str:
     return f"""
-SELECT {keys}, round(any_value(obs), 6) AS obs, round(avg(value), 6) AS null_mean, round(coalesce(stddev_samp(value), 0), 6) AS null_sd, count(*) AS n_draws,
+SELECT {keys}, round(any_value(obs), 6) AS obs, round(ln(avg(value)), 9) AS log_null_mean, round(coalesce(stddev_samp(value), 0), 6) AS null_sd, count(*) AS n_draws,
        round(any_value(obs) / avg(value), 6) AS enrichment, round((any_value(obs) - avg(value)) / stddev_samp(value), 5) AS z, round((count(*) FILTER (value >= obs - 1e-9) + 1) / (count(*) + 1), 7) AS p
 FROM {draws} JOIN {obs} USING ({keys}) WHERE value IS NOT NULL GROUP BY {keys}"""
 
@@ -181,13 +181,15 @@ FROM {draws} JOIN {obs} USING ({keys}) WHERE value IS NOT NULL GROUP BY {keys}""
 def _summary(draws, obs, keys=KEY):
     # values within rounding noise of the observed one count as reaching it on both sides
     out = nulls.null_summary(draws, obs.withColumn("obs", F.col("obs") - 1e-9), keys).withColumn("obs", F.col("obs") + 1e-9)
-    return rounded(rounded(rounded(out, 6, "obs", "null_mean", "null_sd", "enrichment"), 5, "z"), 7, "p")
+    # a mean over few spots may end exactly on a rounding boundary; its logarithm does not
+    out = out.withColumn("log_null_mean", F.round(F.log("null_mean"), 9)).drop("null_mean")
+    return rounded(rounded(rounded(out, 6, "obs", "null_sd", "enrichment"), 5, "z"), 7, "p")
 
 
 def position_sql(offset: int, value: str = "p.v", source: str = "v_px") -> str:
     index = f"floor({sql_draw('u.state', 'i.i', 's.s')} / {PRIME}.0::DOUBLE * u.size)::BIGINT"
     return f"""v_u AS (SELECT o.*, {sql_stream(offset, 'o.image', 'o.nucleus_id')} AS state, z.size FROM v_on o JOIN (SELECT DISTINCT image, nucleus_id, size FROM v_px) z USING (image, nucleus_id)),
-v_draw AS (
+v_draw AS MATERIALIZED (
   SELECT u.image, u.nucleus_id, any_value(u.n_spots) AS n_spots, u.iter, avg({value}) AS value FROM (
     SELECT u.image, u.nucleus_id, u.n_spots, i.i AS iter, {index} AS k FROM v_u u, (SELECT unnest(range(1, {N + 1})) AS i) i, LATERAL (SELECT unnest(range(u.n_spots)) AS s) s) u
   JOIN {source} p ON p.image = u.image AND p.nucleus_id = u.nucleus_id AND p.i = u.k GROUP BY u.image, u.nucleus_id, u.iter)"""
@@ -218,20 +220,22 @@ def pooled_null_summary(spark, sf):
     return _summary(pooled.drop("obs"), pooled.select("image", "obs").distinct(), ["image"])
 
 
-RADIAL = f"""v_rm AS (SELECT g.image, g.y, g.x, d.ring, avg(p.v) AS v FROM v_grid g, v_ring d JOIN v_p2 p ON p.image = g.image AND p.y = greatest(0, least(63, g.y + d.dy)) AND p.x = greatest(0, least(63, g.x + d.dx)) GROUP BY ALL),
+RADIAL = f"""v_rm AS (SELECT g.image, g.y, g.x, g.ring, avg(p.v) AS v FROM (SELECT g.*, d.*, greatest(0, least(63, g.y + d.dy)) AS jy, greatest(0, least(63, g.x + d.dx)) AS jx FROM v_grid g CROSS JOIN v_ring d) g JOIN v_p2 p ON p.image = g.image AND p.y = g.jy AND p.x = g.jx GROUP BY ALL),
 v_ro AS (SELECT s.image, s.nucleus_id, m.ring, avg(m.v) AS obs_mean, count(*) AS n_spots FROM v_os s JOIN v_rm m ON m.image = s.image AND m.y = s.cy AND m.x = s.cx GROUP BY ALL),
 v_u AS (SELECT o.*, {sql_stream(101, 'o.image', 'o.nucleus_id')} AS state, z.size FROM v_on o JOIN (SELECT DISTINCT image, nucleus_id, size FROM v_px) z USING (image, nucleus_id)),
-v_hit AS (SELECT k.image, k.nucleus_id, k.iter, p.y, p.x, count(*) AS c FROM (
+v_hit AS MATERIALIZED (SELECT k.image, k.nucleus_id, k.iter, p.y, p.x, count(*) AS c FROM (
     SELECT u.image, u.nucleus_id, i.i AS iter, floor({sql_draw('u.state', 'i.i', 's.s')} / {PRIME}.0::DOUBLE * u.size)::BIGINT AS k FROM v_u u, (SELECT unnest(range(1, {N + 1})) AS i) i, LATERAL (SELECT unnest(range(u.n_spots)) AS s) s) k
   JOIN v_px p ON p.image = k.image AND p.nucleus_id = k.nucleus_id AND p.i = k.k GROUP BY ALL),
 v_rd AS (SELECT h.image, h.nucleus_id, m.ring, h.iter, sum(h.c * m.v) / sum(h.c) AS value FROM v_hit h JOIN v_rm m USING (image, y, x) GROUP BY ALL),
 v_rn AS (SELECT image, nucleus_id, ring, avg(value) AS null_mean, stddev_samp(value) AS null_sd FROM v_rd GROUP BY ALL),
-v_rad AS (SELECT o.image, o.nucleus_id, [0.25, 0.5, 0.75, 1.0][o.ring + 1]::DOUBLE AS ring_um, o.obs_mean, n.null_mean, n.null_sd, o.n_spots FROM v_ro o JOIN v_rn n USING (image, nucleus_id, ring))"""
+v_rad AS MATERIALIZED (SELECT o.image, o.nucleus_id, [0.25, 0.5, 0.75, 1.0][o.ring + 1]::DOUBLE AS ring_um, o.obs_mean, n.null_mean, n.null_sd, o.n_spots FROM v_ro o JOIN v_rn n USING (image, nucleus_id, ring))"""
 
 
-@check(oracle("SELECT image, nucleus_id, ring_um, round(obs_mean, 6) AS obs_mean, round(null_mean, 6) AS null_mean, round(null_sd, 6) AS null_sd, n_spots FROM v_rad", BASE, RINGS, RADIAL))
+@check(oracle("SELECT image, nucleus_id, ring_um, round(ln(obs_mean), 9) AS obs_mean, round(ln(null_mean), 9) AS null_mean, round(null_sd, 6) AS null_sd, n_spots FROM v_rad", BASE, RINGS, RADIAL))
 def radial_null(spark, sf):
-    return rounded(nulls.radial_null(*_inputs(spark, sf), n=N, bins_um=BINS_UM), 6, "obs_mean", "null_mean", "null_sd")
+    out = nulls.radial_null(*_inputs(spark, sf), n=N, bins_um=BINS_UM)
+    out = out.withColumns({c: F.round(F.log(c), 9) for c in ("obs_mean", "null_mean")})
+    return rounded(out, 6, "null_sd")
 
 
 @check(oracle("""
@@ -264,11 +268,11 @@ def rotation_sql() -> str:
 v_ang AS (SELECT o.image, o.nucleus_id, i.i AS iter, {angle} AS angle FROM v_o2 o, (SELECT unnest(range(1, {NR + 1})) AS i) i),
 v_first AS (
   SELECT s.image, s.nucleus_id, s.spot_id, s.cy, s.cx, s.v, a.iter, {ny} AS ny, {nx} AS nx FROM v_os s JOIN v_o2 o USING (image, nucleus_id) JOIN v_ang a USING (image, nucleus_id)),
-v_f1 AS (SELECT f.*, p.v AS u FROM v_first f LEFT JOIN v_px p ON p.image = f.image AND p.nucleus_id = f.nucleus_id AND p.y = f.ny AND p.x = f.nx),
-v_try AS (SELECT s.image, s.nucleus_id, s.spot_id, s.iter, t.t, s.cy, s.cx, {again} AS angle FROM v_f1 s JOIN v_o2 o USING (image, nucleus_id), (SELECT unnest(range(1, 41)) AS t) t WHERE s.u IS NULL),
+v_f1 AS MATERIALIZED (SELECT f.*, p.v AS u FROM v_first f LEFT JOIN v_px p ON p.image = f.image AND p.nucleus_id = f.nucleus_id AND p.y = f.ny AND p.x = f.nx),
+v_try AS (SELECT s.image, s.nucleus_id, s.spot_id, s.iter, t.t, s.cy, s.cx, {again} AS angle FROM v_f1 s JOIN v_o2 o USING (image, nucleus_id) CROSS JOIN (SELECT unnest(range(1, 41)) AS t) t WHERE s.u IS NULL),
 v_try2 AS (SELECT r.image, r.nucleus_id, r.spot_id, r.iter, r.t, {ry.replace('s.cy', 'r.cy').replace('s.cx', 'r.cx')} AS ny, {rx.replace('s.cy', 'r.cy').replace('s.cx', 'r.cx')} AS nx FROM v_try r JOIN v_o2 o USING (image, nucleus_id)),
 v_again AS (SELECT q.image, q.nucleus_id, q.spot_id, q.iter, arg_min(p.v, q.t) AS u FROM v_try2 q JOIN v_px p ON p.image = q.image AND p.nucleus_id = q.nucleus_id AND p.y = q.ny AND p.x = q.nx GROUP BY ALL),
-v_rot AS (
+v_rot AS MATERIALIZED (
   SELECT f.image, f.nucleus_id, f.iter, count(*) AS n_spots, avg(coalesce(f.u, g.u, f.v)) AS value, avg(f.u) AS drop_value, count(f.u) / count(*) AS retention
   FROM v_f1 f LEFT JOIN v_again g USING (image, nucleus_id, spot_id, iter) GROUP BY ALL)"""
 
@@ -296,9 +300,9 @@ def rotation_summary(spark, sf):
 TRANS = f"""v_anchor AS (
   SELECT o.image, o.nucleus_id, i.iter, p.y - round_even(o.my, 0)::BIGINT AS dy, p.x - round_even(o.mx, 0)::BIGINT AS dx
   FROM (SELECT o.*, i.i AS iter, floor({sql_draw('o.state', 'i.i')} / {PRIME}.0::DOUBLE * z.size)::BIGINT AS k FROM (SELECT o.*, {sql_stream(404, 'o.image', 'o.nucleus_id')} AS state FROM v_on o) o
-        JOIN (SELECT DISTINCT image, nucleus_id, size FROM v_px) z USING (image, nucleus_id), (SELECT unnest(range(1, {NR + 1})) AS i) i) i
+        JOIN (SELECT DISTINCT image, nucleus_id, size FROM v_px) z USING (image, nucleus_id) CROSS JOIN (SELECT unnest(range(1, {NR + 1})) AS i) i) i
   JOIN v_on o USING (image, nucleus_id) JOIN v_px p ON p.image = i.image AND p.nucleus_id = i.nucleus_id AND p.i = i.k),
-v_tr AS (
+v_tr AS MATERIALIZED (
   SELECT s.image, s.nucleus_id, a.iter, count(*) AS n_spots, avg(p.v) AS value, count(p.v) / count(*) AS retention
   FROM v_os s JOIN v_anchor a USING (image, nucleus_id) LEFT JOIN v_px p ON p.image = s.image AND p.nucleus_id = s.nucleus_id AND p.y = s.cy + a.dy AND p.x = s.cx + a.dx GROUP BY ALL)"""
 
@@ -310,11 +314,13 @@ def translation_null(spark, sf):
 
 @check(oracle(f"""
 SELECT image, round(sum(n_spots * enrichment) / sum(n_spots), 5) AS enrichment, round(sum(n_spots * z) / sum(n_spots), 4) AS z FROM (
-  SELECT t.image, t.nucleus_id, any_value(o.n_spots) AS n_spots, any_value(o.obs) / avg(value) AS enrichment, (any_value(o.obs) - avg(value)) / nullif(stddev_samp(value), 0) AS z
+  SELECT t.image, t.nucleus_id, any_value(o.n_spots) AS n_spots, any_value(o.obs) / avg(value) AS enrichment, (any_value(o.obs) - avg(value)) / nullif(round(stddev_samp(value), 6), 0) AS z
   FROM v_tr t JOIN v_on o USING (image, nucleus_id) WHERE retention >= 0.5 GROUP BY t.image, t.nucleus_id) GROUP BY ALL""", BASE, TRANS))
 def pool_weighted(spark, sf):
     draws, _, obs = nulls.translation_null(*_inputs(spark, sf), n=NR)
     per = nulls.null_summary(draws, obs).join(obs.drop("obs"), KEY)
+    spread = F.round("null_sd", 6)
+    per = per.withColumn("z", F.when(spread > 0, (F.col("obs") - F.col("null_mean")) / spread))
     return rounded(rounded(nulls.pool_weighted(per), 5, "enrichment"), 4, "z")
 
 
@@ -340,7 +346,7 @@ def matched_random(spark, sf):
 
 
 PATCH = """v_pt AS (
-  SELECT s.image, d.dy, d.dx, coalesce(p.v, lo.lo) / n.m AS e FROM (SELECT * FROM v_strat WHERE channel = 'rna1' AND nucleus_id > 0) s, (SELECT a.i - 32 AS dy, b.i - 32 AS dx FROM v_side a, v_side b WHERE a.i BETWEEN 27 AND 37 AND b.i BETWEEN 27 AND 37) d
+  SELECT s.image, d.dy, d.dx, coalesce(p.v, lo.lo) / n.m AS e FROM (SELECT * FROM v_strat WHERE channel = 'rna1' AND nucleus_id > 0) s CROSS JOIN (SELECT a.i - 32 AS dy, b.i - 32 AS dx FROM v_side a, v_side b WHERE a.i BETWEEN 27 AND 37 AND b.i BETWEEN 27 AND 37) d
   JOIN (SELECT l.image, l.nucleus_id, avg(v) AS m FROM v_labels l JOIN v_p2 USING (image, y, x) GROUP BY ALL) n ON n.image = s.image AND n.nucleus_id = s.nucleus_id
   JOIN (SELECT image, min(v) AS lo FROM v_p2 GROUP BY ALL) lo ON lo.image = s.image LEFT JOIN v_p2 p ON p.image = s.image AND p.y = s.y_px + d.dy AND p.x = s.x_px + d.dx)"""
 

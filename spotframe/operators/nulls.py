@@ -8,11 +8,13 @@ Draws are counter-based, so results do not depend on partitioning or on task ret
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 
-from spotframe.functions.draws import PRIME, SHIFTS, WEIGHTS, draw_index, stream, uniform
+from spotframe.functions.draws import PRIME, SHIFTS, WEIGHTS, draw_index, stream
 from spotframe.functions.ranks import quantiles
 from spotframe.functions.scalars import ratio
 from spotframe.functions.stencils import disk, rings
@@ -69,24 +71,39 @@ def _one_plane(plane_rows: DataFrame) -> DataFrame:
     return plane_rows.select("image", "y", "vals")
 
 
-def _position_sums(nuclei: DataFrame, n: int, value: str) -> DataFrame:
+def _draw(state: np.ndarray, *counters: np.ndarray) -> np.ndarray:
+    """The numbers of ``functions.draws.draw`` for whole arrays of counters."""
+    total = state
+    for c, weight in zip(counters, WEIGHTS):
+        total = total + c * weight
+    out = total % PRIME
+    for shift, c in zip(SHIFTS, (counters * 2)[::-1]):
+        out = (out * (out + shift) + c) % PRIME
+    return out
+
+
+def _position_batches(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
+    iters = np.arange(1, n + 1, dtype=np.int64)[:, None]
+    for batch in batches:
+        sums = []
+        for row in batch.itertuples(index=False):
+            spots = np.arange(row.c0, min(row.c0 + CHUNK, row.n_spots), dtype=np.int64)[None, :]
+            vals = np.asarray(row.vals, float)
+            at = np.floor(_draw(np.int64(row.state), iters, spots) / float(PRIME) * vals.size).astype(np.int64)
+            sums.append(vals[at].sum(axis=1))
+        yield batch[[*KEY, "n_spots"]].assign(sums=sums)
+
+
+def _position_sums(nuclei: DataFrame, n: int) -> DataFrame:
     """(KEY, n_spots, iter, s): sum of n_spots drawn values for every iteration.
 
-    ``nuclei`` (KEY, n_spots, state, vals). Steps of ``functions.draws.draw`` are written as successive
-    array transforms, so each is evaluated once per draw.
+    ``nuclei`` (KEY, n_spots, state, vals). A crowded nucleus becomes several rows of at most CHUNK
+    spots, whose sums meet again in the final aggregate.
     """
-    chunks = nuclei.withColumn("_c0", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_spots") - 1, F.lit(CHUNK).cast("long"))))
-    last = F.least(F.col("_c0") + (CHUNK - 1), F.col("n_spots") - 1)
-    size = F.size(value)
-
-    def total(i: Column) -> Column:
-        base = F.col("state") + i * F.lit(WEIGHTS[0]).cast("long")
-        m = F.transform(F.sequence(F.col("_c0"), last), lambda s: (base + s * F.lit(WEIGHTS[1]).cast("long")) % PRIME)
-        m = F.transform(m, lambda v, k: (v * (v + SHIFTS[0]) + F.col("_c0") + k) % PRIME)
-        m = F.transform(m, lambda v: (v * (v + SHIFTS[1]) + i) % PRIME)
-        return F.aggregate(m, F.lit(0.0), lambda acc, v: acc + F.get(value, F.floor(v / F.lit(float(PRIME)) * size).cast("int")))
-
-    sums = chunks.select(*KEY, "n_spots", F.posexplode(F.transform(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long")), total)).alias("_i", "_s"))
+    starts = F.sequence(F.lit(0).cast("long"), F.col("n_spots") - 1, F.lit(CHUNK).cast("long"))
+    chunks = nuclei.withColumn("c0", F.explode(starts))
+    drawn = chunks.mapInPandas(lambda it: _position_batches(it, n), "image long, nucleus_id long, n_spots long, sums array<double>")
+    sums = drawn.select(*KEY, "n_spots", F.posexplode("sums").alias("_i", "_s"))
     return sums.groupBy(*KEY, "n_spots", (F.col("_i") + 1).alias("iter")).agg(F.sum("_s").alias("s"))
 
 
@@ -102,7 +119,7 @@ def position_null(
     nuclei = obs.join(_pixels(means, sampling_region(labels, holes)), KEY).select(
         *KEY, "n_spots", stream(seed + POSITION, *[F.col(k) for k in KEY]).alias("state"), F.transform("px", lambda p: p["v"]).alias("vals")
     )
-    draws = _position_sums(nuclei, n, "vals").select(*KEY, "n_spots", "iter", (F.col("s") / F.col("n_spots")).alias("value"))
+    draws = _position_sums(nuclei, n).select(*KEY, "n_spots", "iter", (F.col("s") / F.col("n_spots")).alias("value"))
     return draws, obs
 
 
@@ -122,7 +139,7 @@ def radial_null(
             *KEY, "n_spots", stream(seed + RADIAL, *[F.col(k) for k in KEY]).alias("state"), F.transform("px", lambda p: p["v"]).alias("vals")
         )
         value = F.col("s") / F.col("n_spots")
-        null = _position_sums(nuclei, n, "vals").groupBy(*KEY).agg(F.avg(value).alias("null_mean"), F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("null_sd"))
+        null = _position_sums(nuclei, n).groupBy(*KEY).agg(F.avg(value).alias("null_mean"), F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("null_sd"))
         ring = obs.join(null, KEY).select(*KEY, F.lit(float(edge)).alias("ring_um"), F.col("obs").alias("obs_mean"), "null_mean", "null_sd", "n_spots")
         out = ring if out is None else out.unionByName(ring)
     return out
@@ -163,10 +180,86 @@ def _grids(mean_rows: DataFrame, region: DataFrame) -> DataFrame:
     return whole.withColumn("_ys", ys).select(*KEY, "y0", "x0", (F.col("_y1") - F.col("y0") + 1).alias("h"), width.alias("w"), grid.alias("grid"))
 
 
-def _lookup(y: Column, x: Column) -> Column:
-    """Disk mean at a pixel, NULL off the sampling mask."""
-    inside = (y >= F.col("y0")) & (y < F.col("y0") + F.col("h")) & (x >= F.col("x0")) & (x < F.col("x0") + F.col("w"))
-    return F.when(inside, F.get("grid", ((y - F.col("y0")) * F.col("w") + (x - F.col("x0"))).cast("int")))
+class _Nucleus:
+    """One chunk row as arrays: spots, centre and the lookup of disk means (NaN off the mask)."""
+
+    def __init__(self, row) -> None:
+        self.cy = np.array([p["cy"] for p in row.sp], dtype=np.int64)
+        self.cx = np.array([p["cx"] for p in row.sp], dtype=np.int64)
+        self.v = np.array([p["v"] for p in row.sp], dtype=float)
+        self.word = np.array([p["spot_id"] for p in row.sp], dtype=np.int64) % PRIME
+        self.my, self.mx = row.my, row.mx
+        self.y0, self.x0 = row.y0, row.x0
+        self.grid = np.asarray(row.grid, dtype=float).reshape(row.h, row.w)
+
+    def at(self, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        y, x = y - self.y0, x - self.x0
+        inside = (y >= 0) & (y < self.grid.shape[0]) & (x >= 0) & (x < self.grid.shape[1])
+        return np.where(inside, self.grid[np.where(inside, y, 0), np.where(inside, x, 0)], np.nan)
+
+    def turned(self, degrees: np.ndarray, which: np.ndarray | slice = slice(None)) -> np.ndarray:
+        angle = np.radians(degrees)
+        c, s = np.cos(angle), np.sin(angle)
+        oy, ox = self.cy[which] - self.my, self.cx[which] - self.mx
+        return self.at(
+            np.rint(self.my + (oy * c - ox * s)).astype(np.int64), np.rint(self.mx + (oy * s + ox * c)).astype(np.int64)
+        )
+
+
+def _angles(state: int, *counters: np.ndarray) -> np.ndarray:
+    return 360.0 * (_draw(np.int64(state), *counters) / float(PRIME))
+
+
+def _sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.isfinite(values).sum(axis=1), np.nansum(values, axis=1)
+
+
+def _rotation_batches(batches: Iterator[pd.DataFrame], n: int, max_redraw: int) -> Iterator[pd.DataFrame]:
+    iters = np.arange(1, n + 1, dtype=np.int64)
+    for batch in batches:
+        out = []
+        for row in batch.itertuples(index=False):
+            nucleus = _Nucleus(row)
+            angles = _angles(row.state, iters)
+            angles[: min(n, len(FIXED_ANGLES))] = FIXED_ANGLES[:n]
+            first = nucleus.turned(angles[:, None])
+            n_in, s_in = _sums(first)
+            kept = first
+            i, s = np.nonzero(~np.isfinite(kept))
+            for attempt in range(1, max_redraw + 1):
+                if i.size == 0:
+                    break
+                again = _angles(row.state, iters[i], nucleus.word[s], np.full(i.size, attempt, dtype=np.int64))
+                kept[i, s] = nucleus.turned(again, s)
+                missing = ~np.isfinite(kept[i, s])
+                i, s = i[missing], s[missing]
+            kept[i, s] = nucleus.v[s]
+            out.append((row.image, row.nucleus_id, row.n_spots, n_in, s_in, kept.sum(axis=1)))
+        yield pd.DataFrame(out, columns=[*KEY, "n_spots", "n_in", "s_in", "s_all"])
+
+
+def _translation_batches(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
+    iters = np.arange(1, n + 1, dtype=np.int64)
+    for batch in batches:
+        out = []
+        for row in batch.itertuples(index=False):
+            nucleus = _Nucleus(row)
+            py, px = np.asarray(row.py), np.asarray(row.px)
+            anchor = np.floor(_draw(np.int64(row.state), iters) / float(PRIME) * py.size).astype(np.int64)
+            dy, dx = py[anchor] - int(np.rint(row.my)), px[anchor] - int(np.rint(row.mx))
+            n_in, s_in = _sums(nucleus.at(nucleus.cy[None, :] + dy[:, None], nucleus.cx[None, :] + dx[:, None]))
+            out.append((row.image, row.nucleus_id, row.n_spots, n_in, s_in))
+        yield pd.DataFrame(out, columns=[*KEY, "n_spots", "n_in", "s_in"])
+
+
+def _single_batches(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
+    iters = np.arange(1, n + 1, dtype=np.int64)
+    for batch in batches:
+        out = []
+        for row in batch.itertuples(index=False):
+            values = _Nucleus(row).turned(_angles(row.state, iters)[:, None])
+            out.append((row.image, row.nucleus_id, values[np.isfinite(values)]))
+        yield pd.DataFrame(out, columns=[*KEY, "vs"])
 
 
 def _constellations(spots: DataFrame, plane_rows: DataFrame, labels: DataFrame, holes: DataFrame | None, disk_px: float) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -186,15 +279,6 @@ def _constellations(spots: DataFrame, plane_rows: DataFrame, labels: DataFrame,
     return lists.join(centre, KEY).join(grids, KEY), centre, _pixels(means, region)
 
 
-def _spot_word(p: Column) -> Column:
-    return p["spot_id"] % F.lit(PRIME)
-
-
-def _rotated(p: Column, c: Column, s: Column) -> tuple[Column, Column]:
-    oy, ox = p["cy"] - F.col("my"), p["cx"] - F.col("mx")
-    return F.rint(F.col("my") + (oy * c - ox * s)).cast("long"), F.rint(F.col("mx") + (oy * s + ox * c)).cast("long")
-
-
 def rotation_null(
     spots: DataFrame, plane_rows: DataFrame, labels: DataFrame, holes: DataFrame | None = None, n: int = 1000, disk_px: float = 3.0,
     min_retention: float = 0.5, max_redraw: int = 40, seed: int = 0,
@@ -206,36 +290,12 @@ def rotation_null(
     drop_value averages only the spots that fitted at once.
     """
     chunks, centre, _ = _constellations(spots, plane_rows, labels, holes, disk_px)
-    ids = [F.col(k) for k in KEY]
-    work = chunks.withColumn("state", stream(seed + ROTATION, *ids))
-    fixed = F.array(*[F.lit(a) for a in FIXED_ANGLES])
-    angles = F.transform(
-        F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long")),
-        lambda i: F.when(i <= 3, F.get(fixed, (F.least(i, F.lit(3)) - 1).cast("int"))).otherwise(360.0 * uniform(F.col("state"), i)),
+    work = chunks.withColumn("state", stream(seed + ROTATION, *[F.col(k) for k in KEY]))
+    turned = work.mapInPandas(
+        lambda it: _rotation_batches(it, n, max_redraw),
+        "image long, nucleus_id long, n_spots long, n_in array<long>, s_in array<double>, s_all array<double>",
     )
-    work = work.withColumn("turns", F.transform(angles, lambda a: F.struct(F.cos(F.radians(a)).alias("c"), F.sin(F.radians(a)).alias("s"))))
-    tries = F.sequence(F.lit(1).cast("long"), F.lit(max_redraw).cast("long"))
-
-    def again(p: Column, i: Column) -> Column:
-        def attempt(acc: Column, t: Column) -> Column:
-            angle = F.radians(360.0 * uniform(F.col("state"), i, _spot_word(p), t))
-            return F.coalesce(acc, _lookup(*_rotated(p, F.cos(angle), F.sin(angle))))
-
-        return F.coalesce(F.aggregate(tries, F.lit(None).cast("double"), attempt), p["v"])
-
-    def placed(turn: Column, k: Column) -> Column:
-        first = F.transform("sp", lambda p: F.struct(p.alias("p"), _lookup(*_rotated(p, turn["c"], turn["s"])).alias("u")))
-        zero = F.struct(F.lit(0).alias("n_in"), F.lit(0.0).alias("s_in"), F.lit(0.0).alias("s_all"))
-        return F.aggregate(
-            first, zero,
-            lambda acc, e: F.struct(
-                (acc["n_in"] + F.when(e["u"].isNotNull(), 1).otherwise(0)).alias("n_in"),
-                (acc["s_in"] + F.coalesce(e["u"], F.lit(0.0))).alias("s_in"),
-                (acc["s_all"] + F.coalesce(e["u"], again(e["p"], (k + 1).cast("long")))).alias("s_all"),
-            ),
-        )
-
-    per = work.select(*KEY, "n_spots", F.posexplode(F.transform("turns", placed)).alias("_i", "_r"))
+    per = turned.select(*KEY, "n_spots", F.posexplode(F.arrays_zip("n_in", "s_in", "s_all")).alias("_i", "_r"))
     sums = per.groupBy(*KEY, "n_spots", (F.col("_i") + 1).alias("iter")).agg(
         F.sum("_r.n_in").alias("n_in"), F.sum("_r.s_in").alias("s_in"), F.sum("_r.s_all").alias("s_all")
     )
@@ -259,20 +319,13 @@ def translation_null(
     Iterations that keep too few spots are left out of the draws. Results as in ``rotation_null``.
     """
     chunks, centre, pixels = _constellations(spots, plane_rows, labels, holes, disk_px)
-    ids = [F.col(k) for k in KEY]
-    work = chunks.join(pixels, KEY).withColumn("state", stream(seed + TRANSLATION, *ids))
-    anchor = F.transform(
-        F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long")), lambda i: F.get("px", draw_index(F.col("state"), F.size("px"), i).cast("int"))
+    anchors = F.transform("px", lambda p: F.struct(p["y"].alias("y"), p["x"].alias("x")))
+    work = chunks.join(pixels.select(*KEY, F.transform(anchors, lambda p: p["y"]).alias("py"), F.transform(anchors, lambda p: p["x"]).alias("px")), KEY)
+    work = work.withColumn("state", stream(seed + TRANSLATION, *[F.col(k) for k in KEY]))
+    moved = work.mapInPandas(
+        lambda it: _translation_batches(it, n), "image long, nucleus_id long, n_spots long, n_in array<long>, s_in array<double>"
     )
-    by, bx = F.rint("my").cast("long"), F.rint("mx").cast("long")
-    shifts = F.transform(anchor, lambda a: F.struct((a["y"] - by).alias("dy"), (a["x"] - bx).alias("dx")))
-    work = work.withColumn("shifts", shifts).drop("px")
-
-    def placed(shift: Column) -> Column:
-        moved = F.filter(F.transform("sp", lambda p: _lookup(p["cy"] + shift["dy"], p["cx"] + shift["dx"])), lambda v: v.isNotNull())
-        return F.struct(F.size(moved).alias("n_in"), F.aggregate(moved, F.lit(0.0), lambda acc, v: acc + v).alias("s_in"))
-
-    per = work.select(*KEY, "n_spots", F.posexplode(F.transform("shifts", placed)).alias("_i", "_r"))
+    per = moved.select(*KEY, "n_spots", F.posexplode(F.arrays_zip("n_in", "s_in")).alias("_i", "_r"))
     sums = per.groupBy(*KEY, "n_spots", (F.col("_i") + 1).alias("iter")).agg(F.sum("_r.n_in").alias("n_in"), F.sum("_r.s_in").alias("s_in"))
     every = cut_lineage(
         sums.select(*KEY, "n_spots", "iter", ratio(F.col("s_in"), F.col("n_in")).alias("value"), (F.col("n_in") / F.col("n_spots")).alias("retention"))
@@ -291,12 +344,9 @@ def association_fraction(
     """(KEY, threshold, fraction): share of spots above a high percentile of single rotated positions."""
     chunks, _, _ = _constellations(spots, plane_rows, labels, holes, disk_px)
     work = chunks.withColumn("state", stream(seed + ASSOCIATION, *[F.col(k) for k in KEY]))
-    angles = F.transform(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long")), lambda i: F.radians(360.0 * uniform(F.col("state"), i)))
-
-    def values(a: Column) -> Column:
-        return F.filter(F.transform("sp", lambda p: _lookup(*_rotated(p, F.cos(a), F.sin(a)))), lambda v: v.isNotNull())
-
-    singles = work.select(*KEY, F.explode(F.flatten(F.transform(angles, values))).alias("v"))
+    singles = work.mapInPandas(lambda it: _single_batches(it, n), "image long, nucleus_id long, vs array<double>").select(
+        *KEY, F.explode("vs").alias("v")
+    )
     enough = singles.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_values).select(*KEY)
     cut = quantiles(singles, "v", KEY, {"threshold": pct / 100}).join(enough, KEY, "left_semi")
     seen = chunks.select(*KEY, F.explode("sp").alias("_p")).select(*KEY, F.col("_p.v").alias("v"))

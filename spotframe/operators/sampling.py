@@ -84,39 +84,36 @@ def windows(points: DataFrame, plane_rows: DataFrame, half: Column, key: Sequenc
     )
 
 
-def _percentile_of(values: Column, p: float) -> Column:
-    """Linear-interpolation percentile of a small sorted array."""
-    position = F.lit(p) * (F.size(values) - 1)
-    low = F.floor(position).cast("int")
-    high = F.ceil(position).cast("int")
-    a, b = F.get(values, low), F.get(values, high)
-    return a + (b - a) * (position - low)
-
-
-def spot_fwhm(spots: DataFrame, plane_rows: DataFrame, voxel_xy_um: float = 0.13, half: int = 4, fallback_um: float | None = None, key: Sequence[str] = ("image", "channel", "spot_id")) -> DataFrame:
+def _fwhm_batches(batches: Iterator[pd.DataFrame], key: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Width in pixels from the second moment of each window above its tenth percentile."""
+    for batch in batches:
+        widths = []
+        for win in batch["win"]:
+            crop = np.array([np.asarray(r["v"], float) for r in win])
+            signal = np.clip(crop - np.percentile(crop, 10), 0, None)
+            total = signal.sum()
+            if min(crop.shape) < 3 or total <= 0:
+                widths.append(None)
+                continue
+            ys, xs = np.indices(crop.shape)
+            my, mx = (ys * signal).sum() / total, (xs * signal).sum() / total
+            var = (((ys - my) ** 2 + (xs - mx) ** 2) * signal).sum() / total
+            widths.append(FWHM_PER_SIGMA * math.sqrt(max(var / 2.0, 0.25)))
+        yield batch[list(key)].assign(fwhm_px=pd.Series(widths, dtype=float, index=batch.index))
+
+
+def spot_fwhm(
+    spots: DataFrame, plane_rows: DataFrame, voxel_xy_um: float = 0.13, half: int = 4, fallback_um: float | None = None,
+    key: Sequence[str] = ("image", "channel", "spot_id"),
+) -> DataFrame:
     """Add diameter_um: full width at half maximum from the second moment of the window above its p10."""
-    points = _centred(spots, "y_px", "x_px")
-    win = windows(points, plane_rows, F.lit(half), key)
-    cells = F.flatten(F.transform("win", lambda r: F.transform(r["v"], lambda v, i: F.struct(r["y"].cast("double").alias("y"), (r["x0"] + i).cast("double").alias("x"), v.alias("v")))))
-    measured = win.select(*key, cells.alias("c"), F.size("win").alias("h"), F.size(F.get("win", F.lit(0))["v"]).alias("w"))
-    bg = _percentile_of(F.sort_array(F.transform("c", lambda s: s["v"])), 0.10)
-    lit0 = F.lit(0.0)
-    measured = measured.withColumn("bg", bg).withColumn(
-        "c", F.transform("c", lambda s: F.struct(s["y"].alias("y"), s["x"].alias("x"), F.greatest(s["v"] - F.col("bg"), lit0).alias("g")))
-    )
-
-    def total(f) -> Column:
-        return F.aggregate("c", lit0, lambda acc, s: acc + f(s))
-
-    measured = measured.withColumn("t", total(lambda s: s["g"]))
-    safe = F.when(F.col("t") > 0, F.col("t"))
-    measured = measured.withColumn("my", total(lambda s: s["y"] * s["g"]) / safe).withColumn("mx", total(lambda s: s["x"] * s["g"]) / safe)
-    var = total(lambda s: ((s["y"] - F.col("my")) * (s["y"] - F.col("my")) + (s["x"] - F.col("mx")) * (s["x"] - F.col("mx"))) * s["g"]) / safe
-    fwhm = FWHM_PER_SIGMA * F.sqrt(F.greatest(var / 2.0, F.lit(0.25))) * voxel_xy_um
-    usable = (F.col("h") >= 3) & (F.col("w") >= 3) & (F.col("t") > 0)
-    sized = measured.select(*key, F.when(usable, fwhm).alias("diameter_um"))
+    win = windows(_centred(spots, "y_px", "x_px"), plane_rows, F.lit(half), key)
+    kinds = dict(win.dtypes)
+    schema = ", ".join([*[f"{k} {kinds[k]}" for k in key], "fwhm_px double"])
+    sized = win.mapInPandas(lambda it: _fwhm_batches(it, key), schema)
     nominal = fallback_um if fallback_um else 2.0 * voxel_xy_um
-    return spots.drop("diameter_um").join(sized, list(key), "left").withColumn("diameter_um", F.coalesce("diameter_um", F.lit(nominal)))
+    width = F.coalesce(F.nanvl("fwhm_px", F.lit(None).cast("double")) * voxel_xy_um, F.lit(nominal))
+    return spots.drop("diameter_um").join(sized, list(key), "left").withColumn("diameter_um", width).drop("fwhm_px")
 
 
 def _grow(window: np.ndarray, seed: tuple[int, int], threshold: float) -> np.ndarray | None:
