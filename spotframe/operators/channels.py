@@ -6,8 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Name patterns per role, tried in this order.
-ROLE_PATTERNS = (("dapi", r"(?i)dapi|hoechst|405"), ("rna", r"(?i)rna|fish|cy5|cy3|640|561"), ("antibody", r"(?i)ab|antibody|488|gfp"))
+# Words in a channel name that give away its role, roles tried in this order.
+ROLE_WORDS = (
+    ("dapi", ("dapi", "hoechst", "draq5", "405")),
+    ("rna", ("488", "fitc", "gfp", "555", "tritc", "cy3", "561")),
+    ("antibody", ("647", "cy5", "far red", "far-red", "640")),
+)
 
 
 def resolve_channels(images: DataFrame, dapi: int, rna: int, rna2: int, one_indexed: bool = False) -> DataFrame:
@@ -28,24 +32,27 @@ def resolve_channels(images: DataFrame, dapi: int, rna: int, rna2: int, one_inde
     return images.select("image", F.explode(roles).alias("_r")).select("image", "_r.role", "_r.channel")
 
 
-def autodetect_channels(names: DataFrame, patterns: Sequence[tuple[str, str]] = ROLE_PATTERNS) -> DataFrame:
-    """(image, role, channel) from channel names, each channel used once, roles in order.
+def autodetect_channels(names: DataFrame, words: Sequence[tuple[str, Sequence[str]]] = ROLE_WORDS) -> DataFrame:
+    """(image, role, channel) from channel names, each named channel used once, roles in order.
 
-    names (image, channel, name, mean). An unnamed DAPI is the channel brightest on average; roles still
-    open take the remaining channels in order. An image has few channels, so they are handled as one array.
+    names (image, channel, name, mean). Without a named DAPI the channel brightest on average is taken;
+    roles still open then get the remaining channels in order. An image has few channels, so they are
+    handled as one array.
     """
     rows = names.groupBy("image").agg(F.sort_array(F.collect_list(F.struct("channel", "name", "mean"))).alias("ch"))
     out = rows.withColumn("left", F.col("ch"))
-    for role, pattern in patterns:
-        hit = F.get(F.filter("left", lambda c: c["name"].rlike(pattern)), F.lit(0))["channel"]
-        if role == "dapi":
-            # the struct order puts the highest mean first, then the lowest channel
-            brightest = F.get(F.reverse(F.sort_array(F.transform("left", lambda c: F.struct(c["mean"].alias("m"), (-c["channel"]).alias("o"))))), F.lit(0))
-            hit = F.coalesce(hit, -brightest["o"])
-        out = out.withColumn(f"_{role}", hit).withColumn("left", F.filter("left", lambda c: ~c["channel"].eqNullSafe(F.col(f"_{role}"))))
-    for role, _ in patterns:
+
+    def unused(role: str) -> Column:
+        return F.filter("left", lambda c: ~c["channel"].eqNullSafe(F.col(f"_{role}")))
+
+    for role, parts in words:
+        hit = F.filter("left", lambda c, parts=parts: F.lower(c["name"]).rlike("|".join(parts)))
+        out = out.withColumn(f"_{role}", F.get(hit, F.lit(0))["channel"]).withColumn("left", unused(role))
+    brightest = F.array_max(F.transform("ch", lambda c: F.struct(c["mean"].alias("m"), c["channel"].alias("c"))))["c"]
+    out = out.withColumn("_dapi", F.coalesce("_dapi", brightest)).withColumn("left", unused("dapi"))
+    for role, _ in words:
         out = _take(out, role)
-    roles = F.array(*[F.struct(F.lit(r).alias("role"), F.col(f"_{r}").alias("channel")) for r, _ in patterns])
+    roles = F.array(*[F.struct(F.lit(r).alias("role"), F.col(f"_{r}").alias("channel")) for r, _ in words])
     return out.select("image", F.explode(roles).alias("_r")).select("image", "_r.role", "_r.channel").where(F.col("channel").isNotNull())
 
 
