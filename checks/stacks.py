@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from checks import views as V
 from checks.views import oracle
 from spotframe.functions.stencils import disk
-from spotframe.operators import focus, frames, labels, sampling
+from spotframe.operators import focus, frames, labels, sampling, specks
+from spotframe.plans import modes
 
 QUERIES = {}
 ORACLES = {}
@@ -166,9 +167,9 @@ def drop_border(spark, sf):
 
 
 @check(oracle("""
-SELECT g.image, g.y, g.x, arg_min(l.nucleus_id, ((g.y - l.y) * (g.y - l.y) + (g.x - l.x) * (g.x - l.x)) * 100 + l.nucleus_id) AS cyto_id
-FROM (SELECT image, y, x, j.jy, j.jx FROM v_grid CROSS JOIN (SELECT a.i - 4 AS jy, b.i - 4 AS jx FROM v_side a, v_side b WHERE a.i < 9 AND b.i < 9) j WHERE d2 > 36 AND j.jy * j.jy + j.jx * j.jx <= 16) g
-JOIN v_labels l ON l.image = g.image AND l.y = g.y + g.jy AND l.x = g.x + g.jx GROUP BY ALL"""))
+SELECT c.image, c.y, c.x, arg_min(l.nucleus_id, c.d * 100 + l.nucleus_id) AS cyto_id FROM v_cand c JOIN v_lab l ON l.image = c.image AND l.y = c.ly AND l.x = c.lx GROUP BY ALL""",
+    "v_lab AS MATERIALIZED (SELECT * FROM v_labels)",
+    """v_cand AS MATERIALIZED (SELECT image, y, x, y + jy AS ly, x + jx AS lx, jy * jy + jx * jx AS d FROM v_grid CROSS JOIN (SELECT a.i - 4 AS jy, b.i - 4 AS jx FROM v_side a, v_side b WHERE a.i < 9 AND b.i < 9) WHERE d2 > 36 AND jy * jy + jx * jx <= 16)"""))
 def expand_labels(spark, sf):
     return labels.expand_labels(V.labels(spark, sf), V.images(spark, sf), 4)
 
@@ -181,7 +182,7 @@ def smooth_labels(spark, sf):
 @check()
 def detect_nucleoli(spark, sf):
     rows = V.pixel_rows(spark, sf).where("channel = 'dapi'").drop("channel", "z")
-    return labels.detect_nucleoli(rows, V.labels(spark, sf), V.images(spark, sf), min_um2=0.03, closing=1, border=1)
+    return labels.detect_nucleoli(rows, V.labels(spark, sf), V.images(spark, sf), min_um2=0.01, closing=1, border=1)
 
 
 @check()
@@ -215,3 +216,37 @@ def detect_spots(spark, sf):
 @check(oracle("SELECT image, channel, z, y, x, v FROM v_stack"))
 def flat_pixels(spark, sf):
     return frames.flat(V.stack_rows(spark, sf))
+
+
+SPECK = """v_sp AS MATERIALIZED (SELECT image, y, x, v FROM v_stack WHERE channel = 0 AND z = 0),
+v_sm AS (SELECT image, any_value(med) AS med, median(abs(v - med)) AS mad FROM v_sp JOIN (SELECT image, median(v) AS med FROM v_sp GROUP BY ALL) USING (image) GROUP BY ALL)"""
+
+
+@check(oracle("SELECT image, y, x, CASE WHEN v > med + 1.4826 * 2 * mad THEN med ELSE v END AS v FROM v_sp JOIN v_sm USING (image)", SPECK))
+def mask_specks(spark, sf):
+    plane = V.stack(spark, sf).where("channel = 0 and z = 0").select("image", "y", "x", "v")
+    return specks.mask_specks(plane, 1, k=2.0)[0].select("image", "y", "x", "v")
+
+
+@check(oracle("""
+SELECT s.image, s.channel, s.y, s.x, max(v) AS v FROM v_st s JOIN (
+  SELECT image, greatest(lo, least(z - 1, hi - 1)) AS a FROM (SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, z) AS rn FROM (
+    SELECT *, min(z) OVER (PARTITION BY image) AS lo, max(z) OVER (PARTITION BY image) AS hi FROM v_sc WHERE channel = 0) WHERE z BETWEEN lo + 1 AND hi - 2) WHERE rn = 1) w
+ON w.image = s.image AND s.z BETWEEN w.a AND w.a + 1 GROUP BY ALL""", NEAR))
+def windowed_max(spark, sf):
+    return specks.windowed_max(V.stack_rows(spark, sf), _scores(spark, sf).where("channel = 0"))
+
+
+@check(oracle("SELECT image, nucleus_id, channel, area_px, n_spots, nuclear_spots, cyto_spots, paired_count FROM v_nuc"))
+def run_mode_rna_rna(spark, sf):
+    inputs = {"spots": V.spots(spark, sf), "labels": V.labels(spark, sf), "cyto": V.cyto(spark, sf), "images": V.images(spark, sf), "plane_rows": V.pixel_rows(spark, sf)}
+    out = modes.run_mode("rna_rna", inputs)["nuclei_metrics"]
+    return out.select("image", "nucleus_id", "channel", "area_px", "n_spots", "nuclear_spots", "cyto_spots", "paired_count")
+
+
+@check(oracle("SELECT image, n_nuclei, n_spots FROM (SELECT n.image, count(*) AS n_nuclei, sum(n.n_spots) AS n_spots FROM v_nuc n JOIN v_images i USING (image) WHERE n.channel = 'rna1' AND NOT i.secondary_only GROUP BY ALL)"))
+def run_mode_rna_only(spark, sf):
+    im = V.images(spark, sf)
+    inputs = {"spots": V.spots(spark, sf), "labels": V.labels(spark, sf), "cyto": V.cyto(spark, sf), "images": im}
+    nuclei = modes.run_mode("rna_only", inputs)["nuclei_metrics"]
+    return nuclei.join(im.where("not secondary_only").select("image"), "image").groupBy("image").agg(F.count(F.lit(1)).alias("n_nuclei"), F.sum("n_spots").alias("n_spots"))
