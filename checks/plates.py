@@ -75,7 +75,7 @@ def well_manifest(spark, sf):
 def plate_layout(spark, sf):
     k = F.col("s_suppkey")
     raw = V.table(spark, sf, "supplier").select(
-        k.cast("string").alias("Well_Num"), F.when(k % 2 == 0, "wild type").otherwise("QKI-ko").alias("Line"),
+        k.cast("string").alias("Well_Num"), F.when(k % 2 == 0, "wild type").otherwise("line-ko").alias("Line"),
         F.when(k % 5 == 0, "secondary only").otherwise("primary+secondary").alias("Staining_Arm"), F.when(k % 3 == 0, "goat 565").otherwise(" AF647 ").alias("Secondary_Antibody"),
     )
     return manifest.plate_layout(raw, {"647": "640", "568": "561"}, {3: "647"})
@@ -240,7 +240,7 @@ def conflict_check(spark, sf):
 
 @check(oracle("""
 SELECT image, 'NT_ASO_' || image AS label, '0p' || rtrim(lpad((image % 9 + 1)::VARCHAR, 1, '0'), '0') || 'um' AS suffix, 'NT' AS grp, 'w' || image AS rep, TRUE AS control, CASE WHEN image % 3 = 0 THEN 'Sec' ELSE 'WT' END AS coarse,
-       CASE WHEN image % 4 = 0 THEN '***' WHEN image % 4 = 1 THEN '**' WHEN image % 4 = 2 THEN '*' ELSE 'ns' END AS stars, 'Miat spots per nucleus' AS pretty, image * 0.13::DOUBLE AS um FROM v_images"""))
+       CASE WHEN image % 4 = 0 THEN '***' WHEN image % 4 = 1 THEN '**' WHEN image % 4 = 2 THEN '*' ELSE 'ns' END AS stars, 'Probe spots per nucleus' AS pretty, image * 0.13::DOUBLE AS um FROM v_images"""))
 def label_functions(spark, sf):
     i = F.col("image")
     text = i.cast("string")
@@ -249,5 +249,5 @@ def label_functions(spark, sf):
     return V.images(spark, sf).select(
         "image", scalars.safe_label(F.concat(F.lit(' NT "ASO"-'), text, F.lit("?."))).alias("label"), scalars.pair_suffix_column((i % 9 + 1) / 10.0).alias("suffix"), group.alias("grp"), rep.alias("rep"),
         scalars.is_control(F.lit("scramble 2")).alias("control"), scalars.coarse_group(F.when(i % 3 == 0, "my-secondary").otherwise("WT_a-b")).alias("coarse"), scalars.stars(p).alias("stars"),
-        scalars.prettify(F.lit("rna1 spots_per_nucleus"), {"rna1": "miat"}).alias("pretty"), scalars.px_to_um(i, F.lit(0.13)).alias("um"),
+        scalars.prettify(F.lit("rna1 spots_per_nucleus"), {"rna1": "probe"}).alias("pretty"), scalars.px_to_um(i, F.lit(0.13)).alias("um"),
     )

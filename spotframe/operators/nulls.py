@@ -82,12 +82,12 @@ def _draw(state: np.ndarray, *counters: np.ndarray) -> np.ndarray:
     return out
 
 
-def _position_batches(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
+def _position_batches(batches: Iterator[pd.DataFrame], n: int, chunk: int) -> Iterator[pd.DataFrame]:
     iters = np.arange(1, n + 1, dtype=np.int64)[:, None]
     for batch in batches:
         sums = []
         for row in batch.itertuples(index=False):
-            spots = np.arange(row.c0, min(row.c0 + CHUNK, row.n_spots), dtype=np.int64)[None, :]
+            spots = np.arange(row.c0, min(row.c0 + chunk, row.n_spots), dtype=np.int64)[None, :]
             vals = np.asarray(row.vals, float)
             at = np.floor(_draw(np.int64(row.state), iters, spots) / float(PRIME) * vals.size).astype(np.int64)
             sums.append(vals[at].sum(axis=1))
@@ -102,7 +102,8 @@ def _position_sums(nuclei: DataFrame, n: int) -> DataFrame:
     """
     starts = F.sequence(F.lit(0).cast("long"), F.col("n_spots") - 1, F.lit(CHUNK).cast("long"))
     chunks = nuclei.withColumn("c0", F.explode(starts))
-    drawn = chunks.mapInPandas(lambda it: _position_batches(it, n), "image long, nucleus_id long, n_spots long, sums array<double>")
+    size = CHUNK
+    drawn = chunks.mapInPandas(lambda it: _position_batches(it, n, size), "image long, nucleus_id long, n_spots long, sums array<double>")
     sums = drawn.select(*KEY, "n_spots", F.posexplode("sums").alias("_i", "_s"))
     return sums.groupBy(*KEY, "n_spots", (F.col("_i") + 1).alias("iter")).agg(F.sum("_s").alias("s"))
 
