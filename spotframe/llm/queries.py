@@ -9,6 +9,7 @@ from spotframe.llm.common import documents
 from spotframe.llm.encoding import vocabulary
 from spotframe.llm.exact_dedup import OP8_SQL, exact_dedup
 from spotframe.llm.mixing import mix_sources
+from spotframe.llm.multiset import fingerprints
 from spotframe.llm.packing import pack_documents
 from spotframe.llm.token_files import token_files
 
@@ -17,6 +18,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
+def op4_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), end_id=1)
 
@@ -33,5 +38,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op5_token_files, op6_mix_sources, op8_exact_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_multiset_fingerprint, op5_token_files, op6_mix_sources, op8_exact_dedup, op10_token_counts)}
 ORACLES = {"op8_exact_dedup": OP8_SQL}
