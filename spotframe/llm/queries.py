@@ -8,6 +8,7 @@ from spotframe.llm.attribution import token_counts
 from spotframe.llm.common import documents
 from spotframe.llm.encoding import vocabulary
 from spotframe.llm.exact_dedup import OP8_SQL, exact_dedup
+from spotframe.llm.langid import identify
 from spotframe.llm.mixing import mix_sources
 from spotframe.llm.multiset import fingerprints
 from spotframe.llm.packing import pack_documents
@@ -34,9 +35,13 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir), keep="largest")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_multiset_fingerprint, op5_token_files, op6_mix_sources, op8_exact_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_multiset_fingerprint, op5_token_files, op6_mix_sources, op8_exact_dedup, op9_language_id, op10_token_counts)}
 ORACLES = {"op8_exact_dedup": OP8_SQL}
