@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spotframe.llm import brown
 from spotframe.llm.attribution import token_counts
 from spotframe.llm.common import documents
 from spotframe.llm.encoding import vocabulary
@@ -31,6 +32,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
+def op7_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir), keep="largest")
 
@@ -43,5 +48,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_multiset_fingerprint, op5_token_files, op6_mix_sources, op8_exact_dedup, op9_language_id, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_multiset_fingerprint, op5_token_files, op6_mix_sources, op7_brown_classes, op8_exact_dedup, op9_language_id, op10_token_counts)}
 ORACLES = {"op8_exact_dedup": OP8_SQL}
