@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from spotframe.llm.common import text_or_empty
-from spotframe.llm.encoding import PieceTable, table
+from spotframe.llm.encoding import TEXTS, PieceTable, table
 
 RULES = ("majority", "first", "last")
 
@@ -29,6 +29,20 @@ def owner(starts: np.ndarray, begin: int, end: int, rule: str) -> int:
     return int(low + np.argmax(np.diff(edges)))
 
 
+def span_counts(spans: list[tuple[int, int]], starts: np.ndarray, rule: str) -> np.ndarray:
+    """Tokens of each section, from the spans of all tokens of a text."""
+    counts = np.zeros(len(starts), dtype=np.int64)
+    if spans:
+        begin, end = np.asarray(spans, dtype=np.int64).T
+        low = np.searchsorted(starts, begin, "right") - 1
+        high = np.searchsorted(starts, np.maximum(begin, end - 1), "right") - 1
+        across = low != high
+        counts += np.bincount(low[~across], minlength=len(starts))
+        for i in np.flatnonzero(across):
+            counts[owner(starts, int(begin[i]), int(end[i]), rule)] += 1
+    return counts
+
+
 def _spans(encoder: PieceTable, piece: str, known: dict[str, list[tuple[int, int]]]) -> list[tuple[int, int]]:
     if piece not in known:
         if len(known) > 50_000:
@@ -44,8 +58,6 @@ def section_counts(encoder: PieceTable, pieces: list[str], starts: np.ndarray, r
     tokens to it; only the tokens of pieces across a boundary are looked at one by one.
     """
     counts = np.zeros(len(starts), dtype=np.int64)
-    if not pieces:
-        return counts
     length = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
     length[1:] += 1  # the space at the cut
     end = np.cumsum(length)
@@ -94,7 +106,7 @@ def token_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, known = table(vocab), {}
-        for batch in batches:
+        for batch in (big.slice(at, TEXTS) for big in batches for at in range(0, big.num_rows, TEXTS)):
             texts = batch.column(1).to_pylist()
             given = batch.column(2).to_pylist() if starts_col else [None] * len(texts)
             row, section, start, chars, tokens = [], [], [], [], []
@@ -105,7 +117,7 @@ def token_counts(
                 start.append(at)
                 stop = np.minimum(np.append(at[1:], len(text)), len(text))
                 chars.append(np.maximum(stop - at, 0))
-                tokens.append(section_counts(encoder, pieces, at, rule, known))
+                tokens.append(span_counts(encoder.tokenizer.encode(text, add_special_tokens=False).offsets, at, rule) if pieces is None else section_counts(encoder, pieces, at, rule, known))
             if texts:
                 ids = batch.column(0).take(pa.array(np.concatenate(row)))
                 columns = [ids, *(pa.array(np.concatenate(x)) for x in (section, start, chars, tokens))]

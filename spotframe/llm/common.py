@@ -22,6 +22,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def spaced_lower(text: Column) -> Column:
+    """A-Z to a-z and the other five white-space characters to spaces: words are what stands between spaces."""
+    return F.translate(text, UPPER + "\t\n\x0b\x0c\r", LOWER + "     ")
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

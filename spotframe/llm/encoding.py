@@ -9,18 +9,16 @@ process. The ids are those of the whole text: the cuts are the tokenizer's own.
 from __future__ import annotations
 
 import os
-import re
+from array import array
 from functools import lru_cache
-
-import numpy as np
+from itertools import filterfalse, islice
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces kept per worker process; the table is emptied when it is full, which only costs time.
-REMEMBERED = 700_000
-#: Any white space next to a space, or at either end: such a text is cut by the slower pattern.
-_ODD = re.compile(r"\s\s|^\s|\s$")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+REMEMBERED = 1_000_000
+#: Texts whose pieces are looked up together.
+TEXTS = 256
 _TAIL = frozenset(".,;:!?|")
 
 
@@ -38,51 +36,79 @@ class PieceTable:
         self.head: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
 
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        """The text without its cuts; an empty text has no piece."""
-        if not text:
-            return []
-        # one pass in C where every white-space character stands alone
-        return _CUT.split(text) if _ODD.search(text) else text.split(" ")
-
     def _learn(self, known: dict[str, bytes], new: list[str], lead: str) -> None:
         # punctuation that closes a word is always a piece of its own for these vocabularies: the word is encoded once
-        stems = {p: p[:-1] for p in new if len(p) > 1 and p[-1] in _TAIL and p[-2].isascii() and p[-2].isalpha()}
+        stems = {p: p[:-1] for p in new if p[-1] in _TAIL and p[-2:-1].isascii() and p[-2:-1].isalpha()}
+        wanted = new
         if stems:
             wanted = [p for p in new if p not in stems]
             wanted = list(dict.fromkeys([*wanted, *(s for s in stems.values() if s not in known)]))
-        else:
-            wanted = new
-        coded = self.tokenizer.encode_batch_fast([lead + p for p in wanted], add_special_tokens=False)
+        coded = self.tokenizer.encode_batch_fast([lead + p for p in wanted] if lead else wanted, add_special_tokens=False)
         for piece, one in zip(wanted, coded, strict=True):
-            known[piece] = np.asarray(one.ids, dtype="<u4").tobytes()
+            known[piece] = array("I", one.ids).tobytes()
         for piece, stem in stems.items():
             mark = piece[-1]
             if mark not in self.head:
-                self.head[mark] = np.asarray(self.tokenizer.encode(mark, add_special_tokens=False).ids, dtype="<u4").tobytes()
+                self.head[mark] = self.whole(mark)
             known[piece] = known[stem] + self.head[mark]
 
-    def learn_batch(self, texts: list[str]) -> list[list[str]]:
-        """Pieces of many texts; what is new in any of them is encoded in one call."""
-        cut = [self.cut(t) for t in texts]
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def learn_batch(self, texts: list[str]) -> list[list[str] | None]:
+        """Pieces of many texts; what is new in any of them is encoded in one call.
+
+        None stands for a text that has white space beside a space or at an end: not every space in it is
+        a cut. Pieces whose ends are white space never enter the tables, so such texts are found among the
+        new pieces.
+        """
+        self._make_room()
+        cut: list[list[str] | None] = [t.split(" ") for t in texts]
+        new: set[str] = set()
+        for c in cut:
+            new.update(filterfalse(self.inner.__contains__, islice(c, 1, None)))
+        odd = self._learn_new({c[0] for c in cut}.difference(self.head), new)
+        return [None if odd and not odd.isdisjoint(c) else c for c in cut]
+
+    def _make_room(self) -> None:
         if len(self.inner) > REMEMBERED:
             self.inner = {}
         if len(self.head) > REMEMBERED:
             self.head = {}
-        heads = {c[0] for c in cut if c}.difference(self.head)
-        if heads:
-            self._learn(self.head, list(heads), "")
-        new = set().union(*(c[1:] for c in cut)).difference(self.inner)
-        if new:
-            self._learn(self.inner, list(new), " ")
-        return cut
+
+    def _learn_new(self, heads: set[str], new: set[str]) -> set[str]:
+        """Encode what is new; returns the pieces that are not whole pieces, as one of their ends is white space."""
+        odd = {p for p in heads | new if not p or p.strip() is not p}
+        if heads - odd:
+            self._learn(self.head, list(heads - odd), "")
+        if new - odd:
+            self._learn(self.inner, list(new - odd), " ")
+        return odd
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of whole texts, four bytes each."""
-        cut = self.learn_batch(texts)
-        head, get = self.head, self.inner.__getitem__
-        return [head[c[0]] + b"".join(map(get, c[1:])) if c else b"" for c in cut]
+        out: list[bytes] = []
+        for at in range(0, len(texts), TEXTS):
+            some = texts[at : at + TEXTS]
+            self._make_room()
+            get = self.inner.get
+            cut = [t.split(" ") for t in some]
+            coded = [list(map(get, islice(c, 1, None))) for c in cut]
+            open_ = [i for i, (c, ids) in enumerate(zip(cut, coded, strict=True)) if c[0] not in self.head or None in ids]
+            if open_:
+                missing = [[k for k, ids in enumerate(coded[i]) if ids is None] for i in open_]
+                new = {cut[i][k + 1] for i, ks in zip(open_, missing, strict=True) for k in ks}
+                odd = self._learn_new({cut[i][0] for i in open_}.difference(self.head), new)
+                for i, ks in zip(open_, missing, strict=True):
+                    c, ids = cut[i], coded[i]
+                    if odd and not odd.isdisjoint(c):
+                        cut[i] = None
+                        continue
+                    for k in ks:
+                        ids[k] = self.inner[c[k + 1]]
+            for text, c, ids in zip(some, cut, coded, strict=True):
+                out.append(self.whole(text) if c is None else self.head[c[0]] + b"".join(ids))
+        return out
 
 
 @lru_cache(maxsize=2)

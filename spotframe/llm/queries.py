@@ -9,6 +9,7 @@ from spotframe.llm.attribution import token_counts
 from spotframe.llm.common import documents
 from spotframe.llm.encoding import vocabulary
 from spotframe.llm.exact_dedup import OP8_SQL, exact_dedup
+from spotframe.llm.jaccard import jaccard_components
 from spotframe.llm.langid import identify
 from spotframe.llm.mixing import mix_sources
 from spotframe.llm.multiset import fingerprints
@@ -20,6 +21,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir), words=4, percent=85)
+
+
 def op4_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
@@ -48,5 +53,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_multiset_fingerprint, op5_token_files, op6_mix_sources, op7_brown_classes, op8_exact_dedup, op9_language_id, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_ngram_jaccard, op4_multiset_fingerprint, op5_token_files, op6_mix_sources, op7_brown_classes, op8_exact_dedup, op9_language_id, op10_token_counts)}
 ORACLES = {"op8_exact_dedup": OP8_SQL}
