@@ -14,6 +14,7 @@ from spotframe.llm.langid import identify
 from spotframe.llm.mixing import mix_sources
 from spotframe.llm.multiset import fingerprints
 from spotframe.llm.packing import pack_documents
+from spotframe.llm.suffixes import remove_repeats
 from spotframe.llm.token_files import token_files
 
 
@@ -21,6 +22,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), width=50)
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), words=4, percent=85)
 
@@ -53,5 +58,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_ngram_jaccard, op4_multiset_fingerprint, op5_token_files, op6_mix_sources, op7_brown_classes, op8_exact_dedup, op9_language_id, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op3_ngram_jaccard, op4_multiset_fingerprint, op5_token_files, op6_mix_sources, op7_brown_classes, op8_exact_dedup, op9_language_id, op10_token_counts)}
 ORACLES = {"op8_exact_dedup": OP8_SQL}
