@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -102,7 +103,8 @@ def join_plate_rejected(spark, sf):
 
 @check(oracle("SELECT image, condition, voxel_xy_um, 2.0::DOUBLE AS k_mad FROM v_images"))
 def write_and_read_run(spark, sf):
-    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    folder = f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     per_image = tables.threshold_record(V.images(spark, sf).select("image", "condition", "voxel_xy_um"), {"k_mad": 2.0})
     tables.write_tables({"per_image": per_image, "nothing": per_image.where("image < 0"), "absent": None}, folder, {"per_image": ["condition"]})
     return tables.read_run(spark, folder, "per_image", "image long, voxel_xy_um double, k_mad double, condition string")

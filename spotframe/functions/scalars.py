@@ -120,4 +120,4 @@ def prettify(c: Column, labels: Mapping[str, str]) -> Column:
     for token, label in labels.items():
         text = F.regexp_replace(text, rf"\b{token}\b", label)
     text = F.trim(F.replace(text, F.lit("_"), F.lit(" ")))
-    return F.concat(F.upper(F.substring(text, 1, 1)), F.substring(text, 2, 1_000_000))
+    return F.concat(F.upper(F.substring(text, 1, 1)), F.substr(text, F.lit(2)))

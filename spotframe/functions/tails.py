@@ -12,6 +12,8 @@ _erfc = np.vectorize(math.erfc, otypes=[float])
 _lgamma = np.vectorize(math.lgamma, otypes=[float])
 TINY = 1e-300
 EXACT_SIDE = 8
+#: Degrees of freedom from which the t distribution is taken as normal.
+NORMAL_FROM = 1e8
 
 
 def _normal_two_sided(z: np.ndarray) -> np.ndarray:
@@ -49,7 +51,10 @@ def _incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def _t_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
-    return np.clip(_incomplete_beta(df / 2.0, np.full_like(df, 0.5), df / (df + t * t)), 0.0, 1.0)
+    # the continued fraction needs more steps than it is given from here on; the limit is then right to its last digits
+    wide = df > NORMAL_FROM
+    some = np.where(wide, 1.0, df)
+    return np.where(wide, _normal_two_sided(t), np.clip(_incomplete_beta(some / 2.0, np.full_like(df, 0.5), some / (some + t * t)), 0.0, 1.0))
 
 
 def _chi2_upper_one(x: float, df: float) -> float:
@@ -80,25 +85,31 @@ def _chi2_upper_one(x: float, df: float) -> float:
         value *= step
         if abs(step - 1.0) < 1e-15:
             break
+    else:
+        # not converged: the cube root of x / df is close to normal for the large df that this takes
+        z = ((x / df) ** (1.0 / 3.0) - 1.0 + 2.0 / (9.0 * df)) / math.sqrt(2.0 / (9.0 * df))
+        return 0.5 * math.erfc(z / math.sqrt(2.0))
     return scale * value
 
 
 def _exact_u(u: float, n1: int, n2: int) -> float:
-    """Two-sided exact p of the U statistic: counts of subsets by their rank sum."""
-    ways = np.zeros(n1 * n2 + 1)
+    """Two-sided exact p of the U statistic: counts of subsets by their rank sum, up to the smaller tail only."""
+    tail = int(round(min(u, n1 * n2 - u)))
+    ways = np.zeros(tail + 1)
     ways[0] = 1.0
-    # the generating function is a Gaussian binomial: product of (1 - q^(n2+i)) / (1 - q^i)
-    for i in range(1, n1 + 1):
-        top, bottom = n2 + i, i
-        if top <= n1 * n2:
+    few, many = sorted((n1, n2))
+    # the generating function is a Gaussian binomial: product of (1 - q^(many + i)) / (1 - q^i)
+    for i in range(1, few + 1):
+        top = many + i
+        if top <= tail:
             shifted = np.zeros_like(ways)
             shifted[top:] = ways[: ways.size - top]
             ways = ways - shifted
-        for k in range(bottom, ways.size):
-            ways[k] += ways[k - bottom]
-    larger = max(u, n1 * n2 - u)
-    upper = ways[int(round(larger)) :].sum() / ways.sum()
-    return float(min(1.0, 2.0 * upper))
+        # dividing by 1 - q^i: running sums with stride i
+        padded = np.zeros(-(-ways.size // i) * i)
+        padded[: ways.size] = ways
+        ways = padded.reshape(-1, i).cumsum(axis=0).ravel()[: tail + 1]
+    return float(min(1.0, 2.0 * ways.sum() / math.comb(n1 + n2, few)))
 
 
 @F.pandas_udf(T.DoubleType())

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -46,7 +48,7 @@ def autodetect_channels(names: DataFrame, words: Sequence[tuple[str, Sequence[st
         return F.filter("left", lambda c: ~c["channel"].eqNullSafe(F.col(f"_{role}")))
 
     for role, parts in words:
-        hit = F.filter("left", lambda c, parts=parts: F.lower(c["name"]).rlike("|".join(parts)))
+        hit = F.filter("left", _has_word(parts))
         out = out.withColumn(f"_{role}", F.get(hit, F.lit(0))["channel"]).withColumn("left", unused(role))
     brightest = F.array_max(F.transform("ch", lambda c: F.struct(c["mean"].alias("m"), c["channel"].alias("c"))))["c"]
     out = out.withColumn("_dapi", F.coalesce("_dapi", brightest)).withColumn("left", unused("dapi"))
@@ -56,6 +58,11 @@ def autodetect_channels(names: DataFrame, words: Sequence[tuple[str, Sequence[st
     return out.select("image", F.explode(roles).alias("_r")).select("image", "_r.role", "_r.channel").where(F.col("channel").isNotNull())
 
 
+def _has_word(parts: Sequence[str]) -> Callable[[Column], Column]:
+    """A test of a channel for any of the words, taken literally."""
+    return lambda c: reduce(or_, [F.contains(F.lower(c["name"]), F.lit(p)) for p in parts])
+
+
 def _take(df: DataFrame, role: str) -> DataFrame:
     """Fill an open role with the first channel left over."""
     is_open = F.col(f"_{role}").isNull() & (F.size("left") > 0)
@@ -63,7 +70,7 @@ def _take(df: DataFrame, role: str) -> DataFrame:
     return df.select(
         *[c for c in df.columns if c not in (f"_{role}", "left")],
         F.when(is_open, first).otherwise(F.col(f"_{role}")).alias(f"_{role}"),
-        F.when(is_open, F.slice("left", 2, 1000)).otherwise(F.col("left")).alias("left"),
+        F.when(is_open, F.slice("left", F.lit(2), F.size("left"))).otherwise(F.col("left")).alias("left"),
     )
 
 

@@ -124,9 +124,9 @@ def focus_window(scores: DataFrame, peak: DataFrame, frac: float = 0.5, min_slic
 
 
 def joint_score(scores: DataFrame, reduce_by: str = "product") -> DataFrame:
-    """(image, z, score) over channels, each scaled to its own peak."""
+    """(image, z, score) over channels, each scaled to its own peak; a channel without a positive score decides nothing."""
     peak = F.max("score").over(Window.partitionBy("image", "channel"))
-    scaled = scores.withColumn("_s", F.coalesce(ratio(F.col("score"), peak), F.lit(0.0)))
+    scaled = scores.withColumn("_s", F.when(peak > 0, F.coalesce(ratio(F.col("score"), peak), F.lit(0.0))).otherwise(1.0))
     logs = F.when(F.min("_s") > 0, F.exp(F.sum(F.when(F.col("_s") > 0, F.log("_s"))))).otherwise(0.0)
     how = {
         "product": logs,

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from spotframe.session import cut_lineage
+
 
 def read_run(spark: SparkSession, path: str, table: str, schema: str | None = None, fmt: str = "parquet") -> DataFrame:
     """A stored table of a finished run; CSV tables need a schema."""
@@ -19,10 +21,13 @@ def read_run(spark: SparkSession, path: str, table: str, schema: str | None = No
 
 
 def write_tables(tables: Mapping[str, DataFrame | None], path: str, partition_by: Mapping[str, Sequence[str]] | None = None, fmt: str = "parquet") -> list[str]:
-    """Write the given tables below ``path``; absent and empty ones are skipped. Returns the names written."""
+    """Write the given tables below ``path``; absent and empty ones are skipped. Returns the names written.
+
+    Each plan runs once, into a checkpoint that is then looked at and copied.
+    """
     written = []
     for name, df in tables.items():
-        if df is None or df.isEmpty():
+        if df is None or (df := cut_lineage(df)).isEmpty():
             continue
         writer = df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
