@@ -8,6 +8,8 @@ from spotframe.llm.common import WORD, save, text_or_empty
 
 #: Order slices per source. A slice holds this share of a source at most, whatever its size.
 SLICES = 4096
+#: Documents of a source that may change sides at the cut, one after the other.
+SWAPS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -65,9 +67,9 @@ def mix_sources(
     the expectation is allocated for certain. The fraction f is its inclusion probability for one more
     copy; documents are ranked by the odds of their random number over the odds of f (Pareto order
     sampling) and taken in that order up to the words the source still lacks. The sample is fixed in
-    words instead of documents because documents differ in length; the order leaves less than one
-    document open, and the one document after the cut that comes nearest to the rest closes the gap
-    if that brings the source nearer to its target. No document is taken more than `cap` times.
+    words instead of documents because documents differ in length. The order leaves less than one
+    document open; up to SWAPS documents of a source are then put in or left out where that brings it nearer
+    to its target. No document is taken more than `cap` times.
 
     Defined cases: null texts have size 0 and take 0; a null source is a source of its own, last in order;
     ties in the random number (a repeated id) fall in order of size; rows that are equal in all of
@@ -103,23 +105,30 @@ def mix_sources(
         .join(c, F.expr("a._s <=> c._s"))
         .select("a.*", "_offset", (F.col("target") - F.col("_certain")).alias("_need"))
         .withColumn("_upto", F.when(F.col("_q").isNotNull(), F.col("_offset") + F.sum("size").over(inside)))
+        .withColumn("_place", F.row_number().over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .withColumn("_in", F.coalesce(F.col("_upto") <= F.col("_need"), F.lit(False)))
     )
     ranked = save(ranked.drop("_offset"))
-    # the document that closes the gap: nearest in size to what is left, the first in order among equals
-    gap = ranked.groupBy("_s").agg((F.first("_need") - F.coalesce(F.sum(F.when(F.col("_in"), F.col("size"))), F.lit(0))).alias("_gap"))
-    g = gap.select(F.col("_s").alias("_gs"), "_gap")
-    off = F.abs(F.col("size") - F.col("_gap"))
-    closing = (
-        ranked.join(g, F.expr("_s <=> _gs"))
-        .where(~F.col("_in") & F.col("_q").isNotNull() & (off < F.col("_gap")))
+    for _ in range(SWAPS):
+        ranked = _closer(ranked)
+    copies = F.col("_whole") + F.col("_in").cast("long")
+    return ranked.select(F.col("_id").alias(id_col), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def _closer(ranked: DataFrame) -> DataFrame:
+    """ranked with one document of each source put in or left out, where that brings the source nearer to its target.
+
+    The document whose size comes nearest to the gap is chosen, the first in the drawn order among equals.
+    """
+    gaps = ranked.groupBy(F.col("_s").alias("_gs")).agg((F.first("_need") - F.coalesce(F.sum(F.when(F.col("_in"), F.col("size"))), F.lit(0))).alias("_gap"))
+    change = F.when(F.col("_in"), -F.col("size")).otherwise(F.col("size"))
+    off = F.abs(F.col("_gap") - change)
+    best = (
+        ranked.join(gaps, F.expr("_s <=> _gs"))
+        .where(F.col("_q").isNotNull() & (off < F.abs("_gap")))
         .groupBy("_gs")
-        .agg(F.min(F.struct(off.alias("o"), F.col("_q").alias("q"), F.col("_id").alias("i"), F.col("size").alias("z"))).alias("_last"))
-        .select("_gs", F.col("_last.i").alias("_li"), F.col("_last.z").alias("_lz"))
-    )
-    copies = F.col("_whole") + F.when(F.col("_in") | F.coalesce(F.col("_id").eqNullSafe(F.col("_li")) & (F.col("size") == F.col("_lz")) & F.col("_q").isNotNull() & F.col("_gs_hit"), F.lit(False)), 1).otherwise(0)
-    return (
-        ranked.join(closing.withColumn("_gs_hit", F.lit(True)), F.expr("_s <=> _gs"), "left")
-        .withColumn("copies", copies)
-        .select(F.col("_id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .agg(F.min(F.struct(off.alias("off"), F.col("_slice").alias("slice"), F.col("_place").alias("place"))).alias("_b"))
+        .select("_gs", F.col("_b.slice").alias("_bs"), F.col("_b.place").alias("_bp"))
     )
+    flipped = ranked.join(save(best), F.expr("_s <=> _gs AND _slice = _bs AND _place = _bp"), "left")
+    return flipped.withColumn("_in", F.col("_in") != F.col("_bp").isNotNull()).drop("_gs", "_bs", "_bp")
