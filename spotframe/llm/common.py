@@ -10,6 +10,8 @@ from spotframe.session import cut_lineage
 
 #: A word is a maximal run of bytes other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Documents per Arrow batch.
+BATCH_ROWS = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -17,6 +19,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """docs as it is; whole texts then reach Python so many at a time, which bounds a worker's memory."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return docs
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; every other character stays as it is."""
     return F.translate(text, UPPER, LOWER)

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spotframe.llm.common import components, save, spaced_lower, text_or_empty
+from spotframe.llm.common import components, save, small_batches, spaced_lower, text_or_empty
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Words remembered per task; the table is emptied when full, which only costs time.
@@ -226,7 +226,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     equal sets link whatever their size; rows repeating an id share the id's components; a null id takes part as a row of
     its own set and is never the smallest while another id is there; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), spaced_lower(text_or_empty(F.col(text_col))).alias("_text"))
+    rows = small_batches(docs).select(F.col(id_col).alias("_id"), spaced_lower(text_or_empty(F.col(text_col))).alias("_text"))
     sets = save(_sets(rows, words, percent))
     distinct = sets.where(F.col("digest").isNotNull() & F.col("_id").isNotNull()).groupBy("digest").agg(F.min("_id").alias("rep"))
     groups = save(distinct)

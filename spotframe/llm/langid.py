@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spotframe.llm.common import crc_mod, save, text_or_empty
+from spotframe.llm.common import crc_mod, save, small_batches, text_or_empty
 
 #: Pieces of more bytes are left out of the vocabulary: a piece then fits into one unsigned long.
 PIECE_BYTES = 8
@@ -209,7 +209,7 @@ class Scorer:
         return out
 
 
-def identify(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2, per_language: int = 500, rounds: int = 4) -> DataFrame:
+def identify(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2, per_language: int = 500, rounds: int = 4, keep_columns: bool = False, prefix: str = "") -> DataFrame:
     """docs' id with (held_out, lang_pred, score): the language that makes the whole text most probable.
 
     Learns from documents with a language whose crc32(id as text) mod `folds` is not `held_out`; predictions
@@ -217,24 +217,28 @@ def identify(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str
 
     Defined cases: a null text, or one without a letter, is `und` with score 0; so is every text where nothing
     can be learned; equal probabilities go to the first language in code-point order; rows repeating an id
-    are judged one by one; an empty table gives no rows; other columns are ignored.
+    are judged one by one; an empty table gives no rows; other columns are ignored, or kept in front of the
+    results with `keep_columns`. `prefix` goes before the names of the results, so that none clashes.
     """
     fold = crc_mod(F.col(id_col), folds) == held_out
     labelled = docs.where(~fold).select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     languages, p = train(labelled, vocab, per_language, rounds)
-    return predict(docs.select(F.col(id_col), F.col(text_col)), languages, p, vocab, id_col, text_col).withColumn("held_out", fold).select(id_col, "held_out", "lang_pred", "score")
+    names = docs.columns if keep_columns else [id_col, text_col]
+    judged = predict(small_batches(docs).select(*names), languages, p, vocab, text_col, prefix).withColumn(f"{prefix}held_out", fold)
+    return judged.select(*(names if keep_columns else [id_col]), *[prefix + c for c in ("held_out", "lang_pred", "score")])
 
 
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def predict(docs: DataFrame, languages: list[str], p: np.ndarray, vocab: str, id_col: str, text_col: str) -> DataFrame:
+def predict(docs: DataFrame, languages: list[str], p: np.ndarray, vocab: str, text_col: str, prefix: str = "") -> DataFrame:
     """docs plus (lang_pred, score); p as returned by `train`."""
+    pred, posterior_name = prefix + "lang_pred", prefix + "score"
     if not languages:
-        return docs.withColumn("lang_pred", F.lit("und")).withColumn("score", F.lit(0.0))
+        return docs.withColumn(pred, F.lit("und")).withColumn(posterior_name, F.lit(0.0))
     names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", lang_pred string, score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + f", `{pred}` string, `{posterior_name}` double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(vocab, p)
@@ -244,11 +248,11 @@ def predict(docs: DataFrame, languages: list[str], p: np.ndarray, vocab: str, id
                 sums = scorer.texts([t or "" for t in batch.column(names.index(text_col)).to_pylist()])
                 best = sums.argmax(axis=1)
                 posterior = 1.0 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([languages[i] for i in best]), pa.array(posterior)], [*names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([languages[i] for i in best]), pa.array(posterior)], [*names, pred, posterior_name])
 
     letters = has_letter(F.col(text_col))
     return (
         docs.mapInArrow(score, schema)
-        .withColumn("score", F.when(letters, F.col("score")).otherwise(0.0))
-        .withColumn("lang_pred", F.when(letters, F.col("lang_pred")).otherwise("und"))
+        .withColumn(posterior_name, F.when(letters, F.col(posterior_name)).otherwise(0.0))
+        .withColumn(pred, F.when(letters, F.col(pred)).otherwise("und"))
     )

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from spotframe.llm.common import save, text_or_empty
+from spotframe.llm.common import save, small_batches, text_or_empty
 from spotframe.llm.encoding import table
 
 #: Ranks inside one length are counted in this many slices, so no length is ranked in one task.
@@ -49,7 +49,7 @@ def token_pieces(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col:
                 columns, names = [*columns, pa.array(raw, pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(F.col(text_col)).alias("_text"))
+    rows = small_batches(docs).select(F.col(id_col).alias("_id"), text_or_empty(F.col(text_col)).alias("_text"))
     return rows.mapInArrow(cut, schema).withColumnRenamed("_id", id_col)
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from spotframe.llm.common import shared_path, text_or_empty
+from spotframe.llm.common import shared_path, small_batches, text_or_empty
 from spotframe.llm.encoding import table
 
 #: A block is closed when it holds so many ids; one longer document is a block of its own.
@@ -96,7 +96,7 @@ def write_token_files(docs: DataFrame, path: str, vocab: str, id_col: str = "doc
         if size:
             yield close()
 
-    rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(F.col(text_col)).alias("_text"))
+    rows = small_batches(docs).select(F.col(id_col).alias("_id"), text_or_empty(F.col(text_col)).alias("_text"))
     ordered = rows.repartitionByRange(F.col("_id").asc_nulls_first()).sortWithinPartitions(F.col("_id").asc_nulls_first(), "_text")
     ordered.mapInArrow(write, schema).write.option("compression", "none").parquet(path)
     return path
