@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from spotframe.llm.common import text_or_empty
+from spotframe.llm.common import small_batches, text_or_empty
 from spotframe.llm.encoding import TEXTS, PieceTable, table
 
 RULES = ("majority", "first", "last")
@@ -126,7 +126,7 @@ def token_counts(
     columns = [F.col(id_col).alias("_id"), text_or_empty(F.col(text_col)).alias("_text")]
     if starts_col:
         columns.append(F.col(starts_col).cast("array<bigint>").alias("_starts"))
-    return docs.select(*columns).mapInArrow(count, schema)
+    return small_batches(docs).select(*columns).mapInArrow(count, schema)
 
 
 def _lines(text: str) -> list[int]:

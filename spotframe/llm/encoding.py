@@ -8,6 +8,8 @@ process. The ids are those of the whole text: the cuts are the tokenizer's own.
 
 from __future__ import annotations
 
+import gc
+import json
 import os
 from array import array
 from functools import lru_cache
@@ -22,6 +24,27 @@ TEXTS = 256
 _TAIL = frozenset(".,;:!?|")
 
 
+def _byte_characters() -> dict[int, str]:
+    """Byte-level vocabularies write every byte as a printable character; the others are counted up from 256."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTES = _byte_characters()
+
+
+def _direct(settings: dict) -> tuple[str, bool] | None:
+    """(how a space before letters is written, whether case is folded) for the two layouts whose letters can skip the pre-tokenizer."""
+    cut, form = settings["pre_tokenizer"] or {}, settings["normalizer"]
+    if form is None and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]:
+        return _BYTES[32], False
+    steps = [s["type"] for s in cut.get("pretokenizers", [])]
+    if steps == ["Split", "ByteLevel"] and form and [s["type"] for s in form.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
+        return "", True
+    return None
+
+
 class PieceTable:
     """Ids of pieces as little-endian unsigned 32-bit integers.
 
@@ -33,6 +56,8 @@ class PieceTable:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.direct = _direct(json.loads(self.tokenizer.to_str()))
         self.head: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
 
@@ -43,6 +68,19 @@ class PieceTable:
         if stems:
             wanted = [p for p in new if p not in stems]
             wanted = list(dict.fromkeys([*wanted, *(s for s in stems.values() if s not in known)]))
+        if self.direct:
+            # a run of letters is one piece whatever stands around it: it goes to the library's merges at once
+            space, folds = self.direct
+            space = space if lead else ""
+            merges, other = self.model.tokenize, []
+            for piece in wanted:
+                if not (piece.isalpha() and (piece.isascii() or max(piece) < "\u0100")):
+                    other.append(piece)
+                    continue
+                plain = piece.lower() if folds else piece
+                coded = merges(space + (plain if plain.isascii() else plain.encode().decode("latin-1").translate(_BYTES)))
+                known[piece] = array("I", [t.id for t in coded]).tobytes()
+            wanted = other
         coded = self.tokenizer.encode_batch_fast([lead + p for p in wanted] if lead else wanted, add_special_tokens=False)
         for piece, one in zip(wanted, coded, strict=True):
             known[piece] = array("I", one.ids).tobytes()
@@ -63,13 +101,23 @@ class PieceTable:
         new pieces.
         """
         self._make_room()
-        cut: list[list[str] | None] = [t.split(" ") for t in texts]
+        cut: list[list[str] | None] = [self._folded(t).split(" ") for t in texts]
         new: set[str] = set()
         for c in cut:
             new.update(filterfalse(self.inner.__contains__, islice(c, 1, None)))
         odd = self._learn_new({c[0] for c in cut}.difference(self.head), new)
         return [None if odd and not odd.isdisjoint(c) else c for c in cut]
 
+    def _folded(self, text: str) -> str:
+        """Lower case where the vocabulary folds case anyway and the text is Latin-1, whose letters fold one by one."""
+        if self.direct and self.direct[1]:
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+            return text.lower()
+        return text
+
     def _make_room(self) -> None:
         if len(self.inner) > REMEMBERED:
             self.inner = {}
@@ -92,7 +140,7 @@ class PieceTable:
             some = texts[at : at + TEXTS]
             self._make_room()
             get = self.inner.get
-            cut = [t.split(" ") for t in some]
+            cut = [self._folded(t).split(" ") for t in some]
             coded = [list(map(get, islice(c, 1, None))) for c in cut]
             open_ = [i for i, (c, ids) in enumerate(zip(cut, coded, strict=True)) if c[0] not in self.head or None in ids]
             if open_:
@@ -114,6 +162,7 @@ class PieceTable:
 @lru_cache(maxsize=2)
 def table(path: str) -> PieceTable:
     """One table per worker process and vocabulary; tasks of the same worker share it."""
+    gc.set_threshold(100_000, 50, 100)  # the tables hold no cycles
     return PieceTable(path)
 
 
