@@ -1,18 +1,21 @@
-"""Exact ranks, quantiles and medians that never gather a whole group in one task.
-
-A group is first collapsed to its distinct values with counts. Groups with many distinct values are
-then cut at bucket edges taken from a hash sample of those values, and ranks are counted inside a
-bucket and offset by the bucket totals. The edges decide only how work is spread: any edges give the
-same ranks. The hash sample is a pure function of the values, so a recomputed task agrees with the
-first run.
+"""Exact ranks, quantiles and medians, in two forms chosen by the caller's keys.
+
+A group is first collapsed to its distinct values with counts. Keys that name an image are bounded by its frame or its
+spots: their values are ranked by a running sum over the group, after one shuffle by the keys. Pooled keys (a channel, a
+condition, none at all) grow with the run: their distinct values are stored once, cut at bucket edges taken from a hash
+sample, and ranked inside a bucket and offset by the bucket totals, so that no task holds a whole group.
+The edges decide only how work is spread: any edges give the same ranks. The hash sample is a pure
+function of the values, so a recomputed task agrees with the first run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from spotframe.session import cut_lineage
+
 SAMPLE_ONE_IN = 1024
 BUCKETS = 256
 
@@ -22,9 +25,7 @@ def _bucketed(distinct: DataFrame, keys: Sequence[str]) -> DataFrame:
     edges = (
         distinct.where(F.pmod(F.xxhash64("v"), F.lit(SAMPLE_ONE_IN)) == 0)
         .groupBy(*keys)
-        .agg(F.percentile("v", F.array(*[F.lit(c) for c in cuts])).alias("edges"), F.count(F.lit(1)).alias("sampled"))
-        .where(F.col("sampled") >= BUCKETS)
-        .select(*keys, "edges")
+        .agg(F.percentile_approx("v", cuts, 100 * BUCKETS).alias("edges"))
     )
     bucket = F.when(F.col("edges").isNull(), F.lit(0)).otherwise(
         F.size(F.filter("edges", lambda e: e < F.col("v")))
@@ -46,11 +47,23 @@ def value_counts(
     )
 
 
-def cumulate(distinct: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``before`` (rows with a smaller value) and ``total`` to a (keys, v, n) table."""
+def is_bounded(keys: Sequence[str]) -> bool:
+    """Whether groups of these keys are as small as an image."""
+    return "image" in keys
+
+
+def cumulate(distinct: DataFrame, keys: Sequence[str], bounded: bool | None = None) -> DataFrame:
+    """Add ``before`` (rows with a smaller value) and ``total`` to a (keys, v, n) table.
+
+    ``bounded`` states that a group fits one task; by default the keys tell, see ``is_bounded``.
+    """
     if not keys:
-        return cumulate(distinct.withColumn("_all", F.lit(1)), ["_all"]).drop("_all")
-    spread = _bucketed(distinct, keys)
+        return cumulate(distinct.withColumn("_all", F.lit(1)), ["_all"], False).drop("_all")
+    if is_bounded(keys) if bounded is None else bounded:
+        group = Window.partitionBy(*keys)
+        smaller = group.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+        return distinct.withColumn("before", F.coalesce(F.sum("n").over(smaller), F.lit(0))).withColumn("total", F.sum("n").over(group))
+    spread = _bucketed(cut_lineage(distinct), keys)
     across = Window.partitionBy(*keys)
     sizes = (
         spread.groupBy(*keys, "bucket")
@@ -129,18 +142,27 @@ def median_and_mad(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
 
 def median_and_mad_of_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same from a (keys, v, n) table."""
+    if is_bounded(keys):
+        group = Window.partitionBy(*keys)
+        ranked = cumulate(counts, keys, True).withColumn("med", _middle(lambda hit: F.max(F.when(hit, F.col("v"))).over(group)))
+        nearer = group.orderBy("off").rowsBetween(Window.unboundedPreceding, -1)
+        by_off = ranked.withColumn("off", F.abs(F.col("v") - F.col("med"))).withColumn("before", F.coalesce(F.sum("n").over(nearer), F.lit(0)))
+        return by_off.groupBy(*keys).agg(F.max("med").alias("med"), _middle(lambda hit: F.max(F.when(hit, F.col("off")))).alias("mad"))
+    counts = cut_lineage(counts)
     med = _weighted_median(counts, keys, "med")
     off = F.abs(F.col("v") - F.col("med"))
     deviations = counts.join(med, list(keys)).withColumn("v", off).groupBy(*keys, "v").agg(F.sum("n").alias("n"))
     return med.join(_weighted_median(deviations, keys, "mad"), list(keys))
 
 
-def _weighted_median(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    ranked = cumulate(counts, keys)
-    upper = F.expr("total div 2")
-    lower = F.expr("(total - 1) div 2")
+def _middle(value_where: Callable[[Column], Column]) -> Column:
+    """Mean of the two middle values; ``value_where`` gives the value of the row that a condition holds for."""
 
     def at(index: Column) -> Column:
-        return F.max(F.when((F.col("before") <= index) & (index < F.col("before") + F.col("n")), F.col("v")))
+        return value_where((F.col("before") <= index) & (index < F.col("before") + F.col("n")))
+
+    return (at(F.expr("(total - 1) div 2")) + at(F.expr("total div 2"))) / 2.0
 
-    return ranked.groupBy(*keys).agg(((at(lower) + at(upper)) / 2.0).alias(name))
+
+def _weighted_median(counts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    return cumulate(counts, keys).groupBy(*keys).agg(_middle(lambda hit: F.max(F.when(hit, F.col("v")))).alias(name))

@@ -101,7 +101,8 @@ def _position_sums(nuclei: DataFrame, n: int) -> DataFrame:
     spots, whose sums meet again in the final aggregate.
     """
     starts = F.sequence(F.lit(0).cast("long"), F.col("n_spots") - 1, F.lit(CHUNK).cast("long"))
-    chunks = nuclei.withColumn("c0", F.explode(starts))
+    # the chunks of a nucleus leave the task that it stands in
+    chunks = nuclei.withColumn("c0", F.explode(starts)).repartition(*KEY, "c0")
     size = CHUNK
     drawn = chunks.mapInPandas(lambda it: _position_batches(it, n, size), "image long, nucleus_id long, n_spots long, sums array<double>")
     sums = drawn.select(*KEY, "n_spots", F.posexplode("sums").alias("_i", "_s"))
@@ -277,7 +278,7 @@ def _constellations(spots: DataFrame, plane_rows: DataFrame, labels: DataFrame,
     chunked = points.join(centre.select(*KEY, "n_spots"), KEY).withColumn("part", F.pmod(F.xxhash64("spot_id"), parts))
     lists = chunked.groupBy(*KEY, "part").agg(F.collect_list(F.struct("spot_id", "cy", "cx", "v")).alias("sp"))
     grids = cut_lineage(_grids(means, region))
-    return lists.join(centre, KEY).join(grids, KEY), centre, _pixels(means, region)
+    return lists.join(centre, KEY).join(grids, KEY).repartition(*KEY, "part"), centre, _pixels(means, region)
 
 
 def rotation_null(
