@@ -63,20 +63,27 @@ def spearman_by(spark, sf):
     return rounded(coloc.spearman_by(_pairs(spark, sf), "a", "b", KEY), 7, "rho")
 
 
-MAD = """v_med AS (SELECT image, nucleus_id, median(a) AS med FROM v_pair GROUP BY ALL),
-v_mad AS (SELECT image, nucleus_id, med, median(abs(a - med)) AS mad FROM v_pair JOIN v_med USING (image, nucleus_id) GROUP BY ALL)"""
+BOTH = "v_both AS (SELECT image, nucleus_id, 'a' AS channel, a AS v FROM v_pair UNION ALL SELECT image, nucleus_id, 'b', b FROM v_pair)"
+MAD = """v_med AS (SELECT image, nucleus_id, channel, median(v) AS med FROM v_both GROUP BY ALL),
+v_mad AS (SELECT image, nucleus_id, channel, med, median(abs(v - med)) AS mad FROM v_both JOIN v_med USING (image, nucleus_id, channel) GROUP BY ALL)"""
 
 
-@check(oracle("SELECT image, nucleus_id, CASE WHEN mad <= 0 THEN med ELSE med + 2 * mad END AS thr FROM v_mad", PAIR, MAD))
+def _both(spark, sf):
+    """Pixel values of both channels, one below the other."""
+    cells = F.array(*[F.struct(F.lit(c).alias("channel"), F.col(c).alias("v")) for c in "ab"])
+    return _pairs(spark, sf).select(*KEY, F.explode(cells).alias("_c")).select(*KEY, "_c.channel", "_c.v")
+
+
+@check(oracle("SELECT image, nucleus_id, channel, CASE WHEN mad <= 0 THEN med ELSE med + 2 * mad END AS thr FROM v_mad", PAIR, BOTH, MAD))
 def mad_threshold(spark, sf):
-    return thresholds.mad_threshold(_pairs(spark, sf), "a", KEY)
+    return thresholds.mad_threshold(_both(spark, sf), "v", [*KEY, "channel"])
 
 
 @check(oracle("""
-SELECT image, nucleus_id, a AS thr FROM (SELECT image, nucleus_id, a, row_number() OVER (PARTITION BY image, nucleus_id ORDER BY a) - 1 AS i, count(*) OVER (PARTITION BY image, nucleus_id) AS n FROM v_pair)
-WHERE i = round_even(0.8::DOUBLE * (n - 1), 0)""", PAIR))
+SELECT image, nucleus_id, channel, v AS thr FROM (SELECT image, nucleus_id, channel, v, row_number() OVER (PARTITION BY image, nucleus_id, channel ORDER BY v) - 1 AS i, count(*) OVER (PARTITION BY image, nucleus_id, channel) AS n FROM v_both)
+WHERE i = round_even(0.8::DOUBLE * (n - 1), 0)""", PAIR, BOTH))
 def fiji_percentile(spark, sf):
-    return thresholds.fiji_percentile(_pairs(spark, sf), "a", KEY)
+    return thresholds.fiji_percentile(_both(spark, sf), "v", [*KEY, "channel"])
 
 
 OTSU = """v_span AS (SELECT image, channel, z, min(v) AS lo, max(v) AS hi FROM v_stack GROUP BY ALL),
@@ -113,6 +120,15 @@ def costes(spark, sf):
     return rounded(thresholds.costes(_pairs(spark, sf), "a", "b", ["image"]), 5, "thr_a", "thr_b")
 
 
+@check(oracle("SELECT l.image, round(coalesce(h.t, f.fa), 5) AS thr FROM v_line l JOIN v_fb f USING (image) LEFT JOIN v_hit h USING (image)", PAIR, COSTES))
+def coloc_threshold_costes(spark, sf):
+    """The first channel of the pair; the fallback chain behind it never acts, as every image has a positive answer."""
+    pixels = _pairs(spark, sf).select("image", F.lit("a").alias("channel"), F.col("a").alias("v"), F.col("b").alias("other"))
+    none = F.lit(None).cast("double")
+    fallback = V.images(spark, sf).select("image", F.lit("a").alias("channel"), none.alias("spot_thr"), none.alias("otsu_thr"), F.lit(1.0).alias("p99"))
+    return rounded(thresholds.coloc_threshold(pixels, fallback, "image", "costes").drop("channel"), 5, "thr")
+
+
 def _nuclear(spark, sf):
     rows = V.pixel_rows(spark, sf).where("channel <> 'dapi'")
     return pixels_in(rows, V.labels(spark, sf)).select("image", "channel", "v")
