@@ -225,9 +225,12 @@ def plate_stats(spark, sf):
     return rounded(fov.plate_stats(fov.secondary_correct(_fields(spark, sf), 4096)[1], with_p=False), 4, *T_COLS)
 
 
-@check(oracle("SELECT channel, min(exp_qki_s) AS lowest, max(exp_qki_s) AS highest, count(*) AS n_fov, CASE WHEN max(exp_qki_s) - min(exp_qki_s) <= 0.005 THEN 'OK' ELSE 'MISMATCH' END AS status FROM v_pf GROUP BY ALL", FIELDS))
+@check(oracle("""
+SELECT channel, min(e) AS lowest, max(e) AS highest, count(*) AS n_fov, count(DISTINCT e) AS n_exposures, CASE WHEN max(e) - min(e) <= 0.005 THEN 'OK' ELSE 'MISMATCH' END AS status
+FROM (SELECT channel, exp_qki_s AS e FROM v_pf UNION ALL SELECT 'dapi(DAPI)', exp_qki_s * 2 FROM v_pf) GROUP BY ALL""", FIELDS))
 def exposure_check(spark, sf):
-    return fov.exposure_check(_fields(spark, sf), 0.005)
+    fields = _fields(spark, sf).withColumn("exp_dapi_s", F.col("exp_qki_s") * 2)
+    return fov.exposure_check(fields, 0.005).withColumn("n_exposures", F.size("exposures")).drop("exposures")
 
 
 @check(oracle("""

@@ -22,12 +22,22 @@ def _weighted(weights: dict[tuple[int, int], float], x: Column) -> Column:
     return reduce(lambda a, b: a + b, terms)
 
 
-def focus_scores(plane_rows: DataFrame, metric: str = "variance_of_laplacian", intensity_weighted: bool = False) -> DataFrame:
+def focus_scores(
+    plane_rows: DataFrame, metric: str = "variance_of_laplacian", intensity_weighted: bool = False, mask: DataFrame | None = None, min_intensity: float = 0.0
+) -> DataFrame:
     """(image, channel, z, score, mean): sharpness of each slice; 0 where its mean is not positive.
 
-    A pixel past the edge repeats the edge pixel.
+    A pixel past the edge repeats the edge pixel. With ``mask`` (image, y, x) only its pixels count towards mean and score,
+    while filters still see their real neighbours; slices of images outside the mask score 0. Slices dimmer
+    than ``min_intensity`` times the brightest of their stack score 0.
     """
-    flat = plane_rows.select(*SLICE, F.explode("vals").alias("v"))
+
+    def values(rows: DataFrame, of: Column | str, name: str) -> DataFrame:
+        if mask is None:
+            return rows.select(*SLICE, F.explode(of).alias(name))
+        return rows.select(*SLICE, "y", F.posexplode(of).alias("x", name)).join(mask.select("image", "y", "x"), ["image", "y", "x"], "left_semi")
+
+    flat = values(plane_rows, "vals", "v")
     level = flat.groupBy(*SLICE).agg(F.avg("v").alias("mean"), F.var_pop("v").alias("_var"))
     if metric == "normalized_variance":
         scored = level.withColumn("score", F.col("_var") / F.when(F.col("mean") > 0, F.col("mean") * F.col("mean")))
@@ -43,10 +53,16 @@ def focus_scores(plane_rows: DataFrame, metric: str = "variance_of_laplacian", i
         else:
             raise ValueError(f"unknown metric {metric}")
         # both filters are linear, so dividing by the mean beforehand equals scaling the result
-        raw = near.select(*SLICE, F.explode(value).alias("e")).groupBy(*SLICE).agg(total.alias("_raw"))
+        raw = values(near, value, "e").groupBy(*SLICE).agg(total.alias("_raw"))
         scored = level.join(raw, SLICE).withColumn("score", F.col("_raw") / F.when(F.col("mean") > 0, scale))
+    if mask is not None:
+        scored = plane_rows.select(*SLICE).distinct().join(scored, SLICE, "left").fillna(0.0, ["mean"])
     score = F.coalesce("score", F.lit(0.0))
-    return scored.select(*SLICE, (score * F.col("mean") if intensity_weighted else score).alias("score"), "mean")
+    out = scored.select(*SLICE, (score * F.col("mean") if intensity_weighted else score).alias("score"), "mean")
+    if min_intensity <= 0:
+        return out
+    dim = F.col("mean") < F.max("mean").over(Window.partitionBy("image", "channel")) * min_intensity
+    return out.withColumn("score", F.when(dim, 0.0).otherwise(F.col("score")))
 
 
 def best_plane(scores: DataFrame, keys: tuple[str, ...] = ("image", "channel")) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from spotframe.functions.scalars import ratio
 from spotframe.operators.frames import flat, pixels_in
@@ -85,13 +85,22 @@ def plate_stats(wells: DataFrame, raw: Sequence[str] = ("qki_mean", "ratio", "m1
     return welch(rows, "v", "side", "WT", "KO", keys, with_p)
 
 
-def exposure_check(fov: DataFrame, tol: float = 1e-6) -> DataFrame:
-    """(channel, lowest, highest, n_fov, status): exposures of a channel agree within a tolerance."""
-    lo, hi = F.min("exp_qki_s"), F.max("exp_qki_s")
-    return fov.groupBy("channel").agg(
-        lo.alias("lowest"), hi.alias("highest"), F.count(F.lit(1)).alias("n_fov"),
-        F.when(lo.isNull() | (hi - lo <= tol), "OK").otherwise("MISMATCH").alias("status"),
-    )
+def exposure_check(fov: DataFrame, tol: float = 1e-6, dapi: str = "dapi") -> DataFrame:
+    """(channel, lowest, highest, n_fov, exposures, status): exposures of a channel agree within a tolerance.
+
+    With a column exp_dapi_s the nuclear stain of all fields is one more row, named <dapi>(DAPI). ``exposures`` lists the
+    different settings of a plate's channel, in order.
+    """
+
+    def agree(rows: DataFrame, channel: Column, exposure: str) -> DataFrame:
+        lo, hi = F.min(exposure), F.max(exposure)
+        return rows.groupBy(channel.alias("channel")).agg(
+            lo.alias("lowest"), hi.alias("highest"), F.count(F.lit(1)).alias("n_fov"), F.sort_array(F.collect_set(exposure)).alias("exposures"),
+            F.when(lo.isNull() | (hi - lo <= tol), "OK").otherwise("MISMATCH").alias("status"),
+        )
+
+    out = agree(fov, F.col("channel"), "exp_qki_s")
+    return out.unionByName(agree(fov, F.lit(f"{dapi}(DAPI)"), "exp_dapi_s")) if "exp_dapi_s" in fov.columns else out
 
 
 def conflict_check(fov: DataFrame, plate: DataFrame, channels: Sequence[str], overrides: Mapping[int, str], channel_map: Mapping[str, str]) -> DataFrame:

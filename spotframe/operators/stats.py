@@ -8,6 +8,7 @@ over whole runs do not gather a metric in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -171,6 +172,12 @@ def replicate_test(df: DataFrame, v: str, group: str, a: str, b: str, replicate:
     return out.withColumn("pct_change", change)
 
 
+def replicate_tests(df: DataFrame, v: str, group: str, groups: Sequence[str], replicate: str, keys: Sequence[str] = (), with_p: bool = True) -> DataFrame:
+    """``replicate_test`` of every further group against the first, with the group in column ``against``."""
+    first, *others = groups
+    return reduce(DataFrame.unionByName, [replicate_test(df, v, group, first, other, replicate, keys, with_p).withColumn("against", F.lit(other)) for other in others])
+
+
 def quantile_edges(df: DataFrame, v: str, parts: int, keys: Sequence[str]) -> DataFrame:
     """(keys, edges): interpolated quantile edges with repeats removed."""
     names = {f"q{i}": i / parts for i in range(parts + 1)}

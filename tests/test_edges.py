@@ -2,13 +2,15 @@
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from spotframe.functions.scalars import prettify
 from spotframe.functions.tails import _exact_u, t_p, u_p
 from spotframe.operators.channels import autodetect_channels
-from spotframe.operators.focus import joint_plane, joint_score
+from spotframe.operators.focus import focus_scores, joint_plane, joint_score
 from spotframe.operators.neighbours import nearest_partner
+from spotframe.operators.stats import replicate_test, replicate_tests
 from spotframe.operators.thresholds import costes
 
 
@@ -71,6 +73,38 @@ def test_long_labels_stay_whole(spark):
     assert got == len(text)
 
 
+def test_masked_focus_scores(spark):
+    rng = np.random.default_rng(4)
+    planes = rng.integers(1, 100, (3, 6, 7)).astype(float)
+    planes[2] *= 0.05
+    rows = [(1, "a", z, y, planes[z, y].tolist()) for z in range(3) for y in range(6)] + [(2, "a", 0, y, [1.0, 5.0]) for y in range(2)]
+    df = spark.createDataFrame(rows, "image long, channel string, z long, y long, vals array<double>")
+    inside = [(y, x) for y in range(6) for x in range(7) if (y * 7 + x) % 3 == 0]
+    mask = spark.createDataFrame([(1, y, x) for y, x in inside], "image long, y long, x long")
+    got = {(r["image"], r["z"]): (r["score"], r["mean"]) for r in focus_scores(df, mask=mask).collect()}
+    at = tuple(np.array(inside).T)
+    for z, p in enumerate(planes):
+        mean, e = p[at].mean(), np.pad(p, 1, mode="edge")
+        lap = e[:-2, 1:-1] + e[2:, 1:-1] + e[1:-1, :-2] + e[1:-1, 2:] - 4 * p
+        assert math.isclose(got[1, z][0], (lap / mean)[at].var(), rel_tol=1e-9) and math.isclose(got[1, z][1], mean, rel_tol=1e-12)
+    assert got[2, 0] == (0.0, 0.0)
+    full = spark.createDataFrame([(i, y, x) for i in (1, 2) for y in range(6) for x in range(7)], "image long, y long, x long")
+    plain = sorted(map(tuple, focus_scores(df).collect()))
+    assert all(a[:3] == b[:3] and math.isclose(a[3], b[3], rel_tol=1e-9) for a, b in zip(plain, sorted(map(tuple, focus_scores(df, mask=full).collect()))))
+    dim = {(r["image"], r["z"]): r["score"] for r in focus_scores(df, min_intensity=0.5).collect()}
+    assert dim[1, 2] == 0.0 and dim[1, 0] > 0
+
+
+def test_every_group_against_the_first(spark):
+    rows = [(g, r, float(i + 3 * r + 7 * "abc".index(g))) for g in "abc" for r in range(4) for i in range(5)]
+    df = spark.createDataFrame(rows, "g string, rep long, v double")
+    got = {r["against"]: r.asDict() for r in replicate_tests(df, "v", "g", ["a", "b", "c"], "rep").collect()}
+    assert set(got) == {"b", "c"}
+    for other in "bc":
+        one = replicate_test(df, "v", "g", "a", other, "rep").first().asDict()
+        assert {k: v for k, v in got[other].items() if k != "against"} == one
+
+
 def test_u_p_falls_to_normal_with_ties(spark):
     df = spark.createDataFrame([(10.0, 5.0, 4.0, 6.0), (None, 5.0, 4.0, 0.0)], "u double, n1 double, n2 double, ties double")
     got = [r[0] for r in df.select(u_p("u", "n1", "n2", "ties")).collect()]
