@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from spotframe.functions.draws import PRIME, SHIFTS, WEIGHTS, draw_index, stream
 from spotframe.functions.ranks import quantiles
@@ -393,9 +393,10 @@ def pool_weighted(nuclei: DataFrame) -> DataFrame:
 
 def matched_random(spots: DataFrame, labels: DataFrame, seed: int = 0) -> DataFrame:
     """(KEY, spot_id, y, x): for every spot one random pixel of its nucleus."""
-    pixels = labels.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("y", "x"))).alias("px"))
+    numbered = labels.select(*KEY, "y", "x").withColumn("_k", F.row_number().over(Window.partitionBy(*KEY).orderBy("y", "x")) - 1)
+    sizes = labels.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_size"))
     state = stream(seed, *[F.col(k) for k in KEY])
-    at = F.get("px", draw_index(state, F.size("px"), F.col("spot_id") % PRIME).cast("int"))
-    return spots.where(F.col("nucleus_id") > 0).select(*KEY, "spot_id").join(pixels, KEY).select(*KEY, "spot_id", at.alias("_p")).select(
-        *KEY, "spot_id", F.col("_p.y").alias("y"), F.col("_p.x").alias("x")
-    )
+    drawn = spots.where(F.col("nucleus_id") > 0).select(*KEY, "spot_id").join(sizes, KEY)
+    at = draw_index(state, F.col("_size"), F.col("spot_id") % PRIME).cast("int")
+    # the drawn number meets its pixel: no spot carries the pixels of its nucleus
+    return drawn.withColumn("_k", at).join(numbered, [*KEY, "_k"]).select(*KEY, "spot_id", "y", "x")
