@@ -2,12 +2,14 @@
 
 Every byte covered by a `width`-byte string that also starts in a document with a smaller id is removed.
 
+0. A text that equals a smaller document's is covered as a whole. Such copies are found by their SHA-256 and take no
+   further part: what they hold, the smaller document holds.
 1. Each `width`-byte string has an anchor: the smallest hash among the `GRAM`-byte strings inside it. The anchor depends
    on the string alone, so equal strings have equal anchors. Documents are dealt into blocks; a block
    sends each of its anchors once, and anchors that only one document has are dropped.
 2. Around the shared anchors blocks cut contexts: runs of neighbouring strings with the same anchor, at most
    `width` + RUN - 1 bytes. Equal contexts of a block are sent once, with the smallest and largest id that has them.
-3. The contexts of a bucket of anchors are one collection of short documents. Its transform and longest common prefixes are
+3. An anchor with one context has nothing to compare. All other contexts of a bucket of anchors are one collection of short documents. Its transform and longest common prefixes are
    built as in BCR: each round inserts one more symbol of every document, from the right; the place of a new suffix
    follows from the place of the suffix before it. Neighbours with a common prefix of `width` or more are
    the same string, and the smallest id among them decides.
@@ -18,12 +20,13 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from spotframe.llm.common import small_batches, text_or_empty
+from spotframe.llm.common import save, small_batches, text_or_empty
 
 #: Bytes of an anchor, and strings at most in a context.
 GRAM, RUN = 20, 64
@@ -142,41 +145,52 @@ def collection_order(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.nda
         at = end[which] - suffix - 1
         return np.where(length[which] > suffix, symbols[at], 0).astype(np.uint8)
 
-    who = np.arange(m, dtype=np.int32)
-    size_of = np.zeros(m, dtype=np.uint8)
-    bwt, common = symbol_before(who, 0), np.zeros(m, dtype=np.uint8)
-    active, place = np.flatnonzero(length > 0), None
-    place = active.copy()
-    j = 0
-    while len(active):
-        j += 1
+    bwt, common = symbol_before(np.arange(m), 0), np.zeros(m, dtype=np.uint8)
+    active = np.flatnonzero(length > 0)
+    place, j = active.copy(), 0
+
+    def ranks() -> tuple[np.ndarray, np.ndarray, int]:
         order = np.argsort(bwt, kind="stable")  # the suffixes that follow, by their first symbol
-        closed = int(np.searchsorted(bwt[order], 1)) if len(bwt) < 1 << 16 else int((bwt == 0).sum())
         rank = np.empty(len(bwt), dtype=np.int64)
         rank[order] = np.arange(len(bwt))
+        return order, rank, len(bwt) - int(np.count_nonzero(bwt))
+
+    while len(active):
+        j += 1
+        order, rank, closed = ranks()
         k = rank[place]
         new = m + k - closed
         # common prefixes of the new suffixes with their neighbours: one more than those of the suffixes behind
         lowest = LowestBetween(common)
-        sorted_symbol = bwt[order]
-        before = np.where((k > closed) & (sorted_symbol[k - 1] == sorted_symbol[k]), order[k - 1], -1)
-        after_k = np.minimum(k + 1, len(bwt) - 1)
-        after = np.where((k + 1 < len(bwt)) & (sorted_symbol[after_k] == sorted_symbol[k]), order[after_k], -1)
+        own = bwt[place]
+        last = order[np.maximum(k - 1, 0)]
+        has_last = (k > 0) & (bwt[last] == own)
+        following = order[np.minimum(k + 1, len(bwt) - 1)]
+        has_following = (k + 1 < len(bwt)) & (bwt[following] == own)
         size = m + len(bwt) - closed
         old = np.ones(size, dtype=bool)
         old[new] = False
-        out_bwt, out_common, out_who, out_size = (columns.empty(size, t) for t in (np.uint8, np.uint8, np.int32, np.uint8))
-        out_bwt[old], out_common[old], out_who[old], out_size[old] = bwt, common, who, size_of
-        out_bwt[new], out_who[new], out_size[new] = symbol_before(active, j), active, min(j, 255)
+        out_bwt, out_common = columns.empty(size, np.uint8), columns.empty(size, np.uint8)
+        out_bwt[old], out_common[old] = bwt, common
+        out_bwt[new] = symbol_before(active, j)
         value = np.zeros(len(k), dtype=np.uint8)
-        has = before >= 0
-        value[has] = np.minimum(lowest.of(before[has] + 1, place[has]) + 1, depth)
+        value[has_last] = np.minimum(lowest.of(last[has_last] + 1, place[has_last]) + 1, depth)
         out_common[new] = value
-        has = after >= 0
-        out_common[new[has] + 1] = np.minimum(lowest.of(place[has] + 1, after[has]) + 1, depth)
-        bwt, common, who, size_of = out_bwt, out_common, out_who, out_size
+        out_common[new[has_following] + 1] = np.minimum(lowest.of(place[has_following] + 1, following[has_following]) + 1, depth)
+        bwt, common = out_bwt, out_common
         going = length[active] > j
         active, place = active[going], new[going]
+    # which suffix stands where: from the empty suffixes, one symbol back at a time
+    _, rank, closed = ranks()
+    who, size_of = np.empty(len(bwt), dtype=np.int32), np.empty(len(bwt), dtype=np.uint8)
+    active = place = np.arange(m)
+    j = 0
+    while len(active):
+        who[place], size_of[place] = active, min(j, 255)
+        going = length[active] > j
+        active, place = active[going], m + rank[place[going]] - closed
+        j += 1
+    common = np.array(common)
     columns.close()
     return who, size_of, common
 
@@ -201,8 +215,10 @@ def smallest_owners(texts: list[bytes], owner: np.ndarray, width: int) -> list[n
     return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _raw(frame: pd.DataFrame) -> list[bytes]:
-    return [t.encode("utf-8", "surrogatepass") for t in frame["_text"]]
+def _split(rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """(rows that carry an anchor, rows that name a copy). No number is ever null: pandas would make them floats."""
+    copy = rows["is_copy"].to_numpy(dtype=bool)
+    return rows[~copy], rows[copy]
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, with_kept: bool = False) -> DataFrame:
@@ -224,11 +240,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = rows.agg(F.coalesce(F.sum(F.length("_text") + 100), F.lit(0)).alias("s")).first()["s"]
     blocks = max(1, -(-size // BLOCK_CHARS))
     buckets = BUCKETS * blocks
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("_id", F.length("_text")), F.lit(blocks)).cast("int")).repartition(int(blocks), "block")
-
-    def send_anchors(frame: pd.DataFrame) -> pd.DataFrame:
+    block = F.pmod(F.xxhash64("_id", F.length("_text")), F.lit(blocks)).cast("int").alias("block")
+    dealt = rows.select("*", F.xxhash64("_text").alias("_h"), block).repartition(int(blocks), "block")
+    digests = save(rows.where(F.octet_length("_text") >= width).select("_id", F.xxhash64("_text").alias("_h"), block, F.unhex(F.sha2(F.col("_text"), 256)).alias("_sha")))
+    first = digests.groupBy("_sha").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    copies = save(digests.join(first, "_sha").where(F.col("_id") > F.col("_first")).select("block", F.col("_id").alias("copy"), F.col("_h").alias("copy_h")))
+
+    def originals(frame: pd.DataFrame, copies_: pd.DataFrame) -> Iterator[tuple[int, bytes]]:
+        gone = set(zip(copies_["copy"], copies_["copy_h"], strict=True))
+        for doc, h, text in zip(frame["_id"], frame["_h"], frame["_text"], strict=True):
+            if (doc, h) not in gone:
+                yield doc, text.encode("utf-8", "surrogatepass")
+
+    def send_anchors(frame: pd.DataFrame, copies_: pd.DataFrame) -> pd.DataFrame:
         found, ids = [], []
-        for doc, raw in zip(frame["_id"], _raw(frame), strict=True):
+        for doc, raw in originals(frame, copies_):
             a = anchors(raw, width)
             if len(a):
                 a = np.unique(a[np.concatenate(([True], a[1:] != a[:-1]))])
@@ -245,18 +271,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         block = int(frame["block"].iloc[0]) + 1
         return pd.DataFrame({"anchor": flat[first].view(np.int64), "at": np.where(several, -block, block).astype(np.int32)})
 
-    sent = dealt.groupBy("block").applyInPandas(send_anchors, "anchor bigint, at int")
+    sent = dealt.groupBy("block").cogroup(copies.groupBy("block")).applyInPandas(send_anchors, "anchor bigint, at int")
+    no_copy = (F.lit(0).cast("bigint").alias("copy"), F.lit(0).cast("bigint").alias("copy_h"), F.lit(False).alias("is_copy"))
     alike = Window.partitionBy("anchor")  # one row per block at most
     shared = (
         sent.withColumn("_n", F.count(F.lit(1)).over(alike))
         .where((F.col("_n") > 1) | (F.col("at") < 0))
-        .select("anchor", (F.abs("at") - 1).alias("block"))
+        .select((F.abs("at") - 1).alias("block"), "anchor", *no_copy)
+        .unionByName(copies.select("block", F.lit(0).cast("bigint").alias("anchor"), "copy", "copy_h", F.lit(True).alias("is_copy")))
     )
 
     def cut_contexts(frame: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        known = np.sort(wanted["anchor"].to_numpy(dtype=np.int64).view(np.uint64))
+        anchors_, copies_ = _split(wanted)
+        known = np.sort(anchors_["anchor"].to_numpy(dtype=np.int64).view(np.uint64))
         held: dict[bytes, list] = {}
-        for doc, raw in zip(frame["_id"], _raw(frame), strict=True):
+        for doc, raw in originals(frame, copies_):
             first, past, value = runs(anchors(raw, width), known)
             for a, b, v in zip(first.tolist(), past.tolist(), value.view(np.int64).tolist(), strict=True):
                 context = raw[a : b + width - 1]
@@ -278,7 +307,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         codes, distinct = pd.factorize(frame["context"])
         owner = np.full(len(distinct), last)
         np.minimum.at(owner, codes, frame["low"].to_numpy())
-        lowest = smallest_owners(list(distinct), owner, width)
+        anchor = np.empty(len(distinct), dtype=np.int64)
+        anchor[codes] = frame["anchor"].to_numpy()
+        _, group, number = np.unique(anchor, return_inverse=True, return_counts=True)
+        alone = number[group] == 1
+        lowest: list = [None] * len(distinct)
+        for c in np.flatnonzero(alone):
+            lowest[c] = owner[c : c + 1]
+        several = np.flatnonzero(~alone)
+        for c, v in zip(several, smallest_owners([distinct[c] for c in several], owner[several], width), strict=True):
+            lowest[c] = v
         least = np.fromiter((v.min() for v in lowest), dtype=np.int64, count=len(lowest))
         matters = np.flatnonzero(least[codes] < frame["high"].to_numpy())
         steps = {}
@@ -291,13 +329,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pd.DataFrame({"block": part["block"].to_numpy(), "anchor": part["anchor"].to_numpy(), "key": [c[0] for c in chosen], "first": [c[1] for c in chosen], "owner": [c[2] for c in chosen]})
 
     resolved = bucketed.groupBy("bucket").applyInPandas(resolve, "block int, anchor bigint, key binary, first array<int>, owner array<bigint>")
+    answers = resolved.select("*", *no_copy).unionByName(copies.select("block", F.lit(0).cast("bigint").alias("anchor"), "copy", "copy_h", F.lit(True).alias("is_copy")), allowMissingColumns=True)
     schema = f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if with_kept else "")
 
-    def cut_texts(frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        known = np.unique(answers["anchor"].to_numpy(dtype=np.int64).view(np.uint64))
-        lookup = {k: (f, o) for k, f, o in zip(answers["key"], answers["first"], answers["owner"], strict=True)}
+    def cut_texts(frame: pd.DataFrame, answers_: pd.DataFrame) -> pd.DataFrame:
+        found_, copies_ = _split(answers_)
+        known = np.unique(found_["anchor"].to_numpy(dtype=np.int64).view(np.uint64))
+        lookup = {k: (f, o) for k, f, o in zip(found_["key"], found_["first"], found_["owner"], strict=True)}
+        gone_ = set(zip(copies_["copy"], copies_["copy_h"], strict=True))
         out = []
-        for doc, raw in zip(frame["_id"], _raw(frame), strict=True):
+        for doc, h, text in zip(frame["_id"], frame["_h"], frame["_text"], strict=True):
+            raw = text.encode("utf-8", "surrogatepass")
+            if (doc, h) in gone_:
+                out.append((len(raw), len(raw), 1, hashlib.sha256(b"").hexdigest(), b""))
+                continue
             edge = np.zeros(len(raw) + 1, dtype=np.int32)
             first, past, _ = runs(anchors(raw, width), known) if lookup else ((), (), ())
             hit = False
@@ -323,4 +368,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         table.insert(0, id_col, frame["_own"].to_numpy() if len(frame) else [])
         return table if with_kept else table.drop(columns="kept")
 
-    return dealt.groupBy("block").cogroup(resolved.groupBy("block")).applyInPandas(cut_texts, schema)
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(cut_texts, schema)
