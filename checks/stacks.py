@@ -53,6 +53,14 @@ def focus_scores(spark, sf):
     return rounded(rounded(_scores(spark, sf), 7, "score"), 6, "mean")
 
 
+@check(oracle("""
+SELECT image, channel, z, med AS median, mad, round(p999, 6) AS p999, round(CASE WHEN mad > 0 THEN (p999 - med) / (mad * 1.4826) WHEN p999 > med THEN 'infinity'::DOUBLE ELSE 0 END, 6) AS quality
+FROM (SELECT image, channel, z, any_value(med) AS med, median(abs(v - med)) AS mad, quantile_cont(v, 0.999) AS p999
+  FROM v_stack JOIN (SELECT image, channel, z, median(v) AS med FROM v_stack GROUP BY ALL) USING (image, channel, z) GROUP BY ALL)"""))
+def plane_quality(spark, sf):
+    return rounded(focus.plane_quality(V.stack(spark, sf), ("image", "channel", "z")), 6, "quality", "p999")
+
+
 @check(oracle("SELECT image, channel, z, round(ten, 6) AS score FROM v_sc", NEAR))
 def focus_tenengrad(spark, sf):
     return rounded(_scores(spark, sf, "tenengrad").drop("mean"), 6, "score")

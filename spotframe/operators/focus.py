@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from spotframe.functions.ranks import median_and_mad, quantiles
 from spotframe.functions.scalars import ratio
 from spotframe.operators.frames import _neighbour_rows
 
+GAUSSIAN_MAD = 1.4826
 SLICE = ["image", "channel", "z"]
 # 3 x 3 weights, as (dy, dx): weight.
 LAPLACE = {(-1, 0): 1.0, (0, -1): 1.0, (0, 0): -4.0, (0, 1): 1.0, (1, 0): 1.0}
@@ -156,6 +159,17 @@ def joint_plane(scores: DataFrame, reduce_by: str = "product") -> DataFrame:
     return best_plane(joint_score(scores, reduce_by), ("image",))
 
 
+def plane_quality(planes: DataFrame, keys: Sequence[str] = ("image",)) -> DataFrame:
+    """(keys, median, mad, p999, quality): how far the brightest pixels stand above the noise of a plane.
+
+    quality is (p999 - median) / (1.4826 * MAD); without spread it is infinite where a bright tail exists, else 0.
+    """
+    level = median_and_mad(planes, "v", keys).join(quantiles(planes, "v", keys, {"p999": 0.999}), list(keys))
+    above, noise = F.col("p999") - F.col("med"), F.col("mad") * GAUSSIAN_MAD
+    quality = F.when(noise > 0, above / noise).when(above > 0, F.lit(float("inf"))).otherwise(0.0)
+    return level.select(*keys, F.col("med").alias("median"), "mad", "p999", quality.alias("quality"))
+
+
 def anchor_plane(scores: DataFrame, quality: DataFrame, minimum: float = 3.0) -> DataFrame:
     """(image, z, anchor): the RNA plane where its quality suffices, else the DAPI plane.
 

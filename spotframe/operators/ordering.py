@@ -70,9 +70,15 @@ def top_nuclei_samples(spots: DataFrame, labels: DataFrame, n_nuclei: int = 6, k
 
 
 def densest_fov(fov: DataFrame) -> DataFrame:
-    """Per well the field with most nuclei; the smallest field number among equals."""
-    best = F.max_by("fov", F.struct(F.col("nucleus_count"), (-F.col("fov")).alias("_o")))
-    return fov.groupBy("well").agg(best.alias("fov"), F.max("nucleus_count").alias("nucleus_count"))
+    """Per well the field with most nuclei, the smallest field number among equals; without counts the middle field.
+
+    A well has few fields, so they are ordered as one array.
+    """
+    known = F.col("nucleus_count").isNotNull()
+    best = F.max_by(F.when(known, F.col("fov")), F.when(known, F.struct(F.col("nucleus_count"), (-F.col("fov")).alias("_o"))))
+    fields = F.sort_array(F.collect_list("fov"))
+    middle = F.get(fields, F.floor(F.size(fields) / 2).cast("int"))
+    return fov.groupBy("well").agg(F.coalesce(best, middle).alias("fov"), F.max("nucleus_count").alias("nucleus_count"))
 
 
 def comparison_groups(plate: DataFrame) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from spotframe.functions.scalars import prettify
 from spotframe.functions.tails import _exact_u, t_p, u_p
 from spotframe.operators.channels import autodetect_channels
-from spotframe.operators.focus import focus_scores, joint_plane, joint_score
+from spotframe.operators.focus import focus_scores, joint_plane, joint_score, plane_quality
 from spotframe.operators.neighbours import nearest_partner
+from spotframe.operators.ordering import densest_fov
+from spotframe.operators.specks import mask_specks
 from spotframe.operators.stats import replicate_test, replicate_tests
 from spotframe.operators.thresholds import costes
 
@@ -95,6 +97,32 @@ def test_masked_focus_scores(spark):
     assert dim[1, 2] == 0.0 and dim[1, 0] > 0
 
 
+def test_speck_takes_the_median_of_its_surroundings(spark):
+    rng = np.random.default_rng(8)
+    plane = rng.integers(90, 110, (24, 24)).astype(float)
+    plane[:12] += 40
+    speck = [(4, 4), (4, 5), (5, 4), (5, 5)]
+    for y, x in speck:
+        plane[y, x] = 9000
+    plane[20, 20] = 9000  # too small to be one
+    df = spark.createDataFrame([(1, y, x, float(plane[y, x])) for y in range(24) for x in range(24)], "image long, y long, x long, v double")
+    near = {(y + dy, x + dx) for y, x in speck for dy in range(-5, 6) for dx in range(-5, 6) if abs(dy) + abs(dx) <= 5} - set(speck)
+    ring = np.median([plane[y, x] for y, x in near if 0 <= y < 24 and 0 <= x < 24])
+    cleaned, counts = mask_specks(df, 3, 20.0, "local")
+    got = {(r["y"], r["x"]): r["v"] for r in cleaned.collect()}
+    assert all(got[p] == ring for p in speck) and got[20, 20] == 9000 and counts.first()["n_masked"] == 4
+    assert {r["v"] for r in mask_specks(df, 3, 20.0)[0].where("y in (4, 5) and x in (4, 5)").collect()} == {float(np.median(plane))}
+
+
+def test_quality_and_middle_field(spark):
+    flat = [(1, i, 5.0) for i in range(50)]
+    tail = [(2, i, 5.0 if i < 40 else 90.0) for i in range(50)]
+    got = {r["image"]: r["quality"] for r in plane_quality(spark.createDataFrame(flat + tail, "image long, i long, v double")).collect()}
+    assert got == {1: 0.0, 2: float("inf")}
+    fields = spark.createDataFrame([(1, f, n) for f, n in ((0, 3), (1, 9), (2, 9), (3, None))] + [(2, f, None) for f in (4, 2, 9, 7)], "well long, fov long, nucleus_count long")
+    assert {r["well"]: (r["fov"], r["nucleus_count"]) for r in densest_fov(fields).collect()} == {1: (1, 9), 2: (7, None)}
+
+
 def test_every_group_against_the_first(spark):
     rows = [(g, r, float(i + 3 * r + 7 * "abc".index(g))) for g in "abc" for r in range(4) for i in range(5)]
     df = spark.createDataFrame(rows, "g string, rep long, v double")
