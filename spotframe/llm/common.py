@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -49,6 +50,15 @@ def save(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop shuffle files and checkpoints that nothing refers to any more.
+
+    Its cleaner acts when the driver collects garbage, which a driver with little to do puts off for half an hour.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, for tables that an operator writes and reads back."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -66,6 +76,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     logarithm of the longest chain. Every round is checkpointed.
     """
     edges = save(links.where(F.col("a") != F.col("b")).select("a", "b").distinct())
+    release(edges.sparkSession)
 
     def star(e: DataFrame, larger: bool) -> DataFrame:
         # larger: neighbours above a node are moved to the smallest of its neighbours and itself;
@@ -85,6 +96,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     digest = None
     for _ in range(rounds):
         edges = save(star(star(edges, True), False))
+        release(edges.sparkSession)
         now = edges.agg(F.count(F.lit(1)), F.sum((F.xxhash64("a", "b") % 1_000_003)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == digest:
             break

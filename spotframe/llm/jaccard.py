@@ -7,9 +7,9 @@ Two documents link when 100 * |A and B| >= percent * |A or B|. The steps, each e
    slice at the front of that order, half as long again as the plain prefix filter needs, must therefore hold
    elements that occur in other slices or sets; representatives with more than `spare` elements that
    occur nowhere else drop out before any list is built.
-3. The remaining sets meet in the index lists of their prefixes. A list gives one link to its first member for each other
-   member, never its pairs; connected lists form a cluster that contains every link of its sets.
-4. Answers from a similar set. Every set is compared with its cluster's leader. Sets that link to it are connected; and
+3. The remaining sets meet in the index lists of their prefixes, apart by size. A list gives one link to its first member
+   for each other member, never its pairs; connected lists form a cluster that contains every link of its sets.
+4. Answers from a similar set. In a cluster of more than one block every set is compared with the cluster's leader. Sets that link to it are connected; and
    as 1 - similarity is a metric, two sets can only link when their distances to the leader differ by no more than the
    threshold allows. The cluster is cut into blocks by that distance, and pairs of blocks are skipped when the
    distances rule all links out, or when all sets of both are linked to the leader already.
@@ -19,6 +19,7 @@ Two documents link when 100 * |A and B| >= percent * |A or B|. The steps, each e
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spotframe.llm.common import components, save, small_batches, spaced_lower, text_or_empty
+from spotframe.llm.common import components, release, save, small_batches, spaced_lower, text_or_empty
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Words remembered per task; the table is emptied when full, which only costs time.
@@ -36,6 +37,8 @@ REMEMBERED = 300_000
 BLOCK, BANDS = 256, 20
 #: Shared elements multiplied at a time when two blocks are compared.
 COLUMNS = 8192
+#: Bits of the bitmap that spares most documents the second look.
+MARKS = 1 << 25
 
 
 class Shingler:
@@ -74,8 +77,14 @@ def _spare(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return n - -(-percent * n // 100)
 
 
-def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(_id, n, digest, front): front is the slice at the start of the hash order; digest is null without words."""
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
+    flat = np.concatenate(values) if values else np.empty(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
+
+
+def _sets(docs: DataFrame, words: int, percent: int, fronts: bool) -> DataFrame:
+    """(_id, n, digest[, front]): front is the slice at the start of the hash order; digest is null without words."""
     kind = docs.schema["_id"].dataType.simpleString()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,26 +95,33 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 one = shingler.set_of(text)
                 n.append(len(one))
                 digest.append(hashlib.blake2b(one.tobytes(), digest_size=16).digest() if len(one) else None)
-                spare = _spare(len(one), percent)
-                front.append(one[: spare + -(-spare // 2) + 1].view(np.int64))
-            offsets = np.concatenate(([0], np.cumsum([len(f) for f in front]))).astype(np.int32)
-            values = pa.array(np.concatenate(front) if front else np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), values)],
-                ["_id", "n", "digest", "front"],
-            )
+                if fronts:
+                    spare = _spare(len(one), percent)
+                    front.append(one[: spare + -(-spare // 2) + 1].copy())
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), *([_lists(front)] if fronts else [])]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "n", "digest", "front"][: len(columns)])
 
-    return docs.mapInArrow(build, f"_id {kind}, n bigint, digest binary, front array<bigint>")
+    return docs.mapInArrow(build, f"_id {kind}, n bigint, digest binary" + (", front array<bigint>" if fronts else ""))
 
 
-def _drop_lonely(fronts: DataFrame, percent: int) -> DataFrame:
-    """fronts (rep, n, front) without the sets that have too many elements nobody else has."""
+def _sociable(fronts: DataFrame, percent: int) -> DataFrame:
+    """(rep, n) of fronts (rep, n, front) without the sets that have too many elements nobody else has."""
     postings = fronts.select("rep", F.explode("front").alias("e"))
     # one row per element after a map-side sum: a frequent element never gathers its sets
     alone = postings.groupBy("e").agg(F.min("rep").alias("rep"), F.count(F.lit(1)).alias("sets")).where(F.col("sets") == 1)
     lonely = alone.groupBy("rep").agg(F.count(F.lit(1)).alias("alone"))
     spare = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100))
-    return fronts.join(lonely, "rep", "left").where(F.coalesce(F.col("alone"), F.lit(0)) <= spare).drop("alone")
+    return fronts.select("rep", "n").join(lonely, "rep", "left").where(F.coalesce(F.col("alone"), F.lit(0)) <= spare).select("rep", "n")
+
+
+def _marks(ids: DataFrame) -> np.ndarray:
+    """A bitmap of MARKS bits in which the hash of every id is set: MARKS / 8 bytes however many ids there are."""
+    bit = F.pmod(F.xxhash64("rep"), F.lit(MARKS))
+    rows = ids.select((bit / 32768).cast("int").alias("part"), (bit % 32768).alias("bit")).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    out = np.zeros((MARKS // 32768, 4096), dtype=np.uint8)
+    for r in rows:
+        out[r["part"]] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out.ravel()
 
 
 def _linked(inter: Column, n: Column, m: Column, percent: int) -> Column:
@@ -154,7 +170,7 @@ def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _compare(percent: int, kind: str):
+def _compare(percent: int):
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         first, second = frame[frame["side"] == 0], frame[frame["side"] == 1]
         same = len(second) == 0
@@ -178,41 +194,59 @@ def link_sets(sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links among sets (rep, n, elements) that connect the same sets as all links do."""
     kind = sets.schema["rep"].dataType.simpleString()
     spare = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100))
-    prefix = sets.select("rep", F.explode(F.slice("elements", 1, (spare + 1).cast("int"))).alias("e"))
-    heads = prefix.groupBy("e").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("sets")).where(F.col("sets") > 1)
-    met = prefix.join(heads, "e").where(F.col("rep") != F.col("head")).select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
-    clusters = save(components(met).select(F.col("node").alias("rep"), F.col("root").alias("cluster")))
+    # sizes of linked sets differ by one step of this ladder at most; a group holds the sets of two steps
+    step = F.floor(F.log(F.col("n")) / F.lit(-1.001 * math.log(percent / 100.0))).cast("int")
+    prefix = sets.select("rep", F.explode(F.slice("elements", 1, (spare + 1).cast("int"))).alias("e"), step.alias("step"))
+    grouped = prefix.select("rep", "e", F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("group"))
+    heads = grouped.groupBy("group", "e").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("sets")).where(F.col("sets") > 1)
+    # a set has a node in each of its groups; nodes that share a number by chance only make a cluster larger
+    met = grouped.join(heads, ["group", "e"]).where(F.col("rep") != F.col("head")).select(F.xxhash64("group", "head").alias("a"), F.xxhash64("group", "rep").alias("b"))
+    nodes = sets.select("rep", F.explode(F.array(step, step + 1)).alias("group")).select("rep", F.xxhash64("group", "rep").alias("node"))
+    members = nodes.join(components(met).withColumnRenamed("root", "cluster"), "node").select("rep", "cluster").distinct()
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"))
+    clusters = save(members.join(sizes, "cluster"))
+    # a cluster of one block is compared as it is
+    few = clusters.where(F.col("sets") <= BLOCK).select("rep", "cluster", F.lit(0).alias("side"))
+    found = few.join(sets.select("rep", "elements"), "rep").groupBy("cluster").applyInPandas(_compare(percent), f"a {kind}, b {kind}")
+    many = clusters.where(F.col("sets") > BLOCK).select("rep", "cluster")
+    return found if many.isEmpty() else found.union(_link_by_leader(sets, many, percent))
+
+
+def _link_by_leader(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """The same for clusters (rep, cluster) of many sets, by their distance to the first of each."""
+    kind = sets.schema["rep"].dataType.simpleString()
     members = sets.join(clusters, "rep")
-    leaders = members.where(F.col("rep") == F.col("cluster")).select("cluster", F.col("n").alias("leader_n"), F.col("elements").alias("leader")).dropDuplicates(["cluster"])
+    first = clusters.groupBy("cluster").agg(F.min("rep").alias("lead"))
+    leaders = first.join(sets.select(F.col("rep").alias("lead"), F.col("n").alias("leader_n"), F.col("elements").alias("leader")), "lead").dropDuplicates(["cluster"])
     inter = F.size(F.array_intersect("elements", "leader")).cast("long")
     placed = members.join(leaders, "cluster").withColumn("i", inter).withColumn("u", F.col("n") + F.col("leader_n") - F.col("i"))
-    placed = placed.select(
-        "cluster", "rep", "n", "elements",
-        _linked(F.col("i"), F.col("n"), F.col("leader_n"), percent).alias("in_lead"),
-        F.expr(f"({BANDS} * (u - i)) div u").cast("int").alias("band"),
+    placed = save(
+        placed.select(
+            "cluster", "lead", "rep", "elements",
+            _linked(F.col("i"), F.col("n"), F.col("leader_n"), percent).alias("in_lead"),
+            F.expr(f"({BANDS} * (u - i)) div u").cast("int").alias("band"),
+        )
     )
-    placed = save(placed)
-    direct = placed.where(F.col("in_lead") & (F.col("rep") != F.col("cluster"))).select(F.col("cluster").alias("a"), F.col("rep").alias("b"))
-    # a band is cut into blocks by hash; a block is whole or not at all linked to the leader, where that matters
-    bands = save(placed.groupBy("cluster", "band", "in_lead").agg(F.count(F.lit(1)).alias("sets")).withColumn("parts", F.ceil(F.col("sets") / F.lit(BLOCK)).cast("int")))
-    # clusters all of whose sets link to the leader need nothing more
-    open_ = bands.groupBy("cluster").agg(F.bool_or(~F.col("in_lead")).alias("open")).where("open").select("cluster")
-    blocks = bands.join(open_, "cluster", "left_semi").select("cluster", "band", "in_lead", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    direct = placed.where(F.col("in_lead") & (F.col("rep") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("rep").alias("b"))
+    # a band is cut into blocks by hash; all sets of a block are linked to the leader, or none is
+    block = ["band", "in_lead", "part"]
+    bands = save(placed.groupBy("cluster", "band", "in_lead").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("parts")))
+    blocks = bands.select("cluster", "band", "in_lead", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     x, y = blocks.alias("x"), blocks.alias("y")
     reach = -(-BANDS * (100 - percent) // 100)
     order = "struct(x.band, x.in_lead, x.part) <= struct(y.band, y.in_lead, y.part)"
-    pairs = (
-        x.join(y, F.expr(f"x.cluster = y.cluster AND {order} AND y.band - x.band <= {reach} AND NOT (x.in_lead AND y.in_lead)"))
-        .select("x.cluster", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("band", "in_lead", "part")])
-        .withColumn("pair", F.xxhash64("cluster", "x_band", "x_in_lead", "x_part", "y_band", "y_in_lead", "y_part"))
-    )
-    sides = pairs.select("cluster", "pair", F.col("x_band").alias("band"), F.col("x_in_lead").alias("in_lead"), F.col("x_part").alias("part"), F.lit(0).alias("side"), *[F.col(c) for c in ("x_band", "x_in_lead", "x_part", "y_band", "y_in_lead", "y_part")]).unionByName(
-        pairs.where("NOT (x_band = y_band AND x_in_lead = y_in_lead AND x_part = y_part)").select("cluster", "pair", F.col("y_band").alias("band"), F.col("y_in_lead").alias("in_lead"), F.col("y_part").alias("part"), F.lit(1).alias("side"), *[F.col(c) for c in ("x_band", "x_in_lead", "x_part", "y_band", "y_in_lead", "y_part")])
-    )
-    in_parts = placed.join(bands.select("cluster", "band", "in_lead", "parts"), ["cluster", "band", "in_lead"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    meeting = in_parts.join(sides, ["cluster", "band", "in_lead", "part"]).select("cluster", "x_band", "x_in_lead", "x_part", "y_band", "y_in_lead", "y_part", "side", "rep", "elements")
-    found = meeting.groupBy("cluster", "x_band", "x_in_lead", "x_part", "y_band", "y_in_lead", "y_part").applyInPandas(_compare(percent, kind), f"a {kind}, b {kind}")
-    return direct.union(found)
+    pairs = x.join(y, F.expr(f"x.cluster = y.cluster AND {order} AND y.band - x.band <= {reach} AND NOT (x.in_lead AND y.in_lead)"))
+    pair = [f"{s}_{c}" for s in "xy" for c in block]
+    pairs = pairs.select("x.cluster", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in block])
+
+    def side(number: int, name: str) -> DataFrame:
+        return pairs.select("cluster", *pair, *[F.col(f"{name}_{c}").alias(c) for c in block], F.lit(number).alias("side"))
+
+    apart = F.expr("NOT (x_band = y_band AND x_in_lead = y_in_lead AND x_part = y_part)")
+    sides = side(0, "x").unionByName(side(1, "y").where(apart))
+    in_parts = placed.join(bands, ["cluster", "band", "in_lead"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    meeting = in_parts.join(sides, ["cluster", *block]).select("cluster", *pair, "side", "rep", "elements")
+    return direct.union(meeting.groupBy("cluster", *pair).applyInPandas(_compare(percent), f"a {kind}, b {kind}"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -227,27 +261,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     its own set and is never the smallest while another id is there; an empty table gives no rows.
     """
     rows = small_batches(docs).select(F.col(id_col).alias("_id"), spaced_lower(text_or_empty(F.col(text_col))).alias("_text"))
-    sets = save(_sets(rows, words, percent))
-    distinct = sets.where(F.col("digest").isNotNull() & F.col("_id").isNotNull()).groupBy("digest").agg(F.min("_id").alias("rep"))
-    groups = save(distinct)
-    # a representative's row: its smallest id; a repeated id may stand for several sets, so sets are numbered by digest too
-    fronts = sets.join(groups, "digest").where(F.col("_id") == F.col("rep")).groupBy("rep", "digest").agg(F.first("n").alias("n"), F.first("front").alias("front"))
-    near = save(_drop_lonely(fronts.drop("digest"), percent))
-    near = save(_drop_lonely(near, percent).select("rep", "n"))
-    kind = sets.schema["_id"].dataType.simpleString()
+    kind = rows.schema["_id"].dataType.simpleString()
+    sets = save(_sets(rows, words, percent, False))
+    whole = _sets(rows.where(F.col("_id").isNotNull()), words, percent, True).where(F.col("digest").isNotNull())
+    distinct = save(whole.groupBy("digest").agg(F.min("_id").alias("rep"), F.first("n").alias("n"), F.first("front").alias("front")))
+    release(docs.sparkSession)
+    near = save(_sociable(distinct, percent))
+    release(docs.sparkSession)
+    marks = _marks(near)
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            made = [shingler.set_of(t).view(np.int64) for t in batch.column(1).to_pylist()]
-            offsets = np.concatenate(([0], np.cumsum([len(f) for f in made]))).astype(np.int32)
-            values = pa.array(np.concatenate(made) if made else np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(m) for m in made], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values)], ["rep", "n", "elements"])
-
-    texts = rows.join(near.select(F.col("rep").alias("_id")), "_id", "left_semi")
-    elements = save(texts.mapInArrow(full, f"rep {kind}, n bigint, elements array<bigint>"))
+            bit = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
+            made = [shingler.set_of(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(m) for m in made], pa.int64()), _lists(made)], ["rep", "n", "elements"])
+
+    # the bitmap lets a few others through: the join on the ids is what decides
+    marked = rows.select("_id", "_text", F.pmod(F.xxhash64("_id"), F.lit(MARKS)).alias("_bit")).mapInArrow(full, f"rep {kind}, n bigint, elements array<bigint>")
+    elements = save(marked.join(near.select("rep"), "rep", "left_semi"))
+    groups = save(distinct.select("digest", "rep"))
+    del distinct, whole, marked  # the slices are no longer needed
+    release(docs.sparkSession)
     roots = components(link_sets(elements, percent)).select(F.col("node").alias("rep"), "root")
     found = groups.join(roots, "rep", "left").select("digest", F.coalesce("root", "rep").alias("_root"))
-    return sets.drop("front").join(found, "digest", "left").select(
+    return sets.join(found, "digest", "left").select(
         F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("_root", "_id").alias("component_id")
     )
