@@ -34,7 +34,7 @@ _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np
 #: Words remembered per task; the table is emptied when full, which only costs time.
 REMEMBERED = 300_000
 #: Sets in a block; the distance to the leader is cut into so many bands.
-BLOCK, BANDS = 256, 20
+BLOCK, BANDS = 1024, 20
 #: Shared elements multiplied at a time when two blocks are compared.
 COLUMNS = 8192
 #: Bits of the bitmap that spares most documents the second look.
