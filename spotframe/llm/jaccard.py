@@ -5,8 +5,8 @@ Two documents link when 100 * |A and B| >= percent * |A or B|. The steps, each e
 1. Equal sets are collapsed; one representative of each goes on.
 2. Position skipping. With the elements of a set in hash order, a linked set shares all but `spare` of them. A
    slice at the front of that order, half as long again as the plain prefix filter needs, must therefore hold
-   elements that occur in other slices or sets; representatives with more than `spare` elements that
-   occur nowhere else drop out before any list is built.
+   elements that occur in other slices (front_size gives the bound); representatives with more than `spare` elements
+   that occur in no other slice drop out before any list is built.
 3. The remaining sets meet in the index lists of their prefixes, apart by size. A list gives one link to its first member
    for each other member, never its pairs; connected lists form a cluster that contains every link of its sets.
 4. Answers from a similar set. In a cluster of more than one block every set is compared with the cluster's leader. Sets that link to it are connected; and
@@ -77,6 +77,18 @@ def _spare(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return n - -(-percent * n // 100)
 
 
+def front_size(n: int, percent: int) -> int:
+    """Elements in the slice at the front of a set of n.
+
+    Of the slice of A, at most max(|A - B|, front_size(A) - front_size(B) + |B - A|) elements miss the slice of a linked
+    B: if one of A's lies behind all of B's slice, then what B's slice shares with A is in A's slice. That is never more
+    than A's spare when the slice is half as long again, rounded down (rounded up it can be), from 50 percent on; below,
+    the slice is that of the plain prefix filter, for which it holds as |B - A| is at most B's spare.
+    """
+    spare = _spare(n, percent)
+    return spare + (spare // 2 if percent >= 50 else 0) + 1
+
+
 def _lists(values: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
     flat = np.concatenate(values) if values else np.empty(0, np.uint64)
@@ -96,8 +108,7 @@ def _sets(docs: DataFrame, words: int, percent: int, fronts: bool) -> DataFrame:
                 n.append(len(one))
                 digest.append(hashlib.blake2b(one.tobytes(), digest_size=16).digest() if len(one) else None)
                 if fronts:
-                    spare = _spare(len(one), percent)
-                    front.append(one[: spare + -(-spare // 2) + 1].copy())
+                    front.append(one[: front_size(len(one), percent)].copy())
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), *([_lists(front)] if fronts else [])]
             yield pa.RecordBatch.from_arrays(columns, ["_id", "n", "digest", "front"][: len(columns)])
 

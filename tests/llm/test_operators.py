@@ -222,6 +222,26 @@ def test_components_of_a_crowded_group(spark, monkeypatch):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == linked_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize("size, percent", [(7, 85), (5, 80)])
+def test_sets_that_lack_one_element_link(spark, size, percent):
+    rows = []
+    for missing in range(size):  # at each place of the hash order
+        words = sorted((f"w{missing}x{i}" for i in range(size)), key=lambda w: int(jaccard.Shingler(1).set_of(w)[0]))
+        rows += [(2 * missing, " ".join(words)), (2 * missing + 1, " ".join(words[:missing] + words[missing + 1 :]))]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), words=1, percent=percent).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, i - i % 2) for i in range(2 * size)}
+
+
+def test_slices_of_linked_sets_miss_no_more_than_spare():
+    n = np.arange(1, 500)
+    for percent in range(20, 101):
+        spare = n - -(-percent * n // 100)
+        front = np.array([jaccard.front_size(int(x), percent) for x in n])
+        inter = -(-percent * (n[:, None] + n[None, :]) // (100 + percent))  # the fewest elements linked sets share
+        missed = front[:, None] - front[None, :] + n[None, :] - inter
+        assert (missed <= spare[:, None])[inter <= np.minimum(n[:, None], n[None, :])].all(), percent
+
+
 def test_components_of_nothing(none):
     assert jaccard.jaccard_components(none).count() == 0
 
