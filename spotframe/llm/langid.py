@@ -17,20 +17,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spotframe.llm.common import crc_mod, save, small_batches, text_or_empty
 
-#: Pieces of more bytes are left out of the vocabulary: a piece then fits into one unsigned long.
+#: Bytes of a piece that fit into one unsigned long; longer pieces are found by their first bytes and a hash, then compared.
 PIECE_BYTES = 8
-#: Longer words are summed in runs of so many bytes; no piece crosses the end of a run.
-RUN_BYTES = 48
+#: Words of more bytes are summed with others of about their length, looked up so many bytes at a time.
+SHORT, STEP = 48, 4096
+#: Positions after which sums are scaled, so that a word of any length stays inside the range of doubles.
+RESCALE, CENTRE = 24, 1e140
 #: Words remembered per worker process; the table is emptied when full, which only costs time.
 REMEMBERED = 400_000
-#: Smallest piece probability. Every byte is a piece, so a run has at least FLOOR ** RUN_BYTES > 0.
+#: Smallest piece probability. Every byte is a piece, so no word has probability 0.
 FLOOR = 1e-6
 #: Texts scored at a time inside a task.
 TEXTS = 256
+_M = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Pieces:
-    """The vocabulary as sorted unsigned longs, one list for each number of bytes."""
+    """The vocabulary: pieces of up to PIECE_BYTES as sorted unsigned longs, one list for each number of bytes, then the longer ones."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -40,20 +43,38 @@ class Pieces:
         for i in range(model.get_piece_size()):
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)):
                 raw = model.id_to_piece(i).replace("▁", " ").encode()
-                if 0 < len(raw) <= PIECE_BYTES and b" " not in raw[1:]:
+                if raw and b" " not in raw[1:]:  # no word holds a space
                     found.add(raw)
         by_length: list[list[int]] = [[] for _ in range(PIECE_BYTES + 1)]
-        for raw in found:
-            by_length[len(raw)].append(int.from_bytes(raw, "big"))
+        longer: dict[int, list[bytes]] = {}
+        for raw in sorted(found):
+            if len(raw) <= PIECE_BYTES:
+                by_length[len(raw)].append(int.from_bytes(raw, "big"))
+            else:
+                longer.setdefault(len(raw), []).append(raw)
         self.keys = [np.sort(np.array(k, dtype=np.uint64)) for k in by_length]
         sizes = [len(k) for k in self.keys]
         self.first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
         self.size = sum(sizes)
-
-    def find(self, runs: np.ndarray) -> list[np.ndarray]:
-        """runs (m, n) bytes -> for each piece length its number at each start; `size` where there is none."""
-        m, n = runs.shape
-        wide, out, packed = runs.astype(np.uint64), [], np.zeros((m, n), dtype=np.uint64)
+        self.longest = max(map(len, found))
+        self.heads = np.unique(np.array([int.from_bytes(raw[:PIECE_BYTES], "big") for raws in longer.values() for raw in raws], dtype=np.uint64))
+        self.longer: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # length -> sorted hashes, numbers, bytes
+        for length, raws in sorted(longer.items()):
+            matrix = np.frombuffer(b"".join(raws), dtype=np.uint8).reshape(len(raws), length)
+            h = np.array([int.from_bytes(raw[:PIECE_BYTES], "big") for raw in raws], dtype=np.uint64)
+            for k in range(PIECE_BYTES, length):
+                h = h * _M + matrix[:, k]
+            order = np.argsort(h)
+            if (np.diff(h[order]) == 0).any():
+                raise ValueError("two pieces with one hash")
+            self.longer[length] = h[order], self.size + order, matrix[order]
+            self.size += len(raws)
+
+    def find(self, block: np.ndarray) -> tuple[list[np.ndarray], dict[int, list[tuple[int, np.ndarray, np.ndarray]]]]:
+        """block (m, n) bytes -> (for each length up to PIECE_BYTES the piece's number at each start, `size` where there
+        is none; for ends of longer pieces: their length, rows and numbers)."""
+        m, n = block.shape
+        wide, out, packed = block.astype(np.uint64), [], np.zeros((m, n), dtype=np.uint64)
         for length in range(1, min(PIECE_BYTES, n) + 1):
             starts = n - length + 1
             packed = (packed[:, :starts] << np.uint64(8)) | wide[:, length - 1 :]
@@ -64,6 +85,27 @@ class Pieces:
             at = np.minimum(np.searchsorted(keys, packed.ravel()), len(keys) - 1)
             hit = keys[at] == packed.ravel()
             out.append(np.where(hit, at + self.first[length], self.size).astype(np.int32).reshape(packed.shape))
+        return out, self._find_longer(block, packed) if n > PIECE_BYTES and len(self.heads) else {}
+
+    def _find_longer(self, block: np.ndarray, heads: np.ndarray) -> dict[int, list[tuple[int, np.ndarray, np.ndarray]]]:
+        n = block.shape[1]
+        at = np.minimum(np.searchsorted(self.heads, heads.ravel()), len(self.heads) - 1)
+        rows, starts = np.nonzero((self.heads[at] == heads.ravel()).reshape(heads.shape))
+        h, out = heads[rows, starts], {}
+        for length in range(PIECE_BYTES + 1, min(self.longest, n) + 1):
+            inside = starts + length <= n
+            rows, starts, h = rows[inside], starts[inside], h[inside]
+            h = h * _M + block[rows, starts + length - 1]
+            if not len(rows) or length not in self.longer:
+                continue
+            keys, numbers, raws = self.longer[length]
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            hit = np.flatnonzero(keys[at] == h)
+            hit = hit[(block[rows[hit, None], starts[hit, None] + np.arange(length)] == raws[at[hit]]).all(axis=1)]
+            hit = hit[np.argsort(starts[hit], kind="stable")]
+            cuts = np.flatnonzero(np.diff(starts[hit])) + 1
+            for part in np.split(hit, cuts) if len(hit) else ():
+                out.setdefault(int(starts[part[0]]) + length, []).append((length, rows[part], numbers[at[part]]))
         return out
 
 
@@ -72,62 +114,95 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def runs_of(words: list[str]) -> tuple[list[bytes], np.ndarray]:
-    """(runs, the word each belongs to): a space and the word, cut where it is longer than a run."""
-    runs: list[bytes] = []
-    owner: list[int] = []
-    for i, word in enumerate(words):
-        raw = b" " + word.encode("utf-8", "surrogatepass")
-        for at in range(0, len(raw), RUN_BYTES):
-            runs.append(raw[at : at + RUN_BYTES])
-            owner.append(i)
-    return runs, np.asarray(owner, dtype=np.int64)
+def _blocks(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places in words, bytes, lengths): a space and each word, those of about one length together, filled up with zeros."""
+    raws = [b" " + word.encode("utf-8", "surrogatepass") for word in words]
+    length = np.fromiter(map(len, raws), dtype=np.int64, count=len(raws))
+    order = np.argsort(length, kind="stable")
+    low = 0
+    while low < len(order):
+        shortest = int(length[order[low]])
+        most = shortest if shortest <= SHORT else shortest + shortest // 4
+        high = min(int(np.searchsorted(length[order], most, side="right")), low + max(1, 20_000 * SHORT // most))
+        at = order[low:high]
+        n = int(length[at[-1]])
+        yield at, np.frombuffer(b"".join([raws[i].ljust(n, b"\0") for i in at]), dtype=np.uint8).reshape(len(at), n), length[at]
+        low = high
 
 
-def _by_length(runs: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    length = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
-    for n in np.unique(length):
-        at = np.flatnonzero(length == n)
-        for part in np.array_split(at, -(-len(at) // 20_000)):
-            yield part, np.frombuffer(b"".join([runs[i] for i in part]), dtype=np.uint8).reshape(len(part), n)
+def _windows(vocab: Pieces, block: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(begin, low, high): pieces with ends in (low, high] lie behind begin."""
+    for low in range(0, block.shape[1], STEP):
+        yield max(0, low - vocab.longest), low, min(low + STEP, block.shape[1])
 
 
-def forward(found: list[np.ndarray], p: np.ndarray, m: int, n: int) -> np.ndarray:
-    """alpha (n + 1, m, languages): summed probability of all segmentations of each prefix."""
-    alpha = np.zeros((n + 1, m, p.shape[1]))
-    alpha[0] = 1.0
-    for end in range(1, n + 1):
-        for length in range(1, min(PIECE_BYTES, end) + 1):
-            alpha[end] += alpha[end - length] * p[found[length - 1][:, end - length]]
-    return alpha
+def forward(vocab: Pieces, p: np.ndarray, block: np.ndarray, length: np.ndarray, trace: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """(log of the summed probability of all segmentations (m, languages), the same of each prefix (n + 1, m) of the first language).
+
+    Only the sums that a piece can reach back to are kept, scaled now and then; none ends at any fixed position.
+    """
+    m, n = block.shape
+    size = min(vocab.longest, n) + 1
+    ring = np.zeros((size, m, p.shape[1]))
+    ring[0] = 1.0
+    shift, out = np.zeros((m, p.shape[1])), np.zeros((m, p.shape[1]))
+    logs = np.zeros((n + 1, m)) if trace else None
+    ends = set(length.tolist())
+    for begin, low, high in _windows(vocab, block):
+        short, longer = vocab.find(block[:, begin:high])
+        used = [(found != vocab.size).any(axis=0) for found in short]
+        for end in range(low + 1, high + 1):
+            e = end - begin
+            now = np.zeros((m, p.shape[1]))
+            for k in range(1, min(PIECE_BYTES, e) + 1):
+                if used[k - 1][e - k]:
+                    now += ring[(end - k) % size] * p[short[k - 1][:, e - k]]
+            for k, rows, numbers in longer.get(e, ()):
+                now[rows] += ring[(end - k) % size][rows] * p[numbers]
+            ring[end % size] = now
+            if trace:
+                logs[end] = np.log(now[:, 0]) + shift[:, 0]
+            if end in ends:
+                done = length == end
+                out[done] = np.log(now[done]) + shift[done]
+            if end % RESCALE == 0 and end < n:
+                scale = now * CENTRE
+                ring /= scale
+                shift += np.log(scale)
+    return out, logs
 
 
 def log_probability(vocab: Pieces, p: np.ndarray, words: list[str]) -> np.ndarray:
     """(words, languages): natural log of the probability of each word. p has a last row of zeros."""
-    runs, owner = runs_of(words)
     out = np.zeros((len(words), p.shape[1]))
-    for at, block in _by_length(runs):
-        alpha = forward(vocab.find(block), p, *block.shape)
-        np.add.at(out, owner[at], np.log(alpha[-1]))
+    for at, block, length in _blocks(words):
+        out[at] = forward(vocab, p, block, length)[0]
     return out
 
 
 def expected_counts(vocab: Pieces, p: np.ndarray, words: list[str], weight: np.ndarray) -> np.ndarray:
-    """Expected number of uses of each piece, by the forward-backward algorithm; p has one column."""
-    runs, owner = runs_of(words)
+    """Expected number of uses of each piece, by the forward algorithm and shares handed back; p has one column."""
     counts = np.zeros(vocab.size + 1)
-    for at, block in _by_length(runs):
+    for at, block, length in _blocks(words):
         m, n = block.shape
-        found = vocab.find(block)
-        alpha = forward(found, p, m, n)[:, :, 0]
-        beta = np.zeros((n + 1, m))
-        beta[n] = weight[owner[at]] / alpha[n]
-        for start in range(n - 1, -1, -1):
-            for length in range(1, min(PIECE_BYTES, n - start) + 1):
-                number = found[length - 1][:, start]
-                use = p[number, 0] * beta[start + length]
-                beta[start] += use
-                counts += np.bincount(number, weights=alpha[start] * use, minlength=vocab.size + 1)
+        logs = forward(vocab, p, block, length, trace=True)[1]
+        cut = np.zeros((n + 1, m))  # expected segmentations with a cut at each position
+        cut[length, np.arange(m)] = weight[at]
+        for begin, low, high in reversed(list(_windows(vocab, block))):
+            short, longer = vocab.find(block[:, begin:high])
+            used = [(found != vocab.size).any(axis=0) for found in short]
+            for end in range(high, low, -1):
+                e = end - begin
+                for k in range(1, min(PIECE_BYTES, e) + 1):
+                    if used[k - 1][e - k]:
+                        number = short[k - 1][:, e - k]
+                        use = cut[end] * p[number, 0] * np.exp(logs[end - k] - logs[end])
+                        cut[end - k] += use
+                        np.add.at(counts, number, use)
+                for k, rows, numbers in longer.get(e, ()):
+                    use = cut[end][rows] * p[numbers, 0] * np.exp(logs[end - k][rows] - logs[end][rows])
+                    cut[end - k][rows] += use
+                    np.add.at(counts, numbers, use)
     return counts[:-1]
 
 

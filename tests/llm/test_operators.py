@@ -454,6 +454,56 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(langid.log_probability(vocab, np.vstack([p, np.zeros(2)]), words), [total(b" " + w.encode()) for w in words])
 
 
+def test_sums_over_the_uncut_vocabulary():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    proper = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
+    known = {model.id_to_piece(i).replace("▁", " ").encode() for i in proper} | {bytes([b]) for b in range(256)}
+    known = {raw for raw in known if b" " not in raw[1:]}
+    vocab = langid.pieces(PIECES)
+    assert vocab.size == len(known)
+    prob = {raw: zlib.crc32(raw) % 1000 / 1000 + 1e-3 for raw in known}
+    p = np.zeros((vocab.size + 1, 1))
+    for raw in known:
+        short, longer = vocab.find(np.frombuffer(raw, np.uint8)[None])
+        number = short[len(raw) - 1][0, 0] if len(raw) <= langid.PIECE_BYTES else next(n[0] for k, _, n in longer[len(raw)] if k == len(raw))
+        assert p[number, 0] == 0
+        p[number] = prob[raw] / 1000
+
+    def brute(raw):  # (log probability, expected uses)
+        ahead, back = [1.0], [0.0] * len(raw) + [1.0]
+        spans = [(a, b) for b in range(1, len(raw) + 1) for a in range(max(0, b - 25), b) if raw[a:b] in known]
+        scale = 300.0  # keeps long words inside the range
+        weigh = lambda a, b: prob[raw[a:b]] / 1000 * scale ** (b - a)
+        ahead += [0.0] * len(raw)
+        for a, b in spans:
+            ahead[b] += ahead[a] * weigh(a, b)
+        for a, b in sorted(spans, reverse=True):
+            back[a] += back[b] * weigh(a, b)
+        uses = Counter()
+        for a, b in spans:
+            uses[raw[a:b]] += ahead[a] * weigh(a, b) * back[b] / ahead[-1]
+        return math.log(ahead[-1]) - len(raw) * math.log(scale), uses
+
+    words = ["different", "information", "informationdifferent" * 7, "правительство" * 5, "日本語テスト" * 9, "ab" * 30, "the"]
+    for step in (langid.STEP, 40):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(langid, "STEP", step)
+            want = [brute(b" " + w.encode()) for w in words]
+            assert np.allclose(langid.log_probability(vocab, p, words)[:, 0], [x[0] for x in want])
+            counts = langid.expected_counts(vocab, p, words, np.arange(1.0, len(words) + 1))
+            uses = Counter()
+            for i, (_, one) in enumerate(want):
+                for raw, u in one.items():
+                    uses[prob[raw] / 1000] += u * (i + 1)
+            got = Counter()
+            for number in np.flatnonzero(counts):
+                got[p[number, 0]] += counts[number]
+            assert all(math.isclose(got[k], u, rel_tol=1e-6, abs_tol=1e-12) for k, u in uses.items())
+    assert np.isfinite(langid.log_probability(vocab, p, ["x" * 20_000])).all()
+
+
 def test_languages(small):
     got = langid.identify(small, PIECES, rounds=2).join(small.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in got if r["held_out"]]
