@@ -9,6 +9,8 @@ Every byte covered by a `width`-byte string that also starts in a document with
    sends each of its anchors once, and anchors that only one document has are dropped.
 2. Around the shared anchors blocks cut contexts: runs of neighbouring strings with the same anchor, at most
    `width` + RUN - 1 bytes. Equal contexts of a block are sent once, with the smallest and largest id that has them.
+   An anchor of more than HOT runs may have as many contexts: it is hot, and its runs are cut into their single
+   strings, which are dealt by their own hash, so that no task gathers the contexts of one anchor.
 3. An anchor with one context has nothing to compare. All other contexts of a bucket of anchors are one collection of short documents. Its transform and longest common prefixes are
    built as in BCR: each round inserts one more symbol of every document, from the right; the place of a new suffix
    follows from the place of the suffix before it. Neighbours with a common prefix of `width` or more are
@@ -32,7 +34,10 @@ from spotframe.llm.common import save, small_batches, text_or_empty
 GRAM, RUN = 20, 64
 #: Characters of text in a block, and buckets of contexts for each block.
 BLOCK_CHARS, BUCKETS = 8_000_000, 4
-#: Suffixes up to which the columns of a collection stay in memory; larger ones are files of the task, read and written in order.
+#: Runs of an anchor above which its strings are dealt one by one.
+HOT = 4096
+#: Suffixes up to which the two one-byte columns of a collection stay in memory; larger ones are files of the task. Ranks,
+#: order and range minima are in memory at any size.
 IN_MEMORY = 50_000_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -84,6 +89,11 @@ def runs(anchor: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first, past, value
 
 
+def spread(string: bytes, buckets: int) -> int:
+    """The bucket of a hot anchor's string."""
+    return int.from_bytes(_key(string)[:8], "big") % buckets
+
+
 def _key(context: bytes) -> bytes:
     return hashlib.blake2b(context, digest_size=16).digest()
 
@@ -253,38 +263,45 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield doc, text.encode("utf-8", "surrogatepass")
 
     def send_anchors(frame: pd.DataFrame, copies_: pd.DataFrame) -> pd.DataFrame:
-        found, ids = [], []
+        found, ids, times = [], [], []
         for doc, raw in originals(frame, copies_):
             a = anchors(raw, width)
             if len(a):
-                a = np.unique(a[np.concatenate(([True], a[1:] != a[:-1]))])
+                start = np.concatenate(([0], np.flatnonzero(a[1:] != a[:-1]) + 1))
+                length = np.diff(np.append(start, len(a)))
+                a, count = np.unique(np.repeat(a[start], -(-length // RUN)), return_counts=True)
                 found.append(a)
+                times.append(count)
                 ids.append(np.full(len(a), doc))
         if not found:
-            return pd.DataFrame({"anchor": np.empty(0, np.int64), "at": np.empty(0, np.int32)})
+            return pd.DataFrame({"anchor": np.empty(0, np.int64), "at": np.empty(0, np.int64)})
         flat, doc = np.concatenate(found), np.concatenate(ids)
         order = np.argsort(flat, kind="stable")
-        flat, doc = flat[order], doc[order]
+        flat, doc, count = flat[order], doc[order], np.concatenate(times)[order]
         first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
         several = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
-        # the block's number, negative where two of its documents share the anchor
-        block = int(frame["block"].iloc[0]) + 1
-        return pd.DataFrame({"anchor": flat[first].view(np.int64), "at": np.where(several, -block, block).astype(np.int32)})
+        # the block's number behind that of the anchor's runs in it, negative where two of them share it
+        at = (np.minimum(np.add.reduceat(count, first), HOT + 1) << 32) + int(frame["block"].iloc[0]) + 1
+        return pd.DataFrame({"anchor": flat[first].view(np.int64), "at": np.where(several, -at, at)})
 
-    sent = dealt.groupBy("block").cogroup(copies.groupBy("block")).applyInPandas(send_anchors, "anchor bigint, at int")
+    sent = dealt.groupBy("block").cogroup(copies.groupBy("block")).applyInPandas(send_anchors, "anchor bigint, at bigint")
     no_copy = (F.lit(0).cast("bigint").alias("copy"), F.lit(0).cast("bigint").alias("copy_h"), F.lit(False).alias("is_copy"))
     alike = Window.partitionBy("anchor")  # one row per block at most
     shared = (
         sent.withColumn("_n", F.count(F.lit(1)).over(alike))
+        .withColumn("_runs", F.sum(F.shiftright(F.abs("at"), 32)).over(alike))
         .where((F.col("_n") > 1) | (F.col("at") < 0))
-        .select((F.abs("at") - 1).alias("block"), "anchor", *no_copy)
+        .withColumn("copy", F.when(F.col("_runs") > HOT, 1).otherwise(0).cast("bigint"))  # of an anchor: whether it is hot
+        .select((F.abs("at").bitwiseAND(F.lit((1 << 32) - 1)) - 1).cast("int").alias("block"), "anchor", "copy", *no_copy[1:])
         .unionByName(copies.select("block", F.lit(0).cast("bigint").alias("anchor"), "copy", "copy_h", F.lit(True).alias("is_copy")))
     )
 
     def cut_contexts(frame: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         anchors_, copies_ = _split(wanted)
         known = np.sort(anchors_["anchor"].to_numpy(dtype=np.int64).view(np.uint64))
+        hot = set(anchors_["anchor"][anchors_["copy"] == 1])
         held: dict[bytes, list] = {}
+
         for doc, raw in originals(frame, copies_):
             first, past, value = runs(anchors(raw, width), known)
             for a, b, v in zip(first.tolist(), past.tolist(), value.view(np.int64).tolist(), strict=True):
@@ -296,12 +313,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     one[1] = doc
                 elif doc > one[2]:
                     one[2] = doc
+        for context in [c for c, v in held.items() if v[0] in hot]:
+            v, low, high = held.pop(context)
+            for i in range(len(context) - width + 1):
+                one = held.setdefault(context[i : i + width], [v, low, high])
+                one[1], one[2] = min(one[1], low), max(one[2], high)
         block = int(frame["block"].iloc[0]) if len(frame) else 0
         values = list(held.values())
-        return pd.DataFrame({"anchor": [v[0] for v in values], "context": list(held), "block": block, "low": [v[1] for v in values], "high": [v[2] for v in values]})
+        is_hot = [v[0] in hot for v in values]
+        return pd.DataFrame({
+            "anchor": [v[0] for v in values], "context": list(held), "block": np.where(is_hot, -block - 1, block).astype(np.int32), "low": [v[1] for v in values], "high": [v[2] for v in values],
+            "bucket": np.array([spread(c, buckets) if h else v[0] % buckets for c, v, h in zip(held, values, is_hot, strict=True)], dtype=np.int32),
+        })
 
-    contexts = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(cut_contexts, "anchor bigint, context binary, block int, low bigint, high bigint")
-    bucketed = contexts.withColumn("bucket", F.pmod("anchor", F.lit(buckets)).cast("int"))
+    contexts = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(cut_contexts, "anchor bigint, context binary, block int, low bigint, high bigint, bucket int")
 
     def resolve(frame: pd.DataFrame) -> pd.DataFrame:
         codes, distinct = pd.factorize(frame["context"])
@@ -310,7 +335,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         anchor = np.empty(len(distinct), dtype=np.int64)
         anchor[codes] = frame["anchor"].to_numpy()
         _, group, number = np.unique(anchor, return_inverse=True, return_counts=True)
-        alone = number[group] == 1
+        hot = np.zeros(len(distinct), dtype=bool)
+        hot[codes] = frame["block"].to_numpy() < 0
+        alone = (number[group] == 1) | hot  # a hot anchor's contexts are single strings
         lowest: list = [None] * len(distinct)
         for c in np.flatnonzero(alone):
             lowest[c] = owner[c : c + 1]
@@ -323,19 +350,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for c in np.unique(codes[matters]).tolist():
             v = lowest[c]
             first = np.concatenate(([0], np.flatnonzero(v[1:] != v[:-1]) + 1))
-            steps[c] = (_key(distinct[c]), first.tolist(), v[first].tolist())
+            steps[c] = (_key(distinct[c]), [-1] if hot[c] else first.tolist(), v[first].tolist())
         chosen = [steps[c] for c in codes[matters].tolist()]
         part = frame.iloc[matters]
-        return pd.DataFrame({"block": part["block"].to_numpy(), "anchor": part["anchor"].to_numpy(), "key": [c[0] for c in chosen], "first": [c[1] for c in chosen], "owner": [c[2] for c in chosen]})
+        home = part["block"].to_numpy()
+        return pd.DataFrame({"block": np.where(home < 0, -home - 1, home), "anchor": part["anchor"].to_numpy(), "key": [c[0] for c in chosen], "first": [c[1] for c in chosen], "owner": [c[2] for c in chosen]})
 
-    resolved = bucketed.groupBy("bucket").applyInPandas(resolve, "block int, anchor bigint, key binary, first array<int>, owner array<bigint>")
+    resolved = contexts.groupBy("bucket").applyInPandas(resolve, "block int, anchor bigint, key binary, first array<int>, owner array<bigint>")
     answers = resolved.select("*", *no_copy).unionByName(copies.select("block", F.lit(0).cast("bigint").alias("anchor"), "copy", "copy_h", F.lit(True).alias("is_copy")), allowMissingColumns=True)
     schema = f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if with_kept else "")
 
     def cut_texts(frame: pd.DataFrame, answers_: pd.DataFrame) -> pd.DataFrame:
         found_, copies_ = _split(answers_)
         known = np.unique(found_["anchor"].to_numpy(dtype=np.int64).view(np.uint64))
+        strings: dict[bytes, list[tuple[int, int]]] = {}  # hot context -> starts and owners of its strings
         lookup = {k: (f, o) for k, f, o in zip(found_["key"], found_["first"], found_["owner"], strict=True)}
+        hot = {a for a, f in zip(found_["anchor"], found_["first"], strict=True) if f[0] < 0}
         gone_ = set(zip(copies_["copy"], copies_["copy_h"], strict=True))
         out = []
         for doc, h, text in zip(frame["_id"], frame["_h"], frame["_text"], strict=True):
@@ -344,9 +374,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out.append((len(raw), len(raw), 1, hashlib.sha256(b"").hexdigest(), b""))
                 continue
             edge = np.zeros(len(raw) + 1, dtype=np.int32)
-            first, past, _ = runs(anchors(raw, width), known) if lookup else ((), (), ())
+            first, past, value = runs(anchors(raw, width), known) if lookup else (np.empty(0, np.int64),) * 3
             hit = False
-            for a, b in zip(list(first), list(past), strict=True):
+            for a, b, v in zip(first.tolist(), past.tolist(), value.view(np.int64).tolist(), strict=True):
+                if v in hot:
+                    context = raw[a : b + width - 1]
+                    if context not in strings:
+                        answers = [lookup.get(_key(context[i : i + width])) for i in range(b - a)]
+                        strings[context] = [(i, x[1][0]) for i, x in enumerate(answers) if x is not None]
+                    for i, o in strings[context]:
+                        if o < doc:
+                            edge[a + i] += 1
+                            edge[a + i + width] -= 1
+                            hit = True
+                    continue
                 found = lookup.get(_key(raw[a : b + width - 1]))
                 if found is None:
                     continue

@@ -173,6 +173,35 @@ def test_repeats_in_nothing_and_planted(spark, none):
     assert got == {2: (0, 0), 5: (len(passage.encode()) + 1, 1), 9: (0, 0), 7: (0, 0), 8: (60, 1)}
 
 
+def test_hot_anchors_are_dealt_by_string(docs, spark, monkeypatch):
+    """A passage in many documents with other text around it: no collection holds its anchors' contexts."""
+    rng = random.Random(11)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = prose(130)
+    rows = [(d, prose(70) + passage + prose(70)) for d in range(60)] + [(100 + d, prose(20) + passage[5 * d : 5 * d + 60]) for d in range(14)]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(suffixes, "HOT", 2)
+
+    def no_collection(texts, owner, width, limit=40, real=suffixes.smallest_owners):
+        if len(texts) > limit:
+            raise AssertionError("the contexts of a hot anchor are in one collection")
+        return real(texts, owner, width)
+
+    monkeypatch.setattr(suffixes, "BLOCK_CHARS", 3000)
+    monkeypatch.setattr(suffixes, "BUCKETS", 1)
+    assert len({suffixes.spread(t.encode()[i : i + 50], 16) for _, t in rows[:60] for i in range(30, 70)}) == 16
+    top = 1 << 63
+    for df in (made, docs):
+        want = without_repeats([(top if d is None else d, t.encode()) for d, t in texts(df)])
+        if df is made:
+            monkeypatch.setattr(suffixes, "smallest_owners", no_collection)
+        else:
+            monkeypatch.undo()
+            monkeypatch.setattr(suffixes, "HOT", 2)
+        got = suffixes.remove_repeats(df, with_kept=True).collect()
+        assert Counter((top if r[0] is None else r[0], *r[1:5], bytes(r[5])) for r in got) == want
+
+
 # ---- 3 n-gram Jaccard
 
 def linked_components(rows, k, percent):
