@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from spotframe.session import cut_lineage
 
@@ -68,6 +68,39 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+def numbered(df: DataFrame, order: list[Column], name: str = "_number") -> DataFrame:
+    """df with the place 1, 2, 3 ... of each row in the given order, stored.
+
+    Ranges of rows are sorted side by side and each is told how many rows stand before it, so no task sees
+    the whole table; what reaches the driver is one count per range. Rows equal in the order get any places.
+    """
+    spread = save(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_ix", F.monotonically_increasing_id()))
+    part = F.shiftright("_ix", 33)
+    before, rows = 0, []
+    for p, n in sorted((r[0], r[1]) for r in spread.groupBy(part.alias("p")).count().collect()):
+        rows.append((p, before))
+        before += n
+    offsets = df.sparkSession.createDataFrame(rows, "_part long, _before long")
+    placed = spread.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return placed.withColumn(name, F.col("_ix") - F.shiftleft("_part", 33) + F.col("_before") + 1).drop("_ix", "_part", "_before")
+
+
+def running_sums(df: DataFrame, key: str, place: str, columns: list[str], chunk: int = 4096) -> DataFrame:
+    """df with columns replaced by their sums over the rows of the key up to and with this place (a whole number).
+
+    A key is summed in chunks of so many places, and then over its chunks: a key that holds a third of the
+    table is the work of many tasks.
+    """
+    cut = df.withColumn("_chunk", F.floor(F.col(place) / chunk))
+    whole = cut.groupBy(key, "_chunk").agg(*[F.sum(c).alias(f"_sum_{c}") for c in columns])
+    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = whole.select(key, "_chunk", *[F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_carry_{c}") for c in columns])
+    inside = Window.partitionBy(key, "_chunk").orderBy(place).rowsBetween(Window.unboundedPreceding, 0)
+    local = cut.select(*[(F.sum(c).over(inside).alias(c) if c in columns else c) for c in cut.columns])
+    summed = local.join(carried, [key, "_chunk"])
+    return summed.select(*[(F.col(c) + F.col(f"_carry_{c}")).alias(c) if c in columns else c for c in df.columns])
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) for every node of links (a, b): root is the smallest node that links reach.
 
@@ -106,3 +139,16 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     # settled: every link is (node, root)
     roots = edges.groupBy(F.greatest("a", "b").alias("node")).agg(F.min(F.least("a", "b")).alias("root"))
     return roots.union(edges.select(F.least("a", "b").alias("node")).distinct().select("node", F.col("node").alias("root")))
+
+
+# ---- DuckDB statements
+
+#: A CTE with the 256 steps of CRC-32, made by their rule; read with "FROM ..., crc_steps".
+SQL_CRC_STEPS = "crc_steps AS MATERIALIZED (SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY b) AS steps FROM range(256) AS r(b))"
+
+
+def sql_crc(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a text column, where crc_steps is joined."""
+    digits = f"hex(encode({text}))"
+    byte = f"(instr('0123456789ABCDEF', {digits}[2 * i - 1]) - 1) * 16 + instr('0123456789ABCDEF', {digits}[2 * i]) - 1"
+    return f"xor(list_reduce(list_prepend(4294967295, range(1, strlen({text}) + 1)), lambda c, i: xor(c >> 8, steps[(xor(c, {byte}) & 255) + 1])), 4294967295)"

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spotframe.llm import brown
 from spotframe.llm.attribution import token_counts
 from spotframe.llm.common import documents
+from spotframe.llm.contamination import OP12_SQL, decontaminate
 from spotframe.llm.encoding import vocabulary
 from spotframe.llm.exact_dedup import OP8_SQL, exact_dedup
 from spotframe.llm.jaccard import jaccard_components
@@ -14,8 +15,10 @@ from spotframe.llm.langid import identify
 from spotframe.llm.mixing import mix_sources
 from spotframe.llm.multiset import fingerprints
 from spotframe.llm.packing import pack_documents
+from spotframe.llm.resampling import OP11_SQL, resample
 from spotframe.llm.suffixes import remove_repeats
 from spotframe.llm.token_files import token_files
+from spotframe.llm.turn_trie import OP13_SQL, conversation_trie
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,5 +61,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op3_ngram_jaccard, op4_multiset_fingerprint, op5_token_files, op6_mix_sources, op7_brown_classes, op8_exact_dedup, op9_language_id, op10_token_counts)}
-ORACLES = {"op8_exact_dedup": OP8_SQL}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), percent=5, least_words=20)
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), group=20, most=4)
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_suffix_dedup, op3_ngram_jaccard, op4_multiset_fingerprint, op5_token_files, op6_mix_sources, op7_brown_classes, op8_exact_dedup, op9_language_id, op10_token_counts, op11_importance_resampling, op12_decontamination, op13_conversation_trie)}
+ORACLES = {"op8_exact_dedup": OP8_SQL, "op11_importance_resampling": OP11_SQL, "op12_decontamination": OP12_SQL, "op13_conversation_trie": OP13_SQL}
