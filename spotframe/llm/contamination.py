@@ -6,15 +6,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spotframe.llm.common import ascii_lower, save, text_or_empty
 
-#: What stands between words, after A-Z are lower-cased, and in a text as it is.
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-SPOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between words: all ASCII characters but letters and digits, one by one, which a pattern looks up faster than ranges.
+BETWEEN = "[" + "".join(f"\\x{c:02x}" for c in range(128) if not chr(c).isalnum()) + "]+"
 #: Benchmark tables of at most so many rows (of a few words each) are sent to every executor; larger ones are shuffled.
 SENT_ROWS = 500_000
+#: Stands in place of a shingle's number where a row speaks of a whole text.
+WHOLE = -1
+
+
+def _spelled(text: Column) -> Column:
+    """The words of a text between two empty ones, A-Z in lower case."""
+    ascii_only = F.length(text) == F.octet_length(text)
+    folded = F.when(ascii_only, F.lower(text)).otherwise(ascii_lower(text))
+    return F.split(F.concat(F.lit(" "), folded, F.lit(" ")), BETWEEN)
 
 
 def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(ascii_lower(text_or_empty(text)), BETWEEN), "")
+    return F.array_remove(_spelled(text_or_empty(text)), "")
 
 
 def _runs(words: str, width: int) -> Column:
@@ -25,6 +33,12 @@ def _runs(words: str, width: int) -> Column:
     return F.transform(starts, lambda word, i: F.concat_ws(" ", word, *[F.get(words, i + F.lit(k)) for k in range(1, width)]))
 
 
+def _blocks(names: DataFrame) -> list[DataFrame]:
+    """names in blocks of about SENT_ROWS rows, each small enough to be sent to every executor."""
+    blocks = names.count() // max(SENT_ROWS, 1) + 1
+    return [names] if blocks == 1 else [names.where(F.pmod(F.xxhash64("shingle"), F.lit(blocks)) == i) for i in range(blocks)]
+
+
 def _sent(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= SENT_ROWS else table
 
@@ -44,36 +58,53 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     return windows, save(owned.join(named, "window").select("wid", "item"))
 
 
-def occurrences(texts: DataFrame, windows: DataFrame, shingle: int = 3) -> DataFrame:
-    """(key, start, len, wid): every place, from 0, at which a window stands in the words of a text, stored.
+def shingle_parts(windows: DataFrame, shingle: int = 3) -> tuple[DataFrame, DataFrame, list[int]]:
+    """(names, parts, widths): the shingles of all windows (shingle, sid), where they stand in them (wid, len, off, sid), and their widths.
 
-    texts (key, words); rows of one key hold the same text. A window is a set of shingles with their
-    offsets (the whole window, if it is shorter than a shingle). As all of them must be there, the
-    prefix a text has to share is the rarest one: shingles are ordered by the number of their places in all
-    texts, a place of the rarest shingle proposes a start, length and position must leave room for the
-    window, and a proposed start is verified by all other shingles standing at their own places. Shingles
-    are compared as texts, never by a hash, so what is verified is equal word by word.
+    A window shorter than a shingle is one shingle. Both tables are stored.
     """
     width = F.least(F.col("len"), F.lit(shingle))
-    widths = sorted(r[0] for r in windows.select(width.alias("w")).distinct().collect())
-    split = [windows.where(width == w).select("wid", "len", F.posexplode(_runs("words", w)).alias("off", "shingle")) for w in widths]
-    if not split:
-        return save(texts.select("key", F.lit(0).alias("start"), F.lit(0).alias("len"), F.lit(0).cast("long").alias("wid")).limit(0))
-    parts = split[0]
-    for more in split[1:]:
-        parts = parts.union(more)
-    names = save(parts.select("shingle").distinct().withColumn("sid", F.monotonically_increasing_id()))
-    parts = save(parts.join(names, "shingle").select("wid", "len", "off", "sid"))
-    wanted = _sent(names)
-
-    # where shingles of the benchmark stand: copies of a text fall together before the shuffle
-    found = None
+    widths = sorted((r[0] for r in windows.select(width.alias("w")).distinct().collect()), reverse=True)
+    cut = windows.select("wid", "len", F.posexplode(_runs("words", shingle)).alias("off", "shingle"))
     for w in widths:
-        placed = texts.select("key", F.size("words").alias("n"), F.posexplode(_runs("words", w)).alias("pos", "shingle"))
-        here = placed.join(wanted, "shingle").select("key", "n", "pos", "sid")
-        found = here if found is None else found.union(here)
-    found = save(found.groupBy("key", "pos", "sid").agg(F.max("n").alias("n")))
+        if w < shingle:
+            cut = cut.union(windows.where(F.col("len") == w).select("wid", "len", F.lit(0), F.array_join("words", " ")))
+    names = save(cut.select("shingle").distinct().withColumn("sid", F.monotonically_increasing_id()))
+    return names, save(cut.join(names, "shingle").select("wid", "len", "off", "sid")), widths
 
+
+def shingle_places(texts: DataFrame, names: DataFrame, widths: list[int]) -> DataFrame:
+    """(id, key, n, pos, sid), stored: every place, from 0, where a shingle of names stands in a text (id, key, words) of n words.
+
+    words begin and end with an empty one. Each text also has one row with sid WHOLE, so texts are read once.
+    Words are unpacked beside their text's array, which generated code holds by reference, and meet a table that
+    is at hand: only hits are ever written out. A benchmark too large for that is met in blocks.
+    """
+    n = F.size("words") - 2
+    found = None
+    for number, block in enumerate(_blocks(names)):
+        for w in widths or [1]:
+            first = found is None
+            wanted = block.union(block.sparkSession.createDataFrame([("", WHOLE)], "shingle string, sid long")) if first else block
+            # an inner posexplode would split every text twice, to leave out empty arrays beforehand
+            each = texts.select("id", "key", "words", F.posexplode_outer("words").alias("at", "word"))
+            inside = (F.col("at") > 0) & (F.col("at") + w - 1 <= n)
+            text = F.concat_ws(" ", "word", *[F.get("words", F.col("at") + k) for k in range(1, w)]) if w > 1 else F.col("word")
+            kept = each.where(inside | (F.col("at") == 0) if first else inside)
+            named = kept.select("id", "key", n.cast("long").alias("n"), (F.col("at") - 1).alias("pos"), F.when(F.col("at") > 0, text).otherwise("").alias("shingle"))
+            here = named.join(F.broadcast(wanted), "shingle").select("id", "key", "n", "pos", "sid")
+            found = here if first else found.union(here)
+    return save(found)
+
+
+def occurrences(found: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, start, len, wid), stored: every place at which a window stands in a text, from places (key, n, pos, sid) of its shingles.
+
+    All shingles of a window must be there, so the prefix that a text has to share is one, the rarest: shingles are
+    ordered by the number of their places in all texts. A place of it proposes a start, length and position must
+    leave room for the window, and the start is verified by all other shingles standing at their own places.
+    Shingles are compared as texts, never by a hash, so what is verified is equal word by word.
+    """
     # a window of which a shingle stands nowhere is out; of the others the rarest shingle is the prefix
     counted = found.groupBy("sid").agg(F.count(F.lit(1)).alias("places"))
     rarest = (
@@ -114,9 +145,13 @@ def decontaminate(
     gives no rows; other columns are ignored.
     """
     key = F.unhex(F.md5(text_or_empty(F.col(text_col)).cast("binary")))
-    texts = docs.select(key.alias("key"), words_of(F.col(text_col)).alias("words"))
+    texts = docs.select(F.col(id_col).alias("id"), key.alias("key"), _spelled(text_or_empty(F.col(text_col))).alias("words"))
     windows, owners = benchmark_windows(benchmark, item_col, item_text, window)
-    places = occurrences(texts, windows, shingle)
+    names, parts, widths = shingle_parts(windows, shingle)
+    hits = shingle_places(texts, names, widths)
+    # copies of a text fall together before the shuffle
+    found = save(hits.where(F.col("sid") != WHOLE).groupBy("key", "pos", "sid").agg(F.max("n").alias("n")))
+    places = occurrences(found, parts)
 
     # words covered: what each place adds to the places that start before it
     ahead = Window.partitionBy("key").orderBy("start", "len").rowsBetween(Window.unboundedPreceding, -1)
@@ -125,11 +160,11 @@ def decontaminate(
     covered = places.select("key", "start", "len").distinct().withColumn("fresh", fresh).groupBy("key").agg(F.sum("fresh").alias("n_hit"))
     named = places.select("key", "wid").distinct().join(_sent(owners), "wid").select("key", "item").distinct()
     items = named.groupBy("key").agg(F.count(F.lit(1)).alias("n_items"), F.array_join(F.array_sort(F.collect_list("item")), ",").alias("items"))
-    found = covered.join(items, "key").select(F.col("key").alias("_key"), "n_hit", "n_items", "items")
+    result = covered.join(items, "key").select(F.col("key").alias("_key"), "n_hit", "n_items", "items")
 
-    rows = docs.select(F.col(id_col).alias("_id"), key.alias("_key"), F.regexp_count(text_or_empty(F.col(text_col)), F.lit(SPOKEN)).cast("long").alias("n_words"))
+    rows = hits.where(F.col("sid") == WHOLE).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("n").alias("n_words"))
     hit = F.coalesce(F.col("n_hit"), F.lit(0).cast("long"))
-    return rows.join(found, "_key", "left").select(
+    return rows.join(result, "_key", "left").select(
         F.col("_id").alias(id_col),
         "n_words",
         hit.alias("n_hit"),

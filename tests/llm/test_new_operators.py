@@ -158,8 +158,8 @@ def test_decontamination_is_exact(odd, items, window, shingle):
     assert any(w[3] > 1 for w in want) and any(w[5] is False for w in want)
 
 
-def test_decontamination_without_broadcasts(odd, items, monkeypatch):
-    monkeypatch.setattr(contamination, "SENT_ROWS", 0)
+def test_decontamination_with_a_benchmark_in_blocks(odd, items, monkeypatch):
+    monkeypatch.setattr(contamination, "SENT_ROWS", 30)
     test_decontamination_is_exact(odd, items, 10, 3)
 
 
