@@ -41,13 +41,12 @@ def local_session(cpus: int = 8, app: str = "spotframe") -> SparkSession:
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to reliable storage.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as the context knows it.
 
-    The directory comes from ``spark.checkpoint.dir`` (a shared folder on a cluster). Only where
-    neither that setting nor a context directory exists, as in local tests, a fresh folder is used.
+    It comes from ``spark.checkpoint.dir`` (a shared folder on a cluster). Only where neither that setting
+    nor a context directory exists, as in local tests, a fresh folder is used.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -56,4 +55,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a shared folder before running this operator")
             configured = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         context.setCheckpointDir(configured)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint to reliable storage, see ``checkpoint_folder``."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
