@@ -28,7 +28,7 @@ def r6(df, *cols):
 
 
 def _strat(spark, sf):
-    return lookup.stratify_spots(V.spots(spark, sf), V.labels(spark, sf), V.cyto(spark, sf), V.images(spark, sf))
+    return lookup.stratify_spots(V.spots(spark, sf), V.label_rows(spark, sf), V.cyto_rows(spark, sf), V.images(spark, sf))
 
 
 def _paired(spark, sf):
@@ -36,7 +36,7 @@ def _paired(spark, sf):
 
 
 def _full(spark, sf):
-    return cut_lineage(lookup.stratify_spots(_paired(spark, sf), V.labels(spark, sf), V.cyto(spark, sf), V.images(spark, sf)))
+    return cut_lineage(lookup.stratify_spots(_paired(spark, sf), V.label_rows(spark, sf), V.cyto_rows(spark, sf), V.images(spark, sf)))
 
 
 def _nuclei(spark, sf, spots=None):
@@ -69,7 +69,7 @@ SELECT s.image, s.channel, s.spot_id, n.nucleolus_id IS NOT NULL AS in_nucleolus
        s.in_nucleus AND n.nucleolus_id IS NULL AS in_nucleus_excluding_nucleolus
 FROM v_strat s LEFT JOIN v_nucleoli n ON s.image = n.image AND s.y_px = n.y AND s.x_px = n.x"""))
 def classify_nucleolus(spark, sf):
-    out = lookup.classify_nucleolus(_strat(spark, sf), V.nucleoli(spark, sf), V.images(spark, sf))
+    out = lookup.classify_nucleolus(_strat(spark, sf), V.nucleoli_rows(spark, sf), V.images(spark, sf))
     return out.select("image", "channel", "spot_id", "in_nucleolus", "in_nucleus_excluding_nucleolus")
 
 

@@ -127,39 +127,74 @@ def anchor_plane(spark, sf):
 
 # ---- masks and labels ------------------------------------------------------------------------------
 
-MASK = "v_mask AS MATERIALIZED (SELECT image, y, x FROM v_stack WHERE channel = 0 AND z = image % 5 AND v >= 1000)"
+MASK = "v_mask AS MATERIALIZED (SELECT image, channel, z, y, x FROM v_stack WHERE v >= 1000)"
+PLANE = ["image", "channel", "z"]
 
 
 def _mask(spark, sf):
-    return V.stack(spark, sf).where("channel = 0 and z = image % 5 and v >= 1000").select("image", "y", "x")
+    return V.stack(spark, sf).where("v >= 1000").select(*PLANE, "y", "x")
 
 
 def _frames(spark, sf):
     return V.stack_rows(spark, sf).select("image", F.lit(8).alias("height"), F.lit(8).alias("width")).distinct()
 
 
-OFFS = "v_off(dy, dx) AS (VALUES " + ", ".join(str(o) for o in disk(1.0)) + ")"
-DIL = "v_dil AS (SELECT DISTINCT image, y + dy AS y, x + dx AS x FROM v_mask CROSS JOIN v_off WHERE y + dy BETWEEN 0 AND 7 AND x + dx BETWEEN 0 AND 7)"
+def dilated_sql(name: str, source: str, radius: float, keys: str, size: int) -> str:
+    offsets = ", ".join(str(o) for o in disk(radius))
+    return f"""{name} AS MATERIALIZED (SELECT DISTINCT {keys}, y + dy AS y, x + dx AS x FROM {source} CROSS JOIN (VALUES {offsets}) o(dy, dx) WHERE y + dy BETWEEN 0 AND {size - 1} AND x + dx BETWEEN 0 AND {size - 1})"""
 
 
-@check(oracle("SELECT * FROM v_dil", MASK, OFFS, DIL))
+def eroded_sql(name: str, source: str, radius: float, keys: str, size: int, everything: str) -> list[str]:
+    """What no pixel outside the source reaches."""
+    return [
+        f"{name}_out AS (SELECT {keys}, y, x FROM {everything} ANTI JOIN {source} USING ({keys}, y, x))",
+        dilated_sql(f"{name}_reach", f"{name}_out", radius, keys, size),
+        f"{name} AS MATERIALIZED (SELECT {keys}, y, x FROM {everything} ANTI JOIN {name}_reach USING ({keys}, y, x))",
+    ]
+
+
+STACK_PX = "v_all AS (SELECT image, channel, z, y, x FROM v_stack)"
+STACKED = ("image, channel, z", 8)
+DIL = dilated_sql("v_dil", "v_mask", 1.0, *STACKED)
+
+
+@check(oracle("SELECT * FROM v_dil", MASK, DIL))
 def morph_dilate(spark, sf):
-    return labels.morph(_mask(spark, sf), _frames(spark, sf), "dilate", 1.0)
+    return labels.morph(_mask(spark, sf), _frames(spark, sf), "dilate", 1.0, PLANE)
 
 
-@check(oracle("""
-SELECT c.image, c.y, c.x FROM (SELECT m.image, m.y, m.x, m.y + dy AS jy, m.x + dx AS jx FROM v_dil m CROSS JOIN v_off WHERE m.y + dy BETWEEN 0 AND 7 AND m.x + dx BETWEEN 0 AND 7) c
-LEFT JOIN v_dil d ON d.image = c.image AND d.y = c.jy AND d.x = c.jx GROUP BY ALL HAVING count(*) = count(d.image)""", MASK, OFFS, DIL))
+@check(oracle("SELECT * FROM v_ero", MASK, STACK_PX, *eroded_sql("v_ero", "v_mask", 1.0, *STACKED, "v_all")))
+def morph_erode(spark, sf):
+    return labels.morph(_mask(spark, sf), _frames(spark, sf), "erode", 1.0, PLANE)
+
+
+@check(oracle("SELECT * FROM v_clo", MASK, STACK_PX, DIL, *eroded_sql("v_clo", "v_dil", 1.0, *STACKED, "v_all")))
 def morph_close(spark, sf):
-    return labels.morph(_mask(spark, sf), _frames(spark, sf), "close", 1.0)
+    return labels.morph(_mask(spark, sf), _frames(spark, sf), "close", 1.0, PLANE)
+
+
+WIDE = ("image, channel", 64)
+
+
+@check(oracle("SELECT * FROM v_opn", "v_wide AS MATERIALIZED (SELECT image, channel, y, x FROM v_pixels WHERE v >= 120)", "v_all AS (SELECT image, channel, y, x FROM v_pixels)",
+    *eroded_sql("v_ero", "v_wide", 2.5, *WIDE, "v_all"), dilated_sql("v_opn", "v_ero", 2.5, *WIDE)))
+def morph_open(spark, sf):
+    wide = V.pixels(spark, sf).where("v >= 120").select("image", "channel", "y", "x")
+    return labels.morph(wide, V.images(spark, sf), "open", 2.5, ["image", "channel"])
+
+
+@check(oracle("SELECT * FROM v_ero", "v_wide AS MATERIALIZED (SELECT image, channel, y, x FROM v_pixels WHERE v >= 2)", "v_all AS (SELECT image, channel, y, x FROM v_pixels)", *eroded_sql("v_ero", "v_wide", 10.0, *WIDE, "v_all")))
+def morph_erode_far(spark, sf):
+    wide = V.pixels(spark, sf).where("v >= 2").select("image", "channel", "y", "x")
+    return labels.morph(wide, V.images(spark, sf), "erode", 10.0, ["image", "channel"])
 
 
-@check(oracle("SELECT image, y, x, component FROM v_comp", MASK).replace("WITH v_images", "WITH RECURSIVE v_images", 1).replace("SELECT image, y, x, component FROM v_comp", """, v_reach AS (
-  SELECT image, y, x, y AS sy, x AS sx FROM v_mask
-  UNION SELECT r.image, m.y, m.x, r.sy, r.sx FROM v_reach r JOIN v_mask m ON m.image = r.image AND abs(m.y - r.y) <= 1 AND abs(m.x - r.x) <= 1)
-SELECT image, y, x, min(sy * 2147483648 + sx) AS component FROM v_reach GROUP BY ALL"""))
+@check(oracle("SELECT image, channel, z, y, x, component FROM v_comp", MASK).replace("WITH v_images", "WITH RECURSIVE v_images", 1).replace("SELECT image, channel, z, y, x, component FROM v_comp", """, v_reach AS (
+  SELECT image, channel, z, y, x, y AS sy, x AS sx FROM v_mask
+  UNION SELECT r.image, r.channel, r.z, m.y, m.x, r.sy, r.sx FROM v_reach r JOIN v_mask m ON m.image = r.image AND m.channel = r.channel AND m.z = r.z AND abs(m.y - r.y) <= 1 AND abs(m.x - r.x) <= 1)
+SELECT image, channel, z, y, x, min(sy * 2147483648 + sx) AS component FROM v_reach GROUP BY ALL"""))
 def components(spark, sf):
-    return labels.components(_mask(spark, sf), 8)
+    return labels.components(_mask(spark, sf), 8, PLANE)
 
 
 @check(oracle("SELECT image, y, x, nucleus_id FROM v_labels WHERE nucleus_id % 16 <> 5 AND (SELECT 1) = 1").replace("nucleus_id % 16 <> 5", "nucleus_id <> 5"))
@@ -182,18 +217,66 @@ def expand_labels(spark, sf):
     return labels.expand_labels(V.labels(spark, sf), V.images(spark, sf), 4)
 
 
-@check()
+# masks that smoothing changes: nuclei with notches and spurs, the pixels of which follow from the pixel values
+ROUGH = "v_rough AS MATERIALIZED (SELECT g.image, g.y, g.x, g.block AS nucleus_id FROM v_grid g JOIN v_pixels p ON p.image = g.image AND p.y = g.y AND p.x = g.x AND p.channel = 'dapi' WHERE g.d2 <= 49 AND (g.d2 <= 9 OR p.v::BIGINT % 10 > 1))"
+LABELLED = ("image, nucleus_id", 64)
+SQUARE = "v_sq AS (SELECT image, block AS nucleus_id, g.y, g.x FROM (SELECT DISTINCT image, block FROM v_grid) b JOIN (SELECT DISTINCT image AS i, y, x FROM v_grid) g ON g.i = b.image AND abs(g.y - ((b.block - 1) // 4 * 16 + 8)) <= 14 AND abs(g.x - ((b.block - 1) % 4 * 16 + 8)) <= 14)"
+
+
+def _rough(spark, sf):
+    dapi = V.pixels(spark, sf).where("channel = 'dapi'")
+    near = (F.col("y") % 16 - 8) * (F.col("y") % 16 - 8) + (F.col("x") % 16 - 8) * (F.col("x") % 16 - 8)
+    kept = dapi.withColumn("d2", near).where("d2 <= 49 AND (d2 <= 9 OR cast(v AS long) % 10 > 1)")
+    return kept.select("image", "y", "x", F.expr("(y div 16) * 4 + (x div 16) + 1").alias("nucleus_id"))
+
+
+@check(oracle("""
+SELECT image, y, x, min(nucleus_id) AS nucleus_id FROM v_o s WHERE NOT EXISTS (SELECT 1 FROM v_rough r WHERE r.image = s.image AND r.y = s.y AND r.x = s.x AND r.nucleus_id <> s.nucleus_id) GROUP BY ALL""",
+    ROUGH, SQUARE, dilated_sql("v_c1", "v_rough", 2, *LABELLED), *eroded_sql("v_c", "v_c1", 2, *LABELLED, "v_sq"), *eroded_sql("v_o1", "v_c", 2, *LABELLED, "v_sq"), dilated_sql("v_o", "v_o1", 2, *LABELLED)))
 def smooth_labels(spark, sf):
-    return labels.smooth_labels(V.labels(spark, sf), V.images(spark, sf), 2)
+    return labels.smooth_labels(_rough(spark, sf), V.images(spark, sf), 2)
 
 
-@check()
-def detect_nucleoli(spark, sf):
-    rows = V.pixel_rows(spark, sf).where("channel = 'dapi'").drop("channel", "z")
-    return labels.detect_nucleoli(rows, V.labels(spark, sf), V.images(spark, sf), min_um2=0.01, closing=1, border=1)
+NUCLEOLI = ("image, nucleus_id, component", 64)
+DARK = """v_dapi AS MATERIALIZED (SELECT l.image, l.nucleus_id, l.y, l.x, p.v FROM v_labels l JOIN v_pixels p USING (image, y, x) WHERE p.channel = 'dapi'),
+v_dark AS MATERIALIZED (
+  SELECT d.image, d.nucleus_id, d.y, d.x FROM v_dapi d JOIN (SELECT image, nucleus_id, quantile_cont(v, 0.6) AS cut FROM v_dapi GROUP BY ALL) q USING (image, nucleus_id)
+  WHERE v <= cut AND (SELECT 1) = 1 AND EXISTS (SELECT 1 FROM v_inner i WHERE i.image = d.image AND i.y = d.y AND i.x = d.x)),
+v_walk AS (
+  SELECT image, nucleus_id, y, x, y AS sy, x AS sx FROM v_dark
+  UNION SELECT r.image, r.nucleus_id, m.y, m.x, r.sy, r.sx FROM v_walk r JOIN v_dark m ON m.image = r.image AND m.nucleus_id = r.nucleus_id AND abs(m.y - r.y) + abs(m.x - r.x) <= 1),
+v_part AS MATERIALIZED (SELECT image, nucleus_id, y, x, min(sy * 2147483648 + sx) AS component FROM v_walk GROUP BY ALL),
+v_big AS MATERIALIZED (SELECT p.* FROM v_part p SEMI JOIN (SELECT image, nucleus_id, component FROM v_part GROUP BY ALL HAVING count(*) BETWEEN 2 AND 67) USING (image, nucleus_id, component)),
+v_cells AS MATERIALIZED (SELECT c.image, c.nucleus_id, c.component, l.y, l.x FROM (SELECT DISTINCT image, nucleus_id, component FROM v_big) c JOIN v_grid l ON l.image = c.image AND abs(l.y - ((c.nucleus_id - 1) // 4 * 16 + 8)) <= 8 AND abs(l.x - ((c.nucleus_id - 1) % 4 * 16 + 8)) <= 8)"""
 
 
-@check()
+@check(oracle("SELECT DISTINCT image, y, x, nucleus_id AS nucleolus_id FROM v_clo SEMI JOIN v_labels USING (image, nucleus_id, y, x)",
+    "v_px AS (SELECT image, y, x FROM v_labels)", "v_every AS (SELECT image, y, x FROM v_grid)", *eroded_sql("v_inner", "v_px", 1, "image", 64, "v_every"), DARK,
+    dilated_sql("v_cd", "v_big", 1, *NUCLEOLI), *eroded_sql("v_clo", "v_cd", 1, *NUCLEOLI, "v_cells")).replace("WITH v_images", "WITH RECURSIVE v_images", 1))
+def detect_nucleoli(spark, sf):
+    rows = V.pixel_rows(spark, sf).where("channel = 'dapi'").drop("channel", "z")
+    return labels.detect_nucleoli(rows, V.labels(spark, sf), V.images(spark, sf), pct=60.0, min_um2=0.03, closing=1, border=1)
+
+
+OTSU = """v_f AS (SELECT image, v FROM v_pixels WHERE channel = 'dapi'),
+v_b AS (SELECT image, min(v) AS lo, (max(v) - min(v)) / 256 AS width FROM v_f GROUP BY ALL),
+v_h AS (SELECT image, least(255, floor((v - lo) / width)) AS slot, count(*) AS c, any_value(lo) AS lo, any_value(width) AS width FROM v_f JOIN v_b USING (image) GROUP BY ALL),
+v_w AS (
+  SELECT image, slot, lo + (slot + 0.5) * width AS centre, sum(c) OVER lower AS w1, sum(c * (lo + (slot + 0.5) * width)) OVER lower AS m1, sum(c) OVER upper AS w2, sum(c * (lo + (slot + 0.5) * width)) OVER upper AS m2 FROM v_h
+  WINDOW lower AS (PARTITION BY image ORDER BY slot), upper AS (PARTITION BY image ORDER BY slot ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+v_cut AS (SELECT image, centre AS thr FROM (SELECT *, row_number() OVER (PARTITION BY image ORDER BY round(w1::DOUBLE * w2 * pow(m1 / w1 - m2 / w2, 2), 6) DESC, slot) AS rn FROM v_w WHERE w2 > 0) WHERE rn = 1),
+v_on AS MATERIALIZED (SELECT p.image, p.y, p.x FROM v_pixels p JOIN v_cut USING (image) WHERE channel = 'dapi' AND v > thr),
+v_walk AS (
+  SELECT image, y, x, y AS sy, x AS sx FROM v_on o  -- the first pixel of a component has none above it or to its left
+  WHERE NOT EXISTS (SELECT 1 FROM v_on a WHERE a.image = o.image AND (a.y = o.y AND a.x = o.x - 1)) AND NOT EXISTS (SELECT 1 FROM v_on a WHERE a.image = o.image AND a.y = o.y - 1 AND a.x = o.x)
+  UNION SELECT r.image, m.y, m.x, r.sy, r.sx FROM v_walk r JOIN v_on m ON m.image = r.image AND abs(m.y - r.y) + abs(m.x - r.x) <= 1),
+v_found AS MATERIALIZED (SELECT image, y, x, min(sy * 2147483648 + sx) AS id FROM v_walk GROUP BY ALL),
+v_keep AS (
+  SELECT image, id, row_number() OVER (PARTITION BY image ORDER BY id) AS nucleus_id FROM (SELECT image, id, min(y) AS y0, max(y) AS y1, min(x) AS x0, max(x) AS x1, count(*) AS n FROM v_found GROUP BY ALL)
+  WHERE n >= 20 AND y0 >= 1 AND x0 >= 1 AND y1 + 1 <= 63 AND x1 + 1 <= 63)"""
+
+
+@check(oracle("SELECT image, y, x, nucleus_id FROM v_found JOIN v_keep USING (image, id)", OTSU).replace("WITH v_images", "WITH RECURSIVE v_images", 1))
 def otsu_labels(spark, sf):
     dapi = V.pixels(spark, sf).where("channel = 'dapi'").select("image", "y", "x", "v")
     return labels.otsu_labels(dapi, V.images(spark, sf), min_px=20, margin=1)

@@ -72,6 +72,26 @@ def nucleoli(spark: SparkSession, sf: str) -> DataFrame:
     return _grid(spark, sf).where(_d2() <= 4).select("image", "y", "x", _block().alias("nucleolus_id"))
 
 
+def _disk_rows(spark: SparkSession, sf: str, inside: str):
+    """Label rows (image, y, ids): the nucleus number of each pixel for which `inside` holds of its d2, else 0."""
+    side = F.sequence(F.lit(0).cast("long"), F.lit(SIZE - 1).cast("long"))
+    d2 = "(y % 16 - 8) * (y % 16 - 8) + (x % 16 - 8) * (x % 16 - 8)"
+    ids = F.expr(f"transform(sequence(0L, 63L), x -> if({inside.replace('d2', d2)}, (y div 16) * 4 + (x div 16) + 1, 0L))")
+    return images(spark, sf).select("image", F.explode(side).alias("y")).select("image", "y", ids.alias("ids"))
+
+
+def label_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _disk_rows(spark, sf, "d2 <= 36")
+
+
+def cyto_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _disk_rows(spark, sf, "d2 > 36 AND d2 <= 64")
+
+
+def nucleoli_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _disk_rows(spark, sf, "d2 <= 4")
+
+
 def pixels(spark: SparkSession, sf: str) -> DataFrame:
     channel = F.element_at(F.array(F.lit("dapi"), F.lit("rna1"), F.lit("rna2")), F.col("c") + 1)
     base = (F.col("image") * 7919 + F.col("c").cast("long") * 104729 + F.col("y") * 1299709 + F.col("x") * 15485863) % 997

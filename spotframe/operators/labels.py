@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spotframe.functions.ranks import quantiles
 from spotframe.functions.scalars import ratio
-from spotframe.functions.stencils import disk, literal
+from spotframe.functions.stencils import literal
+from spotframe.operators.distance import morph
 from spotframe.operators.frames import pixels_in
 from spotframe.operators.thresholds import otsu
 from spotframe.session import cut_lineage
@@ -36,70 +37,34 @@ def drop_border(labels: DataFrame, images: DataFrame, margin: int = 5) -> DataFr
     return labels.join(fresh, KEY).withColumn("nucleus_id", F.col("_new")).drop("_new")
 
 
-def _in_frame(height: Column, width: Column) -> Column:
-    return (F.col("y") >= 0) & (F.col("y") < height) & (F.col("x") >= 0) & (F.col("x") < width)
-
-
-def _shifted(mask: DataFrame, offsets: Sequence[tuple[int, int]], keys: Sequence[str], sign: int) -> DataFrame:
-    moved = mask.select(*keys, "y", "x", "height", "width", F.explode(literal(offsets)).alias("_o"))
-    out = moved.select(*keys, (F.col("y") + sign * F.col("_o.dy")).alias("y"), (F.col("x") + sign * F.col("_o.dx")).alias("x"), "height", "width")
-    return out.where(_in_frame(F.col("height"), F.col("width")))
-
-
-def _dilate(mask: DataFrame, offsets, keys: Sequence[str]) -> DataFrame:
-    return _shifted(mask, offsets, keys, 1).distinct()
-
-
-def _erode(mask: DataFrame, offsets, keys: Sequence[str]) -> DataFrame:
-    """Pixels all of whose in-frame neighbours are set; outside the frame counts as set."""
-    hits = _shifted(mask, offsets, keys, -1).groupBy(*keys, "y", "x", "height", "width").agg(F.count(F.lit(1)).alias("_n"))
-    needed = F.size(
-        F.filter(
-            literal(offsets),
-            lambda o: (F.col("y") + o["dy"] >= 0) & (F.col("y") + o["dy"] < F.col("height")) & (F.col("x") + o["dx"] >= 0) & (F.col("x") + o["dx"] < F.col("width")),
-        )
-    )
-    return hits.where(F.col("_n") == needed).drop("_n")
-
-
-def morph(mask: DataFrame, images: DataFrame, op: str, radius: float, keys: Sequence[str] = ("image",)) -> DataFrame:
-    """'dilate', 'erode', 'open' or 'close' a mask (keys, y, x) with a disk."""
-    keys = list(keys)
-    offsets = disk(radius)
-    framed = mask.select(*keys, "y", "x").join(images.select("image", "height", "width"), "image")
-    steps = {"dilate": (_dilate,), "erode": (_erode,), "close": (_dilate, _erode), "open": (_erode, _dilate)}[op]
-    for step in steps:
-        framed = step(framed, offsets, keys)
-    return framed.select(*keys, "y", "x")
-
-
-def components(mask: DataFrame, connectivity: int = 4) -> DataFrame:
-    """``mask`` (image, y, x) with a component id, the smallest pixel of its component in reading order.
+def components(mask: DataFrame, connectivity: int = 4, keys: Sequence[str] = ("image",)) -> DataFrame:
+    """``mask`` (keys, y, x) with a component id, the smallest pixel of its component in reading order.
 
     Pixels are first merged into horizontal runs; runs that touch then exchange their smallest id, and
     each id is replaced by the id it points to, until nothing changes.
     """
-    w = Window.partitionBy("image", "y").orderBy("x")
-    marked = mask.select(*PIXEL).withColumn("_i", F.col("x") - F.row_number().over(w))
-    runs = marked.groupBy("image", "y", "_i").agg(F.min("x").alias("a"), F.max("x").alias("b"))
+    keys = list(keys)
+    w = Window.partitionBy(*keys, "y").orderBy("x")
+    marked = mask.select(*keys, "y", "x").withColumn("_i", F.col("x") - F.row_number().over(w))
+    runs = marked.groupBy(*keys, "y", "_i").agg(F.min("x").alias("a"), F.max("x").alias("b"))
     runs = cut_lineage(runs.withColumn("run", F.col("y") * F.lit(1 << 31) + F.col("a")))
     reach = 1 if connectivity == 8 else 0
-    below = runs.select("image", (F.col("y") - 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("run").alias("other"))
-    touch = runs.join(below, ["image", "y"]).where((F.col("a") <= F.col("b2") + reach) & (F.col("a2") <= F.col("b") + reach))
-    pairs = touch.select("image", "run", "other")
-    edges = cut_lineage(pairs.unionByName(pairs.select("image", F.col("other").alias("run"), F.col("run").alias("other"))))
-    ids = runs.select("image", "run", F.col("run").alias("id"))
+    below = runs.select(*keys, (F.col("y") - 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("run").alias("other"))
+    touch = runs.join(below, [*keys, "y"]).where((F.col("a") <= F.col("b2") + reach) & (F.col("a2") <= F.col("b") + reach))
+    pairs = touch.select(*keys, "run", "other")
+    edges = cut_lineage(pairs.unionByName(pairs.select(*keys, F.col("other").alias("run"), F.col("run").alias("other"))))
+    ids = runs.select(*keys, "run", F.col("run").alias("id"))
     while True:
-        heard = edges.join(ids.select("image", F.col("run").alias("other"), F.col("id").alias("theirs")), ["image", "other"]).groupBy("image", "run").agg(F.min("theirs").alias("theirs"))
-        lowered = ids.join(heard, ["image", "run"], "left").select("image", "run", F.col("id").alias("old"), F.least("id", "theirs").alias("id"))
-        root = lowered.select("image", F.col("run").alias("id"), F.col("id").alias("_up"))
-        step = cut_lineage(lowered.join(root, ["image", "id"]).select("image", "run", "old", F.least("id", "_up").alias("id")))
+        heard = edges.join(ids.select(*keys, F.col("run").alias("other"), F.col("id").alias("theirs")), [*keys, "other"]).groupBy(*keys, "run").agg(F.min("theirs").alias("theirs"))
+        lowered = ids.join(heard, [*keys, "run"], "left").select(*keys, "run", F.col("id").alias("old"), F.least("id", "theirs").alias("id"))
+        root = lowered.select(*keys, F.col("run").alias("id"), F.col("id").alias("_up"))
+        step = cut_lineage(lowered.join(root, [*keys, "id"]).select(*keys, "run", "old", F.least("id", "_up").alias("id")))
         changed = step.where(F.col("id") != F.col("old")).limit(1).count()
-        ids = step.select("image", "run", "id")
+        ids = step.select(*keys, "run", "id")
         if changed == 0:
             break
-    named = runs.join(ids, ["image", "run"]).select("image", "y", "_i", F.col("id").alias("component"))
-    return marked.join(named, ["image", "y", "_i"]).select(*PIXEL, "component")
+    named = runs.join(ids, [*keys, "run"]).select(*keys, "y", "_i", F.col("id").alias("component"))
+    return marked.join(named, [*keys, "y", "_i"]).select(*keys, "y", "x", "component")
 
 
 def otsu_labels(planes: DataFrame, images: DataFrame, min_px: float = 10000, max_px: float = 1e12, margin: int = 5, connectivity: int = 4) -> DataFrame:
@@ -118,7 +83,7 @@ def smooth_labels(labels: DataFrame, images: DataFrame, radius: float) -> DataFr
     if radius <= 0:
         return labels
     keys = ["image", "nucleus_id"]
-    smooth = morph(morph(labels, images, "close", radius, keys), images, "open", radius, keys)
+    smooth = morph(labels, images, "smooth", radius, keys)
     owner = labels.select(*PIXEL, F.col("nucleus_id").alias("_own"))
     allowed = smooth.join(owner, PIXEL, "left").where(F.col("_own").isNull() | (F.col("_own") == F.col("nucleus_id")))
     claimed = allowed.groupBy(*PIXEL).agg(F.min("nucleus_id").alias("nucleus_id"))
@@ -177,24 +142,30 @@ def detect_nucleoli(
     planes: DataFrame, labels: DataFrame, images: DataFrame, voxel_xy_um: float = 0.13, pct: float = 25.0, min_um2: float = 1.0,
     max_frac: float = 0.6, closing: int = 2, border: int = 5,
 ) -> DataFrame:
-    """(image, y, x, nucleolus_id): dark areas well inside a nucleus, sized, closed and clipped to it.
+    """(image, y, x, nucleolus_id): dark areas well inside a nucleus, sized, closed one by one and clipped to it.
 
-    planes is the DAPI plane; the id is that of the nucleus. A nucleus must hold twice the smallest area.
+    planes is the DAPI plane; the id is that of the nucleus. A nucleus must hold twice the smallest area. "Well
+    inside" is away from the edge of all nuclei together, so touching nuclei keep their common border; a nucleus
+    that has no such pixel is searched whole.
     """
     min_px = max(1, round(min_um2 / (voxel_xy_um * voxel_xy_um)))
     area = labels.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_area")).where(F.col("_area") >= 2 * min_px)
     inside = labels.select(*PIXEL, "nucleus_id").join(area, KEY)
     pixels = pixels_in(planes, inside)
     dark = pixels.join(quantiles(pixels, "v", KEY, {"_cut": pct / 100}), KEY).where(F.col("v") <= F.col("_cut")).select(*PIXEL, "nucleus_id", "_area")
-    interior = morph(labels, images, "erode", border) if border > 0 else labels.select(*PIXEL)
-    seeds = cut_lineage(dark.join(interior, PIXEL, "left_semi"))
-    parts = components(seeds.select(*PIXEL)).join(seeds, PIXEL)
-    keys = ["image", "nucleus_id", "component"]
-    sized = parts.groupBy(*keys, "_area").agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") >= min_px) & (F.col("_n") <= max_frac * F.col("_area")))
-    kept = parts.join(sized.select(*keys), keys, "left_semi").select(*PIXEL, "nucleus_id")
+    if border > 0:
+        interior = cut_lineage(morph(labels, images, "erode", border).join(labels.select(*PIXEL, "nucleus_id"), PIXEL))
+        whole = area.select(*KEY).join(interior.select(*KEY).distinct(), KEY, "left_anti")
+        dark = dark.join(interior, [*PIXEL, "nucleus_id"], "left_semi").unionByName(dark.join(whole, KEY, "left_semi"))
+    seeds = cut_lineage(dark)
+    keys = [*KEY, "component"]
+    parts = components(seeds.select(*KEY, "y", "x"), keys=KEY).join(area, KEY)
+    sized = parts.groupBy(*keys, "_area").agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") >= min_px) & (F.col("_n") <= F.floor(max_frac * F.col("_area"))))
+    kept = parts.join(sized.select(*keys), keys, "left_semi").select(*keys, "y", "x")
     if closing > 0:
-        kept = morph(kept, images, "close", closing, KEY)
-    return kept.join(labels.select(*PIXEL, "nucleus_id"), [*PIXEL, "nucleus_id"], "left_semi").select(*PIXEL, F.col("nucleus_id").alias("nucleolus_id"))
+        kept = morph(kept, images, "close", closing, keys)
+    clipped = kept.select(*PIXEL, "nucleus_id").distinct().join(labels.select(*PIXEL, "nucleus_id"), [*PIXEL, "nucleus_id"], "left_semi")
+    return clipped.select(*PIXEL, F.col("nucleus_id").alias("nucleolus_id"))
 
 
 # Perimeter weights by the pattern of border neighbours (10 per diagonal, 2 per side).

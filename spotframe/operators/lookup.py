@@ -6,52 +6,46 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-PIXEL = ["image", "y", "x"]
+from spotframe.operators.runs import id_at, rows_of_runs
 
 
 def _clamp(c: Column, size: Column) -> Column:
     return F.greatest(F.lit(0).cast("long"), F.least(c.cast("long"), size.cast("long") - 1))
 
 
+def _over_rows(spots: DataFrame, masks: Sequence[DataFrame], images: DataFrame, y: Column, x: Column) -> DataFrame:
+    """spots with _x and the runs of the masks in their image row (_cells); positions are clamped into the frame."""
+    frame = images.select("image", "height", "width")
+    placed = spots.join(frame, "image").withColumn("_y", _clamp(y, F.col("height"))).withColumn("_x", _clamp(x, F.col("width"))).drop("height", "width")
+    rows = rows_of_runs(masks).select("image", F.col("y").alias("_y"), F.col("cells").alias("_cells"))
+    return placed.join(rows, ["image", "_y"], "left").drop("_y")
+
+
 def stratify_spots(spots: DataFrame, labels: DataFrame, cyto: DataFrame, images: DataFrame) -> DataFrame:
     """Nucleus under each spot, else the nucleus owning the cytoplasm under it.
 
-    Positions are truncated to a pixel and clamped into the frame. nucleus_id is 0 off every cell.
+    Positions are truncated to a pixel and clamped into the frame. nucleus_id is 0 off every cell. Masks may be
+    runs, label rows or pixels (see ``runs``); nuclei and rims of an image row meet its spots in one join.
     """
-    frame = images.select("image", "height", "width")
-    placed = (
-        spots.join(frame, "image")
-        .withColumn("y", _clamp(F.col("y_px"), F.col("height")))
-        .withColumn("x", _clamp(F.col("x_px"), F.col("width")))
-        .drop("height", "width")
-    )
-    nuclei = labels.select(*PIXEL, F.col("nucleus_id").alias("_nuc"))
-    rims = cyto.select(*PIXEL, F.col("cyto_id").alias("_cyto"))
+    over = _over_rows(spots, [labels, cyto], images, F.col("y_px"), F.col("x_px"))
+    found = over.withColumn("_nuc", id_at(F.col("_cells"), F.col("_x"), 0)).withColumn("_cyto", id_at(F.col("_cells"), F.col("_x"), 1))
     in_nucleus = F.coalesce(F.col("_nuc"), F.lit(0)) > 0
     in_cyto = ~in_nucleus & (F.coalesce(F.col("_cyto"), F.lit(0)) > 0)
     return (
-        placed.join(nuclei, PIXEL, "left")
-        .join(rims, PIXEL, "left")
-        .withColumn("nucleus_id", F.when(in_nucleus, F.col("_nuc")).when(in_cyto, F.col("_cyto")).otherwise(F.lit(0)))
+        found.withColumn("nucleus_id", F.when(in_nucleus, F.col("_nuc")).when(in_cyto, F.col("_cyto")).otherwise(F.lit(0)))
         .withColumn("in_nucleus", in_nucleus)
         .withColumn("in_cytoplasm", in_cyto)
-        .drop("_nuc", "_cyto", "y", "x")
+        .drop("_nuc", "_cyto", "_cells", "_x")
     )
 
 
 def classify_nucleolus(spots: DataFrame, nucleoli: DataFrame, images: DataFrame) -> DataFrame:
     """Whether a spot sits in a nucleolus; positions are rounded half-even here."""
-    frame = images.select("image", "height", "width")
-    holes = nucleoli.where(F.col("nucleolus_id") > 0).select(*PIXEL, F.lit(True).alias("_hit"))
+    over = _over_rows(spots, [nucleoli], images, F.rint("y_px"), F.rint("x_px"))
     return (
-        spots.join(frame, "image")
-        .withColumn("y", _clamp(F.rint("y_px"), F.col("height")))
-        .withColumn("x", _clamp(F.rint("x_px"), F.col("width")))
-        .drop("height", "width")
-        .join(holes, PIXEL, "left")
-        .withColumn("in_nucleolus", F.coalesce("_hit", F.lit(False)))
+        over.withColumn("in_nucleolus", id_at(F.col("_cells"), F.col("_x"), 0).isNotNull())
         .withColumn("in_nucleus_excluding_nucleolus", F.col("in_nucleus") & ~F.col("in_nucleolus"))
-        .drop("_hit", "y", "x")
+        .drop("_cells", "_x")
     )
 
 
