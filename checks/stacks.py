@@ -118,6 +118,68 @@ def joint_plane(spark, sf):
     return focus.joint_plane(_scores(spark, sf))
 
 
+def _weights(name: str, sigma: float) -> str:
+    reach = len(focus.gaussian_weights(sigma)) // 2
+    return f"{name} AS (SELECT d, w / sum(w) OVER () AS w FROM (SELECT i - {reach} AS d, exp(-0.5::DOUBLE * pow((i - {reach}) / {sigma}::DOUBLE, 2)) AS w FROM (SELECT unnest(range({2 * reach + 1})) AS i)))"
+
+
+def _mirror(i: str, n: int) -> str:
+    return f"CASE WHEN ((({i}) % {2 * n}) + {2 * n}) % {2 * n} < {n} THEN ((({i}) % {2 * n}) + {2 * n}) % {2 * n} ELSE {2 * n - 1} - ((({i}) % {2 * n}) + {2 * n}) % {2 * n} END"
+
+
+def _cross(name: str, source: str, least: int) -> str:
+    """Pixels of the frame of whose cross (itself and four neighbours) at least so many are in the source."""
+    return f"{name} AS MATERIALIZED (SELECT g.image, g.y, g.x FROM v_first g JOIN (VALUES (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) o(dy, dx) ON true JOIN {source} s ON s.image = g.image AND s.y = g.y + dy AND s.x = g.x + dx GROUP BY ALL HAVING count(*) >= {least})"
+
+
+MASKED = [
+    "v_top AS MATERIALIZED (SELECT image, y, x, max(v) AS v FROM v_stack WHERE channel = 0 GROUP BY ALL)",
+    "v_first AS (SELECT image, y, x FROM v_top)",
+    _weights("v_w", 1.5),
+    f"v_d1 AS MATERIALIZED (SELECT g.image, g.y, g.x, sum(t.v * w) AS v FROM v_first g CROSS JOIN v_w JOIN v_top t ON t.image = g.image AND t.x = g.x AND t.y = {_mirror('g.y + d', 8)} GROUP BY ALL)",
+    f"v_f AS MATERIALIZED (SELECT g.image, g.y, g.x, sum(t.v * w) AS v FROM v_first g CROSS JOIN v_w JOIN v_d1 t ON t.image = g.image AND t.y = g.y AND t.x = {_mirror('g.x + d', 8)} GROUP BY ALL)",
+    "v_b AS (SELECT image, min(v) AS lo, (max(v) - min(v)) / 256 AS width FROM v_f GROUP BY ALL)",
+    "v_h AS (SELECT image, least(255, floor((v - lo) / width)) AS slot, count(*) AS c, any_value(lo) AS lo, any_value(width) AS width FROM v_f JOIN v_b USING (image) GROUP BY ALL)",
+    """v_wt AS (
+  SELECT image, slot, lo + (slot + 0.5) * width AS centre, sum(c) OVER lower AS w1, sum(c * (lo + (slot + 0.5) * width)) OVER lower AS m1, sum(c) OVER upper AS w2, sum(c * (lo + (slot + 0.5) * width)) OVER upper AS m2 FROM v_h
+  WINDOW lower AS (PARTITION BY image ORDER BY slot), upper AS (PARTITION BY image ORDER BY slot ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))""",
+    "v_cut AS (SELECT image, centre AS thr FROM (SELECT *, row_number() OVER (PARTITION BY image ORDER BY round(w1::DOUBLE * w2 * pow(m1 / w1 - m2 / w2, 2), 6) DESC, slot) AS rn FROM v_wt WHERE w2 > 0) WHERE rn = 1)",
+    "v_m0 AS MATERIALIZED (SELECT image, y, x FROM v_f JOIN v_cut USING (image) WHERE v > thr)",
+    _cross("v_m1", "v_m0", 5), _cross("v_m2", "v_m1", 1), _cross("v_m3", "v_m2", 1), _cross("v_m4", "v_m3", 5),
+    "v_cov AS MATERIALIZED (SELECT image, coalesce(n, 0) / 64 AS coverage, coalesce(n, 0) > 0 AND coalesce(n, 0) / 64 >= 0.01 AS used FROM (SELECT DISTINCT image FROM v_stack) LEFT JOIN (SELECT image, count(*) AS n FROM v_m4 GROUP BY ALL) USING (image))",
+    "v_nm AS MATERIALIZED (SELECT image, y, x FROM v_m4 SEMI JOIN (SELECT image FROM v_cov WHERE used) USING (image))",
+]
+
+
+def _dapi(spark, sf):
+    return V.stack_rows(spark, sf).where("channel = 0").drop("channel")
+
+
+@check(oracle("SELECT image, y, x FROM v_nm", *MASKED))
+def nuclear_mask(spark, sf):
+    return focus.nuclear_mask(_dapi(spark, sf))[0]
+
+
+@check(oracle("SELECT image, y, x, round(v, 6) AS v FROM v_f", *MASKED[:5]))
+def gaussian_smooth(spark, sf):
+    at = V.stack(spark, sf).where("channel = 0").groupBy("image", "y", "x").agg(F.max("v").alias("v"))
+    rows = at.groupBy("image", "y").agg(F.sort_array(F.collect_list(F.struct("x", "v"))).alias("c")).select("image", "y", F.transform("c", lambda c: c["v"]).alias("vals"))
+    return rounded(frames.flat(focus.gaussian_rows(rows, 1.5)), 6, "v")
+
+
+@check(oracle("""
+SELECT c.image, lo, hi, z, round(p, 7) AS joint_score, used AS mask_used, round(coverage, 9) AS coverage FROM v_cov c JOIN (
+  SELECT *, row_number() OVER (PARTITION BY image ORDER BY p DESC, z) AS rn FROM (SELECT *, min(z) OVER (PARTITION BY image) AS lo, max(z) OVER (PARTITION BY image) AS hi FROM v_ms)
+  WHERE z BETWEEN lo + (hi - lo + 1 - 3) // 2 AND hi - ((hi - lo + 1 - 3) - (hi - lo + 1 - 3) // 2)) j ON j.image = c.image WHERE rn = 1""", NEAR, *MASKED, """v_in AS (
+  SELECT l.image, l.channel, l.z, l.y, l.x, l.lap, s.v FROM v_lap l JOIN v_st s USING (image, channel, z, y, x) WHERE (l.image, l.y, l.x) IN (SELECT (image, y, x) FROM v_nm) OR l.image IN (SELECT image FROM v_cov WHERE NOT used)),
+v_ml AS (SELECT image, channel, z, CASE WHEN mean < 0.9 * max(mean) OVER (PARTITION BY image, channel) THEN 0 ELSE score END AS score FROM (SELECT image, channel, z, avg(v) AS mean, var_pop(lap) / avg(v) AS score FROM v_in GROUP BY ALL)),
+v_mn AS (SELECT image, channel, z, CASE WHEN max(score) OVER w > 0 THEN score / max(score) OVER w ELSE 1 END AS s FROM v_ml WINDOW w AS (PARTITION BY image, channel)),
+v_ms AS (SELECT image, z, product(s) AS p FROM v_mn GROUP BY ALL)"""))
+def joint_focus(spark, sf):
+    out = focus.joint_focus(V.stack_rows(spark, sf), [0, 1], central_fraction=0.6, min_intensity=0.9, intensity_weighted=True, masked=True)
+    return rounded(rounded(out, 7, "joint_score"), 9, "coverage")
+
+
 @check(oracle("SELECT image, CASE WHEN image % 2 = 0 THEN max(z) FILTER (channel = 1) ELSE max(z) FILTER (channel = 0) END AS z, CASE WHEN image % 2 = 0 THEN 'rna' ELSE 'dapi' END AS anchor FROM (SELECT *, row_number() OVER (PARTITION BY image, channel ORDER BY score DESC, z) AS rn FROM v_sc) WHERE rn = 1 GROUP BY image", NEAR))
 def anchor_plane(spark, sf):
     scores = _scores(spark, sf).withColumn("channel", F.when(F.col("channel") == 0, "dapi").otherwise("rna"))

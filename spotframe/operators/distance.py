@@ -37,17 +37,22 @@ def dilated(mask: np.ndarray, radius: float) -> np.ndarray:
     return squared_distance(mask, math.floor(radius)) <= radius * radius
 
 
-def eroded(mask: np.ndarray, radius: float) -> np.ndarray:
-    """Pixels farther than the radius from every unset pixel; what lies outside the frame does not count."""
-    return squared_distance(~mask, math.floor(radius)) > radius * radius
-
-
-STEPS: dict[str, tuple[Callable[[np.ndarray, float], np.ndarray], ...]] = {
-    "dilate": (dilated,), "erode": (eroded,), "close": (dilated, eroded), "open": (eroded, dilated), "smooth": (dilated, eroded, eroded, dilated),
+def eroded(mask: np.ndarray, radius: float, outside: bool = True) -> np.ndarray:
+    """Pixels farther than the radius from every unset pixel; `outside` says whether what lies beyond the frame counts as set."""
+    reach = math.floor(radius)
+    if outside:
+        return squared_distance(~mask, reach) > radius * radius
+    inner = tuple(slice(reach, reach + n) for n in mask.shape)
+    return (squared_distance(~np.pad(mask, reach), reach) > radius * radius)[inner]
+
+
+STEPS: dict[str, tuple[Callable[..., np.ndarray], ...]] = {
+    "dilate": (dilated,), "erode": (eroded,), "close": (dilated, eroded), "open": (eroded, dilated),
+    "smooth": (dilated, eroded, eroded, dilated), "clean": (eroded, dilated, dilated, eroded),
 }
 
 
-def _morph_group(pdf: pd.DataFrame, keys: Sequence[str], op: str, radius: float, kinds: dict[str, str]) -> pd.DataFrame:
+def _morph_group(pdf: pd.DataFrame, keys: Sequence[str], op: str, radius: float, outside: bool, kinds: dict[str, str]) -> pd.DataFrame:
     """One mask of one group of keys, cut to its box and a margin in which every step can end."""
     steps = STEPS[op]
     height, width = int(pdf["height"].iloc[0]), int(pdf["width"].iloc[0])
@@ -58,17 +63,17 @@ def _morph_group(pdf: pd.DataFrame, keys: Sequence[str], op: str, radius: float,
     mask = np.zeros((y1 - y0, x1 - x0), bool)
     mask[ys - y0, xs - x0] = True
     for step in steps:
-        mask = step(mask, radius)
+        mask = step(mask, radius, outside) if step is eroded else step(mask, radius)
     ys, xs = np.nonzero(mask)
     out = {k: np.full(len(ys), pdf[k].iloc[0]) if len(ys) else [] for k in keys}
     return pd.DataFrame({**out, "y": ys + y0, "x": xs + x0}).astype({"y": kinds["y"], "x": kinds["x"]})
 
 
-def morph(mask: DataFrame, images: DataFrame, op: str, radius: float, keys: Sequence[str] = ("image",)) -> DataFrame:
-    """'dilate', 'erode', 'open', 'close' or 'smooth' (close, then open) each mask (keys, y, x) with a disk.
+def morph(mask: DataFrame, images: DataFrame, op: str, radius: float, keys: Sequence[str] = ("image",), outside: bool = True) -> DataFrame:
+    """'dilate', 'erode', 'open', 'close', 'smooth' (close, then open) or 'clean' (open, then close) each mask (keys, y, x) with a disk.
 
     Keys name a mask and include image; masks of different keys do not see each other. A pixel outside the frame
-    counts as unset for dilation and as set for erosion. Pixels of images without a frame, and outside it, are
+    counts as unset for dilation and, unless `outside` is False, as set for erosion. Pixels of images without a frame, and outside it, are
     left out; repeated pixels count once.
     """
     if op not in STEPS:
@@ -80,5 +85,5 @@ def morph(mask: DataFrame, images: DataFrame, op: str, radius: float, keys: Sequ
     inside = framed.where((F.col("y") >= 0) & (F.col("y") < F.col("height")) & (F.col("x") >= 0) & (F.col("x") < F.col("width"))).select(*keys, "y", "x", "height", "width")
     types = {f.name: f.dataType.simpleString() for f in inside.schema}
     schema = ", ".join(f"{c} {types[c]}" for c in [*keys, "y", "x"])
-    work = lambda pdf: _morph_group(pdf, keys, op, radius, {"y": "int64", "x": "int64"})
+    work = lambda pdf: _morph_group(pdf, keys, op, radius, outside, {"y": "int64", "x": "int64"})
     return inside.groupBy(*keys).applyInPandas(work, schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,7 +10,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spotframe.functions.ranks import median_and_mad, quantiles
 from spotframe.functions.scalars import ratio
+from spotframe.operators.distance import morph
 from spotframe.operators.frames import _neighbour_rows
+from spotframe.operators.thresholds import otsu
+from spotframe.session import cut_lineage
 
 GAUSSIAN_MAD = 1.4826
 SLICE = ["image", "channel", "z"]
@@ -159,6 +163,105 @@ def joint_plane(scores: DataFrame, reduce_by: str = "product") -> DataFrame:
     return best_plane(joint_score(scores, reduce_by), ("image",))
 
 
+def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[float]:
+    """Weights of a sampled gaussian from -reach to reach, which add up to 1."""
+    reach = int(truncate * sigma + 0.5)
+    raw = [math.exp(-0.5 * (d / sigma) ** 2) for d in range(-reach, reach + 1)]
+    return [w / sum(raw) for w in raw]
+
+
+def gaussian_rows(plane_rows: DataFrame, sigma: float) -> DataFrame:
+    """A plane smoothed by a gaussian, the frame being mirrored at its edges (the edge pixel repeated).
+
+    Two passes of one dimension over row arrays: each row with the rows within reach in one window over y, then
+    each row along x. Rows of a plane are numbered from 0 without gaps.
+    """
+    weights = gaussian_weights(sigma)
+    reach = len(weights) // 2
+    plane = [c for c in ("image", "channel", "z") if c in plane_rows.columns]
+
+    def mirrored(i: Column, n: Column) -> Column:
+        # ... 1 0 | 0 1 ... n-1 | n-1 n-2 ...
+        at = F.pmod(i, 2 * n)
+        return F.when(at < n, at).otherwise(2 * n - 1 - at).cast("int")
+
+    def smoothed(value) -> Column:
+        return reduce(lambda a, b: a + b, [value(d) * w for d, w in zip(range(-reach, reach + 1), weights)])
+
+    whole = Window.partitionBy(*plane)
+    # a frame lower than the reach is mirrored more than once, so rows farther away may be needed
+    near = whole.orderBy("y").rowsBetween(-2 * reach, 2 * reach)
+    rows = plane_rows.withColumn("_h", F.max("y").over(whole) + 1).withColumn("_near", F.collect_list("vals").over(near)).withColumn("_from", F.greatest(F.col("y") - 2 * reach, F.lit(0)))
+    picked = F.array(*[F.get("_near", (mirrored(F.col("y") + d, F.col("_h")) - F.col("_from")).cast("int")) for d in range(-reach, reach + 1)])
+    xs = F.sequence(F.lit(0), F.size("vals") - 1)
+    down = rows.withColumn("_rows", picked).withColumn("_v", F.transform(xs, lambda x: smoothed(lambda d: F.get(F.get("_rows", F.lit(d + reach)), x))))
+    along = F.transform(xs, lambda x: smoothed(lambda d: F.get("_v", mirrored(x + d, F.size("_v")))))
+    return down.select(*[along.alias("vals") if c == "vals" else c for c in plane_rows.columns])
+
+
+def _in_window(plane_rows: DataFrame, z_start: int | None, z_end: int | None) -> DataFrame:
+    """Slices within the bounds; the whole stack of an image where the bounds leave none of it."""
+    if z_start is None and z_end is None:
+        return plane_rows
+    inside = (F.col("z") >= F.lit(z_start if z_start is not None else -(1 << 31))) & (F.col("z") <= F.lit(z_end if z_end is not None else (1 << 31) - 1))
+    some = plane_rows.groupBy("image").agg(F.max(inside).alias("_some"))
+    return plane_rows.join(some, "image").where(inside | ~F.col("_some")).drop("_some")
+
+
+def nuclear_mask(dapi_rows: DataFrame, sigma: float = 1.5, min_coverage: float = 0.01) -> tuple[DataFrame, DataFrame]:
+    """(mask (image, y, x), coverage (image, coverage, used)) of stacks (image, z, y, vals).
+
+    The brightest value over z is smoothed, cut by Otsu's threshold, opened and closed with a cross; pixels beyond the
+    frame count as unset throughout. A mask that is empty or covers less than min_coverage of the frame is not used: its
+    pixels are left out and `used` is false.
+    """
+    at = F.sequence(F.lit(0), F.size(F.get("_v", F.lit(0))) - 1)
+    stacked = dapi_rows.groupBy("image", "y").agg(F.collect_list("vals").alias("_v"))
+    brightest = stacked.select("image", "y", F.transform(at, lambda x: F.array_max(F.transform("_v", lambda row: F.get(row, x)))).alias("vals"))
+    smooth = cut_lineage(gaussian_rows(brightest, sigma))
+    frame = smooth.groupBy("image").agg((F.max("y") + 1).alias("height"), F.max(F.size("vals")).alias("width"), F.sum(F.size("vals")).alias("_px"))
+    pixels = smooth.select("image", "y", F.posexplode("vals").alias("x", "v"))
+    bright = pixels.join(otsu(pixels, "v", ["image"]), "image").where(F.col("v") > F.col("thr")).select("image", "y", "x")
+    mask = cut_lineage(morph(bright, frame, "clean", 1, outside=False))
+    share = F.coalesce(F.col("_n"), F.lit(0)) / F.col("_px")
+    coverage = frame.join(mask.groupBy("image").agg(F.count(F.lit(1)).alias("_n")), "image", "left").select("image", share.alias("coverage"))
+    coverage = cut_lineage(coverage.withColumn("used", (F.col("coverage") > 0) & (F.col("coverage") >= min_coverage)))
+    return mask.join(coverage.where("used").select("image"), "image", "left_semi"), coverage
+
+
+def joint_focus(
+    plane_rows: DataFrame,
+    channels: Sequence[str | int],
+    reduce_by: str = "product",
+    z_start: int | None = None,
+    z_end: int | None = None,
+    intensity_weighted: bool = False,
+    central_fraction: float = 0.0,
+    min_intensity: float = 0.0,
+    masked: bool = False,
+) -> DataFrame:
+    """(image, lo, hi, z, joint_score, mask_used, coverage): the slice at which all channels are in focus together.
+
+    channels begins with the DAPI channel. Each channel's scores within lo .. hi are scaled to their own peak; only
+    the central part of the window may be chosen where central_fraction is between 0 and 1; of equal slices the
+    lowest wins. `masked` scores focus inside the nuclear mask; images whose mask is not used are scored whole.
+    """
+    rows = _in_window(plane_rows.where(F.col("channel").isin(*channels)), z_start, z_end)
+    score = lambda df, mask: focus_scores(df, intensity_weighted=intensity_weighted, mask=mask, min_intensity=min_intensity)
+    if masked:
+        rows = cut_lineage(rows)
+        mask, coverage = nuclear_mask(rows.where(F.col("channel") == channels[0]).select("image", "z", "y", "vals"))
+        used = coverage.where("used").select("image")
+        scores = score(rows.join(used, "image", "left_semi"), mask).unionByName(score(rows.join(used, "image", "left_anti"), None))
+    else:
+        scores, coverage = score(rows, None), None
+    joint = cut_lineage(joint_score(cut_lineage(scores), reduce_by)).withColumn("mean", F.lit(0.0))
+    best = peak_z(joint, central_fraction=central_fraction).select("image", "lo", "hi", F.col("peak_z").alias("z"), F.col("peak_score").alias("joint_score"))
+    if coverage is None:
+        return best.withColumns({"mask_used": F.lit(False), "coverage": F.lit(0.0)})
+    return best.join(coverage.withColumnRenamed("used", "mask_used"), "image")
+
+
 def plane_quality(planes: DataFrame, keys: Sequence[str] = ("image",)) -> DataFrame:
     """(keys, median, mad, p999, quality): how far the brightest pixels stand above the noise of a plane.
 
