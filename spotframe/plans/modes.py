@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from spotframe.operators import coloc, fov, intensity, lookup, neighbours, nulls, ranges, rollups, sampling, spotfilters
 from spotframe.operators.channels import relabel_channel
 from spotframe.operators.frames import flat, pair_pixels_in
+from spotframe.plans.plate_run import plate_run
 from spotframe.session import cut_lineage
 
 Tables = dict[str, DataFrame]
@@ -94,7 +95,11 @@ def rna_protein(inputs: Mapping[str, DataFrame], params: Mapping[str, Any]) -> T
 
 @register("if_intensity")
 def if_intensity(inputs: Mapping[str, DataFrame], params: Mapping[str, Any]) -> Tables:
-    """Plate run: field and well tables, background correction, tests and exposure check."""
+    """Plate run. With files, plate, plane_rows and labels all of its tables (see ``plate_run``); with `fields` that are
+    already quantified their correction, tests and exposure check."""
+    if "files" in inputs:
+        tables = {k: inputs.get(k) for k in ("files", "plate", "plane_rows", "labels", "exposures", "ring")}
+        return plate_run(**tables, **params)
     fields, wells = fov.secondary_correct(inputs["fields"], params.get("n_pixels", 2304 * 2304))
     wells = cut_lineage(wells)
     return {
