@@ -1,14 +1,16 @@
 """Null models of partner signal at spots: random positions, rings, rotations, translations.
 
-Every null statistic is a mean of disk means, so the disk mean of each pixel is computed once per plane
-and a draw becomes an array lookup. A nucleus travels as one row with its sampling pixels, at most a
-frame in size; its spots are cut into chunks so that a nucleus crowded with spots is spread over rows.
-Draws are counter-based, so results do not depend on partitioning or on task retries.
+A nucleus travels as one row: the band of pixels around it and its spots, the runs of its mask and of its
+nucleoli. There the disk mean, or all ring means, of its window are taken at once, after which a draw is an
+array lookup and the draws of all iterations are one matrix. Nothing is computed off the nuclei and no plane is
+stored. The spots of a crowded nucleus are cut into chunks, which spread over rows; sums of iterations stay
+arrays unless a nucleus has several chunks. Draws are counter-based, so results do not depend on partitioning
+or on task retries.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,7 +20,8 @@ from spotframe.functions.draws import PRIME, SHIFTS, WEIGHTS, draw_index, stream
 from spotframe.functions.ranks import quantiles
 from spotframe.functions.scalars import ratio
 from spotframe.functions.stencils import disk, rings
-from spotframe.operators.frames import pixels_in, stencil_mean_rows, value_at
+from spotframe.operators.frames import value_at
+from spotframe.operators.runs import id_at, rows_of_runs, to_runs
 from spotframe.session import cut_lineage
 
 KEY = ["image", "nucleus_id"]
@@ -43,8 +46,17 @@ def observed_spots(spots: DataFrame, plane_rows: DataFrame, holes: DataFrame | N
     )
     if holes is None:
         return out
-    inside = holes.select("image", F.col("y").alias("cy"), F.col("x").alias("cx"), F.col("nucleolus_id").alias("nucleus_id"))
-    return out.join(inside, ["image", "cy", "cx", "nucleus_id"], "left_anti")
+    rows = rows_of_runs([_hole_runs(holes)]).select("image", F.col("y").alias("cy"), F.col("cells").alias("_cells"))
+    over = id_at(F.col("_cells"), F.col("cx"), 0)
+    return out.join(rows, ["image", "cy"], "left").where(~over.eqNullSafe(F.col("nucleus_id"))).select(*out.columns)
+
+
+def _hole_runs(holes: DataFrame) -> DataFrame:
+    return holes if "x0" in holes.columns or "ids" in holes.columns else holes.select("image", "y", "x", "nucleolus_id")
+
+
+def _label_runs(labels: DataFrame) -> DataFrame:
+    return labels if "x0" in labels.columns or "ids" in labels.columns else labels.select("image", "y", "x", "nucleus_id")
 
 
 def sampling_region(labels: DataFrame, holes: DataFrame | None = None) -> DataFrame:
@@ -57,11 +69,6 @@ def sampling_region(labels: DataFrame, holes: DataFrame | None = None) -> DataFr
     return marked.join(left, KEY).where(F.col("_hole").isNull() | (F.col("_left") == 0)).drop("_hole", "_left")
 
 
-def _pixels(mean_rows: DataFrame, region: DataFrame) -> DataFrame:
-    """(image, nucleus_id, px): sampling pixels as (y, x, v) structs in reading order."""
-    return pixels_in(mean_rows, region).groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("y", "x", "v"))).alias("px"))
-
-
 def _observed(spots: DataFrame, mean_rows: DataFrame) -> DataFrame:
     at = value_at(spots, mean_rows, "cy", "cx", "v")
     return at.groupBy(*KEY).agg(F.avg("v").alias("obs"), F.count(F.lit(1)).alias("n_spots"))
@@ -82,31 +89,148 @@ def _draw(state: np.ndarray, *counters: np.ndarray) -> np.ndarray:
     return out
 
 
-def _position_batches(batches: Iterator[pd.DataFrame], n: int, chunk: int) -> Iterator[pd.DataFrame]:
+def _nuclei(spots: DataFrame, plane_rows: DataFrame, labels: DataFrame, holes: DataFrame | None, reach: int, seed: int) -> DataFrame:
+    """One row per nucleus with spots and mask, and chunk of its spots.
+
+    (KEY, part, parts, n_spots, my, mx, state, height, width, y0, x0, band, mask, holes, sp): band holds the pixels
+    from (y0, x0) on that lie within reach of the mask or a spot, cut at the frame; sp are the chunk's spots.
+    """
+    seen = observed_spots(spots, plane_rows, holes)
+    runs = to_runs(_label_runs(labels)).withColumnRenamed("id", "nucleus_id")
+    run = F.struct(F.col("y").cast("long").alias("y"), F.col("x0").cast("long").alias("x0"), F.col("x1").cast("long").alias("x1"))
+    mask = runs.groupBy(*KEY).agg(
+        F.collect_list(run).alias("mask"), F.min("y").alias("_y0"), F.max("y").alias("_y1"), F.min("x0").alias("_x0"), F.max("x1").alias("_x1")
+    )
+    centre = seen.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("n_spots"), F.avg("cy").alias("my"), F.avg("cx").alias("mx"),
+        F.min("cy").alias("_s0"), F.max("cy").alias("_s1"), F.min("cx").alias("_t0"), F.max("cx").alias("_t1"),
+    )
+    frame = plane_rows.groupBy("image").agg((F.max("y") + 1).alias("height"), F.max(F.size("vals")).cast("long").alias("width"))
+    low = lambda a, b: F.greatest(F.least(a, b).cast("long") - reach, F.lit(0).cast("long"))
+    high = lambda a, b, n: F.least(F.greatest(a, b).cast("long") + reach, F.col(n) - 1)
+    boxes = cut_lineage(
+        centre.join(mask, KEY).join(frame, "image").select(
+            *KEY, "n_spots", "my", "mx", "height", "width", "mask", stream(seed, *[F.col(k) for k in KEY]).alias("state"),
+            low("_y0", "_s0").alias("y0"), high("_y1", "_s1", "height").alias("y1"), low("_x0", "_t0").alias("x0"), high("_x1", "_t1", "width").alias("x1"),
+        )
+    )
+    lines = boxes.select(*KEY, "x0", "x1", F.explode(F.sequence("y0", "y1")).alias("y")).join(plane_rows.select("image", "y", "vals"), ["image", "y"])
+    cut = F.slice("vals", (F.col("x0") + 1).cast("int"), (F.col("x1") - F.col("x0") + 1).cast("int"))
+    bands = lines.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("y", cut.alias("v")))).alias("_b")).select(*KEY, F.transform("_b", lambda r: r["v"]).alias("band"))
+    whole = boxes.drop("y1", "x1").join(bands, KEY)
+    none = F.array().cast("array<struct<y:bigint,x0:bigint,x1:bigint>>")
+    if holes is not None:
+        spared = to_runs(_hole_runs(holes)).withColumnRenamed("id", "nucleus_id").groupBy(*KEY).agg(F.collect_list(run).alias("holes"))
+        whole = whole.join(spared, KEY, "left").withColumn("holes", F.coalesce("holes", none))
+    else:
+        whole = whole.withColumn("holes", none)
+    # a spot's chunk follows from its id, so no ordering of a whole nucleus is needed
+    parts = F.expr(f"(n_spots + {CHUNK - 1}) div {CHUNK}")
+    dealt = seen.join(boxes.select(*KEY, "n_spots"), KEY).withColumn("part", F.pmod(F.xxhash64("spot_id"), parts))
+    chunks = dealt.groupBy(*KEY, "part").agg(F.collect_list(F.struct("spot_id", "cy", "cx")).alias("sp"))
+    # every number of a chunk is there, also where no spot's id falls on it
+    numbered = whole.withColumn("parts", parts).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    no_spots = F.array().cast(chunks.schema["sp"].dataType)
+    # the chunks of a nucleus leave the task that it stands in
+    return numbered.join(chunks, [*KEY, "part"], "left").withColumn("sp", F.coalesce("sp", no_spots)).repartition(*KEY, "part")
+
+
+class _Nucleus:
+    """One chunk row as arrays: window, sampling mask, spots, and the means of a stencil at every pixel of the window."""
+
+    def __init__(self, row) -> None:
+        self.band = np.array([np.asarray(line, dtype=float) for line in row.band])
+        self.y0, self.x0, self.height, self.width = row.y0, row.x0, row.height, row.width
+        inside, spared = self._filled(row.mask), self._filled(row.holes)
+        left = inside & ~spared
+        # the whole nucleus where nothing would be left
+        self.mask = left if left.any() else inside
+        self.cy = np.array([p["cy"] for p in row.sp], dtype=np.int64)
+        self.cx = np.array([p["cx"] for p in row.sp], dtype=np.int64)
+        self.word = np.array([p["spot_id"] for p in row.sp], dtype=np.int64) % PRIME
+        self.my, self.mx = row.my, row.mx
+        self.grid = None
+
+    def _filled(self, runs) -> np.ndarray:
+        out = np.zeros(self.band.shape, bool)
+        for r in runs:
+            y = r["y"] - self.y0
+            if 0 <= y < out.shape[0]:
+                out[y, max(r["x0"] - self.x0, 0) : max(r["x1"] - self.x0 + 1, 0)] = True
+        return out
+
+    def means(self, offsets: Sequence[tuple[int, int]]) -> np.ndarray:
+        """Stencil means with every offset clipped to the frame, summed in the same order at every pixel."""
+        reach = max(max(abs(dy), abs(dx)) for dy, dx in offsets)
+        h, w = self.band.shape
+        rows = np.clip(np.arange(self.y0 - reach, self.y0 + h + reach), 0, self.height - 1) - self.y0
+        cols = np.clip(np.arange(self.x0 - reach, self.x0 + w + reach), 0, self.width - 1) - self.x0
+        # beyond the band, but within the frame, no pixel of the mask and no spot looks
+        wide = self.band[np.clip(rows, 0, h - 1)][:, np.clip(cols, 0, w - 1)]
+        total = np.zeros((h, w))
+        for dy, dx in offsets:
+            total += wide[reach + dy : reach + dy + h, reach + dx : reach + dx + w]
+        return total / len(offsets)
+
+    def look(self, offsets: Sequence[tuple[int, int]]) -> _Nucleus:
+        """Take the means of a stencil: v at the spots, and NaN off the mask in the grid that turned spots look at."""
+        means = self.means(offsets)
+        self.v = means[self.cy - self.y0, self.cx - self.x0]
+        self.grid = np.where(self.mask, means, np.nan)
+        return self
+
+    def at(self, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        y, x = y - self.y0, x - self.x0
+        inside = (y >= 0) & (y < self.grid.shape[0]) & (x >= 0) & (x < self.grid.shape[1])
+        return np.where(inside, self.grid[np.where(inside, y, 0), np.where(inside, x, 0)], np.nan)
+
+    def turned(self, degrees: np.ndarray, which: np.ndarray | slice = slice(None)) -> np.ndarray:
+        angle = np.radians(degrees)
+        c, s = np.cos(angle), np.sin(angle)
+        oy, ox = self.cy[which] - self.my, self.cx[which] - self.mx
+        return self.at(
+            np.rint(self.my + (oy * c - ox * s)).astype(np.int64), np.rint(self.mx + (oy * s + ox * c)).astype(np.int64)
+        )
+
+
+def _drawn_sums(row, values: np.ndarray, n: int) -> np.ndarray:
+    """(stencils, n): sums of the values drawn by this chunk's share of the spots, for all stencils at the same pixels."""
+    first = row.part * CHUNK
+    spots = np.arange(first, min(first + CHUNK, row.n_spots), dtype=np.int64)[None, :]
     iters = np.arange(1, n + 1, dtype=np.int64)[:, None]
+    at = np.floor(_draw(np.int64(row.state), iters, spots) / float(PRIME) * values.shape[1]).astype(np.int64)
+    return np.stack([one[at].sum(axis=1) for one in values])
+
+
+def _position_batches(batches: Iterator[pd.DataFrame], n: int, stencils: Sequence[Sequence[tuple[int, int]]]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        sums = []
+        out = []
         for row in batch.itertuples(index=False):
-            spots = np.arange(row.c0, min(row.c0 + chunk, row.n_spots), dtype=np.int64)[None, :]
-            vals = np.asarray(row.vals, float)
-            at = np.floor(_draw(np.int64(row.state), iters, spots) / float(PRIME) * vals.size).astype(np.int64)
-            sums.append(vals[at].sum(axis=1))
-        yield batch[[*KEY, "n_spots"]].assign(sums=sums)
+            nucleus = _Nucleus(row)
+            means = [nucleus.means(offsets) for offsets in stencils]
+            seen = [float(m[nucleus.cy - nucleus.y0, nucleus.cx - nucleus.x0].sum()) for m in means]
+            sums = _drawn_sums(row, np.stack([m[nucleus.mask] for m in means]), n)
+            out.append((row.image, row.nucleus_id, row.parts, row.n_spots, seen, sums.ravel()))
+        yield pd.DataFrame(out, columns=[*KEY, "parts", "n_spots", "seen", "sums"])
 
 
-def _position_sums(nuclei: DataFrame, n: int) -> DataFrame:
-    """(KEY, n_spots, iter, s): sum of n_spots drawn values for every iteration.
+def _whole(chunks: DataFrame, sums: Sequence[str]) -> DataFrame:
+    """chunks (KEY, parts, n_spots, sums ARRAY ...) with the arrays of a nucleus added up; most nuclei are one chunk."""
+    one = chunks.where("parts = 1").drop("parts")
+    many = chunks.where("parts > 1").select(*KEY, "n_spots", F.posexplode(F.arrays_zip(*sums)).alias("_i", "_r"))
+    added = many.groupBy(*KEY, "n_spots", "_i").agg(*[F.sum(f"_r.{s}").alias(s) for s in sums])
+    ordered = added.groupBy(*KEY, "n_spots").agg(F.sort_array(F.collect_list(F.struct("_i", *sums))).alias("_a"))
+    arrays = [F.col(f"_a.{s}").alias(s) for s in sums]
+    return one.unionByName(ordered.select(*KEY, "n_spots", *arrays))
 
-    ``nuclei`` (KEY, n_spots, state, vals). A crowded nucleus becomes several rows of at most CHUNK
-    spots, whose sums meet again in the final aggregate.
-    """
-    starts = F.sequence(F.lit(0).cast("long"), F.col("n_spots") - 1, F.lit(CHUNK).cast("long"))
-    # the chunks of a nucleus leave the task that it stands in
-    chunks = nuclei.withColumn("c0", F.explode(starts)).repartition(*KEY, "c0")
-    size = CHUNK
-    drawn = chunks.mapInPandas(lambda it: _position_batches(it, n, size), "image long, nucleus_id long, n_spots long, sums array<double>")
-    sums = drawn.select(*KEY, "n_spots", F.posexplode("sums").alias("_i", "_s"))
-    return sums.groupBy(*KEY, "n_spots", (F.col("_i") + 1).alias("iter")).agg(F.sum("_s").alias("s"))
+
+def _positions(spots, plane_rows, labels, holes, n: int, stencils, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(sums (KEY, n_spots, sums), observed (KEY, n_spots, seen)), both arrays, one stencil after the other."""
+    reach = max(max(abs(dy), abs(dx)) for offsets in stencils for dy, dx in offsets)
+    nuclei = _nuclei(spots, _one_plane(plane_rows), labels, holes, reach, seed)
+    schema = "image long, nucleus_id long, parts long, n_spots long, seen array<double>, sums array<double>"
+    chunks = cut_lineage(nuclei.mapInPandas(lambda it: _position_batches(it, n, stencils), schema))
+    return _whole(chunks.drop("seen"), ["sums"]), _whole(chunks.drop("sums"), ["seen"])
 
 
 def position_null(
@@ -114,15 +238,13 @@ def position_null(
 ) -> tuple[DataFrame, DataFrame]:
     """(draws (KEY, n_spots, iter, value), observed (KEY, obs, n_spots)).
 
-    Each iteration draws as many pixels of the nucleus as it has spots and averages their disk means.
+    Each iteration draws as many pixels of the nucleus as it has spots and averages their disk means. Nuclei
+    without a pixel in the mask have neither.
     """
-    means = cut_lineage(stencil_mean_rows(_one_plane(plane_rows), disk(disk_px)))
-    obs = _observed(observed_spots(spots, plane_rows, holes), means)
-    nuclei = obs.join(_pixels(means, sampling_region(labels, holes)), KEY).select(
-        *KEY, "n_spots", stream(seed + POSITION, *[F.col(k) for k in KEY]).alias("state"), F.transform("px", lambda p: p["v"]).alias("vals")
-    )
-    draws = _position_sums(nuclei, n).select(*KEY, "n_spots", "iter", (F.col("s") / F.col("n_spots")).alias("value"))
-    return draws, obs
+    sums, seen = _positions(spots, plane_rows, labels, holes, n, [disk(disk_px)], seed + POSITION)
+    drawn = sums.select(*KEY, "n_spots", F.posexplode("sums").alias("_i", "_s"))
+    draws = drawn.select(*KEY, "n_spots", (F.col("_i") + 1).alias("iter"), (F.col("_s") / F.col("n_spots")).alias("value"))
+    return draws, seen.select(*KEY, (F.get("seen", F.lit(0)) / F.col("n_spots")).alias("obs"), "n_spots")
 
 
 def radial_null(
@@ -130,21 +252,21 @@ def radial_null(
     bins_um: Sequence[float] = (0.25, 0.5, 0.75, 1.0), voxel_xy_um: float = 0.13, seed: int = 0,
 ) -> DataFrame:
     """(KEY, ring_um, obs_mean, null_mean, null_sd, n_spots): rings share one set of drawn positions."""
-    spots, region = observed_spots(spots, plane_rows, holes), sampling_region(labels, holes)
-    out = None
-    for edge, offsets in zip(bins_um, rings([b / voxel_xy_um for b in bins_um])):
-        if not offsets:
-            continue
-        means = cut_lineage(stencil_mean_rows(_one_plane(plane_rows), offsets))
-        obs = _observed(spots, means)
-        nuclei = obs.join(_pixels(means, region), KEY).select(
-            *KEY, "n_spots", stream(seed + RADIAL, *[F.col(k) for k in KEY]).alias("state"), F.transform("px", lambda p: p["v"]).alias("vals")
-        )
-        value = F.col("s") / F.col("n_spots")
-        null = _position_sums(nuclei, n).groupBy(*KEY).agg(F.avg(value).alias("null_mean"), F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("null_sd"))
-        ring = obs.join(null, KEY).select(*KEY, F.lit(float(edge)).alias("ring_um"), F.col("obs").alias("obs_mean"), "null_mean", "null_sd", "n_spots")
-        out = ring if out is None else out.unionByName(ring)
-    return out
+    kept = [(float(edge), offsets) for edge, offsets in zip(bins_um, rings([b / voxel_xy_um for b in bins_um])) if offsets]
+    sums, seen = _positions(spots, plane_rows, labels, holes, n, [offsets for _, offsets in kept], seed + RADIAL)
+    values = F.transform("_one", lambda s: s / F.col("n_spots"))
+    total = F.aggregate("_v", F.lit(0.0), lambda a, v: a + v)
+    spread = F.aggregate("_v", F.lit(0.0), lambda a, v: a + (v - F.col("null_mean")) * (v - F.col("null_mean")))
+    each = sums.select(*KEY, "n_spots", F.explode(F.sequence(F.lit(0), F.lit(len(kept) - 1))).alias("_k"), "sums")
+    null = (
+        each.select(*KEY, "n_spots", "_k", F.slice("sums", F.col("_k") * n + 1, n).alias("_one"))
+        .withColumn("_v", values)
+        .withColumn("null_mean", total / n)
+        .withColumn("null_sd", F.sqrt(spread / (n - 1)) if n > 1 else F.lit(0.0))
+    )
+    edges = F.array(*[F.lit(edge) for edge, _ in kept])
+    obs = seen.select(*KEY, F.col("n_spots").alias("_n"), F.posexplode("seen").alias("_k", "_s")).select(*KEY, "_k", (F.col("_s") / F.col("_n")).alias("obs_mean"))
+    return null.join(obs, [*KEY, "_k"]).select(*KEY, F.get(edges, F.col("_k")).alias("ring_um"), "obs_mean", "null_mean", "null_sd", "n_spots")
 
 
 def pool_radial(radial: DataFrame) -> DataFrame:
@@ -157,57 +279,6 @@ def pool_radial(radial: DataFrame) -> DataFrame:
     )
 
 
-def _grids(mean_rows: DataFrame, region: DataFrame) -> DataFrame:
-    """(KEY, px, y0, x0, h, w, grid): the bounding box of a nucleus in reading order, NULL off the mask."""
-    cells = pixels_in(mean_rows, region)
-    box = region.groupBy(*KEY).agg(
-        F.min("y").alias("y0"), F.max("y").alias("_y1"), F.min("x").alias("x0"), F.max("x").alias("_x1")
-    )
-    rows = cells.groupBy(*KEY, "y").agg(F.sort_array(F.collect_list(F.struct("x", "v"))).alias("_p")).join(box, KEY)
-    xs, vs = F.transform("_p", lambda p: p["x"]), F.transform("_p", lambda p: p["v"])
-    dense = F.transform(
-        F.sequence("x0", "_x1"), lambda x: F.get("_vs", F.nullif(F.array_position("_xs", x), F.lit(0)).cast("int") - 1)
-    )
-    rows = rows.withColumn("_xs", xs).withColumn("_vs", vs).select(*KEY, "y0", "_y1", "x0", "_x1", "y", dense.alias("_row"))
-    whole = rows.groupBy(*KEY, "y0", "_y1", "x0", "_x1").agg(F.sort_array(F.collect_list(F.struct("y", "_row"))).alias("_rows"))
-    width = (F.col("_x1") - F.col("x0") + 1).cast("int")
-    ys = F.transform("_rows", lambda r: r["y"])
-    blank = F.array_repeat(F.lit(None).cast("double"), width)
-    grid = F.flatten(
-        F.transform(
-            F.sequence("y0", "_y1"),
-            lambda y: F.coalesce(F.get("_rows", F.nullif(F.array_position("_ys", y), F.lit(0)).cast("int") - 1)["_row"], blank),
-        )
-    )
-    return whole.withColumn("_ys", ys).select(*KEY, "y0", "x0", (F.col("_y1") - F.col("y0") + 1).alias("h"), width.alias("w"), grid.alias("grid"))
-
-
-class _Nucleus:
-    """One chunk row as arrays: spots, centre and the lookup of disk means (NaN off the mask)."""
-
-    def __init__(self, row) -> None:
-        self.cy = np.array([p["cy"] for p in row.sp], dtype=np.int64)
-        self.cx = np.array([p["cx"] for p in row.sp], dtype=np.int64)
-        self.v = np.array([p["v"] for p in row.sp], dtype=float)
-        self.word = np.array([p["spot_id"] for p in row.sp], dtype=np.int64) % PRIME
-        self.my, self.mx = row.my, row.mx
-        self.y0, self.x0 = row.y0, row.x0
-        self.grid = np.asarray(row.grid, dtype=float).reshape(row.h, row.w)
-
-    def at(self, y: np.ndarray, x: np.ndarray) -> np.ndarray:
-        y, x = y - self.y0, x - self.x0
-        inside = (y >= 0) & (y < self.grid.shape[0]) & (x >= 0) & (x < self.grid.shape[1])
-        return np.where(inside, self.grid[np.where(inside, y, 0), np.where(inside, x, 0)], np.nan)
-
-    def turned(self, degrees: np.ndarray, which: np.ndarray | slice = slice(None)) -> np.ndarray:
-        angle = np.radians(degrees)
-        c, s = np.cos(angle), np.sin(angle)
-        oy, ox = self.cy[which] - self.my, self.cx[which] - self.mx
-        return self.at(
-            np.rint(self.my + (oy * c - ox * s)).astype(np.int64), np.rint(self.mx + (oy * s + ox * c)).astype(np.int64)
-        )
-
-
 def _angles(state: int, *counters: np.ndarray) -> np.ndarray:
     return 360.0 * (_draw(np.int64(state), *counters) / float(PRIME))
 
@@ -216,12 +287,12 @@ def _sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.isfinite(values).sum(axis=1), np.nansum(values, axis=1)
 
 
-def _rotation_batches(batches: Iterator[pd.DataFrame], n: int, max_redraw: int) -> Iterator[pd.DataFrame]:
+def _rotation_batches(batches: Iterator[pd.DataFrame], n: int, max_redraw: int, offsets: Sequence[tuple[int, int]]) -> Iterator[pd.DataFrame]:
     iters = np.arange(1, n + 1, dtype=np.int64)
     for batch in batches:
         out = []
         for row in batch.itertuples(index=False):
-            nucleus = _Nucleus(row)
+            nucleus = _Nucleus(row).look(offsets)
             angles = _angles(row.state, iters)
             angles[: min(n, len(FIXED_ANGLES))] = FIXED_ANGLES[:n]
             first = nucleus.turned(angles[:, None])
@@ -236,49 +307,46 @@ def _rotation_batches(batches: Iterator[pd.DataFrame], n: int, max_redraw: int)
                 missing = ~np.isfinite(kept[i, s])
                 i, s = i[missing], s[missing]
             kept[i, s] = nucleus.v[s]
-            out.append((row.image, row.nucleus_id, row.n_spots, n_in, s_in, kept.sum(axis=1)))
-        yield pd.DataFrame(out, columns=[*KEY, "n_spots", "n_in", "s_in", "s_all"])
+            out.append((row.image, row.nucleus_id, row.parts, row.n_spots, [float(nucleus.v.sum())], n_in, s_in, kept.sum(axis=1)))
+        yield pd.DataFrame(out, columns=[*KEY, "parts", "n_spots", "seen", "n_in", "s_in", "s_all"])
 
 
-def _translation_batches(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
+def _translation_batches(batches: Iterator[pd.DataFrame], n: int, offsets: Sequence[tuple[int, int]]) -> Iterator[pd.DataFrame]:
     iters = np.arange(1, n + 1, dtype=np.int64)
     for batch in batches:
         out = []
         for row in batch.itertuples(index=False):
-            nucleus = _Nucleus(row)
-            py, px = np.asarray(row.py), np.asarray(row.px)
+            nucleus = _Nucleus(row).look(offsets)
+            py, px = np.nonzero(nucleus.mask)
+            py, px = py + nucleus.y0, px + nucleus.x0
             anchor = np.floor(_draw(np.int64(row.state), iters) / float(PRIME) * py.size).astype(np.int64)
             dy, dx = py[anchor] - int(np.rint(row.my)), px[anchor] - int(np.rint(row.mx))
             n_in, s_in = _sums(nucleus.at(nucleus.cy[None, :] + dy[:, None], nucleus.cx[None, :] + dx[:, None]))
-            out.append((row.image, row.nucleus_id, row.n_spots, n_in, s_in))
-        yield pd.DataFrame(out, columns=[*KEY, "n_spots", "n_in", "s_in"])
+            out.append((row.image, row.nucleus_id, row.parts, row.n_spots, [float(nucleus.v.sum())], n_in, s_in))
+        yield pd.DataFrame(out, columns=[*KEY, "parts", "n_spots", "seen", "n_in", "s_in"])
 
 
-def _single_batches(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
+def _single_batches(batches: Iterator[pd.DataFrame], n: int, offsets: Sequence[tuple[int, int]]) -> Iterator[pd.DataFrame]:
     iters = np.arange(1, n + 1, dtype=np.int64)
     for batch in batches:
         out = []
         for row in batch.itertuples(index=False):
-            values = _Nucleus(row).turned(_angles(row.state, iters)[:, None])
-            out.append((row.image, row.nucleus_id, values[np.isfinite(values)]))
-        yield pd.DataFrame(out, columns=[*KEY, "vs"])
-
-
-def _constellations(spots: DataFrame, plane_rows: DataFrame, labels: DataFrame, holes: DataFrame | None, disk_px: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(chunks of spots with the nucleus grid, per-nucleus observed statistic and centre, sampling pixels)."""
-    means = cut_lineage(stencil_mean_rows(_one_plane(plane_rows), disk(disk_px)))
-    region = sampling_region(labels, holes)
-    points = value_at(observed_spots(spots, plane_rows, holes), means, "cy", "cx", "v")
-    points = cut_lineage(points)
-    centre = points.groupBy(*KEY).agg(
-        F.avg("v").alias("obs"), F.count(F.lit(1)).alias("n_spots"), F.avg("cy").alias("my"), F.avg("cx").alias("mx")
-    )
-    # a spot's chunk follows from its id, so no ordering of a whole nucleus is needed
-    parts = F.expr(f"(n_spots + {CHUNK - 1}) div {CHUNK}")
-    chunked = points.join(centre.select(*KEY, "n_spots"), KEY).withColumn("part", F.pmod(F.xxhash64("spot_id"), parts))
-    lists = chunked.groupBy(*KEY, "part").agg(F.collect_list(F.struct("spot_id", "cy", "cx", "v")).alias("sp"))
-    grids = cut_lineage(_grids(means, region))
-    return lists.join(centre, KEY).join(grids, KEY).repartition(*KEY, "part"), centre, _pixels(means, region)
+            nucleus = _Nucleus(row).look(offsets)
+            values = nucleus.turned(_angles(row.state, iters)[:, None])
+            out.append((row.image, row.nucleus_id, nucleus.v, values[np.isfinite(values)]))
+        yield pd.DataFrame(out, columns=[*KEY, "seen", "vs"])
+
+
+def _moved(batches: Callable, extra: str, spots, plane_rows, labels, holes, disk_px: float, seed: int) -> DataFrame:
+    """Rows of a null that moves whole nuclei of spots, by chunk, stored."""
+    offsets = disk(disk_px)
+    reach = max(max(abs(dy), abs(dx)) for dy, dx in offsets)
+    nuclei = _nuclei(spots, _one_plane(plane_rows), labels, holes, reach, seed)
+    return cut_lineage(nuclei.mapInPandas(lambda it: batches(it, offsets), f"image long, nucleus_id long, {extra}"))
+
+
+def _observed_of(chunks: DataFrame) -> DataFrame:
+    return chunks.groupBy(*KEY, "n_spots").agg((F.sum(F.get("seen", F.lit(0))) / F.col("n_spots")).alias("obs")).select(*KEY, "obs", "n_spots")
 
 
 def rotation_null(
@@ -291,16 +359,11 @@ def rotation_null(
     mask is turned again by angles of its own until it fits, else it stays where it was observed;
     drop_value averages only the spots that fitted at once.
     """
-    chunks, centre, _ = _constellations(spots, plane_rows, labels, holes, disk_px)
-    work = chunks.withColumn("state", stream(seed + ROTATION, *[F.col(k) for k in KEY]))
-    turned = work.mapInPandas(
-        lambda it: _rotation_batches(it, n, max_redraw),
-        "image long, nucleus_id long, n_spots long, n_in array<long>, s_in array<double>, s_all array<double>",
-    )
-    per = turned.select(*KEY, "n_spots", F.posexplode(F.arrays_zip("n_in", "s_in", "s_all")).alias("_i", "_r"))
-    sums = per.groupBy(*KEY, "n_spots", (F.col("_i") + 1).alias("iter")).agg(
-        F.sum("_r.n_in").alias("n_in"), F.sum("_r.s_in").alias("s_in"), F.sum("_r.s_all").alias("s_all")
-    )
+    schema = "parts long, n_spots long, seen array<double>, n_in array<long>, s_in array<double>, s_all array<double>"
+    chunks = _moved(lambda it, offsets: _rotation_batches(it, n, max_redraw, offsets), schema, spots, plane_rows, labels, holes, disk_px, seed + ROTATION)
+    whole = _whole(chunks.drop("seen"), ["n_in", "s_in", "s_all"])
+    per = whole.select(*KEY, "n_spots", F.posexplode(F.arrays_zip("n_in", "s_in", "s_all")).alias("_i", "_r"))
+    sums = per.select(*KEY, "n_spots", (F.col("_i") + 1).alias("iter"), "_r.n_in", "_r.s_in", "_r.s_all")
     draws = sums.select(
         *KEY, "n_spots", "iter", (F.col("s_all") / F.col("n_spots")).alias("value"),
         ratio(F.col("s_in"), F.col("n_in")).alias("drop_value"), (F.col("n_in") / F.col("n_spots")).alias("retention"),
@@ -309,7 +372,7 @@ def rotation_null(
     # one value per iteration: the median buffer is as small as the number of draws
     usable = draws.groupBy(*KEY).agg(F.median("retention").alias("median_retention"), F.count("value").alias("_n"))
     nuclei = usable.select(*KEY, "median_retention", ((F.col("median_retention") >= min_retention) & (F.col("_n") >= 2)).alias("usable"))
-    return draws, nuclei, centre.select(*KEY, "obs", "n_spots")
+    return draws, nuclei, _observed_of(chunks)
 
 
 def translation_null(
@@ -320,15 +383,11 @@ def translation_null(
 
     Iterations that keep too few spots are left out of the draws. Results as in ``rotation_null``.
     """
-    chunks, centre, pixels = _constellations(spots, plane_rows, labels, holes, disk_px)
-    anchors = F.transform("px", lambda p: F.struct(p["y"].alias("y"), p["x"].alias("x")))
-    work = chunks.join(pixels.select(*KEY, F.transform(anchors, lambda p: p["y"]).alias("py"), F.transform(anchors, lambda p: p["x"]).alias("px")), KEY)
-    work = work.withColumn("state", stream(seed + TRANSLATION, *[F.col(k) for k in KEY]))
-    moved = work.mapInPandas(
-        lambda it: _translation_batches(it, n), "image long, nucleus_id long, n_spots long, n_in array<long>, s_in array<double>"
-    )
-    per = moved.select(*KEY, "n_spots", F.posexplode(F.arrays_zip("n_in", "s_in")).alias("_i", "_r"))
-    sums = per.groupBy(*KEY, "n_spots", (F.col("_i") + 1).alias("iter")).agg(F.sum("_r.n_in").alias("n_in"), F.sum("_r.s_in").alias("s_in"))
+    schema = "parts long, n_spots long, seen array<double>, n_in array<long>, s_in array<double>"
+    chunks = _moved(lambda it, offsets: _translation_batches(it, n, offsets), schema, spots, plane_rows, labels, holes, disk_px, seed + TRANSLATION)
+    whole = _whole(chunks.drop("seen"), ["n_in", "s_in"])
+    per = whole.select(*KEY, "n_spots", F.posexplode(F.arrays_zip("n_in", "s_in")).alias("_i", "_r"))
+    sums = per.select(*KEY, "n_spots", (F.col("_i") + 1).alias("iter"), "_r.n_in", "_r.s_in")
     every = cut_lineage(
         sums.select(*KEY, "n_spots", "iter", ratio(F.col("s_in"), F.col("n_in")).alias("value"), (F.col("n_in") / F.col("n_spots")).alias("retention"))
     )
@@ -336,7 +395,7 @@ def translation_null(
     nuclei = every.groupBy(*KEY).agg(F.median("retention").alias("median_retention"), F.count(F.when(kept, 1)).alias("_n")).select(
         *KEY, "median_retention", ((F.col("median_retention") >= min_retention) & (F.col("_n") >= 2)).alias("usable")
     )
-    return every.where(kept), nuclei, centre.select(*KEY, "obs", "n_spots")
+    return every.where(kept), nuclei, _observed_of(chunks)
 
 
 def association_fraction(
@@ -344,14 +403,11 @@ def association_fraction(
     disk_px: float = 3.0, min_values: int = 20, seed: int = 0,
 ) -> DataFrame:
     """(KEY, threshold, fraction): share of spots above a high percentile of single rotated positions."""
-    chunks, _, _ = _constellations(spots, plane_rows, labels, holes, disk_px)
-    work = chunks.withColumn("state", stream(seed + ASSOCIATION, *[F.col(k) for k in KEY]))
-    singles = work.mapInPandas(lambda it: _single_batches(it, n), "image long, nucleus_id long, vs array<double>").select(
-        *KEY, F.explode("vs").alias("v")
-    )
+    chunks = _moved(lambda it, offsets: _single_batches(it, n, offsets), "seen array<double>, vs array<double>", spots, plane_rows, labels, holes, disk_px, seed + ASSOCIATION)
+    singles = chunks.select(*KEY, F.explode("vs").alias("v"))
     enough = singles.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_values).select(*KEY)
     cut = quantiles(singles, "v", KEY, {"threshold": pct / 100}).join(enough, KEY, "left_semi")
-    seen = chunks.select(*KEY, F.explode("sp").alias("_p")).select(*KEY, F.col("_p.v").alias("v"))
+    seen = chunks.select(*KEY, F.explode("seen").alias("v"))
     return seen.join(cut, KEY).groupBy(*KEY, "threshold").agg(F.avg(F.when(F.col("v") > F.col("threshold"), 1.0).otherwise(0.0)).alias("fraction"))
 
 
