@@ -12,6 +12,7 @@ from checks.groups import T_COLS, T_ROUND, welch_sql
 from checks.views import oracle
 from spotframe.functions import scalars
 from spotframe.operators import channels, fov, lookup
+from spotframe.session import checkpoint_folder
 from spotframe.sources import manifest, tables
 
 QUERIES = {}
@@ -256,3 +257,28 @@ def label_functions(spark, sf):
         scalars.is_control(F.lit("scramble 2")).alias("control"), scalars.coarse_group(F.when(i % 3 == 0, "my-secondary").otherwise("WT_a-b")).alias("coarse"), scalars.stars(p).alias("stars"),
         scalars.prettify(F.lit("rna1 spots_per_nucleus"), {"rna1": "probe"}).alias("pretty"), scalars.px_to_um(i, F.lit(0.13)).alias("um"),
     )
+
+
+def _written(spark, df, keys):
+    """df (keys, value) as text files in folders named by the keys; the folder."""
+    folder = f"{checkpoint_folder(spark)}/files-{uuid.uuid4().hex}"
+    df.write.partitionBy(*keys).text(folder)
+    return folder
+
+
+@check(oracle("SELECT 'nation=' || s_nationkey AS folder, sum(strlen(s_name) + 1) AS bytes, 'nation=3' = 'nation=' || s_nationkey AS sec_only FROM supplier GROUP BY ALL"))
+def manifest_of_files(spark, sf):
+    """A written tree of files, listed through Spark's file source."""
+    folder = _written(spark, V.table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_name").alias("value")), ["nation"])
+    found = manifest.list_files(spark, folder)
+    kept = manifest.build_manifest(found, ["txt"], secondary_folders=["nation=3"]).join(found, "path")
+    return kept.groupBy(F.col("subfolder").alias("folder"), "sec_only").agg(F.sum("length").alias("bytes"))
+
+
+@check(oracle("SELECT 'img_' || s_suppkey AS image, (s_suppkey % 5 + 1)::INT AS z_start, (s_suppkey % 5 + 6)::INT AS z_end FROM supplier"))
+def focus_windows_of_files(spark, sf):
+    """Windows from log files, of which each image has one with an earlier line that does not count."""
+    k = F.col("s_suppkey")
+    text = F.concat(F.lit("start\r\nfocus img_"), k.cast("string"), F.lit(" z 1-2\nfocus img_"), k.cast("string"), F.lit(" z "), (k % 5 + 1).cast("string"), F.lit("-"), (k % 5 + 6).cast("string"), F.lit("\nend"))
+    logs = V.table(spark, sf, "supplier").repartition(8, "s_suppkey").select((k % 7).alias("well"), text.alias("value"))
+    return manifest.focus_windows(manifest.read_log(spark, _written(spark, logs, ["well"])), r"focus (\S+) z (\d+)-(\d+)")

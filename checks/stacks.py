@@ -76,30 +76,36 @@ def best_plane(spark, sf):
     return focus.best_plane(_scores(spark, sf))
 
 
+# every channel of a stack is searched as an image of its own
+EACH = "v_se AS (SELECT image * 2 + channel AS image, z, score, mean FROM v_sc)"
 PEAK = """v_pk AS (SELECT image, lo, hi, z AS peak_z, score AS peak_score FROM (
-  SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, z) AS rn, min(z) OVER (PARTITION BY image) AS lo, max(z) OVER (PARTITION BY image) AS hi FROM v_sc WHERE channel = 0) WHERE rn = 1)"""
+  SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, z) AS rn, min(z) OVER (PARTITION BY image) AS lo, max(z) OVER (PARTITION BY image) AS hi FROM v_se) WHERE rn = 1)"""
+
+
+def _each(df):
+    return df.withColumn("image", F.col("image") * 2 + F.col("channel"))
 
 
 @check(oracle("""
 SELECT image, lo, hi, z AS peak_z FROM (SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, z) AS rn FROM (
-  SELECT *, min(z) OVER (PARTITION BY image) AS lo, max(z) OVER (PARTITION BY image) AS hi FROM v_sc WHERE channel = 0)
-  WHERE z BETWEEN lo + (hi - lo + 1 - round_even((hi - lo + 1) * 0.6, 0)::INT) // 2 AND hi - ((hi - lo + 1 - round_even((hi - lo + 1) * 0.6, 0)::INT) - (hi - lo + 1 - round_even((hi - lo + 1) * 0.6, 0)::INT) // 2)) WHERE rn = 1""", NEAR))
+  SELECT *, min(z) OVER (PARTITION BY image) AS lo, max(z) OVER (PARTITION BY image) AS hi FROM v_se)
+  WHERE z BETWEEN lo + (hi - lo + 1 - round_even((hi - lo + 1) * 0.6, 0)::INT) // 2 AND hi - ((hi - lo + 1 - round_even((hi - lo + 1) * 0.6, 0)::INT) - (hi - lo + 1 - round_even((hi - lo + 1) * 0.6, 0)::INT) // 2)) WHERE rn = 1""", NEAR, EACH))
 def peak_z(spark, sf):
-    return focus.peak_z(_scores(spark, sf).where("channel = 0"), central_fraction=0.6).drop("peak_score")
+    return focus.peak_z(_each(_scores(spark, sf)), central_fraction=0.6).drop("peak_score")
 
 
 @check(oracle("""
 SELECT image, CASE WHEN 3 >= hi - lo + 1 THEN lo ELSE greatest(lo, least(peak_z - 1, hi - 2)) END AS z_start, CASE WHEN 3 >= hi - lo + 1 THEN hi ELSE greatest(lo, least(peak_z - 1, hi - 2)) + 2 END AS z_end,
-       hi - lo + 1 > 3 AND greatest(lo, least(peak_z - 1, hi - 2)) <> peak_z - 1 AS shifted, 3 >= hi - lo + 1 AS shrunk FROM v_pk""", NEAR, PEAK))
+       hi - lo + 1 > 3 AND greatest(lo, least(peak_z - 1, hi - 2)) <> peak_z - 1 AS shifted, 3 >= hi - lo + 1 AS shrunk FROM v_pk""", NEAR, EACH, PEAK))
 def fixed_window(spark, sf):
-    return focus.fixed_window(focus.peak_z(_scores(spark, sf).where("channel = 0")), 3)
+    return focus.fixed_window(focus.peak_z(_each(_scores(spark, sf))), 3)
 
 
 @check(oracle("""
 SELECT p.image, coalesce(max(s.z) FILTER (s.z < peak_z AND s.score < 0.9 * peak_score) + 1, any_value(lo)) AS z_start, coalesce(min(s.z) FILTER (s.z > peak_z AND s.score < 0.9 * peak_score) - 1, any_value(hi)) AS z_end, FALSE AS expanded, FALSE AS clipped
-FROM v_pk p JOIN v_sc s ON s.image = p.image AND s.channel = 0 GROUP BY p.image""", NEAR, PEAK))
+FROM v_pk p JOIN v_se s ON s.image = p.image GROUP BY p.image""", NEAR, EACH, PEAK))
 def focus_window(spark, sf):
-    scores = _scores(spark, sf).where("channel = 0")
+    scores = _each(_scores(spark, sf))
     return focus.focus_window(scores, focus.peak_z(scores), frac=0.9, min_slices=1)
 
 
@@ -362,7 +368,7 @@ def morphology_shape(spark, sf):
 
 @check()
 def detect_spots(spark, sf):
-    rows = V.pixel_rows(spark, sf).where("channel = 'rna1'")
+    rows = V.pixel_rows(spark, sf).where("channel <> 'dapi'")
     return sampling.detect_spots(rows, sigma=1.0, threshold=150.0)
 
 
@@ -371,23 +377,23 @@ def flat_pixels(spark, sf):
     return frames.flat(V.stack_rows(spark, sf))
 
 
-SPECK = """v_sp AS MATERIALIZED (SELECT image, y, x, v FROM v_stack WHERE channel = 0 AND z = 0),
+SPECK = """v_sp AS MATERIALIZED (SELECT (image * 2 + channel) * 5 + z AS image, y, x, v FROM v_stack),
 v_sm AS (SELECT image, any_value(med) AS med, median(abs(v - med)) AS mad FROM v_sp JOIN (SELECT image, median(v) AS med FROM v_sp GROUP BY ALL) USING (image) GROUP BY ALL)"""
 
 
 @check(oracle("SELECT image, y, x, CASE WHEN v > med + 1.4826 * 2 * mad THEN med ELSE v END AS v FROM v_sp JOIN v_sm USING (image)", SPECK))
 def mask_specks(spark, sf):
-    plane = V.stack(spark, sf).where("channel = 0 and z = 0").select("image", "y", "x", "v")
+    plane = V.stack(spark, sf).select(((F.col("image") * 2 + F.col("channel")) * 5 + F.col("z")).alias("image"), "y", "x", "v")  # every plane
     return specks.mask_specks(plane, 1, k=2.0)[0].select("image", "y", "x", "v")
 
 
 @check(oracle("""
-SELECT s.image, s.channel, s.y, s.x, max(v) AS v FROM v_st s JOIN (
+SELECT s.image * 2 + s.channel AS image, s.channel, s.y, s.x, max(v) AS v FROM v_st s JOIN (
   SELECT image, greatest(lo, least(z - 1, hi - 1)) AS a FROM (SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, z) AS rn FROM (
-    SELECT *, min(z) OVER (PARTITION BY image) AS lo, max(z) OVER (PARTITION BY image) AS hi FROM v_sc WHERE channel = 0) WHERE z BETWEEN lo + 1 AND hi - 2) WHERE rn = 1) w
-ON w.image = s.image AND s.z BETWEEN w.a AND w.a + 1 GROUP BY ALL""", NEAR))
+    SELECT *, min(z) OVER (PARTITION BY image) AS lo, max(z) OVER (PARTITION BY image) AS hi FROM v_se) WHERE z BETWEEN lo + 1 AND hi - 2) WHERE rn = 1) w
+ON w.image = s.image * 2 + s.channel AND s.z BETWEEN w.a AND w.a + 1 GROUP BY ALL""", NEAR, EACH))
 def windowed_max(spark, sf):
-    return specks.windowed_max(V.stack_rows(spark, sf), _scores(spark, sf).where("channel = 0"))
+    return specks.windowed_max(_each(V.stack_rows(spark, sf)), _each(_scores(spark, sf)))
 
 
 @check(oracle("SELECT image, nucleus_id, channel, area_px, n_spots, nuclear_spots, cyto_spots, paired_count FROM v_nuc"))
