@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks import views as V
@@ -190,6 +192,16 @@ def shared_range(spark, sf):
     return ranges.shared_range(_plate_pixels(spark, sf), ceil_pct=97.0, floors={"568:window": 300.0, "647:single_plane": 5.0})
 
 
+@check(oracle("""
+SELECT image, kind, CASE kind WHEN 'ceiling' THEN a WHEN 'both' THEN 100 ELSE a END AS lo, CASE kind WHEN 'ceiling' THEN 1500 WHEN 'both' THEN 1200 ELSE b END AS hi
+FROM (SELECT image, min(v) AS a, max(v) AS b FROM v_pixels WHERE channel = 'dapi' GROUP BY ALL), (VALUES ('own'), ('ceiling'), ('both'), ('crossed')) k(kind)"""))
+def dapi_range(spark, sf):
+    px = V.pixels(spark, sf).where("channel = 'dapi'").select("image", "v")
+    bounds = {"own": {}, "ceiling": {"ceiling": 1500.0}, "both": {"floor": 100.0, "ceiling": 1200.0}, "crossed": {"floor": 3000.0}}
+    out = [ranges.dapi_range(px, **b).withColumn("kind", F.lit(k)) for k, b in bounds.items()]
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 @check(oracle("""
 SELECT image, lo, CASE WHEN own > lo THEN own WHEN p999 > lo THEN p999 ELSE lo + 1 END AS hi FROM (
   SELECT image, secondary, quantile_cont(v, 0.97) AS own, quantile_cont(v, 0.999) AS p999 FROM v_pp GROUP BY ALL) JOIN v_sh USING (secondary)""", SHARED))

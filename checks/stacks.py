@@ -409,3 +409,28 @@ def run_mode_rna_only(spark, sf):
     inputs = {"spots": V.spots(spark, sf), "labels": V.labels(spark, sf), "cyto": V.cyto(spark, sf), "images": im}
     nuclei = modes.run_mode("rna_only", inputs)["nuclei_metrics"]
     return nuclei.join(im.where("not secondary_only").select("image"), "image").groupBy("image").agg(F.count(F.lit(1)).alias("n_nuclei"), F.sum("n_spots").alias("n_spots"))
+
+
+ONE_CHANNEL = "SELECT image, n_nuclei, n_spots FROM (SELECT n.image, count(*) AS n_nuclei, sum(n.n_spots) AS n_spots FROM v_nuc n JOIN v_images i USING (image) WHERE n.channel = 'rna1' AND NOT i.secondary_only GROUP BY ALL)"
+
+
+def _one_channel(name):
+    def run(spark, sf):
+        im = V.images(spark, sf)
+        inputs = {"spots": V.spots(spark, sf), "labels": V.labels(spark, sf), "cyto": V.cyto(spark, sf), "images": im}
+        nuclei = modes.run_mode(name, inputs)["nuclei_metrics"]
+        return nuclei.join(im.where("not secondary_only").select("image"), "image").groupBy("image").agg(F.count(F.lit(1)).alias("n_nuclei"), F.sum("n_spots").alias("n_spots"))
+
+    run.__name__ = f"run_mode_{name}"
+    return run
+
+
+for _name in ("ab_ab", "protein_only", "pub_images"):
+    check(oracle(ONE_CHANNEL))(_one_channel(_name))
+
+
+@check(oracle("SELECT image, nucleus_id, CASE channel WHEN 'rna2' THEN 'protein' ELSE channel END AS channel, area_px, n_spots, nuclear_spots, cyto_spots, paired_count FROM v_nuc"))
+def run_mode_rna_protein(spark, sf):
+    inputs = {"spots": V.spots(spark, sf), "labels": V.labels(spark, sf), "cyto": V.cyto(spark, sf), "images": V.images(spark, sf), "plane_rows": V.pixel_rows(spark, sf)}
+    out = modes.run_mode("rna_protein", inputs)["nuclei_metrics"]
+    return out.select("image", "nucleus_id", "channel", "area_px", "n_spots", "nuclear_spots", "cyto_spots", "paired_count")

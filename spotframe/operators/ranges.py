@@ -92,6 +92,18 @@ def shared_range(
     )
 
 
+def dapi_range(pixels: DataFrame, floor: float | None = None, ceiling: float | None = None) -> DataFrame:
+    """(image, lo, hi) of the nuclear stain: a fixed bound where one is given, else the image's own; its own range where they cross.
+
+    pixels (image, v).
+    """
+    own = pixels.groupBy("image").agg(F.min("v").alias("_a"), F.max("v").alias("_b"))
+    lo = F.col("_a") if floor is None else F.lit(float(floor))
+    hi = F.col("_b") if ceiling is None else F.lit(float(ceiling))
+    crossed = hi <= lo
+    return own.select("image", F.when(crossed, F.col("_a")).otherwise(lo).alias("lo"), F.when(crossed, F.col("_b")).otherwise(hi).alias("hi"))
+
+
 def per_image_ceiling(pixels: DataFrame, lo: DataFrame, ceil_pct: float = 99.5) -> DataFrame:
     """(image, lo, hi): each image's own percentile above its secondary's floor, with the usual guards."""
     q = quantiles(pixels, "v", ["image", "secondary"], {"own": ceil_pct / 100, "p999": 0.999})

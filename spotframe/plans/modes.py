@@ -93,6 +93,11 @@ def rna_protein(inputs: Mapping[str, DataFrame], params: Mapping[str, Any]) -> T
     return {name: relabel_channel(df) for name, df in rna_rna(inputs, params).items()}
 
 
+# Three names of which a run only does the one-channel analysis.
+for _name in ("ab_ab", "protein_only", "pub_images"):
+    MODES[_name] = rna_only
+
+
 @register("if_intensity")
 def if_intensity(inputs: Mapping[str, DataFrame], params: Mapping[str, Any]) -> Tables:
     """Plate run. With files, plate, plane_rows and labels all of its tables (see ``plate_run``); with `fields` that are
