@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import gc
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from spotframe.session import cut_lineage
 
 #: A word is a maximal run of bytes other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Documents per Arrow batch.
-BATCH_ROWS = 1000
+#: Documents per Arrow batch, and bytes: whichever is reached first.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -23,9 +28,41 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def small_batches(docs: DataFrame) -> DataFrame:
     """docs as it is; whole texts then reach Python so many at a time, which bounds a worker's memory."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return docs
 
 
+#: What forgets a large table that a Python worker keeps between tasks.
+_FORGET: list[Callable[[], None]] = []
+
+
+def kept_by_worker(make: Callable) -> Callable:
+    """make(path), remembered in the worker process for the last path; every other remembered table goes first.
+
+    Workers are used again by later stages, which would else pile up the tables of all stages before them.
+    """
+
+    @functools.lru_cache(maxsize=1)
+    @functools.wraps(make)  # tasks find it under this name
+    def remembered(path: str):
+        for forget in _FORGET:
+            if forget is not remembered.cache_clear:
+                forget()
+        give_back()
+        return make(path)
+
+    _FORGET.append(remembered.cache_clear)
+    return remembered
+
+
+def give_back() -> None:
+    """Return memory that this process holds but does not use."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; every other character stays as it is."""
     return F.translate(text, UPPER, LOWER)

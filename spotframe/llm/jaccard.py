@@ -3,7 +3,8 @@
 Two documents link when 100 * |A and B| >= percent * |A or B|. The steps, each exact:
 
 1. Equal sets are collapsed; one representative of each goes on.
-2. Position skipping. With the elements of a set in hash order, a linked set shares all but `spare` of them. A
+2. Position skipping. The elements of a set stand in order of rarity (how many sets of the whole table hold them, by
+   a table of counts of fixed size; equal counts by hash); a linked set shares all but `spare` of them. A
    slice at the front of that order, half as long again as the plain prefix filter needs, must therefore hold
    elements that occur in other slices (front_size gives the bound); representatives with more than `spare` elements
    that occur in no other slice drop out before any list is built.
@@ -28,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spotframe.llm.common import components, release, save, small_batches, spaced_lower, text_or_empty
+from spotframe.llm.common import components, give_back, release, save, small_batches, spaced_lower, text_or_empty
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Words remembered per task; the table is emptied when full, which only costs time.
@@ -37,8 +38,11 @@ REMEMBERED = 300_000
 BLOCK, BANDS = 1024, 20
 #: Shared elements multiplied at a time when two blocks are compared.
 COLUMNS = 8192
-#: Bits of the bitmap that spares most documents the second look.
+#: Bits of the bitmap that spares most sets the second look.
 MARKS = 1 << 25
+#: Counts in the table that orders elements by rarity; elements that share a count are ordered alike.
+COUNTS = 1 << 19
+_SHIFT = np.uint64(64 - COUNTS.bit_length() + 1)
 
 
 class Shingler:
@@ -95,24 +99,79 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
-def _sets(docs: DataFrame, words: int, percent: int, fronts: bool) -> DataFrame:
-    """(_id, n, digest[, front]): front is the slice at the start of the hash order; digest is null without words."""
+#: Counts that travel together.
+PIECE = 4096
+SETS = "n bigint, digest binary, part bigint, counts binary"
+
+
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """(_id, n, digest, part, counts) of docs (_id, _text): a row for each text, digest being null without words.
+
+    Each task adds rows with part and counts only: how often its texts' elements fall on each of COUNTS places, one
+    array per task whatever it reads.
+    """
     kind = docs.schema["_id"].dataType.simpleString()
+    names = ["_id", *[c.split()[0] for c in SETS.split(", ")]]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, total, id_type = Shingler(words), np.zeros(COUNTS, np.int64), None
+        for batch in batches:
+            id_type, rows = batch.schema[0].type, batch.num_rows
+            made = [shingler.set_of(text) for text in batch.column(1).to_pylist()]
+            digest = [hashlib.blake2b(one.tobytes(), digest_size=16).digest() if len(one) else None for one in made]
+            if made:
+                total += np.bincount((np.concatenate(made) >> _SHIFT).astype(np.int64), minlength=COUNTS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(one) for one in made], pa.int64()), pa.array(digest, pa.binary()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary())], names)
+            del made
+        del shingler
+        give_back()
+        if id_type is not None:
+            parts = COUNTS // PIECE
+            counts = pa.array([one.tobytes() for one in np.minimum(total, 2**32 - 1).astype(np.uint32).reshape(parts, PIECE)])
+            yield pa.RecordBatch.from_arrays([pa.nulls(parts, id_type), pa.nulls(parts, pa.int64()), pa.nulls(parts, pa.binary()), pa.array(range(parts), pa.int64()), counts], names)
+
+    return docs.mapInArrow(build, f"_id {kind}, {SETS}")
+
+
+def rarity(counted: DataFrame) -> np.ndarray:
+    """COUNTS numbers from rows (part, counts): how often elements that begin with a place occur in all sets, as rounded logarithms.
+
+    Arrays of tasks meet in pieces, so no task adds up all of them.
+    """
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(c, np.uint32).astype(np.int64) for c in frame["counts"])
+        # a quarter of a doubling is told apart: what matters is which elements are common
+        return pd.DataFrame({"part": frame["part"].iloc[:1], "level": [np.rint(4 * np.log2(1.0 + total)).astype(np.uint8).tobytes()]})
+
+    out = np.zeros((COUNTS // PIECE, PIECE), np.uint8)
+    for r in counted.groupBy("part").applyInPandas(add, "part long, level binary").collect():
+        out[r["part"]] = np.frombuffer(r["level"], np.uint8)
+    return out.ravel()
+
+
+def _rare_first(made: list[np.ndarray], level: np.ndarray) -> list[np.ndarray]:
+    """The elements of each set, rare ones first and by hash among equals."""
+    return [one[np.argsort(level[(one >> _SHIFT).astype(np.int64)], kind="stable")] for one in made]
+
+
+def _fronts(docs: DataFrame, words: int, level: np.ndarray, percent: int) -> DataFrame:
+    """(_id, n, digest, front) of docs (_id, _text): the slice at the start of each set's order."""
+    kind = docs.schema["_id"].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            n, digest, front = [], [], []
-            for text in batch.column(1).to_pylist():
-                one = shingler.set_of(text)
-                n.append(len(one))
-                digest.append(hashlib.blake2b(one.tobytes(), digest_size=16).digest() if len(one) else None)
-                if fronts:
-                    front.append(one[: front_size(len(one), percent)].copy())
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), *([_lists(front)] if fronts else [])]
-            yield pa.RecordBatch.from_arrays(columns, ["_id", "n", "digest", "front"][: len(columns)])
+            made = [shingler.set_of(text) for text in batch.column(1).to_pylist()]
+            digest = [hashlib.blake2b(one.tobytes(), digest_size=16).digest() if len(one) else None for one in made]
+            n = [len(one) for one in made]
+            front = [one[: front_size(len(one), percent)].copy() for one in _rare_first(made, level)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), _lists(front)], ["_id", "n", "digest", "front"])
+            del made, front
+        del shingler
+        give_back()
 
-    return docs.mapInArrow(build, f"_id {kind}, n bigint, digest binary" + (", front array<bigint>" if fronts else ""))
+    return docs.mapInArrow(cut, f"_id {kind}, n bigint, digest binary, front array<bigint>")
 
 
 def _sociable(fronts: DataFrame, percent: int) -> DataFrame:
@@ -135,6 +194,21 @@ def _marks(ids: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
+def _among(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of sets (rep, n, elements) whose rep a bitmap of ids (rep) lets through: all of ids, and a few others."""
+    marks = _marks(ids)
+    kind = sets.schema["rep"].dataType.simpleString()
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column(3).to_numpy()
+            kept = batch.filter(pa.array((marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
+            yield pa.RecordBatch.from_arrays(kept.columns[:3], ["rep", "n", "elements"])
+
+    marked = sets.select("rep", "n", "elements", F.pmod(F.xxhash64("rep"), F.lit(MARKS)).alias("_bit"))
+    return marked.mapInArrow(through, f"rep {kind}, n bigint, elements array<bigint>")
+
+
 def _linked(inter: Column, n: Column, m: Column, percent: int) -> Column:
     return inter * 100 >= (n + m - inter) * percent
 
@@ -211,14 +285,14 @@ def link_sets(sets: DataFrame, percent: int) -> DataFrame:
     grouped = prefix.select("rep", "e", F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("group"))
     heads = grouped.groupBy("group", "e").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("sets")).where(F.col("sets") > 1)
     # a set has a node in each of its groups; nodes that share a number by chance only make a cluster larger
-    met = grouped.join(heads, ["group", "e"]).where(F.col("rep") != F.col("head")).select(F.xxhash64("group", "head").alias("a"), F.xxhash64("group", "rep").alias("b"))
+    met = grouped.join(heads.hint("merge"), ["group", "e"]).where(F.col("rep") != F.col("head")).select(F.xxhash64("group", "head").alias("a"), F.xxhash64("group", "rep").alias("b"))
     nodes = sets.select("rep", F.explode(F.array(step, step + 1)).alias("group")).select("rep", F.xxhash64("group", "rep").alias("node"))
     members = nodes.join(components(met).withColumnRenamed("root", "cluster"), "node").select("rep", "cluster").distinct()
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"))
     clusters = save(members.join(sizes, "cluster"))
     # a cluster of one block is compared as it is
     few = clusters.where(F.col("sets") <= BLOCK).select("rep", "cluster", F.lit(0).alias("side"))
-    found = few.join(sets.select("rep", "elements"), "rep").groupBy("cluster").applyInPandas(_compare(percent), f"a {kind}, b {kind}")
+    found = few.hint("merge").join(sets.select("rep", "elements"), "rep").groupBy("cluster").applyInPandas(_compare(percent), f"a {kind}, b {kind}")
     many = clusters.where(F.col("sets") > BLOCK).select("rep", "cluster")
     return found if many.isEmpty() else found.union(_link_by_leader(sets, many, percent))
 
@@ -226,6 +300,7 @@ def link_sets(sets: DataFrame, percent: int) -> DataFrame:
 def _link_by_leader(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     """The same for clusters (rep, cluster) of many sets, by their distance to the first of each."""
     kind = sets.schema["rep"].dataType.simpleString()
+    sets = save(_among(sets, clusters.select("rep")))
     members = sets.join(clusters, "rep")
     first = clusters.groupBy("cluster").agg(F.min("rep").alias("lead"))
     leaders = first.join(sets.select(F.col("rep").alias("lead"), F.col("n").alias("leader_n"), F.col("elements").alias("leader")), "lead").dropDuplicates(["cluster"])
@@ -273,8 +348,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = small_batches(docs).select(F.col(id_col).alias("_id"), spaced_lower(text_or_empty(F.col(text_col))).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    sets = save(_sets(rows, words, percent, False))
-    whole = _sets(rows.where(F.col("_id").isNotNull()), words, percent, True).where(F.col("digest").isNotNull())
+    made = save(_sets(rows, words))
+    level = rarity(made.where(F.col("part").isNotNull()).select("part", "counts"))
+    sets = save(made.where(F.col("part").isNull()).select("_id", "n", "digest"))
+    del made
+    whole = _fronts(rows.where(F.col("_id").isNotNull()), words, level, percent).where(F.col("digest").isNotNull())
     distinct = save(whole.groupBy("digest").agg(F.min("_id").alias("rep"), F.first("n").alias("n"), F.first("front").alias("front")))
     release(docs.sparkSession)
     near = save(_sociable(distinct, percent))
@@ -286,12 +364,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             bit = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
-            made = [shingler.set_of(t) for t in batch.column(1).to_pylist()]
+            made = _rare_first([shingler.set_of(t) for t in batch.column(1).to_pylist()], level)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(m) for m in made], pa.int64()), _lists(made)], ["rep", "n", "elements"])
-
-    # the bitmap lets a few others through: the join on the ids is what decides
-    marked = rows.select("_id", "_text", F.pmod(F.xxhash64("_id"), F.lit(MARKS)).alias("_bit")).mapInArrow(full, f"rep {kind}, n bigint, elements array<bigint>")
-    elements = save(marked.join(near.select("rep"), "rep", "left_semi"))
+        del shingler
+        give_back()
+
+    # the bitmap lets a few others through; they are compared like all others, and what links is linked
+    marked = rows.where(F.col("_id").isNotNull()).select("_id", "_text", F.pmod(F.xxhash64("_id"), F.lit(MARKS)).alias("_bit")).mapInArrow(full, f"rep {kind}, n bigint, elements array<bigint>")
+    if near.count() * 4 > MARKS:  # a bitmap that full lets too many through
+        marked = marked.join(near.select("rep"), "rep", "left_semi")
+    elements = save(marked)
     groups = save(distinct.select("digest", "rep"))
     del distinct, whole, marked  # the slices are no longer needed
     release(docs.sparkSession)
