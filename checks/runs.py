@@ -105,7 +105,7 @@ def backfill_rotation_summary(spark, sf):
 # ---- plate run -------------------------------------------------------------------------------------
 # three images make a well; wells 6, 12, 18 ... are not on the plate
 
-WELL = F.expr("(image - 1) div 3")
+WELL = "(image - 1) div 3"
 PLATE = """v_files AS (SELECT image, (image - 1) // 3 AS well, 'f' || image || '.vsi' AS file, (image % 3)::INT AS fov_seq FROM v_images),
 v_pl AS (
   SELECT well, CASE WHEN well % 2 = 0 THEN 'WT' ELSE 'KO' END AS genotype, CASE WHEN well // 4 % 3 = 0 THEN 'seconly' ELSE 'primary' END AS arm,
@@ -142,13 +142,13 @@ def r4(columns) -> str:
 
 def _plate_run(spark, sf, table, **more):
     image = V.images(spark, sf).select("image")
-    files = image.select("image", WELL.alias("well"), F.concat(F.lit("f"), F.col("image").cast("string"), F.lit(".vsi")).alias("file"), (F.col("image") % 3).cast("int").alias("fov_seq"))
+    files = image.select("image", F.expr(WELL).alias("well"), F.concat(F.lit("f"), F.col("image").cast("string"), F.lit(".vsi")).alias("file"), (F.col("image") % 3).cast("int").alias("fov_seq"))
     w = F.col("well")
     plate = files.select("well").where(w % 6 != 5).distinct().select(
         "well", F.when(w % 2 == 0, "WT").otherwise("KO").alias("genotype"), F.expr("if((well div 4) % 3 = 0, 'seconly', 'primary')").alias("arm"),
         F.expr("if((well div 2) % 2 = 0, '568', '647')").alias("secondary"), F.expr("if((well div 2) % 2 = 0, 'rna1', 'rna2')").alias("channel"),
     )
-    shot = F.when(F.col("channel") == "dapi", 0.2).otherwise(0.1 + WELL % 2 * 0.05)
+    shot = F.when(F.col("channel") == "dapi", 0.2).otherwise(0.1 + F.expr(WELL) % 2 * 0.05)
     exposures = image.select("image", F.explode(F.array(*[F.lit(c) for c in ("dapi", "rna1", "rna2")])).alias("channel")).withColumn("exposure", shot)
     inputs = {"files": files, "plate": plate, "plane_rows": V.pixel_rows(spark, sf), "labels": V.label_rows(spark, sf), "ring": V.cyto_rows(spark, sf), "exposures": exposures}
     return run_mode("if_intensity", inputs, channel_map={"568": "rna1", "647": "rna2"}, with_p=False, **more)[table]
