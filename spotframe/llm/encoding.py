@@ -12,9 +12,10 @@ import gc
 import json
 import os
 from array import array
-from functools import lru_cache
 from itertools import filterfalse, islice
 
+from spotframe.llm.common import kept_by_worker
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces kept per worker process; the table is emptied when it is full, which only costs time.
@@ -159,7 +160,7 @@ class PieceTable:
         return out
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker
 def table(path: str) -> PieceTable:
     """One table per worker process and vocabulary; tasks of the same worker share it."""
     gc.set_threshold(100_000, 50, 100)  # the tables hold no cycles

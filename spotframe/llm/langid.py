@@ -8,14 +8,13 @@ product over its words. Probabilities are learned by expectation maximisation ov
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spotframe.llm.common import crc_mod, save, small_batches, text_or_empty
+from spotframe.llm.common import crc_mod, kept_by_worker, save, small_batches, text_or_empty
 
 #: Bytes of a piece that fit into one unsigned long; longer pieces are found by their first bytes and a hash, then compared.
 PIECE_BYTES = 8
@@ -109,7 +108,7 @@ class Pieces:
         return out
 
 
-@lru_cache(maxsize=2)
+@kept_by_worker
 def pieces(path: str) -> Pieces:
     return Pieces(path)
 
