@@ -1,6 +1,7 @@
 """What must not grow with the input: tables sent through the driver, rows in a shuffle, ranks that hang on the order of sums."""
 
 import __spark_entry__ as entry
+from checks.cells import _total
 from spotframe.session import ESTIMATED, MEASURED, configure
 
 SF = "/root/testdata/sf0.001"
@@ -23,3 +24,9 @@ def test_broadcast_limits_are_given_back(spark):
     assert (other.conf.get(ESTIMATED), other.conf.get(MEASURED)) == ("-1", "256k")
     configure(configure(other, measured_broadcasts=False), measured_broadcasts=False)
     assert other.conf.get(ESTIMATED) == "256k" and other.conf.get(MEASURED, None) is None
+
+
+def test_equal_spots_give_equal_totals_in_any_order(spark):
+    rows = [(g, p) for g, order in enumerate(([0.1, 0.2, 0.3], [0.3, 0.2, 0.1])) for p in order]
+    sums = spark.createDataFrame(rows, "g int, peak double").coalesce(1).groupBy("g").agg(_total("peak").alias("s")).select("s").distinct()
+    assert sums.collect() == [(0.6,)]
