@@ -8,9 +8,12 @@ from spotframe.functions.ranks import quantiles
 
 
 def floor_spots(spots: DataFrame, floors: DataFrame) -> DataFrame:
-    """Keep peaks at or above their channel's floor; a NULL or non-positive floor keeps all."""
+    """Keep peaks at or above their channel's floor; a NULL or non-positive floor keeps all.
+
+    Floors are one row per channel, so they are sent to the spots: shuffled by channel, a task would hold a whole channel.
+    """
     open_floor = F.col("floor").isNull() | (F.col("floor") <= 0)
-    return spots.join(floors, "channel", "left").where(open_floor | (F.col("peak") >= F.col("floor"))).drop("floor")
+    return spots.join(F.broadcast(floors), "channel", "left").where(open_floor | (F.col("peak") >= F.col("floor"))).drop("floor")
 
 
 def drop_specks(spots: DataFrame, max_peak_over_p95_ratio: float = 0.0) -> DataFrame:
