@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 from spotframe.functions.stencils import usable_radius
 
 FAR = np.int32(1) << 14
+#: Pixels of an image row that travel as the bits of one number.
+WORD = 64
 
 
 def squared_distance(mask: np.ndarray, reach: int) -> np.ndarray:
@@ -56,7 +58,11 @@ def _morph_group(pdf: pd.DataFrame, keys: Sequence[str], op: str, radius: float,
     """One mask of one group of keys, cut to its box and a margin in which every step can end."""
     steps = STEPS[op]
     height, width = int(pdf["height"].iloc[0]), int(pdf["width"].iloc[0])
-    ys, xs = pdf["y"].to_numpy(), pdf["x"].to_numpy()
+    at, bit = np.nonzero(np.unpackbits(pdf["_bits"].to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+    ys, xs = pdf["y"].to_numpy()[at], pdf["_word"].to_numpy()[at] * WORD + bit
+    ys, xs = ys[xs < width], xs[xs < width]
+    if not len(ys):
+        return pd.DataFrame({k: [] for k in keys} | {"y": [], "x": []}).astype({"y": kinds["y"], "x": kinds["x"]})
     margin = sum(step is dilated for step in steps) * math.floor(radius) + 1
     y0, y1 = max(0, int(ys.min()) - margin), min(height, int(ys.max()) + margin + 1)
     x0, x1 = max(0, int(xs.min()) - margin), min(width, int(xs.max()) + margin + 1)
@@ -74,16 +80,17 @@ def morph(mask: DataFrame, images: DataFrame, op: str, radius: float, keys: Sequ
 
     Keys name a mask and include image; masks of different keys do not see each other. A pixel outside the frame
     counts as unset for dilation and, unless `outside` is False, as set for erosion. Pixels of images without a frame, and outside it, are
-    left out; repeated pixels count once.
+    left out; repeated pixels count once. Pixels are packed into words of bits before they are shuffled.
     """
     if op not in STEPS:
         raise ValueError(f"unknown operation {op!r}; known are {sorted(STEPS)}")
     keys, radius = list(keys), usable_radius(radius)
-    framed = mask.select(*keys, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x")).join(
-        images.select("image", F.col("height").cast("long").alias("height"), F.col("width").cast("long").alias("width")), "image"
-    )
-    inside = framed.where((F.col("y") >= 0) & (F.col("y") < F.col("height")) & (F.col("x") >= 0) & (F.col("x") < F.col("width"))).select(*keys, "y", "x", "height", "width")
+    placed = mask.select(*keys, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("_x")).where((F.col("y") >= 0) & (F.col("_x") >= 0))
+    bit = F.expr(f"shiftleft(1L, cast(_x % {WORD} as int))")
+    words = placed.groupBy(*keys, "y", F.expr(f"_x div {WORD}").alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    framed = words.join(images.select("image", F.col("height").cast("long").alias("height"), F.col("width").cast("long").alias("width")), "image")
+    inside = framed.where((F.col("y") < F.col("height")) & (F.col("_word") * WORD < F.col("width"))).select(*keys, "y", "_word", "_bits", "height", "width")
     types = {f.name: f.dataType.simpleString() for f in inside.schema}
-    schema = ", ".join(f"{c} {types[c]}" for c in [*keys, "y", "x"])
+    schema = ", ".join(f"{c} {types[c]}" for c in [*keys, "y"]) + ", x bigint"
     work = lambda pdf: _morph_group(pdf, keys, op, radius, outside, {"y": "int64", "x": "int64"})
     return inside.groupBy(*keys).applyInPandas(work, schema)

@@ -2,6 +2,7 @@
 
 import __spark_entry__ as entry
 from checks.cells import _total
+from spotframe.operators.distance import morph
 from spotframe.session import ESTIMATED, MEASURED, configure
 
 SF = "/root/testdata/sf0.001"
@@ -30,3 +31,21 @@ def test_equal_spots_give_equal_totals_in_any_order(spark):
     rows = [(g, p) for g, order in enumerate(([0.1, 0.2, 0.3], [0.3, 0.2, 0.1])) for p in order]
     sums = spark.createDataFrame(rows, "g int, peak double").coalesce(1).groupBy("g").agg(_total("peak").alias("s")).select("s").distinct()
     assert sums.collect() == [(0.6,)]
+
+
+def test_morph_shuffles_words_not_pixels(spark):
+    assert "partial_bit_or" in planned(entry.queries()["morph_open"](spark, SF))
+
+
+def test_morph_words_meet_at_every_column(spark):
+    rows = [(1, 2, x) for x in (-1, 0, 62, 63, 64, 65, 127, 128, 129, 130)] + [(1, -1, 5), (1, 9, 5), (1, None, 3), (1, 3, None), (2, 0, 500)]
+    mask = spark.createDataFrame(rows * 2, "image long, y long, x long")
+    frames = spark.createDataFrame([(1, 4, 130), (2, 4, 130)], "image long, height int, width int")
+    got = [tuple(r) for r in morph(mask, frames, "dilate", 1.0).collect()]
+    steps = ((0, 0), (0, 1), (0, -1), (1, 0), (-1, 0))
+    want = {(1, 2 + dy, x + dx) for x in (0, 62, 63, 64, 65, 127, 128, 129) for dy, dx in steps if 0 <= x + dx < 130}
+    assert sorted(got) == sorted(want)
+
+
+def test_floors_are_sent_to_the_spots(spark):
+    assert "hashpartitioning" not in planned(entry.queries()["floor_spots"](spark, SF))
