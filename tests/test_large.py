@@ -3,6 +3,8 @@
 import __spark_entry__ as entry
 from checks.cells import _total
 from spotframe.operators.distance import morph
+from spotframe.operators.specks import windowed_max
+from spotframe.operators.thresholds import otsu
 from spotframe.session import ESTIMATED, MEASURED, configure
 
 SF = "/root/testdata/sf0.001"
@@ -49,3 +51,21 @@ def test_morph_words_meet_at_every_column(spark):
 
 def test_floors_are_sent_to_the_spots(spark):
     assert "hashpartitioning" not in planned(entry.queries()["floor_spots"](spark, SF))
+
+
+def test_otsu_takes_the_lower_of_equal_splits(spark):
+    values = {
+        1: [42090, 60357, 44227, 62580, 11143, 32531, 31763, 60871],
+        2: [25293, 32588, 52759, 37888, 56425, 54665, 32811, 56270, 38559, 23121, 5257, 43190],
+        3: [5582, 28138, 4448, 43110, 29408, 29824, 21307, 34536, 44520, 64013],
+    }
+    pixels = spark.createDataFrame([(k, float(v)) for k, vs in values.items() for v in vs], "k int, v double")
+    got = dict(otsu(pixels, "v", ["k"]).collect())
+    assert got == {1: 32541.595703125, 2: 32739.8125, 3: 21316.994140625}
+
+
+def test_windowed_max_keeps_short_stacks(spark):
+    rows = spark.createDataFrame([(1, 0, 0, 0, [1.0, 5.0]), (2, 0, 0, 0, [1.0, 2.0]), (2, 0, 1, 0, [7.0, 1.0])], "image long, channel int, z int, y long, vals array<double>")
+    scores = spark.createDataFrame([(1, 0, 0, 1.0, 1.0), (2, 0, 0, 1.0, 1.0), (2, 0, 1, 3.0, 1.0)], "image long, channel int, z int, score double, mean double")
+    got = {(r["image"], r["x"]): r["v"] for r in windowed_max(rows, scores).collect()}
+    assert {k[0] for k in got} == {1, 2} and got[1, 1] == 5.0
