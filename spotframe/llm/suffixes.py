@@ -117,21 +117,32 @@ class Columns:
 
 
 class LowestBetween:
-    """Minimum of any range of small numbers, by doubling ranges."""
+    """Minimum of any range of small numbers: by doubling ranges up to 16 numbers, and blocks of 16 between the ends of longer ones."""
+
+    SHORT = 4
 
     def __init__(self, values: np.ndarray):
         self.levels = [values]
-        while (step := 1 << (len(self.levels) - 1)) * 2 <= len(values):
+        while (step := 1 << (len(self.levels) - 1)) * 2 <= len(values) and len(self.levels) <= self.SHORT:
             self.levels.append(np.minimum(self.levels[-1][:-step], self.levels[-1][step:]))
+        block = 1 << self.SHORT
+        self.blocks = LowestBetween(self.levels[-1][::block].copy()) if len(values) >= 2 * block - 1 else None
 
     def of(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Minimum over [low, high], low <= high."""
-        level = np.log2(high - low + 1).astype(np.int64)
+        size, block = high - low + 1, 1 << self.SHORT
         out = np.empty(len(low), dtype=np.uint8)
-        for k in np.unique(level):
+        level = np.frexp(np.minimum(size, 2 * block).astype(np.float32))[1] - 1
+        for k in range(self.SHORT + 1):
             at = np.flatnonzero(level == k)
-            table = self.levels[k]
-            out[at] = np.minimum(table[low[at]], table[high[at] - (1 << int(k)) + 1])
+            if len(at):
+                table = self.levels[k]
+                out[at] = np.minimum(table[low[at]], table[high[at] - (1 << k) + 1])
+        at = np.flatnonzero(level > self.SHORT)
+        if len(at):
+            a, b, table = low[at], high[at], self.levels[-1]
+            ends = np.minimum(table[a], table[b - block + 1])
+            out[at] = np.minimum(ends, self.blocks.of(-(-a // block), (b + 1) // block - 1))
         return out
 
 
@@ -159,16 +170,18 @@ def collection_order(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.nda
     active = np.flatnonzero(length > 0)
     place, j = active.copy(), 0
 
-    def ranks() -> tuple[np.ndarray, np.ndarray, int]:
+    def ranks() -> tuple[np.ndarray, int]:
         order = np.argsort(bwt, kind="stable")  # the suffixes that follow, by their first symbol
-        rank = np.empty(len(bwt), dtype=np.int64)
-        rank[order] = np.arange(len(bwt))
-        return order, rank, len(bwt) - int(np.count_nonzero(bwt))
+        return order, len(bwt) - int(np.count_nonzero(bwt))
 
     while len(active):
         j += 1
-        order, rank, closed = ranks()
-        k = rank[place]
+        order, closed = ranks()
+        # active texts stand by place; by symbol and place they stand as in `order`, so marks give their ranks
+        turn = np.argsort(bwt[place], kind="stable")
+        marked = np.zeros(len(bwt), dtype=bool)
+        marked[place] = True
+        active, place, k = active[turn], place[turn], np.flatnonzero(marked[order])
         new = m + k - closed
         # common prefixes of the new suffixes with their neighbours: one more than those of the suffixes behind
         lowest = LowestBetween(common)
@@ -191,7 +204,9 @@ def collection_order(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.nda
         going = length[active] > j
         active, place = active[going], new[going]
     # which suffix stands where: from the empty suffixes, one symbol back at a time
-    _, rank, closed = ranks()
+    order, closed = ranks()
+    rank = np.empty(len(bwt), dtype=np.int64)
+    rank[order] = np.arange(len(bwt))
     who, size_of = np.empty(len(bwt), dtype=np.int32), np.empty(len(bwt), dtype=np.uint8)
     active = place = np.arange(m)
     j = 0

@@ -1,8 +1,8 @@
-"""What Python workers keep between tasks, and the order of elements that the join of sets goes by."""
+"""What Python workers keep between tasks, the order of elements that the join of sets goes by, and minima of ranges."""
 
 import numpy as np
 
-from spotframe.llm import common, jaccard
+from spotframe.llm import common, jaccard, suffixes
 
 
 def test_a_worker_keeps_the_last_table_only():
@@ -37,3 +37,17 @@ def test_rare_elements_stand_first_in_one_order_for_all_sets():
     key = lambda e: (int(level[int(e) >> int(jaccard._SHIFT)]), int(e))
     for one, ordered in zip(sets, jaccard._rare_first(sets, level)):
         assert ordered.tolist() == sorted(one.tolist(), key=key)
+
+
+def test_range_minima_hold_few_numbers():
+    values = np.random.default_rng(1).integers(0, 60, 3000).astype(np.uint8)
+    table = suffixes.LowestBetween(values)
+    held, part = 0, table
+    while part is not None:
+        held, part = held + sum(map(len, part.levels)), part.blocks
+    assert held < 6 * len(values)  # all doubling ranges would be ten times as many
+    for n in (*range(1, 70), len(values)):
+        table = suffixes.LowestBetween(values[:n])
+        pairs = np.sort(np.random.default_rng(n).integers(0, n, (300, 2)), axis=1)
+        got = table.of(pairs[:, 0], pairs[:, 1])
+        assert got.tolist() == [values[a : b + 1].min() for a, b in pairs], n
