@@ -11,8 +11,9 @@ Every byte covered by a `width`-byte string that also starts in a document with
    `width` + RUN - 1 bytes. Equal contexts of a block are sent once, with the smallest and largest id that has them.
    An anchor of more than HOT runs may have as many contexts: it is hot, and its runs are cut into their single
    strings, which are dealt by their own hash, so that no task gathers the contexts of one anchor.
-3. An anchor with one context has nothing to compare. All other contexts of a bucket of anchors are one collection of short documents. Its transform and longest common prefixes are
-   built as in BCR: each round inserts one more symbol of every document, from the right; the place of a new suffix
+3. An anchor with one context has nothing to compare. All other contexts of a bucket of anchors are collections of short
+   documents, of whole anchors and of similar length, so that no round passes over texts that ended long before. The transform
+   and the longest common prefixes of a collection are built as in BCR: each round inserts one more symbol of every document, from the right; the place of a new suffix
    follows from the place of the suffix before it. Neighbours with a common prefix of `width` or more are
    the same string, and the smallest id among them decides.
 4. Blocks get the smallest ids of their contexts back and cut their texts.
@@ -39,6 +40,8 @@ HOT = 4096
 #: Suffixes up to which the two one-byte columns of a collection stay in memory; larger ones are files of the task. Ranks,
 #: order and range minima are in memory at any size.
 IN_MEMORY = 50_000_000
+#: Symbols after which the next anchor of a bucket begins another collection; an anchor is never divided.
+PIECE = 100_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -196,10 +199,13 @@ def collection_order(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.nda
         out_bwt, out_common = columns.empty(size, np.uint8), columns.empty(size, np.uint8)
         out_bwt[old], out_common[old] = bwt, common
         out_bwt[new] = symbol_before(active, j)
+        low = np.concatenate((last[has_last], place[has_following])) + 1
+        found = np.minimum(lowest.of(low, np.concatenate((place[has_last], following[has_following]))) + 1, depth)
         value = np.zeros(len(k), dtype=np.uint8)
-        value[has_last] = np.minimum(lowest.of(last[has_last] + 1, place[has_last]) + 1, depth)
+        split = len(low) - np.count_nonzero(has_following)
+        value[has_last] = found[:split]
         out_common[new] = value
-        out_common[new[has_following] + 1] = np.minimum(lowest.of(place[has_following] + 1, following[has_following]) + 1, depth)
+        out_common[new[has_following] + 1] = found[split:]
         bwt, common = out_bwt, out_common
         going = length[active] > j
         active, place = active[going], new[going]
@@ -220,6 +226,21 @@ def collection_order(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.nda
     return who, size_of, common
 
 
+def collections(group: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
+    """Numbers of the texts of each collection: texts of one group stay together, groups go by their longest text."""
+    if not len(group):
+        return []
+    _, group = np.unique(group, return_inverse=True)
+    longest = np.zeros(group.max() + 1, dtype=np.int64)
+    np.maximum.at(longest, group, length)
+    turn = np.argsort(longest, kind="stable")
+    piece = np.empty(len(longest), dtype=np.int64)
+    piece[turn] = (np.cumsum(np.bincount(group, length)[turn]) - 1) // PIECE
+    of = piece[group]
+    order = np.argsort(of, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(of[order])) + 1)
+
+
 def smallest_owners(texts: list[bytes], owner: np.ndarray, width: int) -> list[np.ndarray]:
     """For each text the smallest owner of any text with the same `width`-byte string, by the string's start."""
     out = [np.empty(max(0, len(t) - width + 1), dtype=owner.dtype) for t in texts]
@@ -344,7 +365,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     contexts = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInPandas(cut_contexts, "anchor bigint, context binary, block int, low bigint, high bigint, bucket int")
 
     def resolve(frame: pd.DataFrame) -> pd.DataFrame:
-        codes, distinct = pd.factorize(frame["context"])
+        codes, distinct = pd.factorize(frame["context"].to_numpy())
         owner = np.full(len(distinct), last)
         np.minimum.at(owner, codes, frame["low"].to_numpy())
         anchor = np.empty(len(distinct), dtype=np.int64)
@@ -357,15 +378,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for c in np.flatnonzero(alone):
             lowest[c] = owner[c : c + 1]
         several = np.flatnonzero(~alone)
-        for c, v in zip(several, smallest_owners([distinct[c] for c in several], owner[several], width), strict=True):
-            lowest[c] = v
-        least = np.fromiter((v.min() for v in lowest), dtype=np.int64, count=len(lowest))
-        matters = np.flatnonzero(least[codes] < frame["high"].to_numpy())
+        for part in collections(group[several], np.fromiter((len(distinct[c]) for c in several), dtype=np.int64, count=len(several))):
+            mine = several[part]
+            for c, v in zip(mine, smallest_owners([distinct[c] for c in mine], owner[mine], width), strict=True):
+                lowest[c] = v
+        flat, size = np.concatenate(lowest), np.fromiter(map(len, lowest), dtype=np.int64, count=len(lowest))
+        start = np.cumsum(size) - size
+        matters = np.flatnonzero(np.minimum.reduceat(flat, start)[codes] < frame["high"].to_numpy())
+        begins = np.append(True, flat[1:] != flat[:-1])
+        begins[start] = True
+        at = np.flatnonzero(begins)
+        value, cut = flat[at].tolist(), np.append(np.searchsorted(at, start), len(at)).tolist()
+        first = (at - np.repeat(start, size)[at]).tolist()
         steps = {}
         for c in np.unique(codes[matters]).tolist():
-            v = lowest[c]
-            first = np.concatenate(([0], np.flatnonzero(v[1:] != v[:-1]) + 1))
-            steps[c] = (_key(distinct[c]), [-1] if hot[c] else first.tolist(), v[first].tolist())
+            steps[c] = (_key(distinct[c]), [-1] if hot[c] else first[cut[c] : cut[c + 1]], value[cut[c] : cut[c + 1]])
         chosen = [steps[c] for c in codes[matters].tolist()]
         part = frame.iloc[matters]
         home = part["block"].to_numpy()

@@ -51,3 +51,29 @@ def test_range_minima_hold_few_numbers():
         pairs = np.sort(np.random.default_rng(n).integers(0, n, (300, 2)), axis=1)
         got = table.of(pairs[:, 0], pairs[:, 1])
         assert got.tolist() == [values[a : b + 1].min() for a, b in pairs], n
+
+
+def test_collections_keep_anchors_whole_and_lengths_alike(monkeypatch):
+    monkeypatch.setattr(suffixes, "PIECE", 2000)
+    rng = np.random.default_rng(5)
+    group, length = rng.integers(-40, 40, 900), rng.integers(50, 60, 900)
+    length[group == 7] += 50
+    parts = suffixes.collections(group, length)
+    assert sorted(np.concatenate(parts)) == list(range(900)) and len(parts) > 10
+    assert sum(len(np.unique(group[p])) for p in parts) == len(np.unique(group))
+    assert sum(length[p].max() > 100 for p in parts) == 1
+    assert suffixes.collections(group[:0], length[:0]) == []
+
+
+def test_owners_are_the_same_in_one_collection_and_in_many(monkeypatch):
+    rng = np.random.default_rng(6)
+    passage = bytes(rng.integers(97, 100, 130).tolist())
+    made = [(g, passage[a : a + n]) for g in range(6) for a, n in zip(rng.integers(0, 60, 8), rng.integers(50, 70, 8), strict=True)]
+    group, texts, owner = np.array([g for g, _ in made]), [t for _, t in made], rng.integers(0, 1000, len(made))
+    monkeypatch.setattr(suffixes, "PIECE", 500)
+    parts = suffixes.collections(group, np.array([len(t) for t in texts]))
+    assert len(parts) == 6
+    for p in parts:
+        for c, got in zip(p, suffixes.smallest_owners([texts[c] for c in p], owner[p], 50), strict=True):
+            alike = [(texts[o], owner[o]) for o in np.flatnonzero(group == group[c])]
+            assert got.tolist() == [min(w for t, w in alike if texts[c][i : i + 50] in t) for i in range(len(texts[c]) - 49)]
