@@ -1,9 +1,10 @@
 """Class-based n-grams: exchange clustering of words, class transitions and word emissions.
 
-Every word has a class. The most frequent words are elements of their own; all others share an element with
-the words of the same ending, so that unknown words have a class too. Exchange clustering moves
-elements between classes as long as the likelihood of the class bigrams grows. The probability of
-a token is P(class | class before) * P(token | class), smoothed with the unigram estimate.
+Every word has a class. Classes begin with elements: the most frequent words by themselves, all others with the words
+of the same ending, so that unknown words have a class too. Exchange clustering moves elements between classes
+as long as the likelihood of the class bigrams grows; then every distinct training word is exchanged by itself, by
+the classes before and after all of its tokens. The probability of a token is
+P(class | class before) * P(token | class), smoothed with the unigram estimate.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from spotframe.llm.common import crc_mod, save, small_batches, spaced_lower, text_or_empty
+from spotframe.llm.common import crc_mod, release, save, small_batches, spaced_lower, text_or_empty
 
 #: Token that closes every text. No word contains white space.
 END = "\n"
@@ -30,6 +32,8 @@ CLASSES = 48
 ENDING_CHARS = 2
 #: Distinct words counted in a task before they are handed on.
 HELD_WORDS = 300_000
+#: Pairs of a word and a neighbour's class held in a task before they are handed on.
+HELD_PAIRS = 2_000_000
 #: Words whose element is remembered in a task, and texts counted at a time.
 KNOWN_WORDS, TEXTS = 600_000, 256
 #: Weight of the class model against the unigram estimate.
@@ -167,22 +171,153 @@ def exchange(n: np.ndarray, classes: int, rounds: int = 5) -> np.ndarray:
     return of
 
 
+def word_contexts(texts: DataFrame, frequent: dict[str, int], of: np.ndarray, classes: int) -> DataFrame:
+    """(word, pairs): a word's tokens by the class after them and the class before them, in several rows for some words.
+
+    An entry is count * 2 * classes + slot; slot is the class after, or `classes` plus the class before.
+    """
+    wide = 2 * classes
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place: dict[str, int] = {}
+        cls = np.zeros(1024, dtype=np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def out() -> pa.RecordBatch:
+            code, n = _summed(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+            ends = np.concatenate(([0], np.cumsum(np.bincount(code // wide, minlength=len(place)))))
+            pairs = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(n * wide + code % wide))
+            return pa.RecordBatch.from_arrays([pa.array(list(place), pa.string()), pairs], ["word", "pairs"])
+
+        for batch in (big.slice(at, TEXTS) for big in batches for at in range(0, big.num_rows, TEXTS)):
+            codes = []
+            for text in batch.column(0).to_pylist():
+                words = tokens(text)
+                found = list(map(place.get, words))
+                if None in found:
+                    for i, at in enumerate(found):
+                        if at is None:
+                            w = words[i]
+                            at = place.get(w)
+                            if at is None:
+                                at = place[w] = len(place)
+                                if at == len(cls):
+                                    cls = np.concatenate((cls, np.zeros_like(cls)))
+                                cls[at] = of[element_of(w, frequent)]
+                            found[i] = at
+                ids = np.array(found, dtype=np.int64)
+                own = cls[ids]
+                codes += [ids * wide + np.concatenate((own[1:], own[:1])), ids * wide + classes + np.concatenate((own[-1:], own[:-1]))]
+            if codes:
+                held.append(np.unique(np.concatenate(codes), return_counts=True))
+            if len(place) > HELD_WORDS or sum(len(h[0]) for h in held) > HELD_PAIRS:
+                yield out()
+                place.clear()
+                held.clear()
+        if held:
+            yield out()
+
+    return texts.select("text").mapInArrow(count, "word string, pairs array<bigint>")
+
+
+def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, ascending, with the sums of their numbers."""
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+    return code[first], np.add.reduceat(n, first)
+
+
+def exchanged(own: np.ndarray, word: np.ndarray, slot: np.ndarray, n: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, best class) of words of the classes `own`, each taken out of its class and put where the likelihood is largest.
+
+    word, slot, n: the words' tokens by slot (see word_contexts), words ascending; pair: bigrams of the classes. Every word
+    is judged against the same `pair`, so the answer does not hang on how words are dealt. Cells that the words before and
+    after share are judged one side at a time, and a bigram of a word with itself counts as one of its old class.
+    """
+    classes = len(pair)
+    at = np.arange(len(own))
+    total = np.bincount(word, weights=np.where(slot < classes, n, 0), minlength=len(own))
+    table, m = np.concatenate((pair.T, pair)), n.astype(np.float64)
+    gains = np.zeros((len(own), classes))
+    for a in range(0, len(word), 100_000):
+        cut = slice(a, a + 100_000)
+        there, more = table[slot[cut]], m[cut]
+        mine = own[word[cut]]
+        gain = _xlogx(there + more[:, None]) - _xlogx(there)
+        stay = there[np.arange(len(mine)), mine]
+        gain[np.arange(len(mine)), mine] = _xlogx(stay) - _xlogx(stay - more)
+        first = np.flatnonzero(np.concatenate(([True], word[cut][1:] != word[cut][:-1])))
+        gains[word[cut][first]] += np.add.reduceat(gain, first, axis=0)
+    for side in (pair.sum(axis=1), pair.sum(axis=0)):
+        loss = _xlogx(side[None, :] + total[:, None]) - _xlogx(side)[None, :]
+        loss[at, own] = _xlogx(side[own]) - _xlogx(side[own] - total)
+        gains -= loss
+    best = np.argmax(gains, axis=1)
+    return total.astype(np.int64), np.where(gains[at, best] > gains[at, own] + 1e-9, best, own)
+
+
+def likelihood(pair: np.ndarray) -> float:
+    """Log likelihood of class bigrams, but for the words inside the classes, which no exchange changes."""
+    return float(_xlogx(pair).sum() - _xlogx(pair.sum(axis=1)).sum() - _xlogx(pair.sum(axis=0)).sum())
+
+
+def exchange_words(texts: DataFrame, frequent: dict[str, int], of: np.ndarray, pair: np.ndarray) -> DataFrame:
+    """(word, c, own, cls): tokens of every distinct word, the class of its element and the class it is exchanged into.
+
+    Rows of a word meet in one sorted stream; a task holds a batch of it.
+    """
+    classes = len(pair)
+    wide = 2 * classes
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def of_rows(rows: pa.Table) -> pa.RecordBatch:
+            words, lists = rows.column("word").combine_chunks(), rows.column("pairs").combine_chunks()
+            fresh = np.concatenate(([True], pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False))) if len(words) > 1 else np.array([True])
+            row = np.repeat(np.cumsum(fresh) - 1, pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            code, n = _summed(row * wide + flat % wide, flat // wide)
+            distinct = words.filter(pa.array(fresh))
+            own = np.fromiter((of[element_of(w, frequent)] for w in distinct.to_pylist()), dtype=np.int64, count=len(distinct))
+            total, best = exchanged(own, code // wide, code % wide, n, pair)
+            return pa.RecordBatch.from_arrays([distinct, pa.array(total), pa.array(own.astype(np.int32)), pa.array(best.astype(np.int32))], ["word", "c", "own", "cls"])
+
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            if not rows.num_rows:
+                continue
+            words = rows.column("word")
+            # the last word may go on in the next batch
+            cut = pc.index(words, words[-1]).as_py()
+            if cut:
+                yield of_rows(rows.slice(0, cut))
+            held = rows.slice(cut)
+        if held is not None:
+            yield of_rows(held)
+
+    contexts = word_contexts(texts, frequent, of, classes)
+    return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(choose, "word string, c bigint, own int, cls int")
+
+
 @dataclass
 class Model:
     """Bounded by the elements and classes, but for the table of words."""
 
-    words: DataFrame  # (word, c, e): count and element of every training word
+    words: DataFrame  # (word, c, own, cls): count, class of the element and class of every training word
     frequent: dict[str, int]
-    of: np.ndarray  # class of each element
-    transition: np.ndarray  # natural P(class | class before), smoothed
-    class_tokens: np.ndarray  # training tokens of each class
-    class_words: np.ndarray  # distinct training words of each class
+    of: np.ndarray  # class of each element, which is that of unknown words
+    pair: np.ndarray  # bigrams of the elements' classes
     n: int
     v: int
+    transition: np.ndarray | None = None  # natural P(class | class before), smoothed
+    class_tokens: np.ndarray | None = None  # training tokens of each class
+    class_words: np.ndarray | None = None  # distinct training words of each class
 
 
 def train(texts: DataFrame, counts: DataFrame, classes: int = CLASSES) -> Model:
-    """texts (text), counts (word, c) of the same texts. What is gathered: one row per word, and the element bigrams."""
+    """texts (text), counts (word, c) of the same texts. What is gathered: rows of each word, and the element bigrams."""
     facts = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
     frequent = {r["word"]: i for i, r in enumerate(top)}
@@ -191,22 +326,25 @@ def train(texts: DataFrame, counts: DataFrame, classes: int = CLASSES) -> Model:
     for r in element_bigrams(texts, frequent).toLocalIterator():
         matrix[r["a"], r["b"]] = r["n"]
     of = exchange(matrix, classes)
+    one = np.eye(classes)[of]
+    pair = one.T @ matrix @ one
+    words = save(exchange_words(texts, frequent, of, pair))
+    return Model(words, frequent, of, pair, int(facts["n"]), int(facts["v"]))
 
-    def with_element(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            e = [element_of(w, frequent) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(e, pa.int32())], ["word", "c", "e"])
 
-    words = save(counts.select("word", "c").mapInArrow(with_element, "word string, c bigint, e int"))
-    per = words.groupBy("e").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"))
+def settle(model: Model, pair: np.ndarray) -> tuple[Model, str]:
+    """The model with the bigrams of the exchanged words' classes, and the column of its words that holds their class.
+
+    Words move at the same time, so what each gains by itself may be lost together: then words keep the classes of their elements.
+    """
+    classes = len(pair)
+    column = "cls" if likelihood(pair) > likelihood(model.pair) else "own"
+    pair = pair if column == "cls" else model.pair
     tokens_, words_ = np.zeros(classes), np.zeros(classes)
-    for r in per.collect():  # one row per element
-        tokens_[of[r["e"]]] += r["c"]
-        words_[of[r["e"]]] += r["v"]
-    one = np.eye(classes)[of]
-    pair = one.T @ matrix @ one
+    for r in model.words.groupBy(F.col(column).alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():  # one row per class
+        tokens_[r["k"]], words_[r["k"]] = r["c"], r["v"]
     transition = (pair + 0.5) / (pair.sum(axis=1, keepdims=True) + 0.5 * classes)
-    return Model(words, frequent, of, transition, tokens_, words_, int(facts["n"]), int(facts["v"]))
+    return replace(model, transition=transition, class_tokens=tokens_, class_words=words_), column
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, classes: int = CLASSES, class_weight: float = CLASS_WEIGHT, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -219,7 +357,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 
     The words of a block of documents are looked up together: each distinct word of a block is one row of a
     join with the counts, so the shuffle carries words per block, not tokens, and a frequent word costs one row
-    per block.
+    per block. Blocks are read twice: to count the bigrams of the words' classes, and to score.
 
     Defined cases: null texts count as empty and hold END only; with nothing to learn from, every c, N and V
     is 0; rows repeating an id are scored one by one and all count; an empty table gives no rows.
@@ -230,6 +368,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     learned = rows.where(~F.col("held_out"))
     counts = save(word_counts(learned))
     model = train(learned, counts, classes)
+    del counts
+    release(docs.sparkSession)
     characters = rows.agg(F.coalesce(F.sum(F.length("text") + 200), F.lit(0)).alias("s")).first()["s"]
     blocks = max(1, -(-characters // block_chars))
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("_id", F.length("text")), F.lit(blocks)).cast("int")).repartition(int(blocks), "block")
@@ -241,12 +381,32 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         return pd.DataFrame({"word": list(seen), "block": frame["block"].iloc[0]})
 
     wanted = blocked.groupBy("block").applyInPandas(distinct_words, "word string, block int")
-    looked_up = wanted.join(model.words, "word").select("block", "word", "c", "e")
+    looked_up = save(wanted.join(model.words, "word").select("block", "word", "c", "own", "cls"))
+    release(docs.sparkSession)
+    end = int(model.words.where(F.col("word") == END).agg(F.max("cls")).first()[0] or 0)
+
+    def class_bigrams(frame: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        cls = dict(zip(words["word"], words["cls"], strict=True))
+        sums = np.zeros(classes * classes, dtype=np.int64)
+        for text in frame["text"]:
+            own = np.array(list(map(cls.__getitem__, tokens(text))), dtype=np.int64)
+            sums += np.bincount(np.concatenate(([end], own[:-1])) * classes + own, minlength=classes * classes)
+        at = np.flatnonzero(sums)
+        return pd.DataFrame({"a": at // classes, "b": at % classes, "n": sums[at]})
+
+    pair = np.zeros((classes, classes))
+    learned_blocks = blocked.where(~F.col("held_out")).groupBy("block").cogroup(looked_up.groupBy("block"))
+    for r in learned_blocks.applyInPandas(class_bigrams, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")).collect():
+        pair[r["a"], r["b"]] = r["n"]
+    model, column = settle(model, pair)
+    release(docs.sparkSession)
     n, bounded = model.n, replace(model, words=None)
+    # unknown words and the start of a text go by the class of their element or END
+    start = end if column == "cls" else int(model.of[element_of(END, model.frequent)])
     schema = f"`{id_col}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
     def of_block(frame: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        scorer = BlockScorer(bounded, words["word"].tolist(), words["c"].to_numpy(dtype=np.int64), words["e"].to_numpy(dtype=np.int64), class_weight)
+        scorer = BlockScorer(bounded, words["word"].tolist(), words["c"].to_numpy(dtype=np.int64), words[column].to_numpy(dtype=np.int64), start, class_weight)
         out = [scorer.text(t) for t in frame["text"]]
         held = frame["held_out"].to_numpy()
         return pd.DataFrame({
@@ -261,15 +421,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 class BlockScorer:
     """Scores texts of a block, given the counts of all its known words."""
 
-    def __init__(self, model: Model, words: list[str], c: np.ndarray, element: np.ndarray, class_weight: float):
+    def __init__(self, model: Model, words: list[str], c: np.ndarray, cls: np.ndarray, start: int, class_weight: float):
         self.model, self.weight = model, class_weight
         self.place = dict(zip(words, range(len(words)), strict=True))
         self.c = c
-        self.cls = model.of[element]
+        self.cls = cls
         self.uni = (c + 0.5) / (model.n + 0.5 * (model.v + 1))
         self.log_uni = np.log10(self.uni)
         self.emit = (c + 0.5) / (model.class_tokens[self.cls] + 0.5 * (model.class_words[self.cls] + 1))
-        self.start = int(model.of[element_of(END, model.frequent)])
+        self.start = start
 
     def _add(self, new: list[str]) -> None:
         at = len(self.place)

@@ -426,6 +426,41 @@ def test_classes_beat_the_unigram(small):
     assert held[0] > held[1] + 0.1 * held[2]
 
 
+def test_rare_words_of_one_ending_are_exchanged_one_by_one(spark):
+    """Words outside the frequent ones that share an ending, but not their neighbours, must not share a class."""
+    rng = random.Random(3)
+    rare = [f"w{i}xx" for i in range(1200)]
+    texts = [" ".join(x for _ in range(30) for w in [rng.randrange(rng.choice((20, 20, 1200)))] for x in (("da", rare[w], "net") if w % 2 else ("ka", rare[w], "lot"))) for _ in range(200)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    counts = brown.word_counts(docs)
+    model = brown.train(docs, counts, 8)
+    got = {r["word"]: r for r in model.words.collect()}
+    want = Counter(w for t in texts for w in brown.tokens(t))
+    assert {w: r["c"] for w, r in got.items()} == want
+    others = [w for w in got if w in set(rare) and w not in model.frequent]
+    assert len(others) > 200 and len({got[w]["own"] for w in others}) == 1
+    odd = Counter(got[w]["cls"] for w in others if int(w[1:-2]) % 2)
+    even = Counter(got[w]["cls"] for w in others if int(w[1:-2]) % 2 == 0)
+    assert not odd.keys() & even.keys()
+
+
+def test_a_word_is_exchanged_as_the_likelihood_says():
+    rng = np.random.default_rng(4)
+    after, own = rng.integers(1, 40, (6, 3)), np.array([0, 1, 0, 1, 0, 1])
+    big = np.zeros((12, 12))
+    big[:6, 6:9], big[9:, :6] = after, rng.permuted(after, axis=1).T  # words of class 3, then 0 to 5, then words of class 2
+    big[6:9, 9:] = rng.integers(1, 90, (3, 3))
+    everywhere = np.concatenate((own, [2] * 3, [3] * 3))
+    pair_of = lambda cls: np.eye(4)[cls].T @ big @ np.eye(4)[cls]
+    total = after.sum(axis=1)
+    word, slot, n = np.repeat(np.arange(6), 2), np.tile([2, 4 + 3], 6), np.repeat(total, 2)
+    tokens, best = brown.exchanged(own, word, slot, n, pair_of(everywhere))
+    assert (tokens == total).all()
+    for w in range(6):
+        moved = [brown.likelihood(pair_of(np.where(np.arange(12) == w, k, everywhere))) for k in range(4)]
+        assert np.isclose(moved[best[w]], max(moved))
+
+
 def test_exchange_finds_planted_classes():
     n = np.zeros((12, 12))
     for a in range(12):
