@@ -192,22 +192,31 @@ def _perimeter(labels: DataFrame) -> DataFrame:
     return border.join(pattern, [*KEY, "y", "x"], "left").groupBy(*KEY).agg(F.sum(weight).alias("perimeter_px"))
 
 
-def _hull(points: np.ndarray) -> np.ndarray:
-    """Corners of the convex hull, counter-clockwise."""
-    pts = np.unique(points, axis=0)
+def _hull(ends: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Corners of the convex hull of a label's pixel squares, from (y, first x, last x) of its rows, in half pixels.
 
-    def turn(a: np.ndarray, b: np.ndarray) -> float:
-        return a[0] * b[1] - a[1] * b[0]
-
-    def half(ordered) -> list:
-        chain: list = []
-        for p in ordered:
-            while len(chain) > 1 and turn(chain[-1] - chain[-2], p - chain[-2]) <= 0:
-                chain.pop()
-            chain.append(p)
-        return chain[:-1]
-
-    return np.array(half(pts) + half(pts[::-1])) if len(pts) > 2 else pts
+    A row touches the hull with the middles of the outer sides of its first and last pixel, and with the middles of their
+    sides above and below: so the ends of each line of half pixels make the two chains.
+    """
+    lines: dict[int, tuple[int, int]] = {}
+    for y, a, b in ends:
+        for at, lo, hi in ((2 * y - 1, 2 * a, 2 * b), (2 * y, 2 * a - 1, 2 * b + 1), (2 * y + 1, 2 * a, 2 * b)):
+            old = lines.get(at)
+            lines[at] = (lo, hi) if old is None else (min(lo, old[0]), max(hi, old[1]))
+
+    def chain(side: int, sign: int) -> list[tuple[int, int]]:
+        out: list[tuple[int, int]] = []
+        for y in sorted(lines):
+            x = lines[y][side]
+            while len(out) > 1:
+                (y0, x0), (y1, x1) = out[-2], out[-1]
+                if sign * ((x1 - x0) * (y - y0) - (x - x0) * (y1 - y0)) < 0:
+                    break
+                out.pop()
+            out.append((y, x))
+        return out
+
+    return [*chain(0, 1), *reversed(chain(1, -1))]
 
 
 def _hull_batches(batches):
@@ -215,11 +224,12 @@ def _hull_batches(batches):
     for batch in batches:
         areas, ferets = [], []
         for ends in batch["ends"]:
-            corners = np.array([(r["y"] + dy, x + dx) for r in ends for x in (r["a"], r["b"]) for dy, dx in ((-0.5, 0), (0.5, 0), (0, -0.5), (0, 0.5))])
-            hull = _hull(corners)
-            x, y = hull[:, 1], hull[:, 0]
-            areas.append(float(abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2.0))
-            ferets.append(float(np.sqrt(((hull[:, None, :] - hull[None, :, :]) ** 2).sum(-1)).max()))
+            corners = _hull([(r["y"], r["a"], r["b"]) for r in ends])
+            twice = sum(y0 * x1 - y1 * x0 for (y0, x0), (y1, x1) in zip(corners, corners[1:] + corners[:1], strict=True))
+            at = np.array(corners, dtype=np.float64) / 2.0
+            apart = at[:, None, :] - at[None, :, :]
+            areas.append(abs(twice) / 8.0)
+            ferets.append(float(np.sqrt(np.einsum("ijk,ijk->ij", apart, apart).max())))
         yield batch[KEY].assign(hull_area_px=areas, feret_max_px=ferets)
 
 

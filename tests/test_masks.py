@@ -157,3 +157,12 @@ def test_components_by_key(spark):
     mask = spark.createDataFrame(rows, "image long, z int, y long, x long")
     got = {(r["z"], r["y"], r["x"]): r["component"] for r in labels.components(mask, 8, ["image", "z"]).collect()}
     assert got == {(z, y, x): 0 if y < 5 else 5 * 2**31 + 5 for _, z, y, x in rows}
+
+
+def test_hull_corners_of_rows_in_any_order_with_gaps():
+    from spotframe.operators.labels import _hull
+
+    assert set(_hull([(3, 5, 5)])) == {(5, 10), (7, 10), (6, 9), (6, 11)}
+    # an L whose notch lies inside the hull, its rows out of order and one missing
+    corners = _hull([(4, 0, 6), (0, 0, 0), (1, 0, 0), (3, 0, 0)])
+    assert set(corners) == {(-1, 0), (0, -1), (8, -1), (9, 0), (9, 12), (8, 13), (7, 12)}
