@@ -18,7 +18,6 @@ def pooled_range(
     pixels: DataFrame, floor_pct: float, ceil_pct: float, bump_pct: float = 0.0, dapi: tuple[float, float] = (10.0, 99.9)
 ) -> DataFrame:
     """(channel, lo, hi) over the pixels of all images; signal floors may be raised by a percentage."""
-    fractions = pixels.select("channel").distinct()
     is_dapi = F.col("channel") == "dapi"
     marked = pixels.withColumn("_f", F.when(is_dapi, dapi[0] / 100).otherwise(floor_pct / 100)).withColumn(
         "_c", F.when(is_dapi, dapi[1] / 100).otherwise(ceil_pct / 100)
@@ -26,7 +25,7 @@ def pooled_range(
     q = quantiles(marked, "v", ["channel", "_f", "_c"], {"lo": "_f", "hi": "_c"})
     raised = F.when(~is_dapi & (F.col("lo") > 0), F.col("lo") * (1.0 + bump_pct / 100.0)).otherwise(F.col("lo"))
     out = q.withColumn("lo", raised).withColumn("hi", _guarded(F.col("lo"), F.col("hi")))
-    return fractions.join(out, "channel").select("channel", "lo", "hi")
+    return out.where(F.col("channel").isNotNull()).select("channel", "lo", "hi")
 
 
 def reference_range(pixels: DataFrame, floor_region: str, ceil_region: str, floor_pct: float, ceil_pct: float) -> DataFrame:

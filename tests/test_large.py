@@ -69,3 +69,8 @@ def test_windowed_max_keeps_short_stacks(spark):
     scores = spark.createDataFrame([(1, 0, 0, 1.0, 1.0), (2, 0, 0, 1.0, 1.0), (2, 0, 1, 3.0, 1.0)], "image long, channel int, z int, score double, mean double")
     got = {(r["image"], r["x"]): r["v"] for r in windowed_max(rows, scores).collect()}
     assert {k[0] for k in got} == {1, 2} and got[1, 1] == 5.0
+
+
+def test_pooled_range_reads_its_pixels_once(spark):
+    # what is left after the stored counts must not go back to the pixels
+    assert "Scan parquet" not in planned(entry.queries()["pooled_range"](spark, SF))
