@@ -168,8 +168,7 @@ def nuclear_mask(spark, sf):
 
 @check(oracle("SELECT image, y, x, round(v, 6) AS v FROM v_f", *MASKED[:5]))
 def gaussian_smooth(spark, sf):
-    at = V.stack(spark, sf).where("channel = 0").groupBy("image", "y", "x").agg(F.max("v").alias("v"))
-    rows = at.groupBy("image", "y").agg(F.sort_array(F.collect_list(F.struct("x", "v"))).alias("c")).select("image", "y", F.transform("c", lambda c: c["v"]).alias("vals"))
+    rows = focus.brightest_rows(_dapi(spark, sf))
     return rounded(frames.flat(focus.gaussian_rows(rows, 1.5)), 6, "v")
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spotframe.functions.ranks import median_and_mad, quantiles
@@ -170,11 +172,43 @@ def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[float]:
     return [w / sum(raw) for w in raw]
 
 
+def _smooth_batches(batches: Iterator[pa.RecordBatch], weights: list[float]) -> Iterator[pa.RecordBatch]:
+    """Replace vals by the smoothed values: down the rows of `_rows`, then along x. A missing value leaves its reach empty."""
+    reach = len(weights) // 2
+    for batch in batches:
+        rows = batch.column("_rows").flatten()
+        v = rows.flatten().to_numpy(zero_copy_only=False)
+        missing = rows.flatten().is_null().to_numpy(zero_copy_only=False)
+        sizes = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, len(weights))
+        starts = np.concatenate(([0], np.cumsum(sizes.ravel())[:-1])).reshape(sizes.shape)
+        widths = batch.column("vals").value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate(([0], np.cumsum(widths)))
+        out, empty = np.zeros(ends[-1]), np.zeros(ends[-1], dtype=bool)
+        for width in np.unique(widths[widths > 0]):
+            of, xs = np.flatnonzero(widths == width), np.arange(width)
+            mirrored = (xs[:, None] + np.arange(-reach, reach + 1)) % (2 * width)
+            mirrored = np.where(mirrored < width, mirrored, 2 * width - 1 - mirrored)
+            down, lost = np.zeros((len(of), width)), np.zeros((len(of), width), dtype=bool)
+            for d, w in enumerate(weights):
+                there = xs < sizes[of, d][:, None]
+                at = np.where(there, starts[of, d][:, None] + xs, 0)
+                down += v[at] * w
+                lost |= ~there | missing[at]
+            along, gone = np.zeros_like(down), np.zeros_like(lost)
+            for d, w in enumerate(weights):
+                along += down[:, mirrored[:, d]] * w
+                gone |= lost[:, mirrored[:, d]]
+            to = ends[of][:, None] + xs
+            out[to], empty[to] = along, gone
+        vals = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out, mask=empty))
+        yield pa.RecordBatch.from_arrays([vals if n == "vals" else batch.column(n) for n in batch.schema.names if n != "_rows"], [n for n in batch.schema.names if n != "_rows"])
+
+
 def gaussian_rows(plane_rows: DataFrame, sigma: float) -> DataFrame:
     """A plane smoothed by a gaussian, the frame being mirrored at its edges (the edge pixel repeated).
 
     Two passes of one dimension over row arrays: each row with the rows within reach in one window over y, then
-    each row along x. Rows of a plane are numbered from 0 without gaps.
+    each row along x, both in numpy over batches of rows. Rows of a plane are numbered from 0 without gaps.
     """
     weights = gaussian_weights(sigma)
     reach = len(weights) // 2
@@ -185,18 +219,20 @@ def gaussian_rows(plane_rows: DataFrame, sigma: float) -> DataFrame:
         at = F.pmod(i, 2 * n)
         return F.when(at < n, at).otherwise(2 * n - 1 - at).cast("int")
 
-    def smoothed(value) -> Column:
-        return reduce(lambda a, b: a + b, [value(d) * w for d, w in zip(range(-reach, reach + 1), weights)])
-
     whole = Window.partitionBy(*plane)
     # a frame lower than the reach is mirrored more than once, so rows farther away may be needed
     near = whole.orderBy("y").rowsBetween(-2 * reach, 2 * reach)
     rows = plane_rows.withColumn("_h", F.max("y").over(whole) + 1).withColumn("_near", F.collect_list("vals").over(near)).withColumn("_from", F.greatest(F.col("y") - 2 * reach, F.lit(0)))
     picked = F.array(*[F.get("_near", (mirrored(F.col("y") + d, F.col("_h")) - F.col("_from")).cast("int")) for d in range(-reach, reach + 1)])
-    xs = F.sequence(F.lit(0), F.size("vals") - 1)
-    down = rows.withColumn("_rows", picked).withColumn("_v", F.transform(xs, lambda x: smoothed(lambda d: F.get(F.get("_rows", F.lit(d + reach)), x))))
-    along = F.transform(xs, lambda x: smoothed(lambda d: F.get("_v", mirrored(x + d, F.size("_v")))))
-    return down.select(*[along.alias("vals") if c == "vals" else c for c in plane_rows.columns])
+    picked_rows = rows.withColumn("vals", F.col("vals").cast("array<double>")).select(*plane_rows.columns, picked.cast("array<array<double>>").alias("_rows"))
+    return picked_rows.mapInArrow(lambda batches: _smooth_batches(batches, weights), picked_rows.drop("_rows").schema)
+
+
+def brightest_rows(plane_rows: DataFrame) -> DataFrame:
+    """(image, y, vals): the largest value over the slices at each pixel, in row form."""
+    at = F.sequence(F.lit(0), F.size(F.get("_v", F.lit(0))) - 1)
+    stacked = plane_rows.groupBy("image", "y").agg(F.collect_list("vals").alias("_v"))
+    return stacked.select("image", "y", F.transform(at, lambda x: F.array_max(F.transform("_v", lambda row: F.get(row, x)))).alias("vals"))
 
 
 def _in_window(plane_rows: DataFrame, z_start: int | None, z_end: int | None) -> DataFrame:
@@ -215,10 +251,7 @@ def nuclear_mask(dapi_rows: DataFrame, sigma: float = 1.5, min_coverage: float =
     frame count as unset throughout. A mask that is empty or covers less than min_coverage of the frame is not used: its
     pixels are left out and `used` is false.
     """
-    at = F.sequence(F.lit(0), F.size(F.get("_v", F.lit(0))) - 1)
-    stacked = dapi_rows.groupBy("image", "y").agg(F.collect_list("vals").alias("_v"))
-    brightest = stacked.select("image", "y", F.transform(at, lambda x: F.array_max(F.transform("_v", lambda row: F.get(row, x)))).alias("vals"))
-    smooth = cut_lineage(gaussian_rows(brightest, sigma))
+    smooth = cut_lineage(gaussian_rows(brightest_rows(dapi_rows), sigma))
     frame = smooth.groupBy("image").agg((F.max("y") + 1).alias("height"), F.max(F.size("vals")).alias("width"), F.sum(F.size("vals")).alias("_px"))
     pixels = smooth.select("image", "y", F.posexplode("vals").alias("x", "v"))
     bright = pixels.join(otsu(pixels, "v", ["image"]), "image").where(F.col("v") > F.col("thr")).select("image", "y", "x")

@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 from checks.cells import _total
 from spotframe.operators.distance import morph
+from spotframe.operators.focus import gaussian_rows, gaussian_weights
 from spotframe.operators.specks import windowed_max
 from spotframe.operators.thresholds import otsu
 from spotframe.session import ESTIMATED, MEASURED, configure
@@ -74,3 +75,22 @@ def test_windowed_max_keeps_short_stacks(spark):
 def test_pooled_range_reads_its_pixels_once(spark):
     # what is left after the stored counts must not go back to the pixels
     assert "Scan parquet" not in planned(entry.queries()["pooled_range"](spark, SF))
+
+
+def test_gaussian_smooths_batches_of_rows(spark):
+    query = planned(entry.queries()["gaussian_smooth"](spark, SF))
+    assert "MapInArrow" in query and query.count("explode(") == query.count("posexplode(") + 1
+    planes = {(1, y): [float((7 * y + 3 * x) % 11) for x in range(5)] for y in range(3)} | {(2, y): [float(y * y + x) for x in range(70)] for y in range(40)}
+    planes[2, 20][30] = None
+    rows = spark.createDataFrame([(i, y, v) for (i, y), v in planes.items()], "image long, y long, vals array<double>").repartition(4)
+    got = {(r["image"], r["y"]): r["vals"] for r in gaussian_rows(rows, 1.5).collect()}
+    weights = gaussian_weights(1.5)
+    mirror = lambda i, n: min(i % (2 * n), 2 * n - 1 - i % (2 * n))
+    for (i, y), v in planes.items():
+        h, w = (3, 5) if i == 1 else (40, 70)
+        for x in range(w):
+            square = [(planes[i, mirror(y + dy - 6, h)][mirror(x + dx - 6, w)], a * b) for dy, a in enumerate(weights) for dx, b in enumerate(weights)]
+            if any(p is None for p, _ in square):
+                assert got[i, y][x] is None
+            else:
+                assert abs(got[i, y][x] - sum(p * c for p, c in square)) < 1e-9
