@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spotframe.functions.ranks import quantiles
@@ -37,23 +38,86 @@ def drop_border(labels: DataFrame, images: DataFrame, margin: int = 5) -> DataFr
     return labels.join(fresh, KEY).withColumn("nucleus_id", F.col("_new")).drop("_new")
 
 
+def _run_batches(batches, keys: Sequence[str], reach: int):
+    """Horizontal runs of the words of a band with the smallest run their component has inside the band.
+
+    A batch holds whole bands (one row each), and all of them are labelled side by side.
+    """
+    for batch in batches:
+        words = batch.column("words").flatten()
+        band = np.repeat(np.arange(batch.num_rows), batch.column("words").value_lengths().to_numpy(zero_copy_only=False))
+        y, at, bits = (words.field(f).to_numpy(zero_copy_only=False) for f in ("y", "w", "bits"))
+        on = (bits.view(np.uint64)[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+        word, bit = np.nonzero(on)
+        band, y, x = band[word], y[word], at[word] * 64 + bit
+        order = np.lexsort((x, y, band))
+        band, y, x = band[order], y[order], x[order]
+        new = np.ones(len(x), dtype=bool)
+        new[1:] = (band[1:] != band[:-1]) | (y[1:] != y[:-1]) | (x[1:] != x[:-1] + 1)
+        first = np.flatnonzero(new)
+        last = np.concatenate((first[1:], [len(x)])) - 1 if len(x) else first
+        band, y, a, b = band[first], y[first], x[first], x[last]
+        # rows get numbers two apart where they do not follow each other, so that only neighbours meet
+        follows = (band[1:] == band[:-1]) & (y[1:] - y[:-1] <= 1)
+        line = np.concatenate(([0], np.cumsum(np.where(follows, y[1:] - y[:-1], 2)))) if len(y) else y
+        low = a.min() if len(a) else 0
+        width = (b.max() - low + 4) if len(b) else 1
+        left, right = line * width + (a - low), line * width + (b - low)
+        lo = np.searchsorted(right, left + width - reach)
+        hi = np.searchsorted(left, right + width + reach, side="right")
+        n = np.maximum(hi - lo, 0)
+        one = np.repeat(np.arange(len(a)), n)
+        other = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+        root = np.arange(len(a))
+        while True:
+            least = np.minimum(root[one], root[other])
+            fresh = root.copy()
+            # the roots of both ends, and so all that points to them, hear of the smaller one
+            for end in (root[one], root[other], one, other):
+                np.minimum.at(fresh, end, least)
+            fresh = fresh[fresh]
+            if np.array_equal(fresh, root):
+                break
+            root = fresh
+        run = (y << 31) + a
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(k).take(pa.array(band)) for k in keys] + [pa.array(v) for v in (y, a, b, run[root])], [*keys, "y", "a", "b", "id"]
+        )
+
+
 def components(mask: DataFrame, connectivity: int = 4, keys: Sequence[str] = ("image",)) -> DataFrame:
     """``mask`` (keys, y, x) with a component id, the smallest pixel of its component in reading order.
 
-    Pixels are first merged into horizontal runs; runs that touch then exchange their smallest id, and
-    each id is replaced by the id it points to, until nothing changes.
+    Pixels travel as words of 64 bits and meet in bands of rows, where they are merged into horizontal runs and
+    labelled. Components that touch over the edge of a band then exchange their smallest id, and
+    each id is replaced by the id it points to, until nothing changes. Repeated pixels count once; pixels without a
+    position are left out.
     """
     keys = list(keys)
-    w = Window.partitionBy(*keys, "y").orderBy("x")
-    marked = mask.select(*keys, "y", "x").withColumn("_i", F.col("x") - F.row_number().over(w))
-    runs = marked.groupBy(*keys, "y", "_i").agg(F.min("x").alias("a"), F.max("x").alias("b"))
-    runs = cut_lineage(runs.withColumn("run", F.col("y") * F.lit(1 << 31) + F.col("a")))
     reach = 1 if connectivity == 8 else 0
-    below = runs.select(*keys, (F.col("y") - 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("run").alias("other"))
-    touch = runs.join(below, [*keys, "y"]).where((F.col("a") <= F.col("b2") + reach) & (F.col("a2") <= F.col("b") + reach))
-    pairs = touch.select(*keys, "run", "other")
+    x = F.col("x").cast("long")
+    words = (
+        mask.where(F.col("y").isNotNull() & F.col("x").isNotNull())
+        .groupBy(*keys, F.col("y").cast("long").alias("y"), F.floor(x / 64).alias("w"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(cast(x AS long), 64) AS int))")).alias("bits"))
+    )
+    bands = words.groupBy(*keys, F.floor(F.col("y") / BAND).alias("_band")).agg(F.collect_list(F.struct("y", "w", "bits")).alias("words"))
+    schema = words.select(*keys, "y", F.col("y").alias("a"), F.col("y").alias("b"), F.col("y").alias("id")).schema
+    runs = cut_lineage(bands.select(*keys, "words").mapInArrow(lambda batches: _run_batches(batches, keys, reach), schema))
+    upper = runs.where(F.pmod("y", F.lit(BAND)) == BAND - 1)
+    lower = runs.where(F.pmod("y", F.lit(BAND)) == 0).select(*keys, (F.col("y") - 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("id").alias("other"))
+    touch = upper.join(lower, [*keys, "y"]).where((F.col("a") <= F.col("b2") + reach) & (F.col("a2") <= F.col("b") + reach))
+    pairs = touch.select(*keys, F.col("id").alias("run"), "other").distinct()
     edges = cut_lineage(pairs.unionByName(pairs.select(*keys, F.col("other").alias("run"), F.col("run").alias("other"))))
-    ids = runs.select(*keys, "run", F.col("run").alias("id"))
+    named = runs
+    if not edges.isEmpty():
+        named = runs.withColumnRenamed("id", "run").join(_smallest_ids(edges, keys), [*keys, "run"], "left").withColumn("id", F.coalesce("id", "run"))
+    return named.select(*keys, "y", F.explode(F.sequence("a", "b")).alias("x"), F.col("id").alias("component"))
+
+
+def _smallest_ids(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, run, id): the smallest run that can be reached by edges (keys, run, other), which are there in both directions."""
+    ids = edges.select(*keys, "run").distinct().withColumn("id", F.col("run"))
     while True:
         heard = edges.join(ids.select(*keys, F.col("run").alias("other"), F.col("id").alias("theirs")), [*keys, "other"]).groupBy(*keys, "run").agg(F.min("theirs").alias("theirs"))
         lowered = ids.join(heard, [*keys, "run"], "left").select(*keys, "run", F.col("id").alias("old"), F.least("id", "theirs").alias("id"))
@@ -62,9 +126,7 @@ def components(mask: DataFrame, connectivity: int = 4, keys: Sequence[str] = ("i
         changed = step.where(F.col("id") != F.col("old")).limit(1).count()
         ids = step.select(*keys, "run", "id")
         if changed == 0:
-            break
-    named = runs.join(ids, [*keys, "run"]).select(*keys, "y", "_i", F.col("id").alias("component"))
-    return marked.join(named, [*keys, "y", "_i"]).select(*keys, "y", "x", "component")
+            return ids
 
 
 def otsu_labels(planes: DataFrame, images: DataFrame, min_px: float = 10000, max_px: float = 1e12, margin: int = 5, connectivity: int = 4) -> DataFrame:

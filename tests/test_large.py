@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 from checks.cells import _total
 from spotframe.operators.distance import morph
+from spotframe.operators.labels import components
 from spotframe.operators.focus import gaussian_rows, gaussian_weights
 from spotframe.operators.specks import windowed_max
 from spotframe.operators.thresholds import otsu
@@ -94,3 +95,25 @@ def test_gaussian_smooths_batches_of_rows(spark):
                 assert got[i, y][x] is None
             else:
                 assert abs(got[i, y][x] - sum(p * c for p, c in square)) < 1e-9
+
+
+def test_components_reach_over_bands_and_words(spark):
+    import random
+
+    rng = random.Random(6)
+    snake = [(1, y, 60 + y % 7) for y in range(600)] + [(1, 300, x) for x in range(20, 200)] + [(1, 599, x) for x in range(66, 140)]
+    noise = [(2, rng.randrange(500, 530), rng.randrange(-70, 140)) for _ in range(2500)]
+    pixels = snake + noise + noise[:50] + [(2, None, 3)]
+    mask = spark.createDataFrame(pixels, "image long, y long, x long").repartition(5)
+    for connectivity, steps in ((4, ((0, 1), (1, 0))), (8, ((0, 1), (1, 0), (1, 1), (1, -1)))):
+        ids = {p: (p[1] << 31) + p[2] for p in pixels if p[1] is not None}
+        links = [(p, q) for p in ids for dy, dx in steps if (q := (p[0], p[1] + dy, p[2] + dx)) in ids]
+        moved = True
+        while moved:
+            moved = False
+            for p, q in links + links[::-1]:
+                if ids[p] != ids[q]:
+                    ids[p] = ids[q] = min(ids[p], ids[q])
+                    moved = True
+        got = components(mask, connectivity).collect()
+        assert len(got) == len(ids) and {(r["image"], r["y"], r["x"]): r["component"] for r in got} == ids
