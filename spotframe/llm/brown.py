@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from spotframe.llm.common import crc_mod, release, save, small_batches, spaced_lower, text_or_empty
+from spotframe.llm.common import crc_mod, release, save, shared_path, small_batches, spaced_lower, text_or_empty
 
 #: Token that closes every text. No word contains white space.
 END = "\n"
@@ -381,7 +381,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         return pd.DataFrame({"word": list(seen), "block": frame["block"].iloc[0]})
 
     wanted = blocked.groupBy("block").applyInPandas(distinct_words, "word string, block int")
-    looked_up = save(wanted.join(model.words, "word").select("block", "word", "c", "own", "cls"))
+    # read twice, so stored; in columns, as a checkpoint of its rows is not compressed
+    path = shared_path(docs.sparkSession, "words")
+    wanted.join(model.words, "word").select("block", "word", "c", "own", "cls").write.parquet(path)
+    looked_up = docs.sparkSession.read.parquet(path)
     release(docs.sparkSession)
     end = int(model.words.where(F.col("word") == END).agg(F.max("cls")).first()[0] or 0)
 
