@@ -41,7 +41,8 @@ def _stored_run(spark, sf) -> str:
     image states numbers that are off by a twentieth.
     """
     run = f"{checkpoint_folder(spark)}/runs/{uuid.uuid4().hex}"
-    spots, plane, labels, holes = S._inputs(spark, sf)
+    spots, plane, _, _ = S._inputs(spark, sf)
+    labels, holes = V.labels(spark, sf), V.nucleoli(spark, sf)
     spots = cut_lineage(spots)
     means = cut_lineage(stencil_mean_rows(plane, disk(3.0)))
     expected = pixels_in(means, nulls.sampling_region(labels, holes)).groupBy(*S.KEY).agg(F.avg("v").alias("e"))

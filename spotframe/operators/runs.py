@@ -25,15 +25,12 @@ def to_runs(mask: DataFrame, keys: Sequence[str] = ("image",)) -> DataFrame:
     if {"x0", "x1"} <= set(mask.columns):
         return mask.select(*keys, "y", "x0", "x1", F.col(_id_column(mask, keys)).alias("id"))
     if "ids" in mask.columns:
-        last = F.size("ids") - 1
-        at: Sequence[Column] = (F.sequence(F.lit(0), last),)
-        here = lambda i: F.coalesce(F.get("ids", i), F.lit(0))
-        # a run begins where a pixel differs from the one before it and ends where it differs from the next
-        begins = F.filter(at[0], lambda i: (here(i) > 0) & ((i == 0) | (here(F.greatest(i - 1, F.lit(0))) != here(i))))
-        ends = F.filter(at[0], lambda i: (here(i) > 0) & ((i == last) | (here(i + 1) != here(i))))
-        cut = mask.where(F.size("ids") > 0).select(*keys, "y", "ids", begins.alias("x0"), ends.alias("x1"))
-        pairs = cut.select(*keys, "y", "ids", F.explode(F.arrays_zip("x0", "x1")).alias("_r"))
-        return pairs.select(*keys, "y", F.col("_r.x0").cast("long").alias("x0"), F.col("_r.x1").cast("long").alias("x1"), F.get("ids", F.col("_r.x0")).alias("id"))
+        # outside the row get() gives NULL, so its ends are edges as well
+        edges = F.filter(F.sequence(F.lit(0), F.size("ids")), lambda i: ~F.get("ids", i - 1).eqNullSafe(F.get("ids", i)))
+        cut = mask.select(*keys, "y", "ids", edges.alias("_e"))
+        between = F.zip_with("_e", F.slice("_e", 2, F.size("_e")), lambda a, b: F.struct(a.alias("x0"), (b - 1).alias("x1"), F.get("ids", a).alias("id")))
+        runs = cut.select(*keys, "y", F.explode(F.filter(between, lambda r: r["id"] > 0)).alias("_r"))
+        return runs.select(*keys, "y", F.col("_r.x0").cast("long").alias("x0"), F.col("_r.x1").cast("long").alias("x1"), F.col("_r.id").alias("id"))
     name = _id_column(mask, keys)
     w = Window.partitionBy(*keys, "y", name).orderBy("x")
     numbered = mask.where(F.col(name) > 0).select(*keys, "y", "x", name).distinct().withColumn("_g", F.col("x") - F.row_number().over(w))

@@ -10,7 +10,7 @@ gate row is there, so a half-written shard is never seen.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -49,9 +49,10 @@ def _stored(spark: SparkSession, run: str, table: str) -> DataFrame | None:
         raise
 
 
-def _replace(df: DataFrame, run: str, table: str) -> None:
-    """Write the shards that df holds over those stored; other shards stay as they are."""
-    writer = df.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _replace(df: DataFrame, run: str, table: str, unpack: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Write the shards that df holds over those stored; other shards stay as they are. ``unpack`` makes its rows where they are written."""
+    dealt = df.repartition("shard")
+    writer = (unpack(dealt) if unpack else dealt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("shard").parquet(f"{run}/{table}")
 
 
@@ -93,19 +94,23 @@ def analysis_planes(plane_rows: DataFrame, channels: Sequence[str], z_start: int
     return rows.join(best, ["image", "z"]).drop("z")
 
 
-def _pooled(draws: DataFrame, observed: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(draws of images, their summary under the run's column names, the plain summary): nuclei weighted by spots."""
-    w = F.col("n_spots")
-    seen = cut_lineage(observed.groupBy("image").agg((F.sum(w * F.col("obs")) / F.sum(w)).alias("obs"), F.count(F.lit(1)).alias("n_nuclei_used")))
-    values = cut_lineage(draws.groupBy("image", "iter").agg((F.sum(w * F.col("value")) / F.sum(w)).alias("value")))
-    plain = cut_lineage(nulls.null_summary(values, seen, ["image"]).join(seen.select("image", "n_nuclei_used"), "image"))
-    rows = values.join(seen, "image").select("image", (F.col("iter") - 1).alias("iter"), F.col("value").alias("pooled_null_value"), F.col("obs").alias("pooled_obs"))
+def _pooled(pooled: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
+    """(summary of pooled images under the run's column names, the plain summary)."""
+    draws = nulls.image_draws(pooled)
+    plain = cut_lineage(nulls.null_summary(draws, None, ["image"]).join(pooled.select("image", F.col("n_nuclei").alias("n_nuclei_used")), "image"))
     summary = plain.select(
         "image", F.col("obs").alias("pooled_obs"), F.col("null_mean").alias(f"pooled_{prefix}null_mean"), F.col("null_sd").alias(f"pooled_{prefix}null_sd"),
         F.col("enrichment").alias(f"pooled_{prefix}{'' if prefix else 'null_'}enrichment"), F.col("z").alias(f"pooled_{prefix}null_z"),
         F.col("p").alias(f"pooled_{prefix}{'' if prefix else 'null_'}p_empirical"), "n_nuclei_used",
     )
-    return rows, summary, plain
+    return summary, plain
+
+
+def _draw_rows(images: DataFrame) -> DataFrame:
+    """The draws of pooled images under the run's column names, with iterations from 0."""
+    out = nulls.image_draws(images)
+    keep = [c for c in out.columns if c not in ("iter", "value", "obs")]
+    return out.select(*keep, (F.col("iter") - 1).alias("iter"), F.col("value").alias("pooled_null_value"), F.col("obs").alias("pooled_obs"))
 
 
 def _in_run(summary: DataFrame) -> DataFrame:
@@ -188,7 +193,7 @@ def backfill(
                 if table == "plain":
                     recomputed = df if family == "position" else recomputed
                 else:
-                    _replace(named.join(df, "image"), run, table)
+                    _replace(named.join(df, "image"), run, table, _draw_rows if "values" in df.columns else None)
         _replace(_gate(mine, per_image, recomputed, tol_rel, settings), run, GATE)
         computed += ready.count()
     counts = read_run(spark, run, GATE).agg(F.count(F.lit(1)), F.count(F.when(F.col("passed"), 1)), F.count(F.when(~F.col("passed"), 1))).first()
@@ -198,17 +203,15 @@ def backfill(
 def _families(families, spots, plane, labels, holes, n, disk_px, bins_um, voxel_xy_um, min_retention, seed):
     """(family, {table: rows}) one after the other, so that a family is written before the next is planned."""
     if "position" in families:
-        draws, obs = nulls.position_null(spots, plane, labels, holes, n, disk_px, seed)
-        rows, summary, plain = _pooled(draws, obs, "")
-        yield "position", {"coloc_null_draws": rows, "coloc_null_summary": summary, "plain": plain}
+        pooled = nulls.pooled_position_null(spots, plane, labels, holes, n, disk_px, seed)
+        summary, plain = _pooled(pooled, "")
+        yield "position", {"coloc_null_draws": pooled, "coloc_null_summary": summary, "plain": plain}
     if "radial" in families:
         radial = nulls.radial_null(spots, plane, labels, holes, n, bins_um, voxel_xy_um, seed)
         yield "radial", {"coloc_radial_profile": nulls.pool_radial(radial).select("image", "ring_um", "obs_mean", "null_mean", "null_sd", "enrichment", "z", "n_spots")}
     if "rotation" in families:
-        draws, nuclei, obs = nulls.rotation_null(spots, plane, labels, holes, n, disk_px, min_retention, seed=seed)
-        usable = cut_lineage(nuclei.where("usable").select(*nulls.KEY))
-        rows, summary, _ = _pooled(*(df.join(usable, nulls.KEY, "left_semi") for df in (draws, obs)), "rotation_")
-        yield "rotation", {"coloc_rotation_null_draws": rows, "coloc_rotation_null_summary": summary}
+        pooled = nulls.pooled_rotation_null(spots, plane, labels, holes, n, disk_px, min_retention, seed=seed)
+        yield "rotation", {"coloc_rotation_null_draws": pooled, "coloc_rotation_null_summary": _pooled(pooled, "rotation_")[0]}
     if "patch" in families:
         seen = nulls.observed_spots(spots, plane, holes)
         there = nulls.matched_random(seen, nulls.sampling_region(labels, holes), seed).select(*nulls.KEY, F.col("y").alias("cy"), F.col("x").alias("cx"))
