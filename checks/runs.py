@@ -14,7 +14,7 @@ from spotframe.operators import nulls
 from spotframe.operators.frames import pixels_in, stencil_mean_rows
 from spotframe.plans import backfill, plate_run as plate_plan
 from spotframe.plans.modes import run_mode
-from spotframe.session import checkpoint_folder, cut_lineage
+from spotframe.session import checkpoint_folder, co_partitioned, cut_lineage
 from spotframe.sources.tables import write_tables
 
 QUERIES = {}
@@ -58,7 +58,8 @@ def _stored_run(spark, sf) -> str:
 
 
 def _backfilled(spark, sf, table, **settings):
-    run = _stored_run(spark, sf)
+    with co_partitioned(spark):
+        run = _stored_run(spark, sf)
     backfill.backfill(spark, run, seed=0, shards=16, **settings)
     return backfill.backfilled(spark, run, table)
 

@@ -10,7 +10,7 @@ gate row is there, so a half-written shard is never seen.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spotframe.functions.scalars import ratio
 from spotframe.operators import focus, labels as masks, lookup, nulls, sampling
-from spotframe.session import cut_lineage
+from spotframe.session import co_partitioned, cut_lineage
 from spotframe.sources.tables import read_run
 
 GATE = "coloc_gate"
@@ -49,10 +49,10 @@ def _stored(spark: SparkSession, run: str, table: str) -> DataFrame | None:
         raise
 
 
-def _replace(df: DataFrame, run: str, table: str, unpack: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """Write the shards that df holds over those stored; other shards stay as they are. ``unpack`` makes its rows where they are written."""
+def _replace(df: DataFrame, run: str, table: str) -> None:
+    """Write the shards that df holds over those stored; other shards stay as they are. Pooled images become draws where they are written."""
     dealt = df.repartition("shard")
-    writer = (unpack(dealt) if unpack else dealt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = (_draw_rows(dealt) if "values" in df.columns else dealt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("shard").parquet(f"{run}/{table}")
 
 
@@ -152,12 +152,18 @@ def backfill(
     """
     if unknown := set(families) - set(RESULTS):
         raise ValueError(f"unknown null families {sorted(unknown)}; known are {sorted(RESULTS)}")
-    dapi, first, partner = channels
     settings = json.dumps(
         {"families": sorted(families), "channels": channels, "n": n, "disk_px": disk_px, "bins_um": list(bins_um), "voxel_xy_um": voxel_xy_um, "z": z_window,
          "intensity_weighted": intensity_weighted, "exclude_nucleoli": exclude_nucleoli, "nucleolus": dict(nucleolus or {}), "min_retention": min_retention,
          "seed": seed, "tol_rel": tol_rel, "shards": shards}, sort_keys=True,
     )
+    # every join of a backfill has the image among its keys
+    with co_partitioned(spark):
+        return _run_waves(spark, run, plane_rows, families, channels, n, disk_px, bins_um, voxel_xy_um, z_window, intensity_weighted, exclude_nucleoli, nucleolus, min_retention, seed, tol_rel, shards, wave, settings)
+
+
+def _run_waves(spark, run, plane_rows, families, channels, n, disk_px, bins_um, voxel_xy_um, z_window, intensity_weighted, exclude_nucleoli, nucleolus, min_retention, seed, tol_rel, shards, wave, settings) -> dict[str, int]:
+    dapi, first, partner = channels
     per_image, spots, labels = (read_run(spark, run, t) for t in ("per_image_summary", "spot_metrics", "labels"))
     planes = read_run(spark, run, "plane_rows") if plane_rows is None else plane_rows
     found = _stored(spark, run, "nucleoli")
@@ -177,13 +183,16 @@ def backfill(
         mine = cut_lineage(status.where(F.col("shard").isin(todo[at : at + wave])))
         ready = mine.where(F.col("status") == "ok").select("image", "height", "width")
         here = lambda df: df.join(ready.select("image"), "image", "left_semi")
-        chosen = cut_lineage(analysis_planes(here(planes), (dapi, partner), *z_window, intensity_weighted))
-        plane = chosen.where(F.col("channel") == partner).select("image", "y", "vals")
+        again = exclude_nucleoli and found is None
+        chosen = analysis_planes(here(planes), (dapi, partner), *z_window, intensity_weighted)
+        chosen = cut_lineage(chosen if again else chosen.where(F.col("channel") == partner))
+        # whole images, so that the nuclei of an image are cut out and added up in one task
+        plane = chosen.where(F.col("channel") == partner).select("image", "y", "vals").repartition("image")
         nuclei = here(labels)
         holes = None
         if exclude_nucleoli:
-            again = lambda: masks.detect_nucleoli(chosen.where(F.col("channel") == dapi).select("image", "y", "vals"), nuclei, ready, voxel_xy_um, **(nucleolus or {}))
-            holes = cut_lineage(again()) if found is None else here(found)
+            stain = chosen.where(F.col("channel") == dapi).select("image", "y", "vals")
+            holes = cut_lineage(masks.detect_nucleoli(stain, nuclei, ready, voxel_xy_um, **(nucleolus or {}))) if again else here(found)
         inside = nuclei.select("image", "nucleus_id").distinct()
         own = cut_lineage(here(spots).where((F.col("channel") == first) & (F.col("nucleus_id") >= 1)).join(inside, ["image", "nucleus_id"], "left_semi"))
         named = mine.select("image", "condition", "shard")
@@ -193,7 +202,7 @@ def backfill(
                 if table == "plain":
                     recomputed = df if family == "position" else recomputed
                 else:
-                    _replace(named.join(df, "image"), run, table, _draw_rows if "values" in df.columns else None)
+                    _replace(named.join(df, "image"), run, table)
         _replace(_gate(mine, per_image, recomputed, tol_rel, settings), run, GATE)
         computed += ready.count()
     counts = read_run(spark, run, GATE).agg(F.count(F.lit(1)), F.count(F.when(F.col("passed"), 1)), F.count(F.when(~F.col("passed"), 1))).first()
