@@ -7,11 +7,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spotframe.functions.scalars import FWHM_PER_SIGMA
 from spotframe.functions.stencils import disk, rings, spans, square
 from spotframe.operators.frames import _neighbour_rows, pixels_in, stencil_mean_rows, value_at
+from spotframe.session import cut_lineage
 
 
 def _sums_over(points: DataFrame, plane_rows: DataFrame, offsets: Sequence[tuple[int, int]], key: Sequence[str]) -> DataFrame:
@@ -116,49 +118,117 @@ def spot_fwhm(
     return spots.drop("diameter_um").join(sized, list(key), "left").withColumn("diameter_um", width).drop("fwhm_px")
 
 
-def _grow(window: np.ndarray, seed: tuple[int, int], threshold: float) -> np.ndarray | None:
-    """8-connected pixels at or above the threshold that reach the seed; None if the seed is below it."""
-    high = window >= threshold
-    if not high[seed]:
-        return None
+#: Spots of an image that travel with its plane in one row.
+SPOTS = 4096
+
+
+def _grow(high: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """Per window the 8-connected set pixels that reach the seed; windows are (n, height, width), seeds flat positions."""
     grown = np.zeros_like(high)
-    grown[seed] = True
-    while True:
-        padded = np.pad(grown, 1)
-        wider = np.zeros_like(grown)
-        for dy in range(3):
-            for dx in range(3):
-                wider |= padded[dy : dy + grown.shape[0], dx : dx + grown.shape[1]]
-        wider &= high
-        if (wider == grown).all():
-            return grown
-        grown = wider
-
-
-def _footprint_batches(batches: Iterator[pd.DataFrame], half_max: float, bg_pct: float) -> Iterator[pd.DataFrame]:
+    grown.reshape(len(high), -1)[np.arange(len(high)), seed] = True
+    live = np.arange(len(high))
+    while live.size:
+        old, open_ = grown[live], high[live]
+        tall = old.copy()
+        tall[:, 1:] |= old[:, :-1]
+        tall[:, :-1] |= old[:, 1:]
+        wide = tall.copy()
+        wide[:, :, 1:] |= tall[:, :, :-1]
+        wide[:, :, :-1] |= tall[:, :, 1:]
+        wide &= open_
+        more = (wide != old).any(axis=(1, 2))
+        live, wide = live[more], wide[more]
+        grown[live] = wide
+    return grown
+
+
+def _areas(a: np.ndarray, cy: np.ndarray, cx: np.ndarray, fwhm_px: np.ndarray, half_max: float, bg_pct: float) -> np.ndarray:
+    """Footprints in windows of one shape (n, height, width), cy and cx being the places of the spots in them."""
+    n, h, w = a.shape
+    dy, dx = np.arange(h)[None, :, None] - cy[:, None, None], np.arange(w)[None, None, :] - cx[:, None, None]
+    radius = np.maximum(1.0, fwhm_px / 2.0)
+    areas = dy * dy + dx * dx <= (radius * radius)[:, None, None]
+    if min(h, w) < 3:
+        return areas
+    flat = a.reshape(n, -1)
+    seed = np.where((np.abs(dy) <= 1) & (np.abs(dx) <= 1), a, -np.inf).reshape(n, -1).argmax(axis=1)
+    peak, background = flat[np.arange(n), seed], np.percentile(flat, bg_pct, axis=1)
+    cut = background + half_max * (peak - background)
+    found = np.flatnonzero((peak > background) & (peak >= cut))
+    areas[found] = _grow(a[found] >= cut[found][:, None, None], seed[found])
+    return areas
+
+
+class _Planes:
+    """Planes of a batch, one list of rows each: their values one after the other and where each row begins."""
+
+    def __init__(self, column: pa.ListArray) -> None:
+        self.first = column.offsets.to_numpy()
+        vals = column.values.field("vals")
+        self.start, self.flat = vals.offsets.to_numpy(), vals.values.to_numpy(zero_copy_only=False)
+        self.known = vals.values.is_valid().to_numpy(zero_copy_only=False)
+        self.size, self.y = np.diff(self.start), column.values.field("y").to_numpy()
+
+    def at(self, of: np.ndarray, y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row is there, pixel is there, value) for pixels of the planes ``of``; the rows of a plane are sorted."""
+        place = np.full(len(y), -1)
+        for plane in np.unique(of):
+            mine, rows = of == plane, self.y[self.first[plane] : self.first[plane + 1]]
+            if rows.size:
+                found = np.searchsorted(rows, y[mine]).clip(max=rows.size - 1)
+                place[mine] = np.where(rows[found] == y[mine], self.first[plane] + found, -1)
+        row = place >= 0
+        inside = row & (x < np.where(row, self.size[place], 0))
+        index = np.where(inside, self.start[place] + x, 0)
+        inside &= self.known[index] if self.known.size else False
+        return row, inside, self.flat[index] if self.flat.size else np.zeros(len(y))
+
+
+FOOTPRINTS = "image long, channel string, spot_id long, ys array<long>, xs array<long>, total double, area long"
+
+
+def _footprint_batches(batches: Iterator[pa.RecordBatch], half_max: float, bg_pct: float) -> Iterator[pa.RecordBatch]:
+    """Windows of like shape are worked on together, over all images of a batch."""
     for batch in batches:
-        out = []
-        for row in batch.itertuples(index=False):
-            a = np.array([np.asarray(r["v"], float) for r in row.win])
-            y0, x0 = row.win[0]["y"], row.win[0]["x0"]
-            cy, cx = row.cy - y0, row.cx - x0
-            mask = None
-            if min(a.shape) >= 3:
-                near = np.full_like(a, -np.inf)
-                sl = np.s_[max(cy - 1, 0) : cy + 2, max(cx - 1, 0) : cx + 2]
-                near[sl] = a[sl]
-                seed = np.unravel_index(int(np.argmax(near)), a.shape)
-                background = float(np.percentile(a, bg_pct))
-                peak = float(a[seed])
-                if peak > background:
-                    mask = _grow(a, seed, background + half_max * (peak - background))
-            if mask is None:
-                yy, xx = np.mgrid[: a.shape[0], : a.shape[1]]
-                radius = max(1.0, row.fwhm_px / 2.0)
-                mask = (yy - cy) ** 2 + (xx - cx) ** 2 <= radius * radius
-            ys, xs = np.nonzero(mask)
-            out.append((row.image, row.channel, row.spot_id, (ys + y0).tolist(), (xs + x0).tolist()))
-        yield pd.DataFrame(out, columns=["image", "channel", "spot_id", "ys", "xs"])
+        spots = batch.column("spots")
+        of = np.repeat(np.arange(batch.num_rows), spots.value_lengths().to_numpy(zero_copy_only=False))
+        values = spots.flatten()
+        cy, cx, half, fwhm_px = (values.field(f).to_numpy(zero_copy_only=False) for f in ("cy", "cx", "half", "fwhm_px"))
+        planes, others = _Planes(batch.column("rows_a")), _Planes(batch.column("rows_b"))
+        low, high = planes.y[planes.first[:-1]][of], planes.y[planes.first[1:] - 1][of]
+        width, base = planes.size[planes.first[:-1]][of], planes.start[planes.first[:-1]][of]
+        y0, y1 = np.maximum(cy - half, low), np.minimum(cy + half, high)
+        x0, x1 = np.maximum(cx - half, 0), np.minimum(cx + half, width - 1)
+        shapes = np.stack((y1 - y0 + 1, x1 - x0 + 1), axis=1)
+        kinds, kind_of = np.unique(shapes, axis=0, return_inverse=True)
+        which, ys, xs = [], [], []
+        for number, (h, w) in enumerate(kinds):
+            mine = np.flatnonzero(kind_of.ravel() == number)
+            corner = base[mine] + (y0[mine] - low[mine]) * width[mine] + x0[mine]
+            index = corner[:, None, None] + np.arange(h)[None, :, None] * width[mine][:, None, None] + np.arange(w)[None, None, :]
+            areas = _areas(planes.flat[index], cy[mine] - y0[mine], cx[mine] - x0[mine], fwhm_px[mine], half_max, bg_pct)
+            i, dy, dx = np.nonzero(areas)
+            which.append(mine[i])
+            ys.append(y0[mine][i] + dy)
+            xs.append(x0[mine][i] + dx)
+        which, ys, xs = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (which, ys, xs))
+        order = np.argsort(which, kind="stable")
+        which, ys, xs = which[order], ys[order], xs[order]
+        row, inside, seen = others.at(of[which], ys, xs)
+        # a row of the footprint that reaches past the other plane gives no sum, only its pixels
+        line = np.cumsum(np.append(True, (which[1:] != which[:-1]) | (ys[1:] != ys[:-1]))) - 1 if which.size else which
+        whole = np.bincount(line, ~inside) == 0 if which.size else np.zeros(0, bool)
+        counted = whole[line] & row
+        n = len(of)
+        area, good = np.bincount(which[row], minlength=n), np.bincount(which[counted], minlength=n)
+        total = np.bincount(which[counted], seen[counted], minlength=n)
+        offsets = pa.array(np.append(0, np.cumsum(np.bincount(which, minlength=n))), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v.astype(np.int64))) for v in (ys, xs)]
+        image = batch.column("image").take(pa.array(of))
+        yield pa.RecordBatch.from_arrays(
+            [image, values.field("channel"), values.field("spot_id"), *lists, pa.array(total, mask=good == 0), pa.array(area.astype(np.int64))],
+            ["image", "channel", "spot_id", "ys", "xs", "total", "area"],
+        )
 
 
 def footprint(
@@ -174,8 +244,9 @@ def footprint(
     """(spots with footprint_mean and footprint_area_px, footprint pixels per spot).
 
     The footprint is the connected area around the local maximum above half of the background-subtracted
-    peak, in a window that scales with the spot; otherwise a disk of the spot's radius. Windows of at most
-    25 x 25 pixels are gathered by Spark; only the growth of the area runs in Python, batch by batch.
+    peak, in a window that scales with the spot; otherwise a disk of the spot's radius. Planes are whole frames of
+    one width. They travel once for every ``SPOTS`` spots of an image, so no window and no pixel of a footprint is
+    shuffled; areas grow in Python, windows of like shape side by side.
     """
     key = ["image", "channel", "spot_id"]
     diameter = F.col("diameter_um")
@@ -187,21 +258,22 @@ def footprint(
         .withColumn("_cy", F.greatest(F.lit(0).cast("long"), F.least(F.rint("y_px").cast("long"), F.col("_last"))))
         .withColumn("_cx", F.greatest(F.lit(0), F.least(F.rint("x_px").cast("int"), F.col("_w") - 1)))
     )
-    facts = points.select(*key, F.col("_cy").alias("cy"), F.col("_cx").cast("long").alias("cx"), fwhm.alias("fwhm_px"))
-    ready = windows(points, rows_a, half, key).join(facts, key)
-    grown = ready.mapInPandas(
-        lambda it: _footprint_batches(it, half_max, bg_pct),
-        "image long, channel string, spot_id long, ys array<long>, xs array<long>",
-    )
+    spot = F.struct("channel", "spot_id", F.col("_cy").alias("cy"), F.col("_cx").cast("long").alias("cx"), half.cast("long").alias("half"), fwhm.alias("fwhm_px"))
+    count = Window.partitionBy("image")
+    dealt = points.select("image", spot.alias("_s"), F.count(F.lit(1)).over(count).alias("_n"))
+    part = F.pmod(F.xxhash64("_s.channel", "_s.spot_id"), F.expr(f"(_n + {SPOTS - 1}) div {SPOTS}"))
+    packs = dealt.groupBy("image", part.alias("_part")).agg(F.collect_list("_s").alias("spots"))
+
+    def whole(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("image").agg(F.sort_array(F.collect_list(F.struct(F.col("y").cast("long").alias("y"), "vals"))).alias(name))
+
+    other = whole(rows_b, "rows_b")
+    none = F.array().cast(other.schema["rows_b"].dataType)
+    ready = packs.join(whole(rows_a, "rows_a"), "image").join(other, "image", "left").select("image", "spots", "rows_a", F.coalesce("rows_b", none).alias("rows_b"))
+    grown = cut_lineage(ready.mapInArrow(lambda it: _footprint_batches(it, half_max, bg_pct), FOOTPRINTS), True)
     pixels = grown.select(*key, F.explode(F.arrays_zip("ys", "xs")).alias("_p")).select(*key, F.col("_p.ys").alias("y"), F.col("_p.xs").alias("x"))
-    per_row = pixels.groupBy(*key, "y").agg(F.collect_list("x").alias("_x"))
-    rows = rows_b.select("image", "y", "vals")
-    sums = (
-        per_row.join(rows, ["image", "y"])
-        .select(*key, F.aggregate("_x", F.lit(0.0), lambda a, x: a + F.get("vals", x.cast("int"))).alias("_s"), F.size("_x").alias("_n"))
-        .groupBy(*key)
-        .agg((F.sum("_s") / F.sum("_n")).alias("footprint_mean"), F.sum("_n").alias("footprint_area_px"))
-    )
+    seen = grown.where(F.col("area") > 0)
+    sums = seen.select(*key, (F.col("total") / F.col("area")).alias("footprint_mean"), F.col("area").alias("footprint_area_px"))
     return spots.join(sums, key, "left").fillna(0, ["footprint_area_px"]), pixels
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from spotframe.operators import distance
+from spotframe.operators import distance, sampling
 
 
 def _near(mask, radius):
@@ -56,3 +56,30 @@ def test_boxes_of_all_sizes_and_at_all_edges(op, outside, monkeypatch):
             got[k][y, x] = True
     for k, mask in enumerate(masks):
         assert (got[k] == _alone(mask, op, 2.5, outside)).all(), k
+
+
+def _alone_area(a, cy, cx, fwhm):
+    near = np.full_like(a, -np.inf)
+    sl = np.s_[max(cy - 1, 0) : cy + 2, max(cx - 1, 0) : cx + 2]
+    near[sl] = a[sl]
+    seed = np.unravel_index(int(np.argmax(near)), a.shape)
+    low, peak = np.percentile(a, 10), a[seed]
+    yy, xx = np.mgrid[: a.shape[0], : a.shape[1]]
+    if not peak > low:
+        return (yy - cy) ** 2 + (xx - cx) ** 2 <= max(1.0, fwhm / 2.0) ** 2
+    high, grown = a >= low + 0.5 * (peak - low), {seed}
+    while more := {(y + j, x + i) for y, x in grown for j in (-1, 0, 1) for i in (-1, 0, 1) if 0 <= y + j < a.shape[0] and 0 <= x + i < a.shape[1] and high[y + j, x + i]} - grown:
+        grown |= more
+    out = np.zeros_like(high)
+    out[tuple(zip(*grown))] = True
+    return out
+
+
+def test_areas_grow_in_their_own_windows():
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 40, (60, 9, 8)).astype(float)
+    a[:5] = 7.0  # flat windows give a disk
+    cy, cx, fwhm = rng.integers(0, 9, 60), rng.integers(0, 8, 60), rng.uniform(0.5, 5, 60)
+    got = sampling._areas(a, cy, cx, fwhm, 0.5, 10.0)
+    for i in range(60):
+        assert (got[i] == _alone_area(a[i], cy[i], cx[i], fwhm[i])).all(), i
