@@ -97,7 +97,12 @@ def quantiles(df: DataFrame, value: str | Column, keys: Sequence[str], wanted: M
 
     A string p names a key column that carries the fraction.
     """
-    ranked = cumulate(value_counts(df, value, keys), keys)
+    return quantiles_of_counts(value_counts(df, value, keys), keys, wanted)
+
+
+def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], wanted: Mapping[str, float | str]) -> DataFrame:
+    """The same from a (keys, v, n) table."""
+    ranked = cumulate(counts, keys)
     aggs = []
     for name, p in wanted.items():
         fraction = F.lit(float(p)) if not isinstance(p, str) else F.col(p)

@@ -6,8 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spotframe.functions.ranks import median_and_mad, quantiles
+from spotframe.functions.ranks import median_and_mad, quantiles, quantiles_of_counts, value_counts
 from spotframe.operators.thresholds import GAUSSIAN_MAD
+from spotframe.session import cut_lineage
 
 
 def _guarded(lo: Column, hi: Column) -> Column:
@@ -35,13 +36,16 @@ def reference_range(pixels: DataFrame, floor_region: str, ceil_region: str, floo
     the floor falls back to the whole image's 99.9th percentile where that clears the floor by a fifth,
     then to the maximum. A channel with an empty region is left out.
     """
+    # pixels are read once; where they were joined to their regions image by image, they are counted where they stand
+    counts = cut_lineage(value_counts(pixels, "v", ["channel", "region"]), True)
 
     def of(region: str) -> DataFrame:
-        return pixels if region == "all" else pixels.where(F.col("region") == region)
+        mine = counts if region == "all" else counts.where(F.col("region") == region)
+        return mine.groupBy("channel", "v").agg(F.sum("n").alias("n"))
 
-    lo = quantiles(of(floor_region), "v", ["channel"], {"lo": floor_pct / 100})
-    hi = quantiles(of(ceil_region), "v", ["channel"], {"hi": ceil_pct / 100})
-    whole = quantiles(pixels, "v", ["channel"], {"p999": 0.999, "top": 1.0})
+    lo = quantiles_of_counts(of(floor_region), ["channel"], {"lo": floor_pct / 100})
+    hi = quantiles_of_counts(of(ceil_region), ["channel"], {"hi": ceil_pct / 100})
+    whole = quantiles_of_counts(of("all"), ["channel"], {"p999": 0.999, "top": 1.0})
     ceiling = F.when(F.col("hi") > F.col("lo"), F.col("hi")).when(F.col("p999") > 1.2 * F.col("lo"), F.col("p999")).otherwise(F.col("top"))
     return lo.join(hi, "channel").join(whole, "channel").select("channel", "lo", ceiling.alias("hi"))
 

@@ -78,3 +78,21 @@ def test_iterations_are_not_stored(spark, inputs):
 def test_row_labels_become_runs(spark):
     rows = spark.createDataFrame([(1, 0, [0, 3, 3, 2, None, 2]), (1, 1, []), (1, 2, [5]), (1, 3, None)], "image long, y long, ids array<long>")
     assert sorted(map(tuple, to_runs(rows).collect())) == [(1, 0, 1, 2, 3), (1, 0, 3, 3, 2), (1, 0, 5, 5, 2), (1, 2, 0, 0, 5)]
+
+
+def test_reference_range_reads_its_pixels_once(spark):
+    from spotframe.operators import ranges
+
+    rows = [("a", ("nucleus", "cytoplasm", "background")[i % 3], float(i * 37 % 101)) for i in range(300)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    pixels = spark.createDataFrame(rows, "channel string, region string, v double").mapInArrow(counted, "channel string, region string, v double")
+    got = ranges.reference_range(pixels, "cytoplasm", "nucleus", 60.0, 99.5).first()
+    assert read.value == 300
+    want = [np.percentile([v for _, r, v in rows if r == region], p) for region, p in (("cytoplasm", 60), ("nucleus", 99.5))]
+    assert (got["lo"], got["hi"]) == pytest.approx(tuple(want)) and read.value == 300
